@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import bpe_codec, exact_dedup, mixing, token_output
 from .common import table
 
 
@@ -18,9 +18,19 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.encoded(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_token_output": op8_token_output,
+    "op10_bpe_codec": op10_bpe_codec,
 }
 
 SQL: dict[str, str] = {
