@@ -21,6 +21,9 @@ from pyspark.sql import types as T
 
 from .common import Scratch, normalised, partitions, small
 
+#: Characters of a text in a splitter.
+SPLITTER_CHARS = 48
+
 _ADDED = T.StructType([
     T.StructField("keep_id", T.LongType()),
     T.StructField("group_size", T.LongType()),
@@ -95,8 +98,11 @@ def _sorted_runs(df: DataFrame, id_col: str, text_col: str, carried: list[str],
 
     source = df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{id_col}`").cast("long").alias("_id"), normalised(F.col(f"`{text_col}`")).alias("_norm"))
     n = partitions(spark)
-    key = [F.col("_norm"), F.col("_id").asc_nulls_last()]
-    ranged = source.repartitionByRange(n, *key).sortWithinPartitions(*key)
+    # the splitters are sampled from keys of a bounded length, since the sample goes to the driver: what a text begins
+    # with, then a hash that parts texts with the same beginning, then the identifier that parts equal texts
+    source = source.withColumns({"_begin": F.substring("_norm", 1, SPLITTER_CHARS), "_hash": F.xxhash64("_norm")})
+    by_id = F.col("_id").asc_nulls_last()
+    ranged = source.repartitionByRange(n, "_begin", "_hash", by_id).sortWithinPartitions("_begin", "_hash", "_norm", by_id).drop("_begin", "_hash")
     schema = T.StructType([*[f for f in source.schema if f.name in carried], *_ADDED])
     inner = to_arrow_schema(T.StructType([f for f in source.schema if f.name in carried]))
     return ranged.mapInArrow(_runs(inner, only_first), schema), n
