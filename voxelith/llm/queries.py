@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, exact_dedup, langid, mixing, secrets, token_counts, token_output
+from . import bpe_codec, exact_dedup, langid, media, mixing, secrets, token_counts, token_output
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encoded(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_output": op8_token_output,
+    "op9_media": op9_media,
     "op10_bpe_codec": op10_bpe_codec,
 }
 
