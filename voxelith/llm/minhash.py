@@ -1 +1,293 @@
-"""Under construction."""
+"""Near-dedup by HyperMinHash.
+
+1. sketch: the set of a document's word shingles is hashed into BUCKETS buckets; of each bucket's smallest
+   hash the count of leading zeros and MANTISSA following bits are kept, two bytes. Documents with the same
+   set form a class, and only one of each class goes on.
+2. bands: six registers at a time (an empty bucket borrows from another one, the same for the same occupied
+   buckets) give a key; documents of similarity 0.8 share one of the 42 keys but for 3 in a million.
+3. star: within a key each document is compared with the hub only, the one with the most neighbours overall.
+   A pair goes to verification unless its collision-corrected estimate is far below the threshold;
+   verification compares the full sets.
+4. rest: where the hub's links do not connect all documents of a key, each of those left over is compared
+   with all the others, in blocks of bounded size, by estimate and then by full sets. So no link between
+   documents that share a key is lost, and groups of copies cost a pair for each member, not each pair.
+5. connected components over all links.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import BROADCAST_ROWS, Scratch
+from .graph import components
+from .wordbpe import Numbers, portions
+
+BANDS, PER_BAND = 42, 6
+BUCKETS = BANDS * PER_BAND
+MANTISSA = 10
+EMPTY = 0xFFFF
+#: Standard errors below the threshold at which an estimate still goes to verification.
+SLACK = 4.5
+BLOCK = 512
+CACHED_WORDS = 400_000
+
+_MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser: every bit of x moves every bit of the result."""
+    x = (x ^ (x >> np.uint64(30))) * _MIX1
+    x = (x ^ (x >> np.uint64(27))) * _MIX2
+    return x ^ (x >> np.uint64(31))
+
+
+#: Preference of each bucket for each other one when it borrows.
+_BORROW = mix(np.arange(1, BUCKETS * BUCKETS + 1, dtype=np.uint64)).reshape(BUCKETS, BUCKETS)
+
+
+class Shingler:
+    """Sets of word shingles as sorted 64-bit hashes. Words are runs of anything but [\\x20\\x09-\\x0D], A-Z in lower case."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.known, self.hashes = Numbers(), np.zeros(1024, np.uint64)
+
+    def __call__(self, text: str) -> np.ndarray:
+        words = text.encode("utf-8", "surrogatepass").lower().split()
+        if not words:
+            return np.zeros(0, np.uint64)
+        if len(self.known) > CACHED_WORDS:
+            self.known = Numbers()
+        before = len(self.known)
+        at = np.array(list(map(self.known.__getitem__, words)), np.int64)
+        if len(self.known) > before:
+            from itertools import islice
+
+            fresh = list(islice(reversed(self.known), len(self.known) - before))[::-1]
+            while len(self.hashes) < len(self.known):
+                self.hashes = np.resize(self.hashes, 2 * len(self.hashes))
+            self.hashes[before : len(self.known)] = [xxhash.xxh64_intdigest(w) for w in fresh]
+        h = self.hashes[at]
+        k = min(self.size, len(h))  # fewer words: the whole sequence as one
+        out = np.full(len(h) - k + 1, k, np.uint64)
+        for i in range(k):
+            out = mix(out + h[i : len(h) - k + 1 + i])
+        return np.unique(out)
+
+
+def registers(sets: list[np.ndarray]) -> np.ndarray:
+    """documents x BUCKETS: leading zeros << MANTISSA | mantissa of each bucket's smallest hash, EMPTY without one."""
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    least = np.full(len(sets) * BUCKETS, np.iinfo(np.uint64).max)
+    bucket = ((flat >> np.uint64(32)) * np.uint64(BUCKETS) >> np.uint64(32)).astype(np.int64)
+    np.minimum.at(least, of * BUCKETS + bucket, mix(flat ^ _MIX2))
+    part, exponent = np.frexp(least.astype(np.float64))
+    zeros = np.clip(64 - exponent, 0, 62).astype(np.uint16)
+    out = zeros << np.uint16(MANTISSA) | np.minimum((part * 2 - 1) * (1 << MANTISSA), (1 << MANTISSA) - 1).astype(np.uint16)
+    out[least == np.iinfo(np.uint64).max] = EMPTY
+    return out.reshape(len(sets), BUCKETS)
+
+
+def band_keys(regs: np.ndarray) -> np.ndarray:
+    """documents x BANDS keys, of documents that have any shingle."""
+    full = regs.copy()
+    for i in np.flatnonzero((regs == EMPTY).any(axis=1)):
+        empty, own = np.flatnonzero(regs[i] == EMPTY), np.flatnonzero(regs[i] != EMPTY)
+        if len(own):
+            full[i, empty] = regs[i, own[_BORROW[np.ix_(empty, own)].argmin(axis=1)]]
+    grouped = full.reshape(len(regs), BANDS, PER_BAND).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), grouped.shape[:2])
+    for i in range(PER_BAND):
+        key = mix(key + (grouped[:, :, i] + np.uint64(1)) * _MIX1)
+    return key.view(np.int64)
+
+
+def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(similarity, registers it rests on) of rows of registers, less the collisions expected of unlike sets.
+
+    Expected collisions follow the published approximation for registers of 2^-MANTISSA resolution.
+    """
+    used = ~((a == EMPTY) & (b == EMPTY))
+    k = used.sum(axis=-1)
+    same = ((a == b) & used).sum(axis=-1)
+    big, little = np.maximum(n_a, n_b).astype(float), np.minimum(n_a, n_b).astype(float)
+    ratio = big / np.maximum(little, 1)
+    by_chance = np.minimum(0.169919487159739093975 * BUCKETS * 2.0**-MANTISSA * (4 * ratio / (1 + ratio) ** 2), 0.5 * BUCKETS) / BUCKETS
+    share = same / np.maximum(k, 1)
+    return np.clip((share - by_chance) / (1 - by_chance), 0, 1), k
+
+
+def promising(similarity: np.ndarray, k: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    t = percent / 100
+    near = similarity >= t - SLACK * np.sqrt(t * (1 - t) / np.maximum(k, 1))
+    return near & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
+
+
+def sketch(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(doc_id, n, print, regs, keys): number of shingles, digest of the set, registers and band keys (empty without shingles)."""
+    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(shingle)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in portions(texts):
+                sets = [shingler(t) for t in texts[a:b]]
+                n = np.array([len(s) for s in sets])
+                regs = registers(sets)
+                keys = band_keys(regs)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                        pa.array([r.tobytes() for r in regs], pa.binary()), pa.array([k if m else [] for k, m in zip(keys, n, strict=True)], pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "n", "print", "regs", "keys"],
+                )
+
+    return own.mapInArrow(run, "doc_id long, n long, print binary, regs binary, keys array<long>")
+
+
+def _estimated(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of (a, b, n_a, n_b, regs_a, regs_b) that may be links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n_a, n_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            regs = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, BUCKETS) for i in (4, 5)]
+            ok = promising(*estimate(*regs, n_a, n_b), n_a, n_b, percent)
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok)) for i in (0, 1)], names=["a", "b"])
+
+    return pairs.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full sets reach the threshold. docs: (doc_id, text); of rows that share an identifier any pair of texts counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(shingle)
+        last, last_set = None, None
+        for batch in batches:
+            a, b, ok = batch.column(0), batch.column(1), []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                y = y.as_py()
+                if y != last:  # rows come by hub
+                    last, last_set = y, shingler(y)
+                own = shingler(x.as_py())
+                both = np.intersect1d(own, last_set, assume_unique=True).size
+                ok.append(100 * both >= percent * (len(own) + len(last_set) - both))
+            keep = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
+
+    # one shuffle of the texts serves both ends: each document goes to the pairs in which it is a, and once to its own as b
+    ends = pairs.select(F.col("a").alias("doc_id"), "b", F.lit(True).alias("is_a")).union(pairs.select(F.col("b").alias("doc_id"), "b", F.lit(False).alias("is_a")).distinct())
+    with_text = docs.join(ends, "doc_id")
+    left = with_text.where("is_a").select(F.col("doc_id").alias("a"), "b", F.col("text").alias("text_a"))
+    right = with_text.where("NOT is_a").select("b", F.col("text").alias("text_b"))
+    return left.join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
+def _rest(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Promising pairs (a, b) of different components among members (key, rep, component, hub_component, size), in blocks.
+
+    Those outside the hub's component meet all members of their key. Both are dealt into blocks of about BLOCK; a group
+    of rows is one block of either, so its size is bounded and a hot key becomes many groups.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    with_regs = members.join(sketches.select(F.col("rep"), "n", "regs"), "rep")
+    outside = with_regs.where("component <> hub_component").select("key", block.alias("mine"), every.alias("other"), F.lit(True).alias("left"), "rep", "component", "n", "regs")
+    against = with_regs.select("key", every.alias("mine"), block.alias("other"), F.lit(False).alias("left"), "rep", "component", "n", "regs")
+    rows = outside.union(against)
+
+    def run(table: pa.Table) -> pa.Table:
+        left = np.asarray(table.column("left").to_numpy())
+        rep, comp, n = (table.column(c).to_numpy() for c in ("rep", "component", "n"))
+        regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+        mine, other = np.flatnonzero(left), np.flatnonzero(~left)
+        a, b = [], []
+        for i in mine.tolist():
+            to = other[comp[other] != comp[i]]
+            if len(to):
+                near = promising(*estimate(regs[i][None, :], regs[to], np.full(len(to), n[i]), n[to]), np.full(len(to), n[i]), n[to], percent)
+                to = to[near]
+                a.append(np.minimum(rep[to], rep[i]))
+                b.append(np.maximum(rep[to], rep[i]))
+        return pa.table({"a": pa.array(np.concatenate(a) if a else [], pa.int64()), "b": pa.array(np.concatenate(b) if b else [], pa.int64())})
+
+    return rows.groupBy("key", "mine", "other").applyInArrow(run, "a long, b long")
+
+
+def links(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(members, components): (doc_id, n, rep) of each row, and (node, component) of each rep that has a link."""
+    sketches = scratch.store(sketch(df, id_col, text_col, shingle))
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).where("doc_id IS NOT NULL")
+    classes = sketches.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("rep"))
+    members = scratch.store(sketches.select("doc_id", "n", "print").join(classes, "print", "left").select("doc_id", "n", "print", "rep"))
+    heads = sketches.join(members.where("rep = doc_id").select("print", "rep").distinct(), "print").where("doc_id = rep").select("rep", "n", "regs", "keys")
+    heads = scratch.store(heads)
+    scratch.free(sketches)
+    regs = heads.select("rep", "n", "regs")
+
+    keyed = heads.select("rep", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    live = scratch.store(keyed.join(shared, "key"))
+    degree = live.groupBy("rep").agg(F.sum("size").alias("degree"))
+    hubs = scratch.store(live.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("top"), F.first("size").alias("size")).select("key", (-F.col("top.minus")).alias("hub"), "size"))
+    star = live.select("key", "rep").join(hubs.select("key", "hub"), "key").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+
+    def maybe(pairs: DataFrame) -> DataFrame:
+        one = regs.toDF("a", "n_a", "regs_a")
+        two = regs.toDF("b", "n_b", "regs_b")
+        return _estimated(pairs.join(one, "a").join(two, "b"), percent)
+
+    tried = scratch.store(maybe(star))
+    found = scratch.store(_verified(tried, docs, shingle, percent))
+    first = scratch.store(components(found.toDF("u", "v"), scratch))
+
+    named = live.select("key", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("k")).where("low <> high AND k > 2").select("key")
+    of_hub = hubs.join(first.withColumnRenamed("node", "hub"), "hub", "left").select("key", "size", F.coalesce("component", "hub").alias("hub_component"))
+    open_keys = of_hub.join(mixed, "key", "left_semi")
+    rest = scratch.store(named.join(open_keys, "key"))
+    tried_both = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = scratch.store(_rest(rest, regs, percent).distinct().join(tried_both, ["a", "b"], "left_anti"))
+    found_more = scratch.store(_verified(more, docs, shingle, percent))
+    if found_more.isEmpty():
+        return members, first
+    return members, scratch.store(components(found.union(found_more).toDF("u", "v"), scratch))
+
+
+def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
+    """One row per row of df: id, n_shingles, component_id, kept.
+
+    Documents are linked if 100 * intersection >= percent * union of their sets of `shingle`-word shingles; with fewer
+    words the whole sequence is the one shingle. Null and empty texts have no shingle and are linked with nothing.
+    component_id is the smallest identifier reachable. Rows that repeat an identifier count as one document, linked
+    with whatever any of its texts is; a row without identifier is linked with nothing, has no component_id and is
+    kept. An empty table gives an empty result. Only the two columns are read.
+    """
+    scratch = scratch or Scratch(df.sparkSession, "minhash")
+    members, linked = links(df, id_col, text_col, shingle, percent, scratch)
+    joined = members.join(linked.withColumnRenamed("node", "rep"), "rep", "left")
+    top = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+    out = joined.select("doc_id", F.col("n").alias("n_shingles"), top.alias("component_id"), (top.isNull() | (F.col("doc_id") == top)).alias("kept"))
+    return out if id_col == "doc_id" else out.withColumnRenamed("doc_id", id_col)
+
+
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
+    """The rows that stay, with all columns: of each component those of the smallest identifier."""
+    scratch = scratch or Scratch(df.sparkSession, "minhash")
+    gone = scratch.store(groups(df, id_col, text_col, shingle, percent, scratch).where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct())
+    side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    return df.join(side, F.col(f"`{id_col}`").cast("long") == F.col("_gone"), "left_anti")

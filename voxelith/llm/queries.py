@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, exact_dedup, langid, media, mixing, secrets, token_counts, token_output
+from . import bpe_codec, exact_dedup, langid, media, minhash, mixing, secrets, token_counts, token_output
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op4_secrets": op4_secrets,
     "op5_token_counts": op5_token_counts,
+    "op6_minhash": op6_minhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_output": op8_token_output,
     "op9_media": op9_media,
