@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -119,6 +120,12 @@ class LibraryEncoder:
         return self.cache.encode(texts)
 
 
+@lru_cache(2)
+def worker_encoder(path: str) -> LibraryEncoder:
+    """One a process, so a worker's later tasks find the words of its earlier ones."""
+    return LibraryEncoder(path)
+
+
 def write(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int | None = END_ID) -> DataFrame:
     """The written files: (shard, seq, n_docs, n_ids, file); shard, seq is the order of identifiers."""
     path = path or default_path()
@@ -127,7 +134,7 @@ def write(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
         from pyspark import TaskContext
 
         shard, seq = TaskContext.get().partitionId(), 0
-        encoder = LibraryEncoder(path)
+        encoder = worker_encoder(path)
         bits = bits_for(encoder.vocabulary.size)
         docs, lengths, ids, n = [], [], [], 0
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 import numpy as np
 
@@ -148,15 +149,36 @@ class Numbers(dict):
         return n
 
 
-class CachedEncoder:
-    """encode_words: distinct words -> (lengths, ids); encode_odd: ids of a text beyond Latin-1 or with special tokens."""
+def _newest(numbered: Numbers, before: int) -> list:
+    """Keys numbered from `before` on, in order."""
+    return list(islice(reversed(numbered), len(numbered) - before))[::-1]
 
-    def __init__(self, special: Iterable[str], encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], encode_odd: Callable[[str], np.ndarray]):
-        self.special, self.encode_words, self.encode_odd = tuple(special), encode_words, encode_odd
-        self.forget()
 
-    def forget(self) -> None:
-        self.chunk, self.word, self.chunk_rows, self.word_rows = Numbers(), Numbers(), Rows(), Rows()
+class CachedEncoder:
+    """encode_words: distinct words -> (lengths, ids); encode_odd: ids of a text beyond Latin-1 or with special tokens.
+
+    A full cache keeps the chunks met more than once, of those the most frequent, and half its size at most.
+    """
+
+    def __init__(self, special: Iterable[str], encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], encode_odd: Callable[[str], np.ndarray], size: int = CACHED):
+        self.special, self.encode_words, self.encode_odd, self.size = tuple(special), encode_words, encode_odd, size
+        self.chunk, self.chunk_rows, self.met = Numbers(), Rows(), np.zeros(1024, np.int64)
+        self.word, self.word_rows = Numbers(), Rows()
+
+    def _shrink(self) -> None:
+        met = self.met[: len(self.chunk)]
+        least = max(2, int(np.partition(met, -self.size // 2)[-self.size // 2]) + 1)
+        keep = np.flatnonzero(met >= least)
+        rows = Rows()
+        rows.append(*self.chunk_rows.gather(keep))
+        chunks = Numbers()
+        for c, ok in zip(self.chunk, (met >= least).tolist(), strict=True):
+            if ok:
+                chunks[c]
+        self.chunk, self.chunk_rows = chunks, rows
+        self.met = np.zeros(max(1024, len(keep)), np.int64)
+        self.met[: len(keep)] = met[keep]
+        self.word, self.word_rows = Numbers(), Rows()
 
     def _fill(self, chunks: list[str]) -> None:
         found = [LATIN_WORD.findall(c) for c in chunks]
@@ -164,8 +186,7 @@ class CachedEncoder:
         number = self.word.__getitem__
         numbers = np.array([number(w) for ws in found for w in ws], np.int64)
         if len(self.word) > before:
-            words = list(self.word)[before:] if before < len(self.word) // 2 else [w for w in dict.fromkeys(w for ws in found for w in ws) if self.word[w] >= before]
-            self.word_rows.append(*self.encode_words(words))
+            self.word_rows.append(*self.encode_words(_newest(self.word, before)))
         each = np.array([len(ws) for ws in found], np.int64)
         lengths, ids = self.word_rows.gather(numbers)
         ends = np.r_[0, np.cumsum(lengths)][np.r_[0, np.cumsum(each)]]
@@ -173,8 +194,8 @@ class CachedEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
-        if len(self.chunk) > CACHED:
-            self.forget()
+        if len(self.chunk) > self.size:
+            self._shrink()
         number, before = self.chunk.__getitem__, len(self.chunk)
         rows, numbers = [], []
         for i, t in enumerate(texts):
@@ -184,11 +205,14 @@ class CachedEncoder:
             else:
                 out[i] = self.encode_odd(t)
         if len(self.chunk) > before:
-            from itertools import islice
-
-            self._fill(list(islice(reversed(self.chunk), len(self.chunk) - before))[::-1])
+            self._fill(_newest(self.chunk, before))
         if rows:
-            lengths, ids = self.chunk_rows.gather(np.concatenate(numbers))
+            every = np.concatenate(numbers)
+            if len(self.chunk) > len(self.met):
+                self.met = np.concatenate([self.met, np.zeros(len(self.chunk), np.int64)])
+            met = np.bincount(every, minlength=0)
+            self.met[: len(met)] += met
+            lengths, ids = self.chunk_rows.gather(every)
             ends = np.r_[0, np.cumsum(lengths)][np.cumsum([0, *map(len, numbers)])]
             for i, a, b in zip(rows, ends, ends[1:], strict=False):
                 out[i] = ids[a:b]
