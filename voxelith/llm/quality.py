@@ -1 +1,322 @@
-"""Under construction."""
+"""Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
+
+The model is over character symbols (capitals and digits are a symbol each, the most frequent other
+characters one each), four at a time. Its counts come from a bounded sample of trusted documents and stay
+tables throughout: n-gram counts, continuation counts, context sums and discounts are aggregated and joined
+by context and by suffix in hash shards, order by order, which gives the interpolated probability of each
+n-gram seen and the back-off weight of each context.
+
+Documents meet those tables in one of two ways with the same result. If the tables have at most
+BROADCAST_GRAMS rows (the sample and the alphabet bound them) each worker holds them and lays them out as
+one array, so a text costs one look-up a character. Beyond that, n-gram counts of each document are joined
+with the shards and summed (perplexity_joined).
+
+A document is kept if its perplexity lies between two quantiles of its own language, taken over trusted
+documents that the model has not seen, widened by MARGIN.
+"""
+
+from __future__ import annotations
+
+from collections import Counter
+from collections.abc import Iterator
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import Scratch, small
+from .wordbpe import portions
+
+ORDER = 4
+BITS = 6
+SYMBOLS = 1 << BITS
+START, OTHER = 0, 1
+#: Bound on the trusted documents of the sample (about: drawn by a hash).
+TRUSTED_DOCS = 4_000
+BROADCAST_GRAMS = 4_000_000
+#: Quantiles of log perplexity, and the factors by which the bounds are widened.
+LOW, HIGH = 0.005, 0.995
+MARGIN = 0.06
+LEAST_DOCS = 30
+#: A mean over n characters is uncertain by about this, divided by the root of n; a document has the benefit of it.
+SPREAD = 3.0
+CAPITAL, DIGIT = "A", "0"
+
+
+def symbol_of(char: str) -> str:
+    return CAPITAL if char.isupper() else DIGIT if char.isdigit() else char
+
+
+class Alphabet:
+    def __init__(self, symbols: list[str]):
+        place = {s: i for i, s in enumerate(symbols[: SYMBOLS - 2], 2)}
+        self.table = np.array([place.get(symbol_of(chr(c)), OTHER) for c in range(0x3000)], np.uint8)
+
+    def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(symbols of all texts, ORDER - 1 starts before each; lengths without those)."""
+        pad = chr(0) * (ORDER - 1)
+        flat = np.frombuffer((pad + pad.join(texts)).encode("utf-32-le", "surrogatepass"), np.uint32)
+        out = np.full(len(flat), OTHER, np.uint8)
+        low = flat < len(self.table)
+        out[low] = self.table[flat[low]]
+        lengths = np.array([len(t) for t in texts], np.int64)
+        starts = np.cumsum(lengths + ORDER - 1) - lengths - (ORDER - 1)
+        for k in range(ORDER - 1):
+            out[starts + k] = START
+        return out, lengths
+
+    def grams(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(code of the ORDER symbols that end at each character, lengths)."""
+        sym, lengths = self.codes(texts)
+        code = np.zeros(max(0, len(sym) - ORDER + 1), np.int32)
+        for k in range(ORDER):
+            code <<= BITS
+            code |= sym[k : k + len(code)]
+        # those that begin in the one text and end in the next's starts are not counted
+        ends = np.repeat(np.arange(len(texts)) * (ORDER - 1), lengths) + np.arange(lengths.sum())
+        return code[ends], lengths
+
+
+def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: Counter = Counter()
+    for batch in batches:
+        for t in batch.column(0):
+            seen.update(t.as_py())
+    sums: Counter = Counter()
+    for c, n in seen.items():
+        sums[symbol_of(c)] += n
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.int64())], names=["symbol", "n"])
+
+
+def _gram_counts(symbols: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alphabet = Alphabet(symbols)
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for a, b in portions(texts):
+                code, n = np.unique(alphabet.grams(texts[a:b])[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"])
+
+    return run
+
+
+def kneser_ney(counts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """counts (code, n) of ORDER-grams -> (k, code, p) of all grams seen, (k, context, gamma) of all contexts seen.
+
+    The highest order uses counts; each lower one the number of different symbols seen before a gram. Discounts for
+    counts of 1, 2 and 3 or more come from the counts of counts of their order.
+    """
+    by_order = {ORDER: counts.select("code", "n")}
+    for k in range(ORDER - 1, 0, -1):
+        by_order[k] = by_order[k + 1].groupBy(F.col("code").bitwiseAND((1 << BITS * k) - 1).alias("code")).agg(F.count("*").alias("n"))
+    for k in by_order:
+        by_order[k] = scratch.store(by_order[k])
+    lower, grams, contexts = None, [], []
+    for k in range(1, ORDER + 1):
+        rows = by_order[k]
+        n1, n2, n3, n4 = rows.agg(*[F.sum((F.col("n") == i).cast("long")) for i in (1, 2, 3, 4)]).first()
+        y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+        d1, d2, d3 = (max(0.0, min(i, i - (i + 1) * y * (b / a))) if a and b else 0.5 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))
+        discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
+        context = F.shiftright("code", BITS)
+        sums = rows.groupBy(context.alias("context")).agg(F.sum("n").alias("total"), F.sum(discount).alias("held"))
+        joined = rows.withColumn("context", context).join(sums, "context")
+        own = (F.col("n") - discount) / F.col("total")
+        gamma = F.col("held") / F.col("total")
+        if lower is None:
+            p = joined.select("code", (own + gamma / SYMBOLS).alias("p"))
+        else:
+            suffix = F.col("code").bitwiseAND((1 << BITS * (k - 1)) - 1)
+            p = joined.withColumn("suffix", suffix).join(lower.toDF("suffix", "below"), "suffix").select("code", (own + gamma * F.col("below")).alias("p"))
+        lower = scratch.store(p)
+        grams.append(lower.select(F.lit(k).alias("k"), "code", "p"))
+        contexts.append(sums.select(F.lit(k).alias("k"), "context", gamma.alias("gamma")))
+    union = lambda frames: frames[0] if len(frames) == 1 else union([frames[0].union(frames[1]), *frames[2:]])
+    return scratch.store(union(grams)), scratch.store(union(contexts))
+
+
+class Model:
+    """symbols of the alphabet; the tables as arrays (k, code, p) and (k, context, gamma)."""
+
+    def __init__(self, symbols: list[str], grams: tuple, contexts: tuple):
+        self.symbols, self.grams, self.contexts = symbols, grams, contexts
+
+    def dense(self) -> np.ndarray:
+        """Natural log of the probability of each ORDER-gram's last symbol, seen or not."""
+        p = np.full(1, 1 / SYMBOLS, np.float32)
+        for k in range(1, ORDER + 1):
+            gamma = np.ones(SYMBOLS ** (k - 1), np.float32)
+            at = self.contexts[0] == k
+            gamma[self.contexts[1][at]] = self.contexts[2][at]
+            # contexts without their first symbol repeat the lower order
+            below = p if k == 1 else np.tile(p, (SYMBOLS if k > 1 else 1, 1)).reshape(SYMBOLS ** (k - 1), -1) if k > 2 else np.broadcast_to(p, (SYMBOLS, SYMBOLS))
+            now = np.multiply(below, gamma[:, None]) if k > 1 else np.full((1, SYMBOLS), gamma[0] / SYMBOLS, np.float32)
+            now = np.ascontiguousarray(now, np.float32).reshape(-1)
+            at = self.grams[0] == k
+            now[self.grams[1][at]] = self.grams[2][at]
+            p = now.reshape(-1, SYMBOLS) if k > 1 else now
+        return np.log(p.reshape(-1))
+
+
+@lru_cache(2)
+def _laid_out(broadcast_id: int, holder: _Holder) -> tuple[Alphabet, np.ndarray]:
+    model = holder.value.value
+    return Alphabet(model.symbols), model.dense()
+
+
+class _Holder:
+    """A broadcast that lru_cache can take: of equal number, equal."""
+
+    def __init__(self, value, number: int):
+        self.value, self.number = value, number
+
+    def __hash__(self) -> int:
+        return self.number
+
+    def __eq__(self, other) -> bool:
+        return self.number == other.number
+
+
+_SCORED = "log_perplexity double, n_symbols long"
+
+
+def scored(df: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """df without its text, with log_perplexity (null without characters) and n_symbols."""
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    number = hash(shared) & 0x7FFFFFFF
+    others = [c for c in df.columns if c != text_col]
+    frame = df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_col), *others)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alphabet, log_p = _laid_out(number, _Holder(shared, number))
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for a, b in portions(texts):
+                code, lengths = alphabet.grams(texts[a:b])
+                ends = np.r_[0, np.cumsum(log_p[code], dtype=np.float64)][np.r_[0, np.cumsum(lengths)]]
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    score = -np.diff(ends) / lengths
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(1, part.num_columns)), pa.array(score, mask=lengths == 0), pa.array(lengths)], names=[*others, "log_perplexity", "n_symbols"])
+
+    schema = T.StructType([f for f in frame.schema if f.name in others] + [T.StructField("log_perplexity", T.DoubleType()), T.StructField("n_symbols", T.LongType())])
+    return frame.mapInArrow(run, schema)
+
+
+def perplexity_joined(df: DataFrame, symbols: list[str], grams: DataFrame, contexts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, log_perplexity, n_symbols) by joins of each document's n-gram counts with the sharded tables, for tables too large to hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alphabet = Alphabet(symbols)
+        for batch in batches:
+            for i, t in zip(batch.column(0), batch.column(1), strict=True):
+                code, n = np.unique(alphabet.grams([t.as_py()])[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * len(code), pa.int64()), pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["id", "code", "n"])
+
+    own = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    counted = own.mapInArrow(run, "id long, code long, n long")
+    # the longest suffix that was seen gives p; every context passed over on the way gives its weight
+    rows = counted.withColumns({"p": F.lit(None).cast("double"), "weight": F.lit(1.0)})
+    for k in range(ORDER, 0, -1):
+        mine = grams.where(F.col("k") == k).select(F.col("code").alias("c"), F.col("p").alias("found"))
+        gamma = contexts.where(F.col("k") == k).select(F.col("context").alias("x"), "gamma")
+        code = F.col("code").bitwiseAND((1 << BITS * k) - 1)
+        rows = rows.withColumn("c", code).withColumn("x", F.shiftright(code, BITS)).join(mine, "c", "left").join(gamma, "x", "left")
+        rows = rows.select(
+            "id", "code", "n",
+            F.coalesce("p", F.col("weight") * F.col("found")).alias("p"),
+            F.when(F.col("p").isNull() & F.col("found").isNull(), F.col("weight") * F.coalesce("gamma", F.lit(1.0))).otherwise(F.col("weight")).alias("weight"),
+        )
+    p = F.coalesce("p", F.col("weight") / SYMBOLS)
+    return rows.groupBy(F.col("id").alias(id_col)).agg((-F.sum(F.log(p) * F.col("n")) / F.sum("n")).alias("log_perplexity"), F.sum("n").alias("n_symbols"))
+
+
+def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", trusted_docs: int = TRUSTED_DOCS) -> tuple[Model | None, DataFrame | None, tuple[DataFrame, DataFrame] | None]:
+    """(model, calibration documents (lang, text), its tables) from documents labelled of quality 1 and not toxic.
+
+    Half of the sample is counted, the other half is for calibration; labels that repeat an identifier with another
+    verdict count as not trusted. (None, None, None) without trusted documents.
+    """
+    verdict = labels.groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.min(F.coalesce((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), F.lit(False))).alias("ok"))
+    trusted = scratch.store(verdict.where("ok AND _id IS NOT NULL").select("_id"))
+    count = trusted.count()
+    if not count:
+        return None, None, None
+    draw = F.pmod(F.xxhash64(F.lit("quality"), "_id"), F.lit(1 << 20))
+    picked = trusted.withColumn("_draw", draw).where(F.col("_draw") < int(min(1.0, trusted_docs / count) * (1 << 20)))
+    own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("text <> ''")
+    sample = scratch.store(own.join(small(picked, min(count, 2 * trusted_docs)), "_id").select("lang", "text", (F.col("_draw") % 2 == 0).alias("fit")))
+    fit = sample.where("fit").select("text")
+    top = fit.mapInArrow(_char_counts, "symbol string, n long").groupBy("symbol").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "symbol").limit(SYMBOLS - 2).collect()
+    symbols = [r["symbol"] for r in top]
+    if not symbols:
+        return None, None, None
+    counts = fit.mapInArrow(_gram_counts(symbols), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    grams, contexts = kneser_ney(counts, scratch)
+    if grams.count() > BROADCAST_GRAMS:
+        return Model(symbols, (), ()), sample.where("NOT fit"), (grams, contexts)
+    arrays = [tuple(c.to_numpy() for c in t.toArrow().columns) for t in (grams, contexts)]
+    return Model(symbols, *arrays), sample.where("NOT fit"), (grams, contexts)
+
+
+def _bounded() -> tuple[Column, Column]:
+    """What is compared with the lower and the upper bound."""
+    spread = SPREAD / F.sqrt("n_symbols")
+    return F.col("log_perplexity") + spread, F.col("log_perplexity") - spread
+
+
+def thresholds(calibration: DataFrame, low: float = LOW, high: float = HIGH, margin: float = MARGIN) -> DataFrame:
+    """(lang, low, high) from scored trusted documents; the row of a null language holds for those with fewer than LEAST_DOCS."""
+    least, most = _bounded()
+    bounds = (F.count("log_perplexity").alias("k"), (F.percentile(least, F.lit(low)) * (1 - margin)).alias("low"), (F.percentile(most, F.lit(high)) * (1 + margin)).alias("high"))
+    own = calibration.where("lang IS NOT NULL").groupBy("lang").agg(*bounds).where(F.col("k") >= LEAST_DOCS)
+    return own.union(calibration.agg(F.lit(None).cast("string").alias("lang"), *bounds)).select("lang", "low", "high")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, carried: list[str], id_col: str, text_col: str, lang_col: str, scratch: Scratch) -> DataFrame:
+    """docs' carried columns with log_perplexity, n_symbols, low, high and kept."""
+    model, calibration, tables = train(docs, labels, scratch, id_col, text_col, lang_col)
+    names = [f"c{i}" for i in range(len(carried))]
+    frame = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carried, names, strict=True)], F.col(f"`{lang_col}`").cast("string").alias("_lang"), F.col(f"`{text_col}`").alias("_text"), F.col(f"`{id_col}`").cast("long").alias("_id"))
+    if model is None:
+        out = frame.withColumns({"log_perplexity": F.lit(None).cast("double"), "n_symbols": F.length(F.coalesce("_text", F.lit(""))).cast("long"), "low": F.lit(None).cast("double"), "high": F.lit(None).cast("double")})
+        return out.withColumn("kept", F.col("n_symbols") > 0).select(*[F.col(n).alias(c) for c, n in zip(carried, names, strict=True)], "log_perplexity", "n_symbols", "low", "high", "kept")
+    if len(model.grams):
+        values, judged = scored(calibration.select("lang", "text"), model, "text"), scored(frame.select(*names, "_lang", "_text"), model, "_text")
+    else:
+        rows = scratch.store(calibration.withColumn("_id", F.monotonically_increasing_id()))
+        values = rows.join(perplexity_joined(rows, model.symbols, *tables, "_id", "text"), "_id").select("lang", "log_perplexity", "n_symbols")
+        judged = frame.join(perplexity_joined(frame, model.symbols, *tables, "_id", "_text"), "_id", "left")
+    bounds = scratch.store(thresholds(values))
+    rows = bounds.collect()  # one for each language with calibration documents, so bounded by the sample
+    every = next(r for r in rows if r["lang"] is None)
+    side = judged.sparkSession.createDataFrame([(r["lang"], r["low"], r["high"]) for r in rows if r["lang"] is not None] or [("", None, None)], "_of string, low double, high double")
+    joined = judged.join(F.broadcast(side), F.col("_lang") == F.col("_of"), "left")
+    low, high = F.coalesce("low", F.lit(every["low"])), F.coalesce("high", F.lit(every["high"]))
+    least, most = _bounded()
+    kept = F.coalesce((least >= low) & (most <= high), F.col("log_perplexity").isNotNull())
+    return joined.select(*[F.col(n).alias(c) for c, n in zip(carried, names, strict=True)], "log_perplexity", F.coalesce("n_symbols", F.lit(0)).alias("n_symbols"), low.alias("low"), high.alias("high"), kept.alias("kept"))
+
+
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", scratch: Scratch | None = None) -> DataFrame:
+    """One row per row of docs: id, lang, log_perplexity, n_symbols, low, high, kept.
+
+    A null or empty text has no perplexity and is rejected. A null language, or one with few trusted documents, is judged
+    by the quantiles over all languages. Without trusted documents nothing but empty texts is rejected. Repeated rows
+    are judged alike; an empty table gives an empty result.
+    """
+    return _judged(docs, labels, [id_col, lang_col], id_col, text_col, lang_col, scratch or Scratch(docs.sparkSession, "quality"))
+
+
+def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", scratch: Scratch | None = None) -> DataFrame:
+    """The rows of docs that classify() keeps, with all their columns."""
+    scratch = scratch or Scratch(docs.sparkSession, "quality")
+    names = [f"x{i}" for i in range(len(docs.columns))]
+    own = dict(zip(docs.columns, names, strict=True))
+    flat = docs.toDF(*names)
+    renamed = labels.select(F.col(id_col).alias(own[id_col]), "quality", "toxic")
+    return _judged(flat, renamed, names, own[id_col], own[text_col], own[lang_col], scratch).where("kept").select(*names).toDF(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, exact_dedup, langid, media, minhash, mixing, secrets, token_counts, token_output
+from . import bpe_codec, exact_dedup, langid, media, minhash, mixing, quality, secrets, token_counts, token_output
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allocation(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_mixing": op2_mixing,
+    "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
     "op5_token_counts": op5_token_counts,
     "op6_minhash": op6_minhash,
