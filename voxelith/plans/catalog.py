@@ -1,10 +1,847 @@
-"""Named queries of the volume engine, and their SQL."""
+"""Named queries of the volume engine, and the SQL that computes the same.
+
+Each query applies the operators to volumes, graphs and points derived from the driver's tables (fixtures).
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from voxelith.functions import grid
+from voxelith.operators import bodies, graph, overlap, segmentation, volume
+from voxelith.sources import fixtures as fx
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+
+SHAPE = (24, 24, 24)
+BLOCK = 8
+SV = 12
+THRESHOLD = 100
+G8, G12 = grid.cube(BLOCK), grid.cube(SV)
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query, and its SQL; the columns called by and both are keywords there."""
+
+    def put(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql is not None:
+            SQL[name] = re.sub(r"\b(by|both)\b", r'"\1"', sql)
+        return f
+
+    return put
+
+
+def by_sv(df: DataFrame) -> DataFrame:
+    """With sv, the number of the 12-voxel cell in z, y, x order."""
+    c = [grid.cell(a, SV) for a in grid.AXES]
+    return df.withColumn("sv", c[0] * 4 + c[1] * 2 + c[2])
+
+
+SQL_SV = "CAST(floor(z / 12.0) * 4 + floor(y / 12.0) * 2 + floor(x / 12.0) AS BIGINT)"
+OVERLAP = "over_ AS (SELECT gt, seg, count(*) AS n FROM voxels WHERE gt <> 0 GROUP BY 1, 2)"
+OVERLAP_SV = f"over_ AS (SELECT {SQL_SV} AS sv, gt, seg, count(*) AS n FROM voxels WHERE gt <> 0 GROUP BY 1, 2, 3)"
+B8 = ", ".join(f"CAST(floor({a} / 8.0) AS BIGINT) AS b{a}" for a in "zyx")
+
+
+# -- overlap and segmentation quality
+
+
+@query("contingency_table", fx.with_("voxels") + "SELECT gt, seg, count(*) AS n FROM voxels GROUP BY 1, 2")
+def _(s, d):
+    return overlap.contingency(fx.voxels(s, d))
+
+
+@query("overlap_by_subvolume", fx.with_("voxels", more=OVERLAP_SV) + "SELECT sv, gt, seg, n FROM over_")
+def _(s, d):
+    return overlap.overlap(by_sv(fx.voxels(s, d)), ("sv",))
+
+
+@query("overlap_remapped", fx.with_("voxels", "mapping", more=OVERLAP) + "SELECT gt, coalesce(body, seg) AS seg, CAST(sum(n) AS BIGINT) AS n FROM over_ LEFT JOIN mapping ON label = seg GROUP BY 1, 2")
+def _(s, d):
+    return overlap.remapped(overlap.overlap(fx.voxels(s, d)), fx.mapping(s, d))
+
+
+def vi_sql(keys: str = "", threshold: int = THRESHOLD) -> str:
+    part = f"PARTITION BY {keys}, " if keys else "PARTITION BY "
+    head, tail = (f"{keys}, ", f"GROUP BY {keys}") if keys else ("", "")
+    return f"""sized AS (SELECT *, sum(n) OVER ({part}gt) AS t FROM over_),
+kept AS (SELECT *, sum(n) OVER ({part}seg) AS s FROM sized WHERE t >= {threshold}),
+sums AS (SELECT {head}coalesce(round(sum(n * log2(s / n)) / sum(n), 4), 0) AS fm_vi, coalesce(round(sum(n * log2(t / n)) / sum(n), 4), 0) AS fs_vi FROM kept {tail}),
+vis AS (SELECT {head}fm_vi, fs_vi, round(fm_vi + fs_vi, 4) AS vi FROM sums)"""
+
+
+def rand_sql(keys: str = "", threshold: int = THRESHOLD) -> str:
+    head, tail, using = (f"{keys}, ", f"GROUP BY {keys}", f"{keys}, ") if keys else ("", "", "")
+    join = f"USING ({keys})" if keys else "ON true"
+    part = f"PARTITION BY {using}gt"
+    return f"""rsized AS (SELECT *, sum(n) OVER ({part}) AS t FROM over_),
+rkept AS (SELECT * FROM rsized WHERE t >= {threshold}),
+rseg AS (SELECT {head}sum(c * (c - 1) / 2) AS p FROM (SELECT {head}seg, sum(n) AS c FROM rkept GROUP BY {head}seg) {tail}),
+rgt AS (SELECT {head}sum(c * (c - 1) / 2) AS p FROM (SELECT {head}gt, sum(n) AS c FROM rkept GROUP BY {head}gt) {tail}),
+rboth AS (SELECT {head}sum(n * (n - 1) / 2) AS p FROM rkept {tail}),
+rates AS (SELECT {head}CASE WHEN rseg.p > 0 THEN round(rboth.p / rseg.p, 4) ELSE 1.0 END AS merge, CASE WHEN rgt.p > 0 THEN round(rboth.p / rgt.p, 4) ELSE 1.0 END AS split
+  FROM rboth JOIN rseg {join} JOIN rgt {join}),
+rands AS (SELECT {head}CAST(merge AS DOUBLE) AS merge, CAST(split AS DOUBLE) AS split, CAST(CASE WHEN merge + split > 0 THEN round(2 * merge * split / (merge + split), 4) ELSE 1.0 END AS DOUBLE) AS rand FROM rates)"""
+
+
+@query("vi_total", fx.with_("voxels", more=f"{OVERLAP},\n{vi_sql()}") + "SELECT fm_vi, fs_vi, vi FROM vis")
+def _(s, d):
+    return overlap.vi(overlap.overlap(fx.voxels(s, d)), THRESHOLD)
+
+
+@query("vi_sparse", fx.with_("voxels", more=f"""{OVERLAP},
+sized AS (SELECT *, sum(n) OVER (PARTITION BY gt) AS t FROM over_),
+kept AS (SELECT *, sum(n) OVER (PARTITION BY seg) AS s FROM sized WHERE t >= {THRESHOLD}),
+sums AS (SELECT round(sum(n * log2(s / n)) / sum(n), 4) AS fm_vi, round(sum(n * log2(t / n)) / sum(n), 4) AS fs_vi FROM kept WHERE gt IN (2, 3, 5))""") + "SELECT fm_vi, fs_vi, round(fm_vi + fs_vi, 4) AS vi FROM sums")
+def _(s, d):
+    return overlap.vi_sparse(overlap.overlap(fx.voxels(s, d)), s.createDataFrame([(2,), (3,), (5,)], "gt long"), THRESHOLD)
+
+
+@query("vi_by_subvolume", fx.with_("voxels", more=f"{OVERLAP_SV},\n{vi_sql('sv', 0)}") + "SELECT sv, fm_vi, fs_vi, vi FROM vis")
+def _(s, d):
+    return overlap.vi(overlap.overlap(by_sv(fx.voxels(s, d)), ("sv",)), 0, ("sv",))
+
+
+@query("vi_subvolume_summary", fx.with_("voxels", more=f"{OVERLAP_SV},\n{vi_sql('sv', 0)}") + "SELECT min(vi) AS best, arg_min(sv, vi * 100000 + sv / 100.0) AS best_sv, max(vi) AS worst, arg_min(sv, -vi * 100000 + sv / 100.0) AS worst_sv, round(avg(vi), 4) AS average FROM vis")
+def _(s, d):
+    return overlap.over_subvolumes(overlap.vi(overlap.overlap(by_sv(fx.voxels(s, d)), ("sv",)), 0, ("sv",)), "vi")
+
+
+VI_BODIES = fx.with_("voxels", more=f"""{OVERLAP},
+sized AS (SELECT *, sum(n) OVER (PARTITION BY gt) AS t FROM over_),
+kept AS (SELECT *, sum(n) OVER (PARTITION BY seg) AS s FROM sized WHERE t >= {THRESHOLD}),
+parts AS (
+  SELECT 'gt' AS side, gt AS body, sum(n * log2(t / n)) AS raw, sum(n) AS size FROM kept GROUP BY gt
+  UNION ALL SELECT 'seg', seg, sum(n * log2(s / n)), sum(n) FROM kept GROUP BY seg),
+shares AS (SELECT side, body, round(raw / (SELECT sum(n) FROM kept), 4) AS bits, CAST(size AS BIGINT) AS size FROM parts)""")
+
+
+@query("vi_body_topk", VI_BODIES + "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY side ORDER BY bits DESC, body DESC) AS rank FROM shares) WHERE rank <= 5")
+def _(s, d):
+    return overlap.top(overlap.vi_bodies(overlap.overlap(fx.voxels(s, d)), THRESHOLD), "bits", 5, ("side",))
+
+
+@query("rand_index", fx.with_("voxels", more=f"{OVERLAP},\n{rand_sql()}") + "SELECT merge, split, rand FROM rands")
+def _(s, d):
+    return overlap.rand(overlap.overlap(fx.voxels(s, d)), THRESHOLD)
+
+
+@query("rand_by_subvolume", fx.with_("voxels", more=f"{OVERLAP_SV},\n{rand_sql('sv', 0)}") + "SELECT sv, merge, split, rand FROM rands")
+def _(s, d):
+    return overlap.rand(overlap.overlap(by_sv(fx.voxels(s, d)), ("sv",)), 0, ("sv",))
+
+
+@query("rand_subvolume_summary", fx.with_("voxels", more=f"{OVERLAP_SV},\n{rand_sql('sv', 0)}") + "SELECT max(rand) AS best, arg_min(sv, -rand * 100000 + sv / 100.0) AS best_sv, min(rand) AS worst, arg_min(sv, rand * 100000 + sv / 100.0) AS worst_sv, round(avg(rand), 4) AS average FROM rands")
+def _(s, d):
+    return overlap.over_subvolumes(overlap.rand(overlap.overlap(by_sv(fx.voxels(s, d)), ("sv",)), 0, ("sv",)), "rand", True)
+
+
+@query("vi_rand_summary", fx.with_("voxels", more=f"{OVERLAP},\n{vi_sql()},\n{rand_sql()}") + """
+SELECT 'FM-VI' AS name, fm_vi AS val FROM vis UNION ALL SELECT 'FS-VI', fs_vi FROM vis UNION ALL SELECT 'VI', vi FROM vis
+UNION ALL SELECT 'FM-RD', merge FROM rands UNION ALL SELECT 'FS-RD', split FROM rands UNION ALL SELECT 'RAND', rand FROM rands""")
+def _(s, d):
+    over = overlap.overlap(fx.voxels(s, d))
+    rows = lambda df, names: df.selectExpr(f"stack({len(names)}, {', '.join(f'{chr(39)}{n}{chr(39)}, {c}' for n, c in names.items())}) AS (name, val)")
+    return rows(overlap.vi(over, THRESHOLD), {"FM-VI": "fm_vi", "FS-VI": "fs_vi", "VI": "vi"}).union(rows(overlap.rand(over, THRESHOLD), {"FM-RD": "merge", "FS-RD": "split", "RAND": "rand"}))
+
+
+@query("body_histogram", fx.with_("voxels", more=f"""{OVERLAP},
+total AS (SELECT sum(n) AS total FROM over_),
+g AS (SELECT row_number() OVER w AS rank, sum(size) OVER w AS run FROM (SELECT gt AS body, sum(n) AS size FROM over_ GROUP BY 1) WINDOW w AS (ORDER BY size DESC, body DESC ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT row_number() OVER w AS rank, sum(size) OVER w AS run FROM (SELECT seg AS body, sum(n) AS size FROM over_ GROUP BY 1) WINDOW w AS (ORDER BY size DESC, body DESC ROWS UNBOUNDED PRECEDING)),
+p AS (SELECT unnest([50, 75, 90]) AS percent),
+r AS (SELECT percent, coalesce((SELECT min(rank) FROM g WHERE run * 100 >= total * percent), (SELECT count(*) FROM g)) AS gt_bodies, coalesce((SELECT min(rank) FROM s WHERE run * 100 >= total * percent), (SELECT count(*) FROM s)) AS seg_bodies FROM p, total)""") + "SELECT percent, gt_bodies, seg_bodies, abs(gt_bodies - seg_bodies) AS diff FROM r")
+def _(s, d):
+    return overlap.bodies_to_reach(overlap.overlap(fx.voxels(s, d)))
+
+
+@query("best_test_body", fx.with_("voxels", more=f"""{OVERLAP},
+sized AS (SELECT *, CAST(sum(n) OVER (PARTITION BY gt) AS BIGINT) AS gt_size, CAST(sum(n) OVER (PARTITION BY seg) AS BIGINT) AS seg_size FROM over_),
+best AS (SELECT *, row_number() OVER (PARTITION BY gt ORDER BY n DESC, seg) AS r FROM sized WHERE gt_size >= {THRESHOLD})""") + "SELECT gt, seg, n AS overlap, gt_size, seg_size FROM best WHERE r = 1 AND n > floor(seg_size / 2.0)")
+def _(s, d):
+    return overlap.best_match(overlap.overlap(fx.voxels(s, d)), THRESHOLD)
+
+
+@query("num_bodies", fx.with_("voxels", more=OVERLAP_SV) + "SELECT sv, count(DISTINCT gt) AS gt_bodies, count(DISTINCT seg) AS seg_bodies, CAST(sum(n) AS BIGINT) AS size FROM over_ GROUP BY sv")
+def _(s, d):
+    return overlap.body_counts(overlap.overlap(by_sv(fx.voxels(s, d)), ("sv",)))
+
+
+@query("overlap_top10", fx.with_("voxels", more=f"""{OVERLAP},
+run AS (SELECT body, coalesce(sum(size) OVER (ORDER BY size DESC, body DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT gt AS body, sum(n) AS size FROM over_ GROUP BY 1)),
+chosen AS (SELECT body FROM run WHERE before * 100 < (SELECT sum(n) FROM over_) * 90),
+ranked AS (SELECT gt, row_number() OVER (PARTITION BY gt ORDER BY n DESC, seg DESC) AS rank, seg, n FROM over_ WHERE gt IN (SELECT body FROM chosen))""") + "SELECT * FROM ranked WHERE rank <= 10")
+def _(s, d):
+    return overlap.top_overlaps(overlap.overlap(fx.voxels(s, d)))
+
+
+@query("orphans", fx.with_("voxels", more="sized AS (SELECT seg AS body, count(*) AS size, max(CAST(z = 0 OR z = 23 OR y = 0 OR y = 23 OR x = 0 OR x = 23 AS INT)) AS edge FROM voxels WHERE seg <> 0 AND z BETWEEN 2 AND 20 AND y BETWEEN 2 AND 20 AND x BETWEEN 2 AND 20 GROUP BY 1)") + "SELECT body, size FROM sized WHERE size < 900 AND edge = 0")
+def _(s, d):
+    return overlap.orphans(volume.clip(fx.voxels(s, d), ((2, 2, 2), (21, 21, 21))), "seg", 900, SHAPE)
+
+
+EDIT = fx.with_("voxels", more=f"""{OVERLAP},
+owned AS (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY n DESC, gt) = 1 AS owned FROM over_),
+placed AS (SELECT *, row_number() OVER (PARTITION BY gt, owned ORDER BY n DESC, seg) AS place FROM owned)""")
+
+
+@query("edit_candidates", EDIT + "SELECT CASE WHEN owned THEN 'merge' ELSE 'split' END AS kind, gt, seg, n FROM placed WHERE NOT owned OR place > 1")
+def _(s, d):
+    return overlap.edit_operations(overlap.overlap(fx.voxels(s, d)))
+
+
+@query("edit_distance")
+def _(s, d):
+    over = overlap.overlap(fx.voxels(s, d))
+    return graph.edit_distance(overlap.edit_operations(over), over.agg(F.sum("n")).first()[0] or 0)
+
+
+@query("hungarian_match")
+def _(s, d):
+    return graph.match_bodies(overlap.overlap(fx.voxels(s, d)))
+
+
+# -- points and connectivity
+
+
+def labelled_points(s, d) -> DataFrame:
+    v = fx.voxels(s, d)
+    p = fx.points(s, d).join(v, ["z", "y", "x"], "left")
+    return p.select("point_id", F.coalesce("gt", F.lit(0)).alias("gt"), F.coalesce("seg", F.lit(0)).alias("seg"))
+
+
+LABELLED = """labelled AS (SELECT point_id, coalesce(gt, 0) AS gt, coalesce(seg, 0) AS seg FROM points LEFT JOIN voxels USING (z, y, x)),
+conns AS (SELECT pre, post, a.gt AS pre_gt, a.seg AS pre_seg, b.gt AS post_gt, b.seg AS post_seg FROM synapses JOIN labelled a ON a.point_id = pre JOIN labelled b ON b.point_id = post)"""
+PARTNER = """best AS (SELECT gt, seg, n, row_number() OVER (PARTITION BY gt ORDER BY n DESC, seg) AS r FROM over_ WHERE seg <> 0),
+matches AS (SELECT gt, seg FROM best WHERE r = 1),
+conn AS (SELECT pre_gt, post_gt, count(*) AS n, CAST(sum(CAST(pre_seg = a.seg AND post_seg = b.seg AS BIGINT)) AS BIGINT) AS matched
+  FROM conns JOIN matches a ON a.gt = pre_gt JOIN matches b ON b.gt = post_gt GROUP BY 1, 2)"""
+
+
+def partners(s, d) -> DataFrame:
+    """Each ground-truth body's largest partner, in place of the one-to-one match, so that SQL can say it."""
+    over = overlap.overlap(fx.voxels(s, d)).where("seg <> 0")
+    return overlap.top(over.withColumn("minus", -F.col("seg")), "n", 1, ("gt",), "minus").select("gt", "seg")
+
+
+@query("sample_points", fx.with_("voxels", "points") + "SELECT point_id, z, y, x, coalesce(seg, 0) AS label FROM points LEFT JOIN voxels USING (z, y, x)")
+def _(s, d):
+    return volume.labels_at(fx.points(s, d), fx.voxels(s, d), "seg").select("point_id", "z", "y", "x", "label")
+
+
+@query("overlap_points", fx.with_("voxels", "points", "synapses", more=LABELLED) + "SELECT gt, seg, count(*) AS n FROM labelled WHERE gt <> 0 GROUP BY 1, 2")
+def _(s, d):
+    return overlap.overlap(labelled_points(s, d))
+
+
+@query("points_in_boxes", fx.with_("points") + f"SELECT {SQL_SV} AS sv, count(*) AS n FROM points GROUP BY 1")
+def _(s, d):
+    return by_sv(fx.points(s, d)).groupBy("sv").agg(F.count("*").alias("n"))
+
+
+@query("connectivity_pairs", fx.with_("voxels", "points", "synapses", more=f"{OVERLAP},\n{LABELLED},\n{PARTNER}") + "SELECT pre_gt, post_gt, n, matched FROM conn")
+def _(s, d):
+    conns = graph.connections(fx.synapses(s, d), labelled_points(s, d))
+    return graph.connectivity(conns, partners(s, d))
+
+
+@query("connectivity_summary", fx.with_("voxels", "points", "synapses", more=f"""{OVERLAP},
+{LABELLED},
+{PARTNER},
+seg_conn AS (SELECT pre_seg, post_seg, count(*) AS n FROM conns WHERE pre_seg <> 0 AND post_seg <> 0 GROUP BY 1, 2),
+t AS (SELECT unnest([1, 5, 10]) AS threshold),
+c AS (SELECT threshold, (SELECT count(*) FROM conn WHERE n >= threshold) AS g, (SELECT count(*) FROM conn WHERE n >= threshold AND matched >= threshold) AS b, (SELECT count(*) FROM seg_conn WHERE n >= threshold) AS s FROM t)""") + "SELECT threshold, CASE WHEN g > 0 THEN round(b / g, 4) ELSE 0.0 END AS recall, CASE WHEN s > 0 THEN round(b / s, 4) ELSE 0.0 END AS precision FROM c")
+def _(s, d):
+    conns = graph.connections(fx.synapses(s, d), labelled_points(s, d))
+    return graph.connectivity_summary(graph.connectivity(conns, partners(s, d)), conns)
+
+
+@query("autapses", fx.with_("voxels", "points", "synapses", more=LABELLED) + "SELECT CAST(sum(CAST(pre_gt = post_gt AND pre_gt <> 0 AS BIGINT)) AS BIGINT) AS gt, CAST(sum(CAST(pre_seg = post_seg AND pre_seg <> 0 AS BIGINT)) AS BIGINT) AS seg, CAST(sum(CAST(pre_seg = post_seg AND pre_seg <> 0 AS BIGINT)) - sum(CAST(pre_gt = post_gt AND pre_gt <> 0 AS BIGINT)) AS BIGINT) AS diff FROM conns")
+def _(s, d):
+    return graph.autapses(graph.connections(fx.synapses(s, d), labelled_points(s, d)))
+
+
+# -- grid algebra
+
+
+@query("realign_grid", fx.with_("voxels") + f"SELECT {B8}, count(*) AS n, CAST(sum(seg) AS BIGINT) AS total FROM voxels GROUP BY 1, 2, 3")
+def _(s, d):
+    return volume.retile(fx.voxels(s, d), G8).groupBy("bz", "by", "bx").agg(F.count("*").alias("n"), F.sum("seg").alias("total"))
+
+
+@query("realign_halo", fx.with_("voxels", more=f"""own AS (SELECT DISTINCT {B8} FROM voxels),
+c AS (SELECT DISTINCT z, y, x, bz, by, bx FROM (
+  SELECT z, y, x, CAST(floor((z + i) / 8.0) AS BIGINT) AS bz, CAST(floor((y + j) / 8.0) AS BIGINT) AS by, CAST(floor((x + k) / 8.0) AS BIGINT) AS bx
+  FROM voxels, (VALUES (-2), (0), (2)) a(i), (VALUES (-2), (0), (2)) b(j), (VALUES (-2), (0), (2)) c(k)))""") + "SELECT bz, by, bx, count(*) AS n, CAST(sum(CAST(NOT (bz = floor(z / 8.0) AND by = floor(y / 8.0) AND bx = floor(x / 8.0)) AS BIGINT)) AS BIGINT) AS halo FROM c JOIN own USING (bz, by, bx) GROUP BY 1, 2, 3")
+def _(s, d):
+    return volume.retile_with_halo(fx.voxels(s, d), G8, 2).groupBy("bz", "by", "bx").agg(F.count("*").alias("n"), F.sum(F.col("in_halo").cast("long")).alias("halo"))
+
+
+@query("clip_to_logical", fx.with_("voxels") + f"SELECT z, y, x, gt, seg, {B8} FROM voxels")
+def _(s, d):
+    return volume.without_halo(volume.retile_with_halo(fx.voxels(s, d), G8, 1))
+
+
+@query("fill_missing", fx.with_("voxels", "dense") + "SELECT z, y, x, coalesce(seg, label) AS label FROM dense FULL JOIN voxels USING (z, y, x)")
+def _(s, d):
+    v = fx.voxels(s, d).select("z", "y", "x", F.col("seg").alias("label"))
+    return volume.fill_missing(v, fx.dense(s), "label").select("z", "y", "x", "label")
+
+
+@query("mask_fill", fx.with_("voxels", "dense") + "SELECT z, y, x, CASE WHEN seg = 0 THEN coalesce(label, seg) ELSE seg END AS label FROM voxels LEFT JOIN dense USING (z, y, x)")
+def _(s, d):
+    v = fx.voxels(s, d).select("z", "y", "x", F.col("seg").alias("label"))
+    return volume.mask_fill(v, fx.dense(s), "label").select("z", "y", "x", "label")
+
+
+@query("relabel", fx.with_("voxels", "mapping") + "SELECT coalesce(body, seg) AS seg, count(*) AS n FROM voxels LEFT JOIN mapping ON label = seg GROUP BY 1")
+def _(s, d):
+    return volume.histogram(volume.relabel(fx.voxels(s, d), fx.mapping(s, d), "seg"), "seg")
+
+
+@query("labelmapped_overlap", fx.with_("voxels", "mapping") + "SELECT coalesce(a.body, gt) AS gt, coalesce(b.body, seg) AS seg, count(*) AS n FROM voxels LEFT JOIN mapping a ON a.label = gt LEFT JOIN mapping b ON b.label = seg GROUP BY 1, 2")
+def _(s, d):
+    m = fx.mapping(s, d)
+    return overlap.contingency(volume.relabel(volume.relabel(fx.voxels(s, d), m, "gt"), m, "seg"))
+
+
+@query("translate", fx.with_("voxels") + "SELECT z - 30 AS z, y + 5 AS y, x + 100 AS x, seg FROM voxels")
+def _(s, d):
+    return volume.translate(fx.voxels(s, d), (-30, 5, 100)).select("z", "y", "x", "seg")
+
+
+@query("negative_cells", fx.with_("voxels") + "SELECT CAST(floor((z - 30) / 8.0) AS BIGINT) AS bz, count(*) AS n FROM voxels GROUP BY 1")
+def _(s, d):
+    return volume.translate(fx.voxels(s, d), (-30, 0, 0)).groupBy(grid.cell("z", 8).alias("bz")).agg(F.count("*").alias("n"))
+
+
+@query("transpose", fx.with_("voxels") + "SELECT 23 - x AS z, y, z AS x, seg FROM voxels")
+def _(s, d):
+    return volume.transpose(fx.voxels(s, d), "Xyz", SHAPE).select("z", "y", "x", "seg")
+
+
+@query("clip_box", fx.with_("voxels") + "SELECT z, y, x, seg FROM voxels WHERE z >= 3 AND z < 11 AND y >= 5 AND y < 20 AND x >= 2 AND x < 17")
+def _(s, d):
+    return volume.clip(fx.voxels(s, d), grid.xyz_box([[2, 5, 3], [17, 20, 11]])).select("z", "y", "x", "seg")
+
+
+def mode_sql(table: str, value: str, factor: float, zero: str = "") -> str:
+    return f"""counted AS (SELECT CAST(floor(z / {factor}) AS BIGINT) AS z, CAST(floor(y / {factor}) AS BIGINT) AS y, CAST(floor(x / {factor}) AS BIGINT) AS x, {value} AS label, count(*) AS n FROM {table} GROUP BY 1, 2, 3, 4),
+moded AS (SELECT z, y, x, label, row_number() OVER (PARTITION BY z, y, x ORDER BY {zero}n DESC, label) AS r FROM counted)"""
+
+
+@query("downsample_mode", fx.with_("voxels", more=mode_sql("voxels", "seg", 2.0)) + "SELECT z, y, x, label AS seg FROM moded WHERE r = 1")
+def _(s, d):
+    return volume.downsample_mode(fx.voxels(s, d), 2, "seg")
+
+
+@query("downsample_mode_nonzero", fx.with_("voxels", more=mode_sql("voxels", "seg", 3.0, "label = 0, ")) + "SELECT z, y, x, label AS seg FROM moded WHERE r = 1")
+def _(s, d):
+    return volume.downsample_mode(fx.voxels(s, d), 3, "seg", True)
+
+
+@query("downsample_gray", fx.with_("dense") + "SELECT CAST(floor(z / 2.0) AS BIGINT) AS z, CAST(floor(y / 2.0) AS BIGINT) AS y, CAST(floor(x / 2.0) AS BIGINT) AS x, CAST(floor(avg(label * 20)) AS BIGINT) AS v FROM dense GROUP BY 1, 2, 3")
+def _(s, d):
+    return volume.downsample_mean(fx.dense(s).withColumn("v", F.col("label") * 20), 2, "v")
+
+
+@query("downsample_binary", fx.with_("dense") + "SELECT CAST(floor(z / 5.0) AS BIGINT) AS z, CAST(floor(y / 5.0) AS BIGINT) AS y, CAST(floor(x / 5.0) AS BIGINT) AS x, CAST(sum(CAST(label > 4 AS INT)) > floor(count(*) / 2.0) AS BIGINT) AS v FROM dense GROUP BY 1, 2, 3")
+def _(s, d):
+    return volume.downsample_binary(fx.dense(s).withColumn("v", (F.col("label") > 4).cast("long")), 5, "v", SHAPE)
+
+
+@query("pyramid", fx.with_("voxels", more=f"""{mode_sql('voxels', 'seg', 2.0)},
+one AS (SELECT z, y, x, label AS seg FROM moded WHERE r = 1),
+counted2 AS (SELECT CAST(floor(z / 2.0) AS BIGINT) AS z, CAST(floor(y / 2.0) AS BIGINT) AS y, CAST(floor(x / 2.0) AS BIGINT) AS x, seg, count(*) AS n FROM one GROUP BY 1, 2, 3, 4),
+two AS (SELECT z, y, x, seg, row_number() OVER (PARTITION BY z, y, x ORDER BY n DESC, seg) AS r FROM counted2)""") + "SELECT z, y, x, seg, 0 AS scale FROM voxels UNION ALL SELECT z, y, x, seg, 1 FROM one UNION ALL SELECT z, y, x, seg, 2 FROM two WHERE r = 1")
+def _(s, d):
+    return volume.pyramid(fx.voxels(s, d), 2, "seg")
+
+
+@query("upsample", fx.with_("voxels") + "SELECT z * 2 + i AS z, y * 2 + j AS y, x * 2 + k AS x, seg FROM voxels, range(2) a(i), range(2) b(j), range(2) c(k)")
+def _(s, d):
+    return volume.rescale(fx.voxels(s, d), 1, 0, "seg").select("z", "y", "x", "seg")
+
+
+@query("blockwise_boxes", """SELECT bz, by, bx, greatest(2, bz * 7) AS z0, greatest(3, by * 8) AS y0, greatest(-5, bx * 9) AS x0, least(23, bz * 7 + 7) AS z1, least(24, by * 8 + 8) AS y1, least(20, bx * 9 + 9) AS x1
+FROM range(0, 4) a(bz), range(0, 3) b(by), range(-1, 3) c(bx)""")
+def _(s, d):
+    return volume.boxes((2, 3, -5), (23, 24, 20), grid.Grid((7, 8, 9)), s)
+
+
+@query("drop_empty", fx.with_("voxels", more=f"cellsed AS (SELECT z, y, x, seg, {B8} FROM voxels WHERE z < 12 OR seg = 0)") + "SELECT bz, by, bx, count(*) AS n FROM cellsed c WHERE EXISTS (SELECT 1 FROM cellsed e WHERE e.seg <> 0 AND e.bz = c.bz AND e.by = c.by AND e.bx = c.bx) GROUP BY 1, 2, 3")
+def _(s, d):
+    v = volume.retile(fx.voxels(s, d).where("z < 12 OR seg = 0"), G8)
+    return volume.drop_empty(v, "seg").groupBy("bz", "by", "bx").agg(F.count("*").alias("n"))
+
+
+ROI = f"roi AS (SELECT DISTINCT {B8} FROM voxels WHERE (floor(z / 8.0) + floor(y / 8.0) + floor(x / 8.0)) % 2 = 0)"
+
+
+def roi(s, d) -> DataFrame:
+    return fx.voxels(s, d).select(*grid.cells(G8)).distinct().where("(bz + by + bx) % 2 = 0")
+
+
+@query("roi_mask", fx.with_("voxels", more=ROI) + "SELECT z, y, x, CASE WHEN r.bz IS NULL THEN 0 ELSE seg END AS seg FROM voxels LEFT JOIN roi r ON r.bz = floor(z / 8.0) AND r.by = floor(y / 8.0) AND r.bx = floor(x / 8.0)")
+def _(s, d):
+    return volume.mask(fx.voxels(s, d), roi(s, d), BLOCK, "seg").select("z", "y", "x", "seg")
+
+
+RUNS = """islands AS (SELECT z, y, x, x - row_number() OVER (PARTITION BY z, y ORDER BY x) AS island FROM (SELECT DISTINCT z, y, x FROM voxels WHERE seg = 3)),
+runs AS (SELECT z, y, min(x) AS x0, max(x) AS x1 FROM islands GROUP BY z, y, island)"""
+
+
+@query("rle_encode", fx.with_("voxels", more=RUNS) + "SELECT z, y, x0, x1 FROM runs")
+def _(s, d):
+    return volume.run_lengths(volume.sparse_body(fx.voxels(s, d), "seg", [3]))
+
+
+@query("roi_runs_decode", fx.with_("voxels") + "SELECT z, y, x FROM voxels WHERE seg = 3")
+def _(s, d):
+    return volume.roi_blocks(volume.run_lengths(volume.sparse_body(fx.voxels(s, d), "seg", [3])))
+
+
+@query("block_runs", fx.with_("voxels", more="""b AS (SELECT DISTINCT CAST(floor(z / 4.0) AS BIGINT) AS z, CAST(floor(y / 4.0) AS BIGINT) AS y, CAST(floor(x / 4.0) AS BIGINT) AS x FROM voxels WHERE seg > 6 AND seg <> gt),
+islands AS (SELECT z, y, x, x - row_number() OVER (PARTITION BY z, y ORDER BY x) AS island FROM b)""") + "SELECT z AS bz, y AS by, min(x) AS x0, max(x) AS x1 FROM islands GROUP BY z, y, island")
+def _(s, d):
+    v = fx.voxels(s, d)
+    return volume.block_runs(v.where("seg > 6"), "seg", 4, v.select("z", "y", "x", F.col("gt").alias("seg")))
+
+
+SUBVOLS = f"""{ROI},
+subs AS (SELECT CAST(floor(bz / 2.0) AS BIGINT) AS cz, CAST(floor(by / 2.0) AS BIGINT) AS cy, CAST(floor(bx / 2.0) AS BIGINT) AS cx, count(*) AS blocks FROM roi WHERE bz < 2 OR bx > 0 GROUP BY 1, 2, 3),
+subvols AS (SELECT *, row_number() OVER (ORDER BY cz, cy, cx) - 1 AS sv FROM subs)"""
+
+
+def subvols(s, d) -> DataFrame:
+    return volume.subvolumes(roi(s, d).where("bz < 2 OR bx > 0"), 2)
+
+
+@query("subvolume_partition", fx.with_("voxels", more=SUBVOLS) + "SELECT sv, cz, cy, cx, blocks FROM subvols")
+def _(s, d):
+    return subvols(s, d)
+
+
+@query("interior_subvolumes", fx.with_("voxels", more=f"""b AS (SELECT DISTINCT {B8} FROM voxels WHERE z < 20 AND seg > 0),
+subs AS (SELECT CAST(floor(bz / 2.0) AS BIGINT) AS cz, CAST(floor(by / 2.0) AS BIGINT) AS cy, CAST(floor(bx / 2.0) AS BIGINT) AS cx, count(*) AS blocks FROM b GROUP BY 1, 2, 3),
+subvols AS (SELECT *, row_number() OVER (ORDER BY cz, cy, cx) - 1 AS sv FROM subs)""") + "SELECT cz, cy, cx, blocks, sv FROM subvols WHERE blocks = 8")
+def _(s, d):
+    blocks = fx.voxels(s, d).where("z < 20 AND seg > 0").select(*grid.cells(G8)).distinct()
+    return volume.interior(volume.subvolumes(blocks, 2), 2)
+
+
+@query("subvolume_neighbours", fx.with_("voxels", more=SUBVOLS) + "SELECT a.sv, b.sv AS other FROM subvols a JOIN subvols b ON abs(a.cz - b.cz) + abs(a.cy - b.cy) + abs(a.cx - b.cx) = 1")
+def _(s, d):
+    return volume.neighbours(subvols(s, d))
+
+
+@query("iteration_split", fx.with_("voxels", more=SUBVOLS) + "SELECT sv % 3 AS iteration, count(*) AS n FROM subvols GROUP BY 1")
+def _(s, d):
+    return subvols(s, d).groupBy(F.pmod("sv", F.lit(3)).cast("long").alias("iteration")).agg(F.count("*").alias("n"))
+
+
+@query("body_block_mask", fx.with_("voxels") + f"SELECT DISTINCT seg AS body, {B8} FROM voxels WHERE seg IN (2, 7, 99)")
+def _(s, d):
+    return volume.body_blocks(fx.voxels(s, d), "seg", [2, 7, 99], BLOCK)
+
+
+@query("label_histogram", fx.with_("voxels") + "SELECT seg, count(*) AS n FROM voxels GROUP BY 1")
+def _(s, d):
+    return volume.histogram(fx.voxels(s, d), "seg")
+
+
+@query("important_bodies", fx.with_("voxels") + "SELECT CASE WHEN gt IN (2, 3, 5) THEN gt ELSE 0 END AS gt, seg, count(*) AS n FROM voxels GROUP BY 1, 2")
+def _(s, d):
+    v = fx.voxels(s, d).withColumn("gt", F.when(F.col("gt").isin(2, 3, 5), F.col("gt")).otherwise(F.lit(0)))
+    return overlap.contingency(v)
+
+
+@query("select_channels", "SELECT vec_id, round(embedding[1]::DOUBLE + embedding[3]::DOUBLE, 5) AS a, round(embedding[2]::DOUBLE, 5) AS b FROM embeddings")
+def _(s, d):
+    e = fx.table(s, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    c = volume.merged_channels(F.col("v"), [[0, 2], [1]])
+    return e.select("vec_id", F.round(c[0], 5).alias("a"), F.round(c[1], 5).alias("b"))
+
+
+@query("normalize_channels", "SELECT vec_id, round(list_sum(list_transform(v, lambda e: e / nullif(t, 0))), 6) AS total, round(v[1] / t, 5) AS first FROM (SELECT vec_id, v, list_sum(v) AS t FROM (SELECT vec_id, [abs(embedding[1])::DOUBLE, abs(embedding[2])::DOUBLE, abs(embedding[3])::DOUBLE] AS v FROM embeddings))")
+def _(s, d):
+    e = fx.table(s, d, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 3), lambda x: F.abs(x).cast("double")).alias("v"))
+    n = e.select("vec_id", volume.normalised_channels(F.col("v")).alias("v"))
+    return n.select("vec_id", F.round(F.aggregate("v", F.lit(0.0), lambda a, b: a + b), 6).alias("total"), F.round(F.col("v")[0], 5).alias("first"))
+
+
+@query("destripe", fx.with_("dense", more="g AS (SELECT z, y, x, label * 20 + (y % 3) * 7 AS v FROM dense)") + "SELECT z, y, x, CAST(greatest(0, least(255, floor(v - avg(v) OVER (PARTITION BY z, y) + avg(v) OVER (PARTITION BY z) + 0.5))) AS BIGINT) AS v FROM g")
+def _(s, d):
+    g = fx.dense(s).select("z", "y", "x", (F.col("label") * 20 + (F.col("y") % 3) * 7).alias("v"))
+    return volume.destripe(g, "v")
+
+
+# -- segments and bodies
+
+SEGMENTS = """segs AS (SELECT seg AS segment, count(*) AS voxel_count, min(z) AS z0, min(y) AS y0, min(x) AS x0, max(z) + 1 AS z1, max(y) + 1 AS y1, max(x) + 1 AS x1 FROM voxels WHERE seg <> 0 GROUP BY 1)"""
+BODY = """bodies_ AS (SELECT segment, voxel_count, coalesce(body, segment) AS body FROM segs LEFT JOIN mapping ON label = segment),
+stats AS (SELECT *, count(*) OVER (PARTITION BY body) AS body_segments, CAST(sum(voxel_count) OVER (PARTITION BY body) AS BIGINT) AS body_voxels FROM bodies_)"""
+
+
+def stats_of(s, d) -> DataFrame:
+    return bodies.body_stats(bodies.segment_stats(fx.voxels(s, d), "seg", BLOCK), fx.mapping(s, d))
+
+
+@query("segment_stats", fx.with_("voxels", more=SEGMENTS + f""",
+b AS (SELECT DISTINCT seg AS segment, {B8} FROM voxels WHERE seg <> 0),
+l AS (SELECT segment, count(*) AS n_blocks, CAST(sum((bz << 42) | (by << 21) | bx) AS VARCHAR) AS block_sum FROM b GROUP BY 1)""") + "SELECT segs.*, n_blocks, block_sum FROM segs JOIN l USING (segment)")
+def _(s, d):
+    st = bodies.segment_stats(fx.voxels(s, d), "seg", BLOCK)
+    return st.withColumn("block_sum", F.aggregate("block_list", F.lit(0).cast("long"), lambda a, b: a + b).cast("string")).drop("block_list")
+
+
+@query("block_stats", fx.with_("voxels") + "SELECT seg AS segment_id, CAST(floor(z / 8.0) * 8 AS BIGINT) AS z, CAST(floor(y / 8.0) * 8 AS BIGINT) AS y, CAST(floor(x / 8.0) * 8 AS BIGINT) AS x, count(*) AS count FROM voxels WHERE seg <> 0 GROUP BY 1, 2, 3, 4")
+def _(s, d):
+    return volume.block_statistics(fx.voxels(s, d), "seg", BLOCK)
+
+
+@query("body_stats", fx.with_("voxels", "mapping", more=f"{SEGMENTS},\n{BODY}") + "SELECT segment, voxel_count, body, body_segments, body_voxels FROM stats")
+def _(s, d):
+    return stats_of(s, d)
+
+
+@query("keep_filter", fx.with_("voxels", "mapping", more=f"{SEGMENTS},\n{BODY}") + "SELECT segment, body FROM stats WHERE voxel_count >= 500 AND body_voxels <= 4000 AND body_segments >= 2 AND body IN (1, 3, 5)")
+def _(s, d):
+    return bodies.keep(stats_of(s, d), 500, None, 0, 4000, [1, 3, 5], 2).select("segment", "body")
+
+
+@query("skip_groups", fx.with_("voxels", "mapping", more=f"{SEGMENTS},\n{BODY}") + "SELECT segment, body FROM stats WHERE body NOT IN (SELECT body FROM mapping WHERE label = 4)")
+def _(s, d):
+    return stats_of(s, d).join(fx.mapping(s, d).where("label = 4").select("body"), "body", "left_anti").select("segment", "body")
+
+
+@query("downsample_factor", fx.with_("voxels", more=SEGMENTS) + "SELECT segment, greatest(2, 1 + CAST(floor(cbrt((z1 - z0) * (y1 - y0) * (x1 - x0) / 500.0) + 1e-9) AS BIGINT)) AS factor FROM segs")
+def _(s, d):
+    st = bodies.segment_stats(fx.voxels(s, d), "seg", BLOCK)
+    box = (F.col("z1") - F.col("z0")) * (F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))
+    return st.select("segment", bodies.downsample_factor(box, 500, 2).alias("factor"))
+
+
+@query("group_hundreds", "SELECT CAST(floor(o_orderkey / 100.0) * 100 AS BIGINT) AS hundreds, count(*) AS n FROM orders GROUP BY 1")
+def _(s, d):
+    return fx.table(s, d, "orders").groupBy(bodies.group_of(F.col("o_orderkey"), "hundreds").alias("hundreds")).agg(F.count("*").alias("n"))
+
+
+@query("group_thousands", "SELECT CAST(floor(o_orderkey / 1000.0) * 1000 AS BIGINT) AS thousands, count(*) AS n FROM orders GROUP BY 1")
+def _(s, d):
+    return fx.table(s, d, "orders").groupBy(bodies.group_of(F.col("o_orderkey"), "thousands").alias("thousands")).agg(F.count("*").alias("n"))
+
+
+BLOCKSTATS = "bstats AS (SELECT seg AS segment_id, CAST(floor(z / 8.0) AS BIGINT) AS bz, CAST(floor(y / 8.0) AS BIGINT) AS by, CAST(floor(x / 8.0) AS BIGINT) AS bx, count(*) AS count FROM voxels WHERE seg <> 0 GROUP BY 1, 2, 3, 4)"
+
+
+@query("label_index", fx.with_("voxels", "mapping", more=BLOCKSTATS) + "SELECT coalesce(body, segment_id) AS body, (bz << 42) | (by << 21) | bx AS block, segment_id, count FROM bstats LEFT JOIN mapping ON label = segment_id")
+def _(s, d):
+    st = volume.block_statistics(fx.voxels(s, d), "seg", BLOCK)
+    return bodies.index_rows(bodies.label_index(st, fx.mapping(s, d), BLOCK))
+
+
+@query("index_tombstones", fx.with_("mapping") + "SELECT label AS body, CAST(0 AS BIGINT) AS count FROM mapping WHERE label <> body")
+def _(s, d):
+    return bodies.tombstones(fx.mapping(s, d))
+
+
+@query("mapping_operations", fx.with_("mapping") + "SELECT body AS mapped, array_to_string(list(label ORDER BY label), ',') AS original FROM mapping GROUP BY 1")
+def _(s, d):
+    return bodies.mapping_operations(fx.mapping(s, d)).withColumn("original", F.array_join(F.col("original").cast("array<string>"), ","))
+
+
+@query("index_export", fx.with_("voxels", more=BLOCKSTATS) + "SELECT segment_id, bz, by, bx, count FROM bstats")
+def _(s, d):
+    st = volume.block_statistics(fx.voxels(s, d), "seg", BLOCK)
+    packed = st.select("segment_id", "count", grid.packed_block(*[F.floor(F.col(a) / BLOCK) for a in grid.AXES]).alias("block"))
+    return packed.select("segment_id", *grid.unpacked_block(F.col("block")), "count")
+
+
+@query("index_check", fx.with_("voxels", more=f"""stored AS (SELECT DISTINCT seg AS body, {B8} FROM voxels WHERE gt > 2 AND seg <> 0 UNION SELECT 77, 0, 0, 0),
+actual AS (SELECT DISTINCT seg AS body, {B8} FROM voxels WHERE seg <> 0)""") + "SELECT body, bz, by, bx, true AS missing FROM (SELECT * FROM actual EXCEPT SELECT * FROM stored) UNION ALL SELECT body, bz, by, bx, false FROM (SELECT * FROM stored EXCEPT SELECT * FROM actual)")
+def _(s, d):
+    v = fx.voxels(s, d)
+    stored = volume.body_blocks(v.where("gt > 2"), "seg", None, BLOCK).union(s.createDataFrame([(77, 0, 0, 0)], "body long, bz long, by long, bx long"))
+    return bodies.index_check(stored, volume.body_blocks(v, "seg", None, BLOCK))
+
+
+@query("index_batches", "SELECT o_custkey, n, CAST(floor(coalesce(sum(n) OVER (ORDER BY o_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 500) AS BIGINT) AS batch FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)")
+def _(s, d):
+    return bodies.batches(fx.table(s, d, "orders"), "o_custkey", 500)
+
+
+MASKS = f"masks AS (SELECT {B8}, seg AS label, count(*) AS n, min(z) AS z0, min(y) AS y0, min(x) AS x0, max(z) + 1 AS z1, max(y) + 1 AS y1, max(x) + 1 AS x1, max(CAST(z % 8 IN (0, 7) OR y % 8 IN (0, 7) OR x % 8 IN (0, 7) AS INT)) AS edge FROM voxels WHERE seg <> 0 GROUP BY 1, 2, 3, 4), kept_masks AS (SELECT * FROM masks WHERE n >= 20 OR edge = 1)"
+
+
+@query("object_masks", fx.with_("voxels", more=MASKS) + "SELECT bz, by, bx, label, n, z0, y0, x0, z1, y1, x1 FROM kept_masks")
+def _(s, d):
+    return bodies.object_masks(fx.voxels(s, d), "seg", BLOCK, 20, SHAPE)
+
+
+@query("mask_sizes", fx.with_("voxels", "mapping", more=MASKS) + "SELECT coalesce(body, k.label) AS body, CAST(sum((z1 - z0) * (y1 - y0) * (x1 - x0)) AS BIGINT) AS boxes, CAST(sum(n) AS BIGINT) AS voxels FROM kept_masks k LEFT JOIN mapping m ON m.label = k.label GROUP BY 1")
+def _(s, d):
+    return bodies.mask_sizes(bodies.object_masks(fx.voxels(s, d), "seg", BLOCK, 20, SHAPE), fx.mapping(s, d))
+
+
+@query("assembled_masks", fx.with_("voxels", more=SEGMENTS + """,
+f AS (SELECT segment AS label, 1 + CAST(floor(cbrt((z1 - z0) * (y1 - y0) * (x1 - x0) / 1500.0) + 1e-9) AS BIGINT) AS factor FROM segs),
+c AS (SELECT DISTINCT label, factor, CAST(floor(z / factor) AS BIGINT) AS z, CAST(floor(y / factor) AS BIGINT) AS y, CAST(floor(x / factor) AS BIGINT) AS x FROM voxels JOIN f ON seg = label)""") + "SELECT label, factor, z, y, x FROM (SELECT *, count(*) OVER (PARTITION BY label) AS k FROM c) WHERE k * factor * factor * factor >= 2000")
+def _(s, d):
+    return bodies.assembled(fx.voxels(s, d), "seg", 1500, 2000)
+
+
+@query("request_stats", "SELECT event_type, count(*) AS requests, round(avg(value), 4) AS mean_seconds, CAST(epoch(date_trunc('second', max(ts))) - epoch(date_trunc('second', min(ts))) AS BIGINT) AS wall_seconds FROM events GROUP BY 1")
+def _(s, d):
+    return bodies.request_stats(fx.table(s, d, "events"), "ts", "value", "event_type")
+
+
+@query("csv_points", fx.with_("points") + "SELECT point_id, z, y, x, z + y + x AS coord_sum FROM points")
+def _(s, d):
+    from voxelith.sources import tables
+    from voxelith.sources.scratch import shared_dir
+
+    path = f"{shared_dir(s)}/points-csv"
+    tables.write_csv(fx.points(s, d).withColumn("coord_sum", F.col("z") + F.col("y") + F.col("x")), path)
+    return tables.read_csv(s, path, "point_id long, z long, y long, x long, coord_sum long")
+
+
+@query("block_store_read", fx.with_("dense") + "SELECT z, y, x, label FROM dense WHERE z >= 8 AND z < 20 AND y >= 4 AND y < 10 AND x < 16")
+def _(s, d):
+    from voxelith.sources import blocks
+    from voxelith.sources.scratch import shared_dir
+
+    path = f"{shared_dir(s)}/dense-blocks"
+    blocks.write(fx.dense(s).withColumn("scale", F.lit(0)), path, "label", BLOCK)
+    return blocks.read(s, path, "label", 0, ((8, 4, 0), (20, 10, 16)), BLOCK)
+
+
+@query("slice_files", fx.with_("dense") + "SELECT z, y, x, label * 20 AS v FROM dense")
+def _(s, d):
+    from voxelith.sources import slices
+    from voxelith.sources.scratch import shared_dir
+
+    path = f"{shared_dir(s)}/dense-slices"
+    slices.write(fx.dense(s).withColumn("v", F.col("label") * 20), path, "v", SHAPE)
+    return slices.read(s, path, "v")
+
+
+# -- graphs
+
+REACH = """links AS (SELECT u AS a, v AS b FROM edges UNION ALL SELECT v, u FROM edges),
+reach AS (SELECT DISTINCT a AS label, a AS root FROM links UNION SELECT b, root FROM reach JOIN links ON a = label),
+cc AS (SELECT label, min(root) AS body FROM reach GROUP BY 1)"""
+
+
+@query("edge_normalize", fx.with_("edges") + "SELECT u, v FROM edges")
+def _(s, d):
+    e = fx.edges(s, d)
+    return graph.normalised_edges(e.union(e.select("v", "u")))
+
+
+@query("cc_mapping", fx.with_("edges", more=REACH) + "SELECT label, body FROM cc")
+def _(s, d):
+    return graph.mapping_from_edges(fx.edges(s, d))
+
+
+@query("groups_from_edges", fx.with_("edges", more=REACH) + "SELECT body, count(*) AS n, array_to_string(list(label ORDER BY label), ',') AS members FROM cc GROUP BY 1")
+def _(s, d):
+    g = graph.groups(graph.mapping_from_edges(fx.edges(s, d)))
+    return g.select("body", F.size("members").cast("long").alias("n"), F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
+
+
+@query("mapping_from_groups", fx.with_("edges", more=REACH) + "SELECT label, body FROM cc WHERE label <> body")
+def _(s, d):
+    return graph.mapping_from_groups(graph.groups(graph.mapping_from_edges(fx.edges(s, d)))).where("label <> body")
+
+
+@query("edges_of_group", fx.with_("edges", more=REACH) + "SELECT u, v FROM edges WHERE u IN (SELECT label FROM cc WHERE body = (SELECT body FROM cc WHERE label = (SELECT max(v) FROM edges)))")
+def _(s, d):
+    e = fx.edges(s, d)
+    return graph.edges_of(e, graph.mapping_from_edges(e), e.agg(F.max("v")).first()[0])
+
+
+@query("leaf_nodes", fx.with_("edges") + "SELECT node FROM (SELECT u AS node FROM edges UNION ALL SELECT v FROM edges) GROUP BY 1 HAVING count(*) = 1")
+def _(s, d):
+    return graph.leaves(fx.edges(s, d))
+
+
+@query("erode_leaves", fx.with_("edges", more="""l1 AS (SELECT n FROM (SELECT u AS n FROM edges UNION ALL SELECT v FROM edges) GROUP BY 1 HAVING count(*) = 1),
+e1 AS (SELECT u, v FROM edges WHERE u NOT IN (SELECT n FROM l1) AND v NOT IN (SELECT n FROM l1)),
+l2 AS (SELECT n FROM (SELECT u AS n FROM e1 UNION ALL SELECT v FROM e1) GROUP BY 1 HAVING count(*) = 1)""") + "SELECT u, v FROM e1 WHERE u NOT IN (SELECT n FROM l2) AND v NOT IN (SELECT n FROM l2)")
+def _(s, d):
+    return graph.erode_leaves(fx.edges(s, d), 2)
+
+
+def reach_of(name: str, where: str) -> str:
+    return f"""{name}_e AS (SELECT u, v FROM edges WHERE {where}),
+{name}_l AS (SELECT u AS a, v AS b FROM {name}_e UNION ALL SELECT v, u FROM {name}_e),
+{name}_r AS (SELECT DISTINCT a AS label, a AS root FROM {name}_l UNION SELECT b, root FROM {name}_r JOIN {name}_l ON a = label),
+{name} AS (SELECT label, min(root) AS body FROM {name}_r GROUP BY 1)"""
+
+
+OLD_NEW = f"{reach_of('old_', '(u + v) % 3 <> 0')},\n{reach_of('new_', '(u + v) % 3 <> 1')}"
+
+
+def old_new(s, d) -> tuple[DataFrame, DataFrame]:
+    e = fx.edges(s, d)
+    return e.where("(u + v) % 3 <> 0"), e.where("(u + v) % 3 <> 1")
+
+
+@query("compare_mappings", fx.with_("edges", more=f"""{OLD_NEW},
+a AS (SELECT body, count(*) AS n, list(label ORDER BY label) AS m FROM old_ GROUP BY 1),
+b AS (SELECT body, count(*) AS n, list(label ORDER BY label) AS m FROM new_ GROUP BY 1),
+c AS (SELECT body, CASE WHEN b.m IS NULL THEN 'dropped' WHEN a.m IS NULL THEN 'added' WHEN a.n <> b.n THEN 'size' WHEN a.m <> b.m THEN 'content' END AS change FROM a FULL JOIN b USING (body))""") + "SELECT body, change FROM c WHERE change IS NOT NULL")
+def _(s, d):
+    old, new = old_new(s, d)
+    return graph.compare_mappings(graph.mapping_from_edges(old), graph.mapping_from_edges(new))
+
+
+COMPARISON = f"""{OLD_NEW},
+{reach_of('both_', '(u + v) % 3 <> 0 AND (u + v) % 3 <> 1')},
+svs AS (SELECT DISTINCT label AS sv FROM (SELECT label FROM old_ UNION SELECT label FROM new_)),
+cmp AS (SELECT sv, coalesce(o.body, sv) AS old, coalesce(n.body, sv) AS new, coalesce(b.body, sv) AS both, coalesce(p_size, 0)::BIGINT AS size
+  FROM svs LEFT JOIN old_ o ON o.label = sv LEFT JOIN new_ n ON n.label = sv LEFT JOIN both_ b ON b.label = sv LEFT JOIN part ON p_partkey = sv),
+comp AS (SELECT both, min(old) AS old, min(new) AS new, CAST(sum(size) AS BIGINT) AS voxels FROM cmp GROUP BY 1)"""
+
+
+def comparison(s, d) -> DataFrame:
+    sizes = fx.table(s, d, "part").select(F.col("p_partkey").alias("sv"), F.col("p_size").cast("long").alias("size"))
+    return graph.comparison_table(*old_new(s, d), sizes)
+
+
+@query("comparison_mapping", fx.with_("edges", more=COMPARISON) + "SELECT sv, old, new, both, size FROM cmp")
+def _(s, d):
+    return comparison(s, d)
+
+
+@query("component_table", fx.with_("edges", more=COMPARISON) + "SELECT both, old, new, voxels FROM comp")
+def _(s, d):
+    return graph.component_table(comparison(s, d))
+
+
+@query("split_merge_stats", fx.with_("edges", more=COMPARISON) + """
+SELECT 'split' AS kind, old AS body, count(*) AS n_components, CAST(sum(voxels) AS BIGINT) AS voxels, max(voxels) AS largest, CAST(sum(voxels) - max(voxels) AS BIGINT) AS remaining FROM comp GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'merge', new, count(*), CAST(sum(voxels) AS BIGINT), max(voxels), CAST(sum(voxels) - max(voxels) AS BIGINT) FROM comp GROUP BY 2 HAVING count(*) > 1""")
+def _(s, d):
+    return graph.split_merge_stats(graph.component_table(comparison(s, d)))
+
+
+@query("size_buckets", """WITH s AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)
+SELECT '0' AS bucket, CAST(count(*) FILTER (n <= 10) AS BIGINT) AS bodies, CAST(coalesce(sum(n) FILTER (n <= 10), 0) AS BIGINT) AS voxels FROM s
+UNION ALL SELECT '10', count(*) FILTER (n >= 10 AND n < 20), CAST(coalesce(sum(n) FILTER (n >= 10 AND n < 20), 0) AS BIGINT) FROM s
+UNION ALL SELECT '20', count(*) FILTER (n >= 20), CAST(coalesce(sum(n) FILTER (n >= 20), 0) AS BIGINT) FROM s
+UNION ALL SELECT 'total', count(*), CAST(sum(n) AS BIGINT) FROM s""")
+def _(s, d):
+    return graph.size_buckets(fx.table(s, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")), "n", (10, 20))
+
+
+RAG = """c AS (SELECT a.seg AS p, b.seg AS q FROM voxels a JOIN voxels b ON b.z = a.z + 1 AND b.y = a.y AND b.x = a.x
+  UNION ALL SELECT a.seg, b.seg FROM voxels a JOIN voxels b ON b.z = a.z AND b.y = a.y + 1 AND b.x = a.x
+  UNION ALL SELECT a.seg, b.seg FROM voxels a JOIN voxels b ON b.z = a.z AND b.y = a.y AND b.x = a.x + 1),
+rag AS (SELECT least(p, q) AS u, greatest(p, q) AS v, count(*) AS weight FROM c WHERE p <> q AND p <> 0 AND q <> 0 GROUP BY 1, 2)"""
+
+
+@query("rag_edges", fx.with_("voxels", more=RAG) + "SELECT u, v, weight FROM rag")
+def _(s, d):
+    return graph.rag_edges(fx.voxels(s, d), "seg")
+
+
+@query("rag_vertices", fx.with_("voxels") + "SELECT seg AS id, count(*) AS size FROM voxels WHERE seg <> 0 GROUP BY 1")
+def _(s, d):
+    return graph.rag_vertices(fx.voxels(s, d), "seg")
+
+
+@query("edge_features", fx.with_("voxels", more=f"{RAG}, vs AS (SELECT seg AS id, count(*) AS size FROM voxels WHERE seg > 2 GROUP BY 1)") + "SELECT u, v, weight, coalesce(a.size, 0) AS u_size, coalesce(b.size, 0) AS v_size FROM rag LEFT JOIN vs a ON a.id = u LEFT JOIN vs b ON b.id = v")
+def _(s, d):
+    v = fx.voxels(s, d)
+    return graph.edge_features(graph.rag_edges(v, "seg"), graph.rag_vertices(v.where("seg > 2"), "seg")).fillna(0)
+
+
+@query("connected_voxels", fx.with_("dense", more="""own AS (SELECT (z * 24 + y) * 24 + x AS id, label, x // 8 AS slab FROM dense WHERE label <> 0)""") + "SELECT label, min(id) AS component, count(*) AS n FROM own GROUP BY label, slab")
+def _(s, d):
+    c = graph.connected_voxels(fx.dense(s), "label", SHAPE)
+    return c.groupBy("label", "component").agg(F.count("*").alias("n"))
+
+
+@query("split_disconnected", fx.with_("dense", more="""parts AS (SELECT label, min((z * 24 + y) * 24 + x) AS component, count(*) AS size FROM dense WHERE label <> 0 GROUP BY label, x // 8),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY size DESC, component) AS place FROM parts)""") + "SELECT label AS part, label, size FROM ranked WHERE place = 1 UNION ALL SELECT 8 + row_number() OVER (ORDER BY label, component), label, size FROM ranked WHERE place > 1")
+def _(s, d):
+    return graph.split_disconnected(fx.dense(s), "label", SHAPE)[1]
+
+
+@query("stitch_offsets", fx.with_("voxels", more=f"m AS (SELECT {SQL_SV} AS sv, max(seg) AS top FROM voxels GROUP BY 1)") + "SELECT sv, CAST(coalesce(sum(top) OVER (ORDER BY sv ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset FROM m")
+def _(s, d):
+    return graph.stitch_offsets(by_sv(fx.voxels(s, d)), "seg")
+
+
+COUNTS = "cnt AS (SELECT gt AS u, seg AS v, count(*) AS n FROM voxels WHERE gt <> 0 AND seg <> 0 GROUP BY 1, 2), b AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY n DESC, v) AS ur, row_number() OVER (PARTITION BY v ORDER BY n DESC, u) AS vr, sum(n) OVER (PARTITION BY u) AS ut, sum(n) OVER (PARTITION BY v) AS vt FROM cnt)"
+
+
+def stitch_counts(s, d) -> DataFrame:
+    v = fx.voxels(s, d)
+    return graph.overlap_counts(v.select("z", "y", "x", F.col("gt").alias("label")), v.select("z", "y", "x", F.col("seg").alias("label")))
+
+
+@query("stitch_simple", fx.with_("voxels", more=COUNTS) + "SELECT u, v FROM cnt")
+def _(s, d):
+    return graph.stitch_pairs(stitch_counts(s, d), "simple")
+
+
+@query("stitch_conservative", fx.with_("voxels", more=COUNTS) + "SELECT u, v FROM b WHERE n > 50 AND ur = 1 AND vr = 1 AND n / ut >= 0.1 AND n / vt >= 0.1")
+def _(s, d):
+    return graph.stitch_pairs(stitch_counts(s, d), "conservative", share=0.1)
+
+
+@query("stitch_medium", fx.with_("voxels", more=COUNTS) + "SELECT u, v FROM b WHERE n > 50 AND ur = 1 AND vr = 1")
+def _(s, d):
+    return graph.stitch_pairs(stitch_counts(s, d), "medium")
+
+
+@query("stitch_aggressive", fx.with_("voxels", more=COUNTS) + "SELECT u, v FROM b WHERE n > 50 AND ((ur = 1 AND vr = 1) OR (ur = 1 AND n / ut > 0.12 AND n > 120) OR (vr = 1 AND n / vt > 0.12 AND n > 120))")
+def _(s, d):
+    return graph.stitch_pairs(stitch_counts(s, d), "aggressive", share=0.12, liberal=120)
+
+
+# -- segmentation
+
+
+@query("membrane_predictions", fx.with_("dense", more=f"g AS (SELECT z, y, x, label * 20 AS v, {B8} FROM dense)") + "SELECT z, y, x, round(1.0 - coalesce((v - min(v) OVER w) / nullif(max(v) OVER w - min(v) OVER w, 0), 0.0), 6) AS p FROM g WINDOW w AS (PARTITION BY bz, by, bx)")
+def _(s, d):
+    return segmentation.membrane_predictions(fx.dense(s).withColumn("v", F.col("label") * 20), "v", BLOCK)
+
+
+@query("preserve_bodies", fx.with_("voxels", more="k AS (SELECT z, y, x, CASE WHEN gt IN (1, 2) THEN gt + (SELECT max(gt) FROM voxels) ELSE gt END AS n, CASE WHEN seg IN (1, 2) THEN seg END AS kept FROM voxels)") + "SELECT z, y, x, coalesce(kept, n) AS label FROM k")
+def _(s, d):
+    v = fx.voxels(s, d)
+    return segmentation.preserve_bodies(v.select("z", "y", "x", F.col("gt").alias("label")), v.select("z", "y", "x", F.col("seg").alias("label")), [1, 2], "label")
+
+
+@query("watershed")
+def _(s, d):
+    g = fx.dense(s).withColumn("v", F.when(F.col("label") == 0, 1.0).otherwise(0.0))
+    return segmentation.run_step(g, "seeded-watershed", "v", "label", BLOCK, threshold=0.5, seed_size=4)
+
+
+@query("segment_pipeline")
+def _(s, d):
+    g = fx.dense(s).withColumn("v", F.when(F.col("label") == 0, 0).otherwise(F.col("label") * 10 + 100))
+    return segmentation.segment(g, "v", 12, [("membranes", {}), ("seeded-watershed", {"threshold": 0.6}), ("keep", {})])
+
+
+@query("face_mesh", fx.with_("dense", more="""v AS (SELECT * FROM dense WHERE label <> 0),
+f AS (SELECT v.*, a.axis, a.side, v.z + a.dz AS nz, v.y + a.dy AS ny, v.x + a.dx AS nx FROM v, (VALUES ('z', 0, -1, 0, 0), ('z', 1, 1, 0, 0), ('y', 0, 0, -1, 0), ('y', 1, 0, 1, 0), ('x', 0, 0, 0, -1), ('x', 1, 0, 0, 1)) a(axis, side, dz, dy, dx))""") + "SELECT f.label, axis, side, f.z, f.y, f.x FROM f LEFT JOIN v n ON n.z = nz AND n.y = ny AND n.x = nx AND n.label = f.label WHERE n.label IS NULL")
+def _(s, d):
+    return segmentation.faces(fx.dense(s), "label")
+
+
+@query("mesh_smoothed")
+def _(s, d):
+    return segmentation.smoothed(segmentation.faces(fx.dense(s).where("label IN (1, 8)"), "label"))
