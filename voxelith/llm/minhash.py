@@ -8,9 +8,10 @@
 3. star: within a key each document is compared with the hub only, the one with the most neighbours overall.
    A pair goes to verification unless its collision-corrected estimate is far below the threshold;
    verification compares the full sets.
-4. rest: where the hub's links do not connect all documents of a key, each of those left over is compared
-   with all the others, in blocks of bounded size, by estimate and then by full sets. So no link between
-   documents that share a key is lost, and groups of copies cost a pair for each member, not each pair.
+4. rest: documents that hubs bring together form a cluster. Where the links found do not connect it, each
+   document outside its largest part is compared with all of the cluster, in blocks of bounded size, by
+   estimate and then by full sets; only links leave a block. So no link between documents that share a key
+   is lost, and groups of copies cost a pair for each member, not each pair.
 5. connected components over all links.
 """
 
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Scratch
+from .common import BROADCAST_ROWS, Scratch, small
 from .graph import components
 from .wordbpe import Numbers, portions
 
@@ -35,6 +36,8 @@ MANTISSA = 10
 EMPTY = 0xFFFF
 #: Standard errors below the threshold at which an estimate still goes to verification.
 SLACK = 4.5
+#: Estimated similarity with its hub from which a document belongs to the hub's cluster.
+CLUSTER = 0.5
 BLOCK = 512
 CACHED_WORDS = 400_000
 
@@ -156,7 +159,7 @@ def sketch(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame
 
 
 def _estimated(pairs: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of (a, b, n_a, n_b, regs_a, regs_b) that may be links."""
+    """(a, b, may_link, near) of (a, b, n_a, n_b, regs_a, regs_b): whether the pair may be a link, and whether it is of one cluster."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,13 +167,14 @@ def _estimated(pairs: DataFrame, percent: int) -> DataFrame:
                 continue
             n_a, n_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             regs = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, BUCKETS) for i in (4, 5)]
-            ok = promising(*estimate(*regs, n_a, n_b), n_a, n_b, percent)
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok)) for i in (0, 1)], names=["a", "b"])
+            similarity, k = estimate(*regs, n_a, n_b)
+            may = promising(similarity, k, n_a, n_b, percent)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(may), pa.array(may | (similarity >= CLUSTER))], names=["a", "b", "may_link", "near"])
 
-    return pairs.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(run, "a long, b long, may_link boolean, near boolean")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold. docs: (doc_id, text); of rows that share an identifier any pair of texts counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,90 +186,93 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
                 y = y.as_py()
                 if y != last:  # rows come by hub
                     last, last_set = y, shingler(y)
-                own = shingler(x.as_py())
-                both = np.intersect1d(own, last_set, assume_unique=True).size
-                ok.append(100 * both >= percent * (len(own) + len(last_set) - both))
+                ok.append(linked(shingler(x.as_py()), last_set, percent))
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
-    # one shuffle of the texts serves both ends: each document goes to the pairs in which it is a, and once to its own as b
-    ends = pairs.select(F.col("a").alias("doc_id"), "b", F.lit(True).alias("is_a")).union(pairs.select(F.col("b").alias("doc_id"), "b", F.lit(False).alias("is_a")).distinct())
-    with_text = docs.join(ends, "doc_id")
+    # texts are looked up once for both ends: a document goes to the pairs in which it is a, and once to its own as b
+    ends = scratch.store(pairs.select(F.col("a").alias("doc_id"), "b", F.lit(True).alias("is_a")).union(pairs.select(F.col("b").alias("doc_id"), "b", F.lit(False).alias("is_a")).distinct()))
+    with_text = docs.join(small(ends, ends.count()), "doc_id")
     left = with_text.where("is_a").select(F.col("doc_id").alias("a"), "b", F.col("text").alias("text_a"))
     right = with_text.where("NOT is_a").select("b", F.col("text").alias("text_b"))
     return left.join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _rest(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Promising pairs (a, b) of different components among members (key, rep, component, hub_component, size), in blocks.
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = np.intersect1d(a, b, assume_unique=True).size
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
-    Those outside the hub's component meet all members of their key. Both are dealt into blocks of about BLOCK; a group
-    of rows is one block of either, so its size is bounded and a hot key becomes many groups.
+
+def _rest(members: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components of members (rep, cluster, component, main, size).
+
+    Those outside the cluster's main component meet all its members. Both are dealt into blocks of about BLOCK; a group
+    of rows is one block of either, so its size is bounded and a large cluster becomes many groups.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    with_regs = members.join(sketches.select(F.col("rep"), "n", "regs"), "rep")
-    outside = with_regs.where("component <> hub_component").select("key", block.alias("mine"), every.alias("other"), F.lit(True).alias("left"), "rep", "component", "n", "regs")
-    against = with_regs.select("key", every.alias("mine"), block.alias("other"), F.lit(False).alias("left"), "rep", "component", "n", "regs")
-    rows = outside.union(against)
+    with_text = members.join(docs.withColumnRenamed("doc_id", "rep"), "rep")
+    outside = with_text.where("component <> main").select("cluster", block.alias("mine"), every.alias("other"), F.lit(True).alias("left"), "rep", "component", "text")
+    against = with_text.select("cluster", every.alias("mine"), block.alias("other"), F.lit(False).alias("left"), "rep", "component", "text")
 
     def run(table: pa.Table) -> pa.Table:
-        left = np.asarray(table.column("left").to_numpy())
-        rep, comp, n = (table.column(c).to_numpy() for c in ("rep", "component", "n"))
-        regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(-1, BUCKETS)
-        mine, other = np.flatnonzero(left), np.flatnonzero(~left)
+        shingler = Shingler(shingle)
+        left = table.column("left").to_numpy()
         a, b = [], []
-        for i in mine.tolist():
-            to = other[comp[other] != comp[i]]
-            if len(to):
-                near = promising(*estimate(regs[i][None, :], regs[to], np.full(len(to), n[i]), n[to]), np.full(len(to), n[i]), n[to], percent)
-                to = to[near]
-                a.append(np.minimum(rep[to], rep[i]))
-                b.append(np.maximum(rep[to], rep[i]))
-        return pa.table({"a": pa.array(np.concatenate(a) if a else [], pa.int64()), "b": pa.array(np.concatenate(b) if b else [], pa.int64())})
-
-    return rows.groupBy("key", "mine", "other").applyInArrow(run, "a long, b long")
+        if left.any() and not left.all():
+            rep, comp = table.column("rep").to_numpy(), table.column("component").to_numpy()
+            sets = [shingler(t.as_py()) for t in table.column("text")]
+            n, regs = np.array([len(s) for s in sets]), registers(sets)
+            other = np.flatnonzero(~left)
+            for i in np.flatnonzero(left).tolist():
+                to = other[comp[other] != comp[i]]
+                near = promising(*estimate(regs[i][None, :], regs[to], n[i], n[to]), n[i], n[to], percent)
+                met: set[int] = set()  # one link to a component is enough
+                for j in to[near].tolist():
+                    if comp[j] not in met and linked(sets[i], sets[j], percent):
+                        met.add(comp[j])
+                        a.append(rep[i])
+                        b.append(rep[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return outside.union(against).groupBy("cluster", "mine", "other").applyInArrow(run, "a long, b long")
 
 
 def links(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(members, components): (doc_id, n, rep) of each row, and (node, component) of each rep that has a link."""
     sketches = scratch.store(sketch(df, id_col, text_col, shingle))
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).where("doc_id IS NOT NULL")
-    classes = sketches.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("rep"))
-    members = scratch.store(sketches.select("doc_id", "n", "print").join(classes, "print", "left").select("doc_id", "n", "print", "rep"))
-    heads = sketches.join(members.where("rep = doc_id").select("print", "rep").distinct(), "print").where("doc_id = rep").select("rep", "n", "regs", "keys")
-    heads = scratch.store(heads)
+    # what is joined back is written first: an aggregate and a join on one exchange could not be split where a key is hot
+    classes = scratch.store(sketches.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("rep")))
+    members = scratch.store(sketches.select("doc_id", "n", "print").join(classes, "print", "left"))
+    heads = scratch.store(sketches.where("doc_id IS NOT NULL").join(classes.select("print", F.col("rep").alias("doc_id")), ["print", "doc_id"]).select(F.col("doc_id").alias("rep"), "n", "regs", "keys"))
     scratch.free(sketches)
-    regs = heads.select("rep", "n", "regs")
 
     keyed = heads.select("rep", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = scratch.store(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
     live = scratch.store(keyed.join(shared, "key"))
-    degree = live.groupBy("rep").agg(F.sum("size").alias("degree"))
-    hubs = scratch.store(live.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("top"), F.first("size").alias("size")).select("key", (-F.col("top.minus")).alias("hub"), "size"))
-    star = live.select("key", "rep").join(hubs.select("key", "hub"), "key").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-
-    def maybe(pairs: DataFrame) -> DataFrame:
-        one = regs.toDF("a", "n_a", "regs_a")
-        two = regs.toDF("b", "n_b", "regs_b")
-        return _estimated(pairs.join(one, "a").join(two, "b"), percent)
-
-    tried = scratch.store(maybe(star))
-    found = scratch.store(_verified(tried, docs, shingle, percent))
-    first = scratch.store(components(found.toDF("u", "v"), scratch))
-
-    named = live.select("key", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("k")).where("low <> high AND k > 2").select("key")
-    of_hub = hubs.join(first.withColumnRenamed("node", "hub"), "hub", "left").select("key", "size", F.coalesce("component", "hub").alias("hub_component"))
-    open_keys = of_hub.join(mixed, "key", "left_semi")
-    rest = scratch.store(named.join(open_keys, "key"))
-    tried_both = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = scratch.store(_rest(rest, regs, percent).distinct().join(tried_both, ["a", "b"], "left_anti"))
-    found_more = scratch.store(_verified(more, docs, shingle, percent))
-    if found_more.isEmpty():
+    degree = scratch.store(live.groupBy("rep").agg(F.sum("size").alias("degree")))
+    hubs = scratch.store(live.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("hub")))
+    star = scratch.store(live.select("key", "rep").join(hubs, "key").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct())
+    ends = scratch.store(star.select(F.col("a").alias("rep")).union(star.select("b")).distinct())
+    regs = scratch.store(heads.select("rep", "n", "regs").join(small(ends, ends.count()), "rep", "left_semi"))
+    scratch.free(heads, live, hubs, degree, shared)
+
+    judged = scratch.store(_estimated(star.join(regs.toDF("a", "n_a", "regs_a"), "a").join(regs.toDF("b", "n_b", "regs_b"), "b"), percent).distinct())
+    found = scratch.store(_verified(judged.where("may_link").select("a", "b"), docs, shingle, percent, scratch))
+    first = components(found.toDF("u", "v"), scratch)
+
+    clusters = components(judged.where("near").select(F.col("a").alias("u"), F.col("b").alias("v")), scratch).toDF("rep", "cluster")
+    parts = scratch.store(clusters.join(first.toDF("rep", "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+    sizes = parts.groupBy("cluster", "component").agg(F.count("*").alias("k"))
+    sizes = sizes.groupBy("cluster").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("parts"))
+    open_clusters = scratch.store(sizes.where("parts > 1 AND size > 2").select("cluster", F.col("top.component").alias("main"), "size"))
+    rest = scratch.store(parts.join(open_clusters, "cluster"))
+    more = scratch.store(_rest(small(rest, rest.count()), docs, shingle, percent))
+    if more.isEmpty():
         return members, first
-    return members, scratch.store(components(found.union(found_more).toDF("u", "v"), scratch))
+    return members, components(found.union(more).toDF("u", "v"), scratch)
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
