@@ -10,16 +10,16 @@ from voxelith.sources.scratch import Scratch
 MAX_ROUNDS = 60
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Larger neighbours of a node go to the smallest of its neighbours and itself."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = scratch.store(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """A node and its smaller neighbours go to the smallest of those. edges: u > v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = scratch.store(edges.groupBy("u").agg(F.min("v").alias("m")))
     moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -31,14 +31,15 @@ def _signature(edges: DataFrame) -> tuple:
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component): the smallest node reachable, for each node with an edge. edges: u, v of type long.
 
-    A step aggregates by node and joins the minimum back, so a node with very many edges is one row on one side of a
-    join whose other side Spark can split. Every step is a written table.
+    A step aggregates by node, writes the minima and joins them back, so a node with very many edges is one row on one
+    side of a join whose other side Spark can split. Every step is a written table.
     """
     now = scratch.store(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     sign = _signature(now)
     for _ in range(MAX_ROUNDS):
-        after = scratch.store(_small_star(_large_star(now)))
-        scratch.free(now)
+        middle = scratch.store(_large_star(now, scratch))
+        after = scratch.store(_small_star(middle, scratch))
+        scratch.free(now, middle)
         now, before, sign = after, sign, _signature(after)
         if sign == before:
             break
