@@ -12,6 +12,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordbpe
+from .common import Scratch, Shared
 from .lexicon import Lexicon, build
 
 #: Words in the lexicon: bounds what the driver collects and broadcasts (a few MB).
@@ -94,6 +96,12 @@ class Codec:
         return " ".join(self.vocabulary.tokens[ids].tolist())
 
 
+@lru_cache(2)
+def worker_codec(path: str, blob: Shared) -> Codec:
+    """One a process and lexicon, so a worker's later tasks find the words of its earlier ones."""
+    return Codec(path, blob.value)
+
+
 def word_counts(df: DataFrame, text_col: str, path: str) -> DataFrame:
     """(word binary, n) over all texts: counted within partitions first."""
 
@@ -127,10 +135,23 @@ def word_counts(df: DataFrame, text_col: str, path: str) -> DataFrame:
 
 
 def lexicon(df: DataFrame, text_col: str = "text", path: str | None = None, words: int = LEXICON_WORDS) -> bytes:
-    """The compiled lexicon of the `words` most frequent words."""
+    """The compiled lexicon of the most frequent words, `words` at most.
+
+    How many words there are of each frequency (in steps of an eighth of a doubling) shows the frequency from which they
+    fit, so no task sorts or gathers more words than go into the lexicon. A word met once is left to merging.
+    """
     path = path or default_path()
-    top = word_counts(df, text_col, path).orderBy(F.desc("n"), "word").limit(words).select("word").toArrow()
-    known = sorted(w for w in top.column(0).to_pylist() if w)
+    scratch = Scratch(df.sparkSession, "lexicon")
+    level = F.floor(F.log2("n") * 8).cast("int")
+    counts = scratch.store(word_counts(df, text_col, path).where("n > 1").select("word", level.alias("level")))
+    least, fits = None, 0
+    for r in sorted(counts.groupBy("level").count().collect(), reverse=True):
+        fits += r["count"]
+        if fits > words:
+            break
+        least = r["level"]
+    known = [] if least is None else sorted(w for w in counts.where(F.col("level") >= least).select("word").toArrow().column(0).to_pylist() if w)
+    scratch.free(counts)
     if not known:
         return build([], np.zeros(0), np.zeros(0))
     return build(known, *wordbpe.Vocabulary(path).merge(known))
@@ -144,16 +165,15 @@ def encoded(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     """
     path = path or default_path()
     spark = df.sparkSession
-    blob = spark.sparkContext.broadcast(lexicon(df, text_col, path, lexicon_words))
+    blob = Shared(spark.sparkContext.broadcast(lexicon(df, text_col, path, lexicon_words)))
     own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())] + ([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, blob.value)
+        codec = worker_codec(path, blob)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in wordbpe.portions(texts):
-                ids = codec.encode(texts[a:b])
+            for a, b, texts in wordbpe.portions(batch.column(1)):
+                ids = codec.encode(texts)
                 columns = [
                     batch.column(0).slice(a, b - a),
                     pa.array([len(x) for x in ids], pa.int64()),

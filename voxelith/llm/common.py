@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxelith.sources.scratch import Scratch
+
+__all__ = ["BROADCAST_ROWS", "SPACE", "WORD", "Scratch", "Shared", "normalised", "partitions", "small", "table", "word_count"]
+
 #: White space of the query contracts; a word is a run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,37 +23,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = f"file://{tempfile.mkdtemp(prefix='voxelith-')}"
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-class Scratch:
-    """Tables that cut lineage: written to the shared folder, reread, and freed when no longer needed."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        self.n = 0
-
-    def store(self, df: DataFrame) -> DataFrame:
-        self.n += 1
-        path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch_path = path
-        return out
-
-    def free(self, *frames: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            path.getFileSystem(conf).delete(path, True)
+class Shared:
+    """A broadcast as a key of lru_cache: equal if it is the same one, in whichever task it was unpickled."""
+
+    def __init__(self, broadcast):
+        self.broadcast, self.key = broadcast, uuid.uuid4().hex
+
+    @property
+    def value(self):
+        return self.broadcast.value
+
+    def __hash__(self) -> int:
+        return hash(self.key)
+
+    def __eq__(self, other) -> bool:
+        return isinstance(other, Shared) and self.key == other.key
 
 
 def partitions(spark: SparkSession) -> int:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,17 +21,18 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Shared
 from .wordbpe import Numbers, portions
 
 MAX_LANGUAGES = 256
-DOCS_PER_LANGUAGE = 2_000
-KEPT = 150_000
+DOCS_PER_LANGUAGE = 1_000
+KEPT = 100_000
 GRAM = 5
 SMOOTH = 0.5
 UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-CACHED_SCORES = 4_000_000
-COUNTED_AT_ONCE = 300_000
+CACHED_CHUNKS, CACHED_SCORES = 300_000, 4_000_000
+COUNTED_AT_ONCE = 200_000
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -69,28 +71,30 @@ _SCHEMA = "kind int, lang string, item string, n long"
 
 
 class Model:
-    """languages; tables[0]: word -> scores by language, tables[n]: n-gram -> scores."""
+    """languages; tables[0]: word -> row of scores[0], tables[n]: n-gram -> row of scores[n]; a row has a score for each language."""
 
     def __init__(self, languages: list[str], counts: list[tuple[int, str, str, int]]):
         self.languages = languages
         place = {lang: i for i, lang in enumerate(languages)}
-        raw: list[dict[str, np.ndarray]] = [{} for _ in range(GRAM + 1)]
-        for kind, lang, item, n in counts:
-            if lang in place:
-                raw[kind].setdefault(item, np.zeros(len(languages)))[place[lang]] += n
-        self.tables: list[dict[str, np.ndarray]] = []
-        for table in raw:
-            total = sum(table.values(), np.zeros(len(languages)))
-            self.tables.append({k: (np.log(v + SMOOTH) - np.log(total + SMOOTH * max(1, len(table)))).astype(np.float32) for k, v in table.items()})
+        self.tables: list[dict[str, int]] = [{} for _ in range(GRAM + 1)]
+        known = [(kind, place[lang], self.tables[kind].setdefault(item, len(self.tables[kind])), n) for kind, lang, item, n in counts if lang in place]
+        self.scores = []
+        for kind, table in enumerate(self.tables):
+            sums = np.zeros((len(table), max(1, len(languages))))
+            for _, lang, row, n in (k for k in known if k[0] == kind):
+                sums[row, lang] += n
+            # one more item than is known stands for all others
+            self.scores.append((np.log(sums + SMOOTH) - np.log(sums.sum(axis=0) + SMOOTH * (len(table) + 1))).astype(np.float32))
 
     def word(self, word: str) -> np.ndarray:
-        got = self.tables[0].get(word)
-        if got is not None:
-            return got
+        row = self.tables[0].get(word)
+        if row is not None:
+            return self.scores[0][row]
         for n in range(GRAM, 0, -1):
-            known = [s for g in grams(word, n) if (s := self.tables[n].get(g)) is not None]
+            table = self.tables[n]
+            known = [row for g in grams(word, n) if (row := table.get(g)) is not None]
             if known:
-                return sum(known[1:], known[0]) / len(known)
+                return self.scores[n][known].mean(axis=0) if len(known) > 1 else self.scores[n][known[0]]
         return np.zeros(len(self.languages), np.float32)
 
 
@@ -123,11 +127,11 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.width = model, max(1, len(model.languages))
-        self.limit = max(20_000, CACHED_SCORES // self.width)
+        self.limit = max(20_000, min(CACHED_CHUNKS, CACHED_SCORES // self.width))
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.word_scores = Numbers(), {}
+        self.known = Numbers()
         self.scores, self.n_words = np.zeros((1024, self.width), np.float32), np.zeros(1024, np.int64)
 
     def _score(self, chunks: list[str], first: int) -> None:
@@ -137,10 +141,7 @@ class Scorer:
             words = WORD.findall(c)
             self.n_words[i] = len(words)
             for w in words if self.model.languages else []:
-                got = self.word_scores.get(w)
-                if got is None:
-                    got = self.word_scores[w] = self.model.word(w)
-                self.scores[i] += got
+                self.scores[i] += self.model.word(w)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if len(self.known) > self.limit:
@@ -161,6 +162,12 @@ class Scorer:
         return labels, scores
 
 
+@lru_cache(2)
+def worker_scorer(model: Shared) -> Scorer:
+    """One a process and model, so a worker's later tasks find the words of its earlier ones."""
+    return Scorer(model.value)
+
+
 def held_out(id_col: str | Column) -> Column:
     key = F.col(id_col) if isinstance(id_col, str) else id_col
     return F.crc32(key.cast("string")) % 4 == 2
@@ -173,15 +180,14 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     is the share of the language among all, 0 to 1. A null identifier is not held out, and not learned from.
     An empty table gives an empty result. No column but the two is read.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(df.sparkSession.sparkContext.broadcast(model))
     own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = worker_scorer(shared)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in portions([t or "" for t in texts]):
-                labels, scores = scorer.predict(texts[a:b])
+            for a, b, texts in portions(batch.column(2)):
+                labels, scores = scorer.predict(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     out = own.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")

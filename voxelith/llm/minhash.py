@@ -26,8 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxelith.operators.components import components
+
 from .common import BROADCAST_ROWS, Scratch, small
-from .graph import components
 from .wordbpe import Numbers, portions
 
 BANDS, PER_BAND = 42, 6
@@ -141,9 +142,8 @@ def sketch(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in portions(texts):
-                sets = [shingler(t) for t in texts[a:b]]
+            for a, b, texts in portions(batch.column(1)):
+                sets = [shingler(t) for t in texts]
                 n = np.array([len(s) for s in sets])
                 regs = registers(sets)
                 keys = band_keys(regs)

@@ -12,7 +12,7 @@ one array, so a text costs one look-up a character. Beyond that, n-gram counts o
 with the shards and summed (perplexity_joined).
 
 A document is kept if its perplexity lies between two quantiles of its own language, taken over trusted
-documents that the model has not seen, widened by MARGIN.
+documents (the upper one over those that the model has not seen), widened by MARGIN.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, small
+from .common import Scratch, Shared, small
 from .wordbpe import portions
 
 ORDER = 4
@@ -95,9 +95,8 @@ def _gram_counts(symbols: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alphabet = Alphabet(symbols)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in portions(texts):
-                code, n = np.unique(alphabet.grams(texts[a:b])[0], return_counts=True)
+            for _, _, texts in portions(batch.column(0)):
+                code, n = np.unique(alphabet.grams(texts)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"])
 
     return run
@@ -162,41 +161,22 @@ class Model:
 
 
 @lru_cache(2)
-def _laid_out(broadcast_id: int, holder: _Holder) -> tuple[Alphabet, np.ndarray]:
-    model = holder.value.value
-    return Alphabet(model.symbols), model.dense()
-
-
-class _Holder:
-    """A broadcast that lru_cache can take: of equal number, equal."""
-
-    def __init__(self, value, number: int):
-        self.value, self.number = value, number
-
-    def __hash__(self) -> int:
-        return self.number
-
-    def __eq__(self, other) -> bool:
-        return self.number == other.number
-
-
-_SCORED = "log_perplexity double, n_symbols long"
+def _laid_out(model: Shared) -> tuple[Alphabet, np.ndarray]:
+    return Alphabet(model.value.symbols), model.value.dense()
 
 
 def scored(df: DataFrame, model: Model, text_col: str) -> DataFrame:
     """df without its text, with log_perplexity (null without characters) and n_symbols."""
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    number = hash(shared) & 0x7FFFFFFF
+    shared = Shared(spark.sparkContext.broadcast(model))
     others = [c for c in df.columns if c != text_col]
     frame = df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_col), *others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alphabet, log_p = _laid_out(number, _Holder(shared, number))
+        alphabet, log_p = _laid_out(shared)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in portions(texts):
-                code, lengths = alphabet.grams(texts[a:b])
+            for a, b, texts in portions(batch.column(0)):
+                code, lengths = alphabet.grams(texts)
                 ends = np.r_[0, np.cumsum(log_p[code], dtype=np.float64)][np.r_[0, np.cumsum(lengths)]]
                 with np.errstate(invalid="ignore", divide="ignore"):
                     score = -np.diff(ends) / lengths
@@ -236,7 +216,7 @@ def perplexity_joined(df: DataFrame, symbols: list[str], grams: DataFrame, conte
 
 
 def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", trusted_docs: int = TRUSTED_DOCS) -> tuple[Model | None, DataFrame | None, tuple[DataFrame, DataFrame] | None]:
-    """(model, calibration documents (lang, text), its tables) from documents labelled of quality 1 and not toxic.
+    """(model, sample (lang, text, fit), its tables) from documents labelled of quality 1 and not toxic.
 
     Half of the sample is counted, the other half is for calibration; labels that repeat an identifier with another
     verdict count as not trusted. (None, None, None) without trusted documents.
@@ -258,21 +238,24 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "d
     counts = fit.mapInArrow(_gram_counts(symbols), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     grams, contexts = kneser_ney(counts, scratch)
     if grams.count() > BROADCAST_GRAMS:
-        return Model(symbols, (), ()), sample.where("NOT fit"), (grams, contexts)
+        return Model(symbols, (), ()), sample, (grams, contexts)
     arrays = [tuple(c.to_numpy() for c in t.toArrow().columns) for t in (grams, contexts)]
-    return Model(symbols, *arrays), sample.where("NOT fit"), (grams, contexts)
+    return Model(symbols, *arrays), sample, (grams, contexts)
 
 
 def _bounded() -> tuple[Column, Column]:
     """What is compared with the lower and the upper bound."""
-    spread = SPREAD / F.sqrt("n_symbols")
+    spread = F.try_divide(F.lit(SPREAD), F.sqrt("n_symbols"))
     return F.col("log_perplexity") + spread, F.col("log_perplexity") - spread
 
 
 def thresholds(calibration: DataFrame, low: float = LOW, high: float = HIGH, margin: float = MARGIN) -> DataFrame:
-    """(lang, low, high) from scored trusted documents; the row of a null language holds for those with fewer than LEAST_DOCS."""
+    """(lang, low, high) from scored trusted documents; the row of a null language holds for those with fewer than LEAST_DOCS.
+
+    Documents that the model was fitted on (fit) look more predictable than others, so they count for the lower bound only.
+    """
     least, most = _bounded()
-    bounds = (F.count("log_perplexity").alias("k"), (F.percentile(least, F.lit(low)) * (1 - margin)).alias("low"), (F.percentile(most, F.lit(high)) * (1 + margin)).alias("high"))
+    bounds = (F.count("log_perplexity").alias("k"), (F.percentile(least, F.lit(low)) * (1 - margin)).alias("low"), (F.percentile(F.when(~F.col("fit"), most), F.lit(high)) * (1 + margin)).alias("high"))
     own = calibration.where("lang IS NOT NULL").groupBy("lang").agg(*bounds).where(F.col("k") >= LEAST_DOCS)
     return own.union(calibration.agg(F.lit(None).cast("string").alias("lang"), *bounds)).select("lang", "low", "high")
 
@@ -286,10 +269,10 @@ def _judged(docs: DataFrame, labels: DataFrame, carried: list[str], id_col: str,
         out = frame.withColumns({"log_perplexity": F.lit(None).cast("double"), "n_symbols": F.length(F.coalesce("_text", F.lit(""))).cast("long"), "low": F.lit(None).cast("double"), "high": F.lit(None).cast("double")})
         return out.withColumn("kept", F.col("n_symbols") > 0).select(*[F.col(n).alias(c) for c, n in zip(carried, names, strict=True)], "log_perplexity", "n_symbols", "low", "high", "kept")
     if len(model.grams):
-        values, judged = scored(calibration.select("lang", "text"), model, "text"), scored(frame.select(*names, "_lang", "_text"), model, "_text")
+        values, judged = scored(calibration, model, "text"), scored(frame.select(*names, "_lang", "_text"), model, "_text")
     else:
         rows = scratch.store(calibration.withColumn("_id", F.monotonically_increasing_id()))
-        values = rows.join(perplexity_joined(rows, model.symbols, *tables, "_id", "text"), "_id").select("lang", "log_perplexity", "n_symbols")
+        values = rows.join(perplexity_joined(rows, model.symbols, *tables, "_id", "text"), "_id").select("lang", "fit", "log_perplexity", "n_symbols")
         judged = frame.join(perplexity_joined(frame, model.symbols, *tables, "_id", "_text"), "_id", "left")
     bounds = scratch.store(thresholds(values))
     rows = bounds.collect()  # one for each language with calibration documents, so bounded by the sample

@@ -163,13 +163,12 @@ def count(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: s
         model = Unigram(load_pieces(path))
         known, counts, scores = Numbers(), np.zeros(0, np.int64), np.zeros(0)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in portions(texts):
+            for a, b, texts in portions(batch.column(1)):
                 if len(known) > CACHED:
                     known, counts, scores = Numbers(), np.zeros(0, np.int64), np.zeros(0)
                 before = len(known)
                 number = known.__getitem__
-                of = [np.array(list(map(number, WORDS.findall(t) if OTHER_SPACE.search(t) else t.split())), np.int64) for t in texts[a:b]]
+                of = [np.array(list(map(number, WORDS.findall(t) if OTHER_SPACE.search(t) else t.split())), np.int64) for t in texts]
                 fresh = list(known)[before:]
                 for i in range(0, len(fresh), LOT):
                     c, s = model.many([MARK + w for w in fresh[i : i + LOT]])

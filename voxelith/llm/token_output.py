@@ -143,10 +143,9 @@ def write(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([seq], pa.int32()), pa.array([sum(map(len, docs))], pa.int64()), pa.array([n], pa.int64()), pa.array([blob], pa.binary())], names=["shard", "seq", "n_docs", "n_ids", "file"])
 
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             numbers = batch.column(0).fill_null(-1).to_numpy()
-            for a, b in wordbpe.portions(texts):
-                each = encoder.encode(texts[a:b])
+            for a, b, texts in wordbpe.portions(batch.column(1)):
+                each = encoder.encode(texts)
                 if end_id is not None:
                     each = [np.append(x, end_id) for x in each]
                 docs.append(numbers[a:b])

@@ -11,17 +11,19 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: The words of the tokenizer file's pattern, over Latin-1 in lower case.
 LATIN_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\\t-\\r \x85\xa00-9a-zªµºß-öø-ÿ²³¹¼-¾]+")
 #: str.split() takes these for white space; the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 CACHED = 300_000
-CHARS_AT_ONCE = 3_000_000
+BYTES_AT_ONCE = 2_000_000
 
 
 def byte_alphabet() -> list[str]:
@@ -219,13 +221,18 @@ class CachedEncoder:
         return out
 
 
-def portions(texts: list[str]) -> Iterable[tuple[int, int]]:
-    """Ranges of texts of a few million characters, so that what is gathered at once is bounded; a longer text is alone."""
-    start, chars = 0, 0
-    for i, t in enumerate(texts):
-        if chars and chars + len(t) > CHARS_AT_ONCE:
-            yield start, i
-            start, chars = i, 0
-        chars += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+def portions(texts: pa.Array | list[str]) -> Iterator[tuple[int, int, list]]:
+    """(start, stop, texts) in lots of a few million bytes, so that what is made of them at once is bounded; a longer text is alone."""
+    sizes = np.array([len(t) for t in texts]) if isinstance(texts, list) else pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and held + n > BYTES_AT_ONCE:
+            yield start, i, _listed(texts, start, i)
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield start, len(sizes), _listed(texts, start, len(sizes))
+
+
+def _listed(texts: pa.Array | list[str], a: int, b: int) -> list:
+    return texts[a:b] if isinstance(texts, list) else texts.slice(a, b - a).to_pylist()
