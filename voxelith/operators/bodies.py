@@ -56,6 +56,11 @@ def label_index(stats: DataFrame, mapping: DataFrame, block: int) -> DataFrame:
     return inner.groupBy("body").agg(F.map_from_entries(F.collect_list(F.struct("block", "counts"))).alias("blocks"))
 
 
+def body_ids(stats: DataFrame, mapping: DataFrame) -> DataFrame:
+    """The body of each row of block statistics."""
+    return stats.join(mapping.select(F.col("label").alias("segment_id"), "body"), "segment_id", "left").select(F.coalesce("body", "segment_id").alias("body"))
+
+
 def index_rows(index: DataFrame) -> DataFrame:
     """The index as rows: (body, block, segment_id, count)."""
     return index.select("body", F.explode("blocks").alias("block", "counts")).select("body", "block", F.explode("counts").alias("segment_id", "count"))

@@ -16,6 +16,10 @@ from voxelith.sources.scratch import Scratch
 SPLIT_BASE = 1 << 51
 
 
+#: Edges up to which one task finds the components.
+SMALL_GRAPH = 100_000
+
+
 def normalised_edges(df: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """The smaller end first, repeated edges once."""
     return df.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v"), *[c for c in df.columns if c not in (u, v)]).dropDuplicates(["u", "v"])
@@ -23,7 +27,7 @@ def normalised_edges(df: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
 
 def mapping_from_edges(edges: DataFrame, keep_identities: bool = True) -> DataFrame:
     """(label, body): the body is the smallest label of its component."""
-    found = components(edges.select(F.col("u").cast("long"), F.col("v").cast("long")), Scratch(edges.sparkSession, "cc")).toDF("label", "body")
+    found = components(edges.select(F.col("u").cast("long"), F.col("v").cast("long")), Scratch(edges.sparkSession, "cc"), SMALL_GRAPH).toDF("label", "body")
     return found if keep_identities else found.where("label <> body")
 
 
@@ -143,7 +147,7 @@ def connected_voxels(df: DataFrame, value: str, shape: tuple[int, int, int], key
         w = Window.partitionBy(*keys, value, *[o for o in AXES if o != a]).orderBy(a)
         part = own.select(F.col("_id").alias("u"), F.lead("_id").over(w).alias("v"), (F.lead(a).over(w) - F.col(a)).alias("d")).where("d = 1").select("u", "v")
         pairs = part if pairs is None else pairs.union(part)
-    found = components(pairs, Scratch(df.sparkSession, "voxels")).toDF("_id", "component")
+    found = components(pairs, Scratch(df.sparkSession, "voxels"), SMALL_GRAPH).toDF("_id", "component")
     return own.join(found, "_id", "left").withColumn("component", F.coalesce("component", "_id")).drop("_id")
 
 

@@ -44,6 +44,23 @@ def run_step(df: DataFrame, name: str, value: str, out: str, block: int, **param
     return keyed.groupBy("bz", "by", "bx").applyInArrow(apply, f"z long, y long, x long, bz long, by long, bx long, {out} double")
 
 
+def run_keyed(df: DataFrame, steps: list[tuple[str, dict]], value: str) -> DataFrame:
+    """Steps on blocks that are keyed already (bz, by, bx, in_halo), halo included: with label, a whole number."""
+    keyed = df.select("z", "y", "x", "bz", "by", "bx", "in_halo", F.col(value).cast("double").alias("_in"))
+
+    def apply(t: pa.Table) -> pa.Table:
+        at = [t.column(a).to_numpy() for a in AXES]
+        place = tuple(a - a.min() for a in at)
+        dense = np.zeros([int(p.max()) + 1 for p in place])
+        dense[place] = t.column("_in").to_numpy()
+        for name, parameters in steps:
+            dense = np.asarray(STEPS[name](dense, **parameters), np.float64)
+        kept = {c: t.column(c) for c in ("z", "y", "x", "bz", "by", "bx", "in_halo")}
+        return pa.table({**kept, "label": pa.array(dense[place].astype(np.int64))})
+
+    return keyed.groupBy("bz", "by", "bx").applyInArrow(apply, "z long, y long, x long, bz long, by long, bx long, in_halo boolean, label long")
+
+
 def segment(df: DataFrame, value: str, block: int, steps: list[tuple[str, dict]]) -> DataFrame:
     """The steps one after the other, each on what the one before gave."""
     for i, (name, parameters) in enumerate(steps):

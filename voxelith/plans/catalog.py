@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxelith.functions import grid
-from voxelith.operators import bodies, graph, overlap, segmentation, volume
+from voxelith.operators import bodies, graph, overlap, segmentation, tiles, volume
+from voxelith.plans import workflows
 from voxelith.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -845,3 +846,66 @@ def _(s, d):
 @query("mesh_smoothed")
 def _(s, d):
     return segmentation.smoothed(segmentation.faces(fx.dense(s).where("label IN (1, 8)"), "label"))
+
+
+# -- tiles, sources and streams
+
+
+@query("tile_pixels", fx.with_("dense") + """
+SELECT 'xy' AS plane, z AS slice, y // 10 AS "row", x // 10 AS col, CAST(sum(label) AS BIGINT) AS total, count(*) AS n FROM dense GROUP BY 1, 2, 3, 4
+UNION ALL SELECT 'xz', y, z // 10, x // 10, CAST(sum(label) AS BIGINT), count(*) FROM dense GROUP BY 1, 2, 3, 4
+UNION ALL SELECT 'yz', x, z // 10, y // 10, CAST(sum(label) AS BIGINT), count(*) FROM dense GROUP BY 1, 2, 3, 4""")
+def _(s, d):
+    return tiles.pixels(fx.dense(s), "label", 10).groupBy("plane", "slice", "row", "col").agg(F.sum("value").alias("total"), F.count("*").alias("n"))
+
+
+@query("tile_pyramid")
+def _(s, d):
+    return tiles.pyramid(fx.dense(s).withColumn("v", F.col("label") * 20), "v", 16, 2)
+
+
+@query("data_source", fx.with_("dense") + "SELECT z, y, x, label FROM dense")
+def _(s, d):
+    from voxelith.sources import volume_source
+
+    volume_source.register(s)
+    return s.read.format("voxelith").option("shape", "24,24,24").option("block", "10").load()
+
+
+@query("stream_windows", "SELECT CAST(epoch(time_bucket(INTERVAL '1 hour', ts)) AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def _(s, d):
+    import uuid
+
+    from voxelith.sources.scratch import shared_dir
+    from voxelith.streaming import events
+
+    schema = s.read.parquet(f"{d}/events.parquet").schema
+    stream = events.read_stream(s, f"{d}/events.parquet*", schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    name = f"windows_{uuid.uuid4().hex}"
+    out = events.finish(events.windowed_counts(stream, "ts", "event_type", "1 hour", "1 day"), f"{shared_dir(s)}/{name}", name)
+    return out.select(F.unix_timestamp("start").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+# -- workflows
+
+
+@query("wf_copy_segmentation", fx.with_("voxels", "mapping", more=mode_sql("base", "seg", 2.0).replace("counted AS", "base AS (SELECT z + 1 AS z, y, x - 2 AS x, coalesce(body, seg) AS seg FROM voxels LEFT JOIN mapping ON label = seg), counted AS", 1)) + "SELECT z, y, x, seg, 0 AS scale FROM base UNION ALL SELECT z, y, x, label, 1 FROM moded WHERE r = 1")
+def _(s, d):
+    return workflows.copy_segmentation(fx.voxels(s, d), "seg", BLOCK, (1, 0, -2), fx.mapping(s, d), None, 1)["voxels"]
+
+
+@query("wf_sample_points", fx.with_("voxels", "points", more=mode_sql("voxels", "seg", 2.0)) + "SELECT point_id, p.z, p.y, p.x, coalesce(m.label, 0) AS label FROM points p LEFT JOIN moded m ON r = 1 AND m.z = p.z // 2 AND m.y = p.y // 2 AND m.x = p.x // 2")
+def _(s, d):
+    coarse = volume.downsample_mode(fx.voxels(s, d), 2, "seg")
+    return workflows.sample_points(fx.points(s, d), coarse, "seg", 1)["points"].select("point_id", "z", "y", "x", "label")
+
+
+@query("wf_create_segmentation")
+def _(s, d):
+    g = fx.dense(s).withColumn("v", F.when(F.col("label") == 0, 0).otherwise(200))
+    return workflows.create_segmentation(g, "v", 12, [("membranes", {}), ("seeded-watershed", {"threshold": 0.5})], "simple", 1)["voxels"]
+
+
+@query("wf_mesh_groups", fx.with_("voxels", "mapping", more=f"{SEGMENTS},\n{BODY}") + 'SELECT segment, body, CAST(floor(body / 100.0) * 100 AS BIGINT) AS "group" FROM stats WHERE voxel_count >= 100 AND body_voxels >= 500')
+def _(s, d):
+    return workflows.create_meshes(fx.voxels(s, d), "seg", fx.mapping(s, d), BLOCK, 100, 500, "hundreds")["groups"]
