@@ -73,7 +73,7 @@ def vi_bodies(over: DataFrame, threshold: int = 0) -> DataFrame:
 def top(df: DataFrame, order: str, k: int, keys: tuple[str, ...] = (), ident: str = "body") -> DataFrame:
     """The k largest of each key, the larger identifier first among equals, with their rank."""
     w = Window.partitionBy(*keys).orderBy(F.desc(order), F.desc(ident))
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return df.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 
 def pairs_of(n: Column) -> Column:

@@ -158,7 +158,7 @@ def boxes(start: tuple, stop: tuple, grid: Grid, spark) -> DataFrame:
 def subvolumes(roi: DataFrame, ratio: int) -> DataFrame:
     """(sv, cz, cy, cx, blocks): subvolumes of ratio^3 blocks that have any block of the region, numbered from 0 in order."""
     found = roi.groupBy(*[cell("b" + a, ratio).alias("c" + a) for a in AXES]).agg(F.count_distinct("bz", "by", "bx").alias("blocks"))
-    return found.withColumn("sv", F.row_number().over(Window.orderBy("cz", "cy", "cx")) - 1)
+    return found.withColumn("sv", F.row_number().over(Window.orderBy("cz", "cy", "cx")).cast("long") - 1)
 
 
 def interior(subvols: DataFrame, ratio: int) -> DataFrame:
