@@ -134,6 +134,7 @@ def test_components(spark, seed):
     edges = [(u, v) for u, v in edges if u != v]
     df = spark.createDataFrame(edges, "u long, v long")
     assert dict(rows(components.components(df, Scratch(spark, "t")))) == brute_components(edges)
+    assert dict(rows(components.components(df, Scratch(spark, "t"), small=1000))) == brute_components(edges)
 
 
 def test_components_of_nothing(spark):
