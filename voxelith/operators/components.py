@@ -59,9 +59,10 @@ def components(edges: DataFrame, scratch: Scratch, small: int = 0) -> DataFrame:
         return now.groupBy().applyInArrow(_in_one_task, "node long, component long")
     sign = _signature(now)
     for _ in range(MAX_ROUNDS):
-        middle = scratch.store(_large_star(now, scratch))
-        after = scratch.store(_small_star(middle, scratch))
-        scratch.free(now, middle)
+        step = Scratch(scratch.spark, "step")
+        after = scratch.store(_small_star(step.store(_large_star(now, step)), step))
+        step.clear()
+        scratch.free(now)
         now, before, sign = after, sign, _signature(after)
         if sign == before:
             break

@@ -31,9 +31,14 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def clear(self) -> None:
+        """Everything that was stored here."""
+        self._delete(self.root)
+
+    def _delete(self, where: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def free(self, *frames: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            path.getFileSystem(conf).delete(path, True)
+            self._delete(df._scratch_path)
