@@ -12,7 +12,6 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordbpe
-from .common import Scratch, Shared
+from .common import Scratch, Shared, stateless, worker_state
 from .lexicon import Lexicon, build
 
 #: Words in the lexicon: bounds what the driver collects and broadcasts (a few MB).
 LEXICON_WORDS = 65_536
-COUNTED_AT_ONCE = 200_000
+COUNTED_AT_ONCE = 150_000
 
 
 def default_path() -> str:
@@ -61,7 +60,7 @@ class Codec:
     def __init__(self, path: str, lexicon: bytes | None = None):
         self.vocabulary = wordbpe.Vocabulary(path)
         self.lexicon = Lexicon.mapped(lexicon) if lexicon else None
-        self.splitter = Splitter(self.vocabulary)
+        self.splitter: Splitter | None = None  # made for the first text that needs it
         self.cache = wordbpe.CachedEncoder(self.vocabulary.special, lambda words: self.words([w.encode() for w in words]), self.odd)
 
     def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -81,6 +80,7 @@ class Codec:
         return rows.gather(number)
 
     def odd(self, text: str) -> np.ndarray:
+        self.splitter = self.splitter or Splitter(self.vocabulary)
         items = list(self.splitter(text))
         words = [x for x in items if isinstance(x, bytes)]
         if not words:
@@ -96,18 +96,17 @@ class Codec:
         return " ".join(self.vocabulary.tokens[ids].tolist())
 
 
-@lru_cache(2)
 def worker_codec(path: str, blob: Shared) -> Codec:
-    """One a process and lexicon, so a worker's later tasks find the words of its earlier ones."""
-    return Codec(path, blob.value)
+    """A worker's later tasks find the words of its earlier ones."""
+    return worker_state(("bpe", path, blob), lambda: Codec(path, blob.value))
 
 
 def word_counts(df: DataFrame, text_col: str, path: str) -> DataFrame:
     """(word binary, n) over all texts: counted within partitions first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = wordbpe.Vocabulary(path)
-        splitter = Splitter(vocabulary)
+        stateless()
+        vocabulary, splitter = wordbpe.Vocabulary(path), None
         chunks, odd = Counter(), Counter()
 
         def flush() -> pa.RecordBatch:
@@ -125,6 +124,7 @@ def word_counts(df: DataFrame, text_col: str, path: str) -> DataFrame:
                 if wordbpe.is_latin(t, vocabulary.special):
                     chunks.update(t.lower().split())
                 else:
+                    splitter = splitter or Splitter(vocabulary)
                     odd.update(w for w in splitter(t) if isinstance(w, bytes))
                 if len(chunks) + len(odd) > COUNTED_AT_ONCE:
                     yield flush()

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelith.sources.scratch import Scratch
 
-__all__ = ["BROADCAST_ROWS", "SPACE", "WORD", "Scratch", "Shared", "normalised", "partitions", "small", "table", "word_count"]
+__all__ = ["BROADCAST_ROWS", "SPACE", "WORD", "Scratch", "Shared", "normalised", "partitions", "small", "stateless", "table", "word_count", "worker_state"]
 
 #: White space of the query contracts; a word is a run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -24,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Shared:
-    """A broadcast as a key of lru_cache: equal if it is the same one, in whichever task it was unpickled."""
+    """A broadcast as a key of worker_state: equal if it is the same one, in whichever task it was unpickled."""
 
     def __init__(self, broadcast):
         self.broadcast, self.key = broadcast, uuid.uuid4().hex
@@ -40,6 +46,33 @@ class Shared:
         return isinstance(other, Shared) and self.key == other.key
 
 
+_state: list = [None, None]
+
+
+def worker_state(key: tuple, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps for its later tasks: the state of one operator at a time; that of another gives way first."""
+    if _state[0] != key:
+        _state[:] = None, None
+        release()
+        _state[:] = key, make()
+    return _state[1]
+
+
+def stateless() -> None:
+    """For operators that keep nothing: what another one kept goes."""
+    if _state[0] is not None:
+        _state[:] = None, None
+    release()
+
+
+def release() -> None:
+    """Gives memory that Python has freed back to the system, where the C library can."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+    pa.default_memory_pool().release_unused()
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, normalised, partitions, small
+from .common import Scratch, normalised, partitions, small, stateless
 
 #: Characters of a text in a splitter.
 SPLITTER_CHARS = 48
@@ -54,6 +54,7 @@ def _runs(carried: pa.Schema, only_first: bool):
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stateless()
         open_rows: list[pa.RecordBatch] = []
         raw: bytes | None = None
         first_run = True

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared
+from .common import Shared, worker_state
 from .wordbpe import Numbers, portions
 
 MAX_LANGUAGES = 256
@@ -31,7 +30,7 @@ GRAM = 5
 SMOOTH = 0.5
 UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-CACHED_CHUNKS, CACHED_SCORES = 300_000, 4_000_000
+CACHED_CHUNKS, CACHED_SCORES = 200_000, 4_000_000
 COUNTED_AT_ONCE = 200_000
 
 
@@ -162,10 +161,9 @@ class Scorer:
         return labels, scores
 
 
-@lru_cache(2)
 def worker_scorer(model: Shared) -> Scorer:
-    """One a process and model, so a worker's later tasks find the words of its earlier ones."""
-    return Scorer(model.value)
+    """A worker's later tasks find the words of its earlier ones."""
+    return worker_state(("langid", model), lambda: Scorer(model.value))
 
 
 def held_out(id_col: str | Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import progressive_jpeg as pj
+from .common import stateless
 
 #: Bytes of media that go to the JVM at once.
 BATCH_BYTES = 8_000_000
@@ -27,6 +28,7 @@ def stored(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stateless()
         for batch in batches:
             ids, sizes, media, held = [], [], [], 0
 

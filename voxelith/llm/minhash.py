@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from voxelith.operators.components import components
 
-from .common import BROADCAST_ROWS, Scratch, small
+from .common import Scratch, small, worker_state
 from .wordbpe import Numbers, portions
 
 BANDS, PER_BAND = 42, 6
@@ -40,7 +40,7 @@ SLACK = 4.5
 #: Estimated similarity with its hub from which a document belongs to the hub's cluster.
 CLUSTER = 0.5
 BLOCK = 512
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -140,7 +140,7 @@ def sketch(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame
     own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(shingle)
+        shingler = worker_state(("minhash", shingle), lambda: Shingler(shingle))
         for batch in batches:
             for a, b, texts in portions(batch.column(1)):
                 sets = [shingler(t) for t in texts]
@@ -178,7 +178,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scr
     """Pairs (a, b) whose full sets reach the threshold. docs: (doc_id, text); of rows that share an identifier any pair of texts counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(shingle)
+        shingler = worker_state(("minhash", shingle), lambda: Shingler(shingle))
         last, last_set = None, None
         for batch in batches:
             a, b, ok = batch.column(0), batch.column(1), []
@@ -217,7 +217,7 @@ def _rest(members: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
     against = with_text.select("cluster", every.alias("mine"), block.alias("other"), F.lit(False).alias("left"), "rep", "component", "text")
 
     def run(table: pa.Table) -> pa.Table:
-        shingler = Shingler(shingle)
+        shingler = worker_state(("minhash", shingle), lambda: Shingler(shingle))
         left = table.column("left").to_numpy()
         a, b = [], []
         if left.any() and not left.all():
@@ -270,9 +270,9 @@ def links(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int,
     open_clusters = scratch.store(sizes.where("parts > 1 AND size > 2").select("cluster", F.col("top.component").alias("main"), "size"))
     rest = scratch.store(parts.join(open_clusters, "cluster"))
     more = scratch.store(_rest(small(rest, rest.count()), docs, shingle, percent))
-    if more.isEmpty():
-        return members, first
-    return members, components(found.union(more).toDF("u", "v"), scratch)
+    linked_nodes = first if more.isEmpty() else components(found.union(more).toDF("u", "v"), scratch)
+    scratch.free(classes, star, ends, regs, judged, found, parts, open_clusters, rest, more)
+    return members, linked_nodes
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
@@ -295,6 +295,8 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
     """The rows that stay, with all columns: of each component those of the smallest identifier."""
     scratch = scratch or Scratch(df.sparkSession, "minhash")
-    gone = scratch.store(groups(df, id_col, text_col, shingle, percent, scratch).where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct())
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    return df.join(side, F.col(f"`{id_col}`").cast("long") == F.col("_gone"), "left_anti")
+    name = "_gone"
+    while name in df.columns:
+        name += "_"
+    gone = scratch.store(groups(df, id_col, text_col, shingle, percent, scratch).where(~F.col("kept")).select(F.col(id_col).alias(name)).distinct())
+    return df.join(small(gone, gone.count()), F.col(f"`{id_col}`").cast("long") == F.col(name), "left_anti")

@@ -61,7 +61,7 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int
     """
     scratch = scratch or Scratch(docs.sparkSession, "mix")
     ranges = scratch.store(docs.groupBy("_source", F.substring("_h", 1, 3).alias("_range")).agg(F.sum("_size").alias("_n")))
-    sources = scratch.store(shares(ranges.groupBy("_source").agg(F.sum("_n").alias("_total")), weights, max_epochs))
+    sources = written = scratch.store(shares(ranges.groupBy("_source").agg(F.sum("_n").alias("_total")), weights, max_epochs))
     count = sources.count()
     whole = F.when(F.col("_total") > 0, F.floor(F.col("_target") / F.col("_total"))).otherwise(F.lit(0))
     sources = sources.withColumn("_whole", whole.cast("long")).withColumn("_rest", F.col("_target") - F.col("_whole") * F.col("_total")).withColumnRenamed("_source", "_of")
@@ -85,7 +85,9 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int
         .groupBy(F.col("_of").alias("_of2")).agg(F.max(key).alias("_last"))
     )
     out = met.join(small(last, count), F.col("_of").eqNullSafe(F.col("_of2")), "left").drop("_of2")
-    return scratch.store(out), count
+    out = scratch.store(out)
+    scratch.free(ranges, written, met)
+    return out, count
 
 
 def repetitions() -> Column:

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, Shared, small
+from .common import Scratch, Shared, small, worker_state
 from .wordbpe import portions
 
 ORDER = 4
@@ -145,24 +144,21 @@ class Model:
 
     def dense(self) -> np.ndarray:
         """Natural log of the probability of each ORDER-gram's last symbol, seen or not."""
-        p = np.full(1, 1 / SYMBOLS, np.float32)
+        p = np.full((1, SYMBOLS), 1 / SYMBOLS, np.float32)
         for k in range(1, ORDER + 1):
             gamma = np.ones(SYMBOLS ** (k - 1), np.float32)
             at = self.contexts[0] == k
             gamma[self.contexts[1][at]] = self.contexts[2][at]
-            # contexts without their first symbol repeat the lower order
-            below = p if k == 1 else np.tile(p, (SYMBOLS if k > 1 else 1, 1)).reshape(SYMBOLS ** (k - 1), -1) if k > 2 else np.broadcast_to(p, (SYMBOLS, SYMBOLS))
-            now = np.multiply(below, gamma[:, None]) if k > 1 else np.full((1, SYMBOLS), gamma[0] / SYMBOLS, np.float32)
-            now = np.ascontiguousarray(now, np.float32).reshape(-1)
+            # what follows a context that was not seen is what follows it without its first symbol
+            now = (gamma.reshape(-1, len(p), 1) * p).reshape(-1)
             at = self.grams[0] == k
             now[self.grams[1][at]] = self.grams[2][at]
-            p = now.reshape(-1, SYMBOLS) if k > 1 else now
-        return np.log(p.reshape(-1))
+            p = now.reshape(-1, SYMBOLS)
+        return np.log(now, out=now)
 
 
-@lru_cache(2)
 def _laid_out(model: Shared) -> tuple[Alphabet, np.ndarray]:
-    return Alphabet(model.value.symbols), model.value.dense()
+    return worker_state(("quality", model), lambda: (Alphabet(model.value.symbols), model.value.dense()))
 
 
 def scored(df: DataFrame, model: Model, text_col: str) -> DataFrame:

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stateless
+
 #: Characters around a part within which a complement counts.
 REACH = 200
 #: Bits a character that a token without keyword needs.
@@ -129,6 +131,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: i
     own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stateless()
         for batch in batches:
             counts, digests, every = [], [], []
             for t in batch.column(1):

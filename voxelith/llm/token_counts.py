@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stateless
 from .wordbpe import Numbers, portions
 
 MARK = "▁"
@@ -29,7 +30,7 @@ WORDS = re.compile("[^\x20\x09-\x0d]+")
 #: str.split() parts words here too, the contracts don't.
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 TRIE_CHARS = 48
-CACHED = 400_000
+CACHED = 200_000
 LOT = 40_000
 BYTE_PENALTY = 10.0
 BYTE_PIECE = re.compile("<0x[0-9A-F]{2}>")
@@ -160,6 +161,7 @@ def count(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: s
     own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stateless()
         model = Unigram(load_pieces(path))
         known, counts, scores = Numbers(), np.zeros(0, np.int64), np.zeros(0)
         for batch in batches:
