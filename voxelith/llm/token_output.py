@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +24,13 @@ from pyspark.sql import functions as F
 
 from . import wordbpe
 from .bpe_codec import default_path
-from .common import Scratch, partitions, small
+from .common import Scratch, partitions, small, worker_state
 
 MAGIC = b"VXTOKEN1"
 BLOCK_IDS = 65_536
 FILE_IDS = 2_000_000
 END_ID = 1
-WORDS_AT_ONCE = 4_000
+CACHED = 500_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -100,30 +99,25 @@ class LibraryEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = wordbpe.Vocabulary(path)
-        suffix = self.vocabulary.suffix
-        self.ends_word = np.array([t.endswith(suffix) for t in self.vocabulary.tokens])
-        self.cache = wordbpe.CachedEncoder(self.vocabulary.special, self.words, self.whole)
+        self.model = self.tokenizer.model
+        self.cache = wordbpe.CachedEncoder(self.vocabulary.special, self.words, self.whole, CACHED)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Words in lots, spaces between them: each ends with a token that ends a word."""
-        lots = [" ".join(words[i : i + WORDS_AT_ONCE]) for i in range(0, len(words), WORDS_AT_ONCE)]
-        ids = np.concatenate([self.whole(x) for x in lots])
-        ends = np.flatnonzero(self.ends_word[ids])
-        if len(ends) != len(words):
-            raise ValueError("a word was split by the pre-tokenizer")
-        return np.diff(np.r_[-1, ends]), ids
+        """The library's model on words that are normalised and split already."""
+        model, spelt = self.model.tokenize, self.vocabulary.byte_level
+        each = [[t.id for t in model(spelt(w))] for w in words]
+        return np.array([len(x) for x in each], np.int64), np.array([i for x in each for i in x], np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self.cache.encode(texts)
 
 
-@lru_cache(2)
 def worker_encoder(path: str) -> LibraryEncoder:
-    """One a process, so a worker's later tasks find the words of its earlier ones."""
-    return LibraryEncoder(path)
+    """A worker's later tasks find the words of its earlier ones."""
+    return worker_state(("tokens", path), lambda: LibraryEncoder(path))
 
 
 def write(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int | None = END_ID) -> DataFrame:

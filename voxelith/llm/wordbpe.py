@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 LATIN_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\\t-\\r \x85\xa00-9a-zªµºß-öø-ÿ²³¹¼-¾]+")
 #: str.split() takes these for white space; the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-CACHED = 300_000
+CACHED = 200_000
 BYTES_AT_ONCE = 2_000_000
 
 
@@ -45,6 +45,7 @@ class Vocabulary:
         for t, i in [*self.ids.items(), *self.special.items()]:
             self.tokens[i] = t
         alphabet = byte_alphabet()
+        self.spelling = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(256)}  # only words of Latin-1 are spelt
         self.byte = np.array([self.ids[c] for c in alphabet], np.int32)
         self.last_byte = np.array([self.ids[c + self.suffix] for c in alphabet], np.int32)
         left = np.array([self.ids[a] for a, _ in model["merges"]], np.int64)
@@ -110,6 +111,10 @@ class Vocabulary:
         order = np.argsort(of, kind="stable")
         return np.bincount(of, minlength=len(words)), ids[order]
 
+    def byte_level(self, word: str) -> str:
+        """The word as the vocabulary's tokens spell it."""
+        return word if word.isascii() and word.isprintable() else word.translate(self.spelling)
+
 
 def is_latin(text: str, special: Iterable[str]) -> bool:
     try:
