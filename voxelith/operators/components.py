@@ -11,16 +11,16 @@ from voxelith.sources.scratch import Scratch
 MAX_ROUNDS = 60
 
 
-def _large_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
+def _large_star(edges: DataFrame, scratch: Scratch, rows: int) -> DataFrame:
     """Larger neighbours of a node go to the smallest of its neighbours and itself."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = scratch.store(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+    least = scratch.store(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), rows)
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
+def _small_star(edges: DataFrame, scratch: Scratch, rows: int) -> DataFrame:
     """A node and its smaller neighbours go to the smallest of those. edges: u > v."""
-    least = scratch.store(edges.groupBy("u").agg(F.min("v").alias("m")))
+    least = scratch.store(edges.groupBy("u").agg(F.min("v").alias("m")), rows)
     moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -47,20 +47,21 @@ def _in_one_task(t: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(nodes, pa.int64()), "component": pa.array([find(x) for x in nodes], pa.int64())})
 
 
-def components(edges: DataFrame, scratch: Scratch, small: int = 0) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, small: int = 0, rows: int | None = None) -> DataFrame:
     """(node, component): the smallest node reachable, for each node with an edge. edges: u, v of type long.
 
     A step aggregates by node, writes the minima and joins them back, so a node with very many edges is one row on one
     side of a join whose other side Spark can split. Every step is a written table. A graph of at most `small` edges,
-    counted first, takes one task instead of those steps.
+    counted first, takes one task instead of those steps. rows: how many edges there are at most, if that is known.
     """
-    now = scratch.store(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = scratch.store(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), rows)
     if small and now.count() <= small:
         return now.groupBy().applyInArrow(_in_one_task, "node long, component long")
     sign = _signature(now)
     for _ in range(MAX_ROUNDS):
         step = Scratch(scratch.spark, "step")
-        after = scratch.store(_small_star(step.store(_large_star(now, step)), step))
+        rows = sign[0]
+        after = scratch.store(_small_star(step.store(_large_star(now, step, rows), rows), step, rows), rows)
         step.clear()
         scratch.free(now)
         now, before, sign = after, sign, _signature(after)

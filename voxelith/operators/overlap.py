@@ -109,13 +109,19 @@ def _sizes(over: DataFrame, side: str) -> DataFrame:
 
 
 def bodies_to_reach(over: DataFrame, percents: tuple[int, ...] = (50, 75, 90)) -> DataFrame:
-    """(percent, gt_bodies, seg_bodies, diff): how many bodies, largest first, hold that share of the ground truth; all if it isn't reached."""
+    """(percent, gt_bodies, seg_bodies, diff): how many bodies, largest first, hold that share of the ground truth; all if it isn't reached.
+
+    Bodies of one size are alike here, so the running sum goes over the distinct sizes, of which there are few.
+    """
     total = over.agg(F.sum("n").alias("total"))
 
     def reach(side: str) -> DataFrame:
-        w = Window.orderBy(F.desc("size"), F.desc("body"))
-        run = _sizes(over, side).withColumn("rank", F.row_number().over(w)).withColumn("sum", F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, 0))).join(F.broadcast(total))
-        return run.agg(*[F.coalesce(F.min(F.when(F.col("sum") * 100 >= F.col("total") * p, F.col("rank"))), F.count("*")).alias(f"p{p}") for p in percents])
+        before = Window.orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+        sizes = _sizes(over, side).groupBy("size").agg(F.count("*").alias("k"))
+        run = sizes.withColumns({"held": F.coalesce(F.sum(F.col("size") * F.col("k")).over(before), F.lit(0)), "bodies": F.coalesce(F.sum("k").over(before), F.lit(0))})
+        run = run.join(F.broadcast(total))  # one row
+        more = lambda p: F.greatest(F.lit(0), F.ceil((F.col("total") * p - F.col("held") * 100) / (F.col("size") * 100)))
+        return run.agg(*[F.coalesce(F.min(F.when(more(p) <= F.col("k"), F.col("bodies") + more(p))), F.sum("k")).cast("long").alias(f"p{p}") for p in percents])
 
     stack = "stack({}, {}) AS (percent, {})"
     rows = lambda side: reach(side).selectExpr(stack.format(len(percents), ", ".join(f"{p}, p{p}" for p in percents), f"{side}_bodies"))

@@ -17,15 +17,22 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Of tables of a known size.
+ROWS_PER_FILE = 10_000
+
+
 class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
 
-    def store(self, df: DataFrame) -> DataFrame:
+    def store(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """rows: about how many there are at most, where that is known; then a small table is not spread over many files."""
         self.n += 1
         path = f"{self.root}/{self.n}"
+        if rows is not None:
+            df = df.coalesce(1 + rows // ROWS_PER_FILE)
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
