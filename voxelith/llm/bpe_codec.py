@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordbpe
-from .common import Scratch, Shared, stateless, worker_state
+from .common import Scratch, Shared, short_batches, stateless, worker_state
 from .lexicon import Lexicon, build
 
 #: Words in the lexicon: bounds what the driver collects and broadcasts (a few MB).
@@ -130,7 +130,7 @@ def word_counts(df: DataFrame, text_col: str, path: str) -> DataFrame:
                     yield flush()
         yield flush()
 
-    counted = df.select(F.col(text_col).cast("string")).mapInArrow(run, "word binary, n long")
+    counted = short_batches(df).select(F.col(text_col).cast("string")).mapInArrow(run, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -166,7 +166,7 @@ def encoded(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     path = path or default_path()
     spark = df.sparkSession
     blob = Shared(spark.sparkContext.broadcast(lexicon(df, text_col, path, lexicon_words)))
-    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    own = short_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())] + ([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

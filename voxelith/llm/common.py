@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from voxelith.sources.scratch import Scratch
 
-__all__ = ["BROADCAST_ROWS", "SPACE", "WORD", "Scratch", "Shared", "normalised", "partitions", "small", "stateless", "table", "word_count", "worker_state"]
+__all__ = ["BROADCAST_ROWS", "SPACE", "WORD", "Scratch", "Shared", "normalised", "partitions", "short_batches", "small", "stateless", "table", "word_count", "worker_state"]
 
 #: White space of the query contracts; a word is a run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -29,6 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Documents that go to a Python worker at once. Spark's own bound of 10,000 rows holds tens of MB of text several times over,
+#: in the executor's process and in the worker's.
+BATCH_ROWS = 1_000
+
+
+def short_batches(df: DataFrame) -> DataFrame:
+    """df, once its session sends Python no more than BATCH_ROWS rows at once; a lower bound of the session's own stays."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 class Shared:
     """A broadcast as a key of worker_state: equal if it is the same one, in whichever task it was unpickled."""
 
@@ -73,8 +86,18 @@ def release() -> None:
     pa.default_memory_pool().release_unused()
 
 
-def partitions(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: Bytes of input for each partition of a sort of whole texts, and partitions at most: each adds to the sample that the
+#: driver takes for the splitters. Beyond them partitions get larger, and the external sort spills.
+SORT_BYTES, SORT_PARTITIONS = 256 << 20, 20_000
+#: Spark's estimate for what it knows nothing about is larger.
+UNKNOWN_SIZE = 1 << 53
+
+
+def partitions(df: DataFrame) -> int:
+    """Partitions of a sort of df: by its size as Spark estimates it, the session's number at least."""
+    least = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return least if size > UNKNOWN_SIZE else max(least, min(SORT_PARTITIONS, -(-size // SORT_BYTES)))
 
 
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, normalised, partitions, small, stateless
+from .common import Scratch, normalised, partitions, short_batches, small, stateless
 
 #: Characters of a text in a splitter.
 SPLITTER_CHARS = 48
@@ -94,11 +94,10 @@ def _runs(carried: pa.Schema, only_first: bool):
 
 
 def _sorted_runs(df: DataFrame, id_col: str, text_col: str, carried: list[str], only_first: bool) -> tuple[DataFrame, int]:
-    spark = df.sparkSession
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    source = df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{id_col}`").cast("long").alias("_id"), normalised(F.col(f"`{text_col}`")).alias("_norm"))
-    n = partitions(spark)
+    source = short_batches(df).select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{id_col}`").cast("long").alias("_id"), normalised(F.col(f"`{text_col}`")).alias("_norm"))
+    n = partitions(df)
     # the splitters are sampled from keys of a bounded length, since the sample goes to the driver: what a text begins
     # with, then a hash that parts texts with the same beginning, then the identifier that parts equal texts
     source = source.withColumns({"_begin": F.substring("_norm", 1, SPLITTER_CHARS), "_hash": F.xxhash64("_norm")})

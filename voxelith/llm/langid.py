@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, worker_state
+from .common import Shared, short_batches, worker_state
 from .wordbpe import Numbers, portions
 
 MAX_LANGUAGES = 256
@@ -99,7 +99,7 @@ class Model:
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_language: int = DOCS_PER_LANGUAGE, kept: int = KEPT) -> Model:
     """docs: those to learn from. Null languages and texts teach nothing."""
-    labelled = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).cast("string").alias("_text")).where("_lang IS NOT NULL AND _text IS NOT NULL")
+    labelled = short_batches(docs).select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).cast("string").alias("_text")).where("_lang IS NOT NULL AND _text IS NOT NULL")
     sizes = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect()
     languages = [r["_lang"] for r in sizes]
     if not languages:
@@ -179,7 +179,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     An empty table gives an empty result. No column but the two is read.
     """
     shared = Shared(df.sparkSession.sparkContext.broadcast(model))
-    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    own = short_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = worker_scorer(shared)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import progressive_jpeg as pj
-from .common import stateless
+from .common import short_batches, stateless
 
 #: Bytes of media that go to the JVM at once.
 BATCH_BYTES = 8_000_000
@@ -25,7 +25,7 @@ def padded(raw: bytes) -> bytes:
 
 def stored(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, media): the text in UTF-8, null as empty, padded and stored as the coefficients of a progressive JPEG file."""
-    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    own = short_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stateless()

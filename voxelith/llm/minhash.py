@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from voxelith.operators.components import components
 
-from .common import Scratch, small, worker_state
+from .common import Scratch, short_batches, small, worker_state
 from .wordbpe import Numbers, portions
 
 BANDS, PER_BAND = 42, 6
@@ -137,7 +137,7 @@ def promising(similarity: np.ndarray, k: np.ndarray, n_a: np.ndarray, n_b: np.nd
 
 def sketch(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(doc_id, n, print, regs, keys): number of shingles, digest of the set, registers and band keys (empty without shingles)."""
-    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    own = short_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = worker_state(("minhash", shingle), lambda: Shingler(shingle))
@@ -174,7 +174,7 @@ def _estimated(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(run, "a long, b long, may_link boolean, near boolean")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scratch: Scratch, rows: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold. docs: (doc_id, text); of rows that share an identifier any pair of texts counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +191,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scr
             yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
     # texts are looked up once for both ends: a document goes to the pairs in which it is a, and once to its own as b
-    ends = scratch.store(pairs.select(F.col("a").alias("doc_id"), "b", F.lit(True).alias("is_a")).union(pairs.select(F.col("b").alias("doc_id"), "b", F.lit(False).alias("is_a")).distinct()))
+    ends = scratch.store(pairs.select(F.col("a").alias("doc_id"), "b", F.lit(True).alias("is_a")).union(pairs.select(F.col("b").alias("doc_id"), "b", F.lit(False).alias("is_a")).distinct()), 2 * rows)
     with_text = docs.join(small(ends, ends.count()), "doc_id")
     left = with_text.where("is_a").select(F.col("doc_id").alias("a"), "b", F.col("text").alias("text_a"))
     right = with_text.where("NOT is_a").select("b", F.col("text").alias("text_b"))
@@ -255,22 +255,23 @@ def links(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int,
     degree = scratch.store(live.groupBy("rep").agg(F.sum("size").alias("degree")))
     hubs = scratch.store(live.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("hub")))
     star = scratch.store(live.select("key", "rep").join(hubs, "key").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct())
-    ends = scratch.store(star.select(F.col("a").alias("rep")).union(star.select("b")).distinct())
+    pairs = star.count()
+    ends = scratch.store(star.select(F.col("a").alias("rep")).union(star.select("b")).distinct(), 2 * pairs)
     regs = scratch.store(heads.select("rep", "n", "regs").join(small(ends, ends.count()), "rep", "left_semi"))
     scratch.free(heads, live, hubs, degree, shared)
 
-    judged = scratch.store(_estimated(star.join(regs.toDF("a", "n_a", "regs_a"), "a").join(regs.toDF("b", "n_b", "regs_b"), "b"), percent).distinct())
-    found = scratch.store(_verified(judged.where("may_link").select("a", "b"), docs, shingle, percent, scratch))
-    first = components(found.toDF("u", "v"), scratch)
+    judged = scratch.store(_estimated(star.join(regs.toDF("a", "n_a", "regs_a"), "a").join(regs.toDF("b", "n_b", "regs_b"), "b"), percent).distinct(), pairs)
+    found = scratch.store(_verified(judged.where("may_link").select("a", "b"), docs, shingle, percent, scratch, pairs))
+    first = components(found.toDF("u", "v"), scratch, rows=pairs)
 
-    clusters = components(judged.where("near").select(F.col("a").alias("u"), F.col("b").alias("v")), scratch).toDF("rep", "cluster")
-    parts = scratch.store(clusters.join(first.toDF("rep", "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+    clusters = components(judged.where("near").select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, rows=pairs).toDF("rep", "cluster")
+    parts = scratch.store(clusters.join(first.toDF("rep", "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), 2 * pairs)
     sizes = parts.groupBy("cluster", "component").agg(F.count("*").alias("k"))
     sizes = sizes.groupBy("cluster").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("parts"))
-    open_clusters = scratch.store(sizes.where("parts > 1 AND size > 2").select("cluster", F.col("top.component").alias("main"), "size"))
-    rest = scratch.store(parts.join(open_clusters, "cluster"))
+    open_clusters = scratch.store(sizes.where("parts > 1 AND size > 2").select("cluster", F.col("top.component").alias("main"), "size"), 2 * pairs)
+    rest = scratch.store(parts.join(open_clusters, "cluster"), 2 * pairs)
     more = scratch.store(_rest(small(rest, rest.count()), docs, shingle, percent))
-    linked_nodes = first if more.isEmpty() else components(found.union(more).toDF("u", "v"), scratch)
+    linked_nodes = first if more.isEmpty() else components(found.union(more).toDF("u", "v"), scratch, rows=2 * pairs)
     scratch.free(classes, star, ends, regs, judged, found, parts, open_clusters, rest, more)
     return members, linked_nodes
 

@@ -61,7 +61,7 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int
     """
     scratch = scratch or Scratch(docs.sparkSession, "mix")
     ranges = scratch.store(docs.groupBy("_source", F.substring("_h", 1, 3).alias("_range")).agg(F.sum("_size").alias("_n")))
-    sources = written = scratch.store(shares(ranges.groupBy("_source").agg(F.sum("_n").alias("_total")), weights, max_epochs))
+    sources = written = scratch.store(shares(ranges.groupBy("_source").agg(F.sum("_n").alias("_total")), weights, max_epochs), 1)
     count = sources.count()
     whole = F.when(F.col("_total") > 0, F.floor(F.col("_target") / F.col("_total"))).otherwise(F.lit(0))
     sources = sources.withColumn("_whole", whole.cast("long")).withColumn("_rest", F.col("_target") - F.col("_whole") * F.col("_total")).withColumnRenamed("_source", "_of")
@@ -74,7 +74,7 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int
         .agg(F.max(F.when(F.col("_before") <= F.col("_rest"), F.struct("_range", "_before"))).alias("_met"))
         .select("_of", "_total", "_target", "_whole", "_rest", F.col("_met._range").alias("_range"), F.col("_met._before").alias("_before"))
     )
-    met = scratch.store(met)
+    met = scratch.store(met, count)
     key = F.struct("_h", "_id", "_size")
     inside = Window.partitionBy("_of").orderBy("_h", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
     last = (
@@ -85,7 +85,7 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int
         .groupBy(F.col("_of").alias("_of2")).agg(F.max(key).alias("_last"))
     )
     out = met.join(small(last, count), F.col("_of").eqNullSafe(F.col("_of2")), "left").drop("_of2")
-    out = scratch.store(out)
+    out = scratch.store(out, count)
     scratch.free(ranges, written, met)
     return out, count
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, Shared, small, worker_state
+from .common import Scratch, Shared, short_batches, small, worker_state
 from .wordbpe import portions
 
 ORDER = 4
@@ -166,7 +166,7 @@ def scored(df: DataFrame, model: Model, text_col: str) -> DataFrame:
     spark = df.sparkSession
     shared = Shared(spark.sparkContext.broadcast(model))
     others = [c for c in df.columns if c != text_col]
-    frame = df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_col), *others)
+    frame = short_batches(df).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_col), *others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alphabet, log_p = _laid_out(shared)
@@ -224,7 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "d
         return None, None, None
     draw = F.pmod(F.xxhash64(F.lit("quality"), "_id"), F.lit(1 << 20))
     picked = trusted.withColumn("_draw", draw).where(F.col("_draw") < int(min(1.0, trusted_docs / count) * (1 << 20)))
-    own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("text <> ''")
+    own = short_batches(docs).select(F.col(id_col).cast("long").alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("text <> ''")
     sample = scratch.store(own.join(small(picked, min(count, 2 * trusted_docs)), "_id").select("lang", "text", (F.col("_draw") % 2 == 0).alias("fit")))
     fit = sample.where("fit").select("text")
     top = fit.mapInArrow(_char_counts, "symbol string, n long").groupBy("symbol").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "symbol").limit(SYMBOLS - 2).collect()

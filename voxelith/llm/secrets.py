@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stateless
+from .common import short_batches, stateless
 
 #: Characters around a part within which a complement counts.
 REACH = 200
@@ -128,7 +128,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: i
     has no spans; repeated rows give repeated results; an empty table gives an empty result. Only the two
     columns are read.
     """
-    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    own = short_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stateless()

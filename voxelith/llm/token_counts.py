@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stateless
+from .common import short_batches, stateless
 from .wordbpe import Numbers, portions
 
 MARK = "▁"
@@ -158,7 +158,7 @@ def count(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: s
     empty result. Only the two columns are read.
     """
     path = path or default_path()
-    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    own = short_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stateless()

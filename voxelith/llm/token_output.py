@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import wordbpe
 from .bpe_codec import default_path
-from .common import Scratch, partitions, small, worker_state
+from .common import Scratch, partitions, short_batches, small, worker_state
 
 MAGIC = b"VXTOKEN1"
 BLOCK_IDS = 65_536
@@ -152,8 +152,8 @@ def write(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
         if docs:
             yield close()
 
-    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    count = partitions(df.sparkSession)
+    own = short_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    count = partitions(df)
     # the hash parts rows that repeat one identifier; texts would be too long for a sampled splitter
     ordered = own.repartitionByRange(count, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
     return scratch.store(ordered.mapInArrow(run, "shard int, seq int, n_docs long, n_ids long, file binary"))
