@@ -185,6 +185,36 @@ def test_near_dedup_chains(spark):
     assert {r.doc_id: r.component_id for r in minhash.groups(df, shingle=2).collect()} == {i: find(i) for i in sets}
 
 
+def test_near_dedup_foreign_hubs(spark):
+    """Two near copies, and for each key that they share a document of more neighbours that is like neither."""
+    rnd = random.Random(11)
+    text = lambda lines: " ".join(w for t in lines for w in t)
+    first = [[f"{rnd.choice(WORDS)}{rnd.randrange(10**6)}" for _ in range(20)] for _ in range(30)]
+    second = [list(t) for t in first]
+    second[7], second[21] = words(rnd, 20).split(), words(rnd, 20).split()
+    shared = [i for i in range(30) if i not in (7, 21)]
+    tries = [[first[i] for i in sorted(rnd.sample(shared, 16))] for _ in range(4_000)]
+    shingler = minhash.Shingler(5)
+    sets = [shingler(text(t)) for t in (first, second, *tries)]
+    regs, n = minhash.registers(sets), np.array([len(x) for x in sets])
+    keys = minhash.band_keys(regs)
+    unlike = np.all([minhash.estimate(regs[i : i + 1], regs, n[i], n)[0] < minhash.CLUSTER - 0.02 for i in (0, 1)], axis=0)
+    chosen = set()
+    for k in np.flatnonzero(keys[0] == keys[1]).tolist():
+        chosen.add(np.flatnonzero(unlike & (keys[:, k] == keys[0, k]))[0].item() - 2)
+    rows_ = [(1, text(first)), (2, text(second))]
+    for i in sorted(chosen):
+        for j in range(20):
+            own = text(tries[i]).split()
+            if j:
+                own[rnd.randrange(len(own))] = f"v{rnd.randrange(10**6)}"
+            rows_.append((len(rows_) + 1, " ".join(own)))
+    assert len(shingles(rows_[0][1], 5) & shingles(rows_[1][1], 5)) >= 0.8 * len(shingles(rows_[0][1], 5) | shingles(rows_[1][1], 5))
+    got_ = {r.doc_id: r.component_id for r in minhash.groups(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
+    assert got_[1] == got_[2] == 1
+    assert all(got_[3 + 20 * k + j] == got_[3 + 20 * k] for k in range(len(chosen)) for j in range(20))
+
+
 def test_estimate_is_unbiased():
     rnd = np.random.default_rng(1)
     shared, own = rnd.integers(0, 2**63, 800, dtype=np.uint64), rnd.integers(0, 2**63, 400, dtype=np.uint64)

@@ -8,11 +8,14 @@
 3. star: within a key each document is compared with the hub only, the one with the most neighbours overall.
    A pair goes to verification unless its collision-corrected estimate is far below the threshold;
    verification compares the full sets.
-4. rest: documents that hubs bring together form a cluster. Where the links found do not connect it, each
-   document outside its largest part is compared with all of the cluster, in blocks of bounded size, by
-   estimate and then by full sets; only links leave a block. So no link between documents that share a key
-   is lost, and groups of copies cost a pair for each member, not each pair.
-5. connected components over all links.
+4. across: documents that hubs bring together form a cluster. Documents of a key that are in different clusters
+   are compared by estimate, in blocks of bounded size. What goes to verification joins its clusters; of a block
+   only the pairs that it takes to join them leave.
+5. rest: where the links found do not connect a cluster, each document outside its largest part is compared
+   with all of the cluster, in blocks too, by estimate and then by full sets; only links leave a block. So no
+   link between documents that share a key is lost, and groups of copies cost a pair for each member, not each
+   pair.
+6. connected components over all links.
 """
 
 from __future__ import annotations
@@ -203,6 +206,53 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _across(members: DataFrame, regs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) that join the clusters of members (key, rep, cluster) which share a key and go to verification.
+
+    Those outside a key's largest cluster meet all its members. Both are dealt into blocks of about BLOCK, as in _rest.
+    """
+    sizes = members.groupBy("key", "cluster").agg(F.count("*").alias("k"))
+    sizes = sizes.groupBy("key").agg(F.max(F.struct("k", "cluster")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("parts"))
+    mixed = scratch.store(sizes.where("parts > 1").select("key", F.col("top.cluster").alias("main"), "size"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    held = scratch.store(members.join(small(mixed, mixed.count()), "key").join(regs, "rep"))
+    rest = ("rep", "cluster", (F.col("cluster") != F.col("main")).alias("outside"), "n", "regs")
+    outside = held.where("cluster <> main").select("key", block.alias("mine"), every.alias("other"), F.lit(True).alias("left"), *rest)
+    against = held.select("key", every.alias("mine"), block.alias("other"), F.lit(False).alias("left"), *rest)
+
+    def run(table: pa.Table) -> pa.Table:
+        left = table.column("left").to_numpy()
+        a, b = [], []
+        if left.any() and not left.all():
+            rep, of, out, n = (table.column(c).to_numpy() for c in ("rep", "cluster", "outside", "n"))
+            own = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+            other = np.flatnonzero(~left)
+            joined: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while (y := joined.get(x, x)) != x:
+                    joined[x] = x = joined.get(y, y)
+                return x
+
+            for i in np.flatnonzero(left).tolist():
+                # two that are outside meet twice, once from either
+                to = other[(of[other] != of[i]) & ~(out[other] & (rep[other] < rep[i]))]
+                near = promising(*estimate(own[i][None, :], own[to], n[i], n[to]), n[i], n[to], percent)
+                for j in to[near].tolist():
+                    x, y = find(int(of[i])), find(int(of[j]))
+                    if x != y:
+                        joined[x] = y
+                        a.append(min(rep[i], rep[j]))
+                        b.append(max(rep[i], rep[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    pairs = scratch.store(outside.union(against).groupBy("key", "mine", "other").applyInArrow(run, "a long, b long").distinct())
+    scratch.free(mixed, held)
+    return pairs
+
+
 def _rest(members: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) between different components of members (rep, cluster, component, main, size).
 
@@ -258,13 +308,21 @@ def links(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int,
     pairs = star.count()
     ends = scratch.store(star.select(F.col("a").alias("rep")).union(star.select("b")).distinct(), 2 * pairs)
     regs = scratch.store(heads.select("rep", "n", "regs").join(small(ends, ends.count()), "rep", "left_semi"))
-    scratch.free(heads, live, hubs, degree, shared)
+    # a key's hub has met the others already, and with two documents there is no other pair
+    unlike = live.where("size > 2").select("key", "rep").join(hubs, "key").where("rep <> hub").select("key", "rep")
 
     judged = scratch.store(_estimated(star.join(regs.toDF("a", "n_a", "regs_a"), "a").join(regs.toDF("b", "n_b", "regs_b"), "b"), percent).distinct(), pairs)
     found = scratch.store(_verified(judged.where("may_link").select("a", "b"), docs, shingle, percent, scratch, pairs))
-    first = components(found.toDF("u", "v"), scratch, rows=pairs)
 
-    clusters = components(judged.where("near").select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, rows=pairs).toDF("rep", "cluster")
+    near = judged.where("near").select("a", "b")
+    clusters = components(near.toDF("u", "v"), scratch, rows=pairs).toDF("rep", "cluster")
+    across = _across(scratch.store(unlike.join(clusters, "rep", "left").select("key", "rep", F.coalesce("cluster", "rep").alias("cluster"))), regs, percent, scratch)
+    scratch.free(heads, live, hubs, degree, shared)
+    if more := across.count():
+        pairs += more
+        found = scratch.store(found.union(_verified(across, docs, shingle, percent, scratch, more)), pairs)
+        clusters = components(near.union(across).toDF("u", "v"), scratch, rows=pairs).toDF("rep", "cluster")
+    first = components(found.toDF("u", "v"), scratch, rows=pairs)
     parts = scratch.store(clusters.join(first.toDF("rep", "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), 2 * pairs)
     sizes = parts.groupBy("cluster", "component").agg(F.count("*").alias("k"))
     sizes = sizes.groupBy("cluster").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("parts"))
@@ -272,7 +330,7 @@ def links(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int,
     rest = scratch.store(parts.join(open_clusters, "cluster"), 2 * pairs)
     more = scratch.store(_rest(small(rest, rest.count()), docs, shingle, percent))
     linked_nodes = first if more.isEmpty() else components(found.union(more).toDF("u", "v"), scratch, rows=2 * pairs)
-    scratch.free(classes, star, ends, regs, judged, found, parts, open_clusters, rest, more)
+    scratch.free(classes, star, ends, regs, judged, across, found, parts, open_clusters, rest, more)
     return members, linked_nodes
 
 
