@@ -413,6 +413,22 @@ def test_quality(docs, labels, empty, spark):
     assert quality.keep(docs, none).count() == sum(bool(r[1]) for r in rows())
 
 
+def test_quality_all_trusted(spark):
+    """Every trusted document is counted or calibrates, and the quantiles are those of all values."""
+    n = 9_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    _, sample, _ = quality.train(docs, labels, common.Scratch(spark, "test"))
+    assert sample.count() == n
+    rnd = random.Random(5)
+    values = [(rnd.choice(["en", "de"]), rnd.random() < 0.5, rnd.gauss(3, 0.4), rnd.randrange(20, 900)) for _ in range(3_000)]
+    got_ = {r.lang: (r.low, r.high) for r in quality.thresholds(spark.createDataFrame(values, "lang string, fit boolean, log_perplexity double, n_symbols long")).collect()}
+    for lang in ("en", "de", None):
+        own = [(v + 3 / c**0.5, v - 3 / c**0.5, fit) for of, fit, v, c in values if lang in (of, None)]
+        assert abs(got_[lang][0] - np.quantile([x[0] for x in own], quality.LOW) * (1 - quality.MARGIN)) < 2e-4
+        assert abs(got_[lang][1] - np.quantile([x[1] for x in own if not x[2]], quality.HIGH) * (1 + quality.MARGIN)) < 2e-4
+
+
 def test_kneser_ney(docs, labels, spark):
     scratch = common.Scratch(spark, "test")
     model, _, (grams, contexts) = quality.train(docs, labels, scratch)

@@ -1,17 +1,17 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 The model is over character symbols (capitals and digits are a symbol each, the most frequent other
-characters one each), four at a time. Its counts come from a bounded sample of trusted documents and stay
+characters one each), four at a time. Its counts come from every second trusted document, by a hash, and stay
 tables throughout: n-gram counts, continuation counts, context sums and discounts are aggregated and joined
 by context and by suffix in hash shards, order by order, which gives the interpolated probability of each
 n-gram seen and the back-off weight of each context.
 
 Documents meet those tables in one of two ways with the same result. If the tables have at most
-BROADCAST_GRAMS rows (the sample and the alphabet bound them) each worker holds them and lays them out as
+BROADCAST_GRAMS rows (the alphabet bounds them) each worker holds them and lays them out as
 one array, so a text costs one look-up a character. Beyond that, n-gram counts of each document are joined
 with the shards and summed (perplexity_joined).
 
-A document is kept if its perplexity lies between two quantiles of its own language, taken over trusted
+A document is kept if its perplexity lies between two quantiles of its own language, taken over all trusted
 documents (the upper one over those that the model has not seen), widened by MARGIN.
 """
 
@@ -33,13 +33,13 @@ ORDER = 4
 BITS = 6
 SYMBOLS = 1 << BITS
 START, OTHER = 0, 1
-#: Bound on the trusted documents of the sample (about: drawn by a hash).
-TRUSTED_DOCS = 4_000
 BROADCAST_GRAMS = 4_000_000
 #: Quantiles of log perplexity, and the factors by which the bounds are widened.
 LOW, HIGH = 0.005, 0.995
 MARGIN = 0.06
 LEAST_DOCS = 30
+#: Decimals of the values whose quantiles are taken: bounds how many different ones there are, whatever the input.
+DECIMALS = 4
 #: A mean over n characters is uncertain by about this, divided by the root of n; a document has the benefit of it.
 SPREAD = 3.0
 CAPITAL, DIGIT = "A", "0"
@@ -211,10 +211,10 @@ def perplexity_joined(df: DataFrame, symbols: list[str], grams: DataFrame, conte
     return rows.groupBy(F.col("id").alias(id_col)).agg((-F.sum(F.log(p) * F.col("n")) / F.sum("n")).alias("log_perplexity"), F.sum("n").alias("n_symbols"))
 
 
-def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", trusted_docs: int = TRUSTED_DOCS) -> tuple[Model | None, DataFrame | None, tuple[DataFrame, DataFrame] | None]:
-    """(model, sample (lang, text, fit), its tables) from documents labelled of quality 1 and not toxic.
+def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[Model | None, DataFrame | None, tuple[DataFrame, DataFrame] | None]:
+    """(model, trusted documents (lang, text, fit), its tables) from documents labelled of quality 1 and not toxic.
 
-    Half of the sample is counted, the other half is for calibration; labels that repeat an identifier with another
+    Half of them is counted, the other half is for calibration; labels that repeat an identifier with another
     verdict count as not trusted. (None, None, None) without trusted documents.
     """
     verdict = labels.groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.min(F.coalesce((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), F.lit(False))).alias("ok"))
@@ -223,9 +223,9 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "d
     if not count:
         return None, None, None
     draw = F.pmod(F.xxhash64(F.lit("quality"), "_id"), F.lit(1 << 20))
-    picked = trusted.withColumn("_draw", draw).where(F.col("_draw") < int(min(1.0, trusted_docs / count) * (1 << 20)))
+    picked = trusted.withColumn("_draw", draw)
     own = short_batches(docs).select(F.col(id_col).cast("long").alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("text <> ''")
-    sample = scratch.store(own.join(small(picked, min(count, 2 * trusted_docs)), "_id").select("lang", "text", (F.col("_draw") % 2 == 0).alias("fit")))
+    sample = scratch.store(own.join(small(picked, count), "_id").select("lang", "text", (F.col("_draw") % 2 == 0).alias("fit")))
     fit = sample.where("fit").select("text")
     top = fit.mapInArrow(_char_counts, "symbol string, n long").groupBy("symbol").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "symbol").limit(SYMBOLS - 2).collect()
     symbols = [r["symbol"] for r in top]
@@ -251,9 +251,12 @@ def thresholds(calibration: DataFrame, low: float = LOW, high: float = HIGH, mar
     Documents that the model was fitted on (fit) look more predictable than others, so they count for the lower bound only.
     """
     least, most = _bounded()
-    bounds = (F.count("log_perplexity").alias("k"), (F.percentile(least, F.lit(low)) * (1 - margin)).alias("low"), (F.percentile(F.when(~F.col("fit"), most), F.lit(high)) * (1 + margin)).alias("high"))
-    own = calibration.where("lang IS NOT NULL").groupBy("lang").agg(*bounds).where(F.col("k") >= LEAST_DOCS)
-    return own.union(calibration.agg(F.lit(None).cast("string").alias("lang"), *bounds)).select("lang", "low", "high")
+    values = calibration.select("lang", F.round(least, DECIMALS).alias("least"), F.when(~F.col("fit"), F.round(most, DECIMALS)).alias("most"))
+    ends = values.select("lang", F.expr("stack(2, 'least', least, 'most', most) AS (end, value)")).where("value IS NOT NULL").groupBy("lang", "end", "value").agg(F.count("*").alias("n"))
+    quantile = lambda c, q: F.expr(f"percentile(CASE WHEN end = '{c}' THEN value END, {q}D, CASE WHEN end = '{c}' THEN n ELSE 0 END)")
+    bounds = (F.sum(F.when(F.col("end") == "least", F.col("n"))).alias("k"), (quantile("least", low) * (1 - margin)).alias("low"), (quantile("most", high) * (1 + margin)).alias("high"))
+    own = ends.where("lang IS NOT NULL").groupBy("lang").agg(*bounds).where(F.col("k") >= LEAST_DOCS)
+    return own.union(ends.agg(F.lit(None).cast("string").alias("lang"), *bounds)).select("lang", "low", "high")
 
 
 def _judged(docs: DataFrame, labels: DataFrame, carried: list[str], id_col: str, text_col: str, lang_col: str, scratch: Scratch) -> DataFrame:
@@ -271,7 +274,7 @@ def _judged(docs: DataFrame, labels: DataFrame, carried: list[str], id_col: str,
         values = rows.join(perplexity_joined(rows, model.symbols, *tables, "_id", "text"), "_id").select("lang", "fit", "log_perplexity", "n_symbols")
         judged = frame.join(perplexity_joined(frame, model.symbols, *tables, "_id", "_text"), "_id", "left")
     bounds = scratch.store(thresholds(values))
-    rows = bounds.collect()  # one for each language with calibration documents, so bounded by the sample
+    rows = bounds.collect()  # one for each language with calibration documents
     every = next(r for r in rows if r["lang"] is None)
     side = judged.sparkSession.createDataFrame([(r["lang"], r["low"], r["high"]) for r in rows if r["lang"] is not None] or [("", None, None)], "_of string, low double, high double")
     joined = judged.join(F.broadcast(side), F.col("_lang") == F.col("_of"), "left")
