@@ -33,7 +33,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that comes out of the mix, with their count and digests."""
-    return bpe_codec.encoded(docs)
+    return bpe_codec.encoded(docs, with_ids=True)
 
 
 STAGES = [

@@ -165,3 +165,12 @@ def test_pipeline(spark, monkeypatch):
     got = corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
     assert sorted(map(tuple, got)) == sorted(expected)
     assert seen == [("quality_filter", True), ("exact_dedup", True), ("near_dedup", True), ("mix_sources", True), ("bpe_encode", False)]
+
+
+def test_encode_has_ids(spark):
+    from tokenizers import Tokenizer
+
+    docs = spark.createDataFrame([(1, "the first text"), (2, ""), (3, "another one, the third")], "doc_id long, text string")
+    tokenizer = Tokenizer.from_file(bpe_codec.default_path())
+    got = {r.doc_id: r.ids for r in corpus_pipeline.encode(spark, docs, SF).collect()}
+    assert got == {r.doc_id: tokenizer.encode(r.text, add_special_tokens=False).ids for r in docs.collect()}
