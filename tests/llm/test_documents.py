@@ -198,7 +198,7 @@ def test_near_dedup_foreign_hubs(spark):
     sets = [shingler(text(t)) for t in (first, second, *tries)]
     regs, n = minhash.registers(sets), np.array([len(x) for x in sets])
     keys = minhash.band_keys(regs)
-    unlike = np.all([minhash.estimate(regs[i : i + 1], regs, n[i], n)[0] < minhash.CLUSTER - 0.02 for i in (0, 1)], axis=0)
+    unlike = np.all([minhash.estimate(regs[i : i + 1], regs, n[i], n)[0] < 0.48 for i in (0, 1)], axis=0)
     chosen = set()
     for k in np.flatnonzero(keys[0] == keys[1]).tolist():
         chosen.add(np.flatnonzero(unlike & (keys[:, k] == keys[0, k]))[0].item() - 2)
@@ -215,6 +215,44 @@ def test_near_dedup_foreign_hubs(spark):
     assert all(got_[3 + 20 * k + j] == got_[3 + 20 * k] for k in range(len(chosen)) for j in range(20))
 
 
+def test_near_dedup_templates(spark, monkeypatch):
+    """Documents of few frequent lines, half like each other, with planted near copies: every link comes out, of keys in one piece and in blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 100)
+    rnd = random.Random(17)
+    line = lambda n: " ".join(f"{rnd.choice(WORDS)}{rnd.randrange(10**6)}" for _ in range(n))
+    lines = [line(12) for _ in range(45)]
+    rows_ = []
+    for i in range(900):
+        own = [lines[k] for k in sorted(rnd.sample(range(45), 34))]
+        rows_.append((len(rows_), "\n".join(own)))
+        if i % 6 == 0:
+            other = list(own)
+            for k in rnd.sample(range(34), rnd.choice((1, 2, 3))):
+                other[k] = line(12)
+            rows_.append((len(rows_), "\n".join(other)))
+    sets = [shingles(t, 5) for _, t in rows_]
+    number: dict = {}
+    held = np.zeros((len(sets), len({x for own in sets for x in own})), np.float32)
+    for i, own in enumerate(sets):
+        held[i, [number.setdefault(x, len(number)) for x in own]] = 1
+    both, size = held @ held.T, held.sum(axis=1)
+    link = 100 * both >= 80 * (size[:, None] + size[None, :] - both)
+    assert 0.4 < np.median(both / (size[:, None] + size[None, :] - both)) < 0.55
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in np.argwhere(link).tolist():
+        a, b = find(i), find(j)
+        parent[max(a, b)] = min(a, b)
+    got_ = {r.doc_id: r.component_id for r in minhash.groups(spark.createDataFrame(rows_, "doc_id long, text string").repartition(4)).collect()}
+    assert got_ == {i: find(i) for i in range(len(sets))}
+    assert 100 < len({i for i in range(len(sets)) if find(i) != i}) < 400
+
+
 def test_estimate_is_unbiased():
     rnd = np.random.default_rng(1)
     shared, own = rnd.integers(0, 2**63, 800, dtype=np.uint64), rnd.integers(0, 2**63, 400, dtype=np.uint64)

@@ -5,17 +5,15 @@
    set form a class, and only one of each class goes on.
 2. bands: six registers at a time (an empty bucket borrows from another one, the same for the same occupied
    buckets) give a key; documents of similarity 0.8 share one of the 42 keys but for 3 in a million.
-3. star: within a key each document is compared with the hub only, the one with the most neighbours overall.
-   A pair goes to verification unless its collision-corrected estimate is far below the threshold;
-   verification compares the full sets.
-4. across: documents that hubs bring together form a cluster. Documents of a key that are in different clusters
-   are compared by estimate, in blocks of bounded size. What goes to verification joins its clusters; of a block
-   only the pairs that it takes to join them leave.
-5. rest: where the links found do not connect a cluster, each document outside its largest part is compared
-   with all of the cluster, in blocks too, by estimate and then by full sets; only links leave a block. So no
-   link between documents that share a key is lost, and groups of copies cost a pair for each member, not each
-   pair.
-6. connected components over all links.
+3. star: within a key each document is compared with the hub, the one with the most neighbours overall. A pair
+   goes to verification unless its collision-corrected estimate is far below the threshold; verification
+   compares the full sets. Groups of copies so cost a pair for each member, not each pair.
+4. rest: where the links found leave the documents of a key in several components, those outside the key's
+   largest one are compared with all documents of the key, by their registers and in blocks of bounded size. At
+   first only the best partner in each other component is verified, which joins most of what belongs together;
+   then every pair that may be a link and still lies in two components. No link between documents that share a
+   key is lost: a pair that isn't verified is in one component already, or estimated far below the threshold.
+5. connected components over all links.
 """
 
 from __future__ import annotations
@@ -40,9 +38,10 @@ MANTISSA = 10
 EMPTY = 0xFFFF
 #: Standard errors below the threshold at which an estimate still goes to verification.
 SLACK = 4.5
-#: Estimated similarity with its hub from which a document belongs to the hub's cluster.
-CLUSTER = 0.5
-BLOCK = 512
+#: Documents of a key that are compared at once with as many others; of a very large key, and the size from which one is.
+BLOCK, LARGE_BLOCK, LARGE = 2_048, 8_192, 1 << 18
+#: Documents of small keys that go to Python as one group.
+AT_ONCE = 20_000
 CACHED_WORDS = 200_000
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -162,7 +161,7 @@ def sketch(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame
 
 
 def _estimated(pairs: DataFrame, percent: int) -> DataFrame:
-    """(a, b, may_link, near) of (a, b, n_a, n_b, regs_a, regs_b): whether the pair may be a link, and whether it is of one cluster."""
+    """(a, b) of those of (a, b, n_a, n_b, regs_a, regs_b) that may be links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,11 +169,10 @@ def _estimated(pairs: DataFrame, percent: int) -> DataFrame:
                 continue
             n_a, n_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             regs = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, BUCKETS) for i in (4, 5)]
-            similarity, k = estimate(*regs, n_a, n_b)
-            may = promising(similarity, k, n_a, n_b, percent)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(may), pa.array(may | (similarity >= CLUSTER))], names=["a", "b", "may_link", "near"])
+            may = pa.array(promising(*estimate(*regs, n_a, n_b), n_a, n_b, percent))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(may), batch.column(1).filter(may)], names=["a", "b"])
 
-    return pairs.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(run, "a long, b long, may_link boolean, near boolean")
+    return pairs.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scratch: Scratch, rows: int) -> DataFrame:
@@ -206,89 +204,61 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _across(members: DataFrame, regs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) that join the clusters of members (key, rep, cluster) which share a key and go to verification.
-
-    Those outside a key's largest cluster meet all its members. Both are dealt into blocks of about BLOCK, as in _rest.
+def _meet(left: np.ndarray, right: np.ndarray, rep: np.ndarray, component: np.ndarray, outside: np.ndarray, n: np.ndarray, regs: np.ndarray, percent: int, best: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of a left and a right row, of different components, that may be links; best: the best right row of each component only."""
+    for i in left.tolist():
+        # two that are outside meet twice, once from either
+        to = right[(component[right] != component[i]) & ~(outside[right] & (rep[right] < rep[i])) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
+        if not len(to):
+            continue
+        similarity, k = estimate(regs[i][None, :], regs[to], n[i], n[to])
+        near = promising(similarity, k, n[i], n[to], percent)
+        to = to[near]
+        if best and len(to) > 1:
+            to = to[np.argsort(-similarity[near], kind="stable")]
+            to = to[np.sort(np.unique(component[to], return_index=True)[1])]
+        for j in to.tolist():
+            yield min(rep[i], rep[j]), max(rep[i], rep[j])
+
+
+def _across(members: DataFrame, regs: DataFrame, percent: int, best: bool, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b), a < b, of members (key, rep, component) that share a key, may be links and are in different components.
+
+    Those outside a key's largest component meet all its members. A key of up to BLOCK members is one piece, and several
+    such go to Python together; a larger one is dealt into blocks, each of which meets each other.
     """
-    sizes = members.groupBy("key", "cluster").agg(F.count("*").alias("k"))
-    sizes = sizes.groupBy("key").agg(F.max(F.struct("k", "cluster")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("parts"))
-    mixed = scratch.store(sizes.where("parts > 1").select("key", F.col("top.cluster").alias("main"), "size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    held = scratch.store(members.join(small(mixed, mixed.count()), "key").join(regs, "rep"))
-    rest = ("rep", "cluster", (F.col("cluster") != F.col("main")).alias("outside"), "n", "regs")
-    outside = held.where("cluster <> main").select("key", block.alias("mine"), every.alias("other"), F.lit(True).alias("left"), *rest)
-    against = held.select("key", every.alias("mine"), block.alias("other"), F.lit(False).alias("left"), *rest)
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("k"))
+    sizes = sizes.groupBy("key").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("parts"))
+    mixed = scratch.store(sizes.where("parts > 1").select("key", F.col("top.component").alias("main"), "size"))
+    keys, rows = mixed.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    held = scratch.store(members.join(small(mixed, keys), "key").join(regs, "rep").withColumn("outside", F.col("component") != F.col("main")))
+    per_block = F.when(F.col("size") >= LARGE, LARGE_BLOCK).otherwise(BLOCK)
+    blocks = F.ceil(F.col("size") / per_block).cast("int")
+    block, every, yes, no = F.pmod(F.xxhash64("rep"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1)), F.lit(True), F.lit(False)
+    row = ("key", "rep", "component", "outside", "n", "regs")
+    lot = F.pmod(F.xxhash64("key"), F.lit(1 + rows // AT_ONCE))
+    whole = held.where(F.col("size") <= BLOCK).select(lot.alias("lot"), F.lit(-1).alias("mine"), F.lit(-1).alias("other"), F.col("outside").alias("left"), yes.alias("right"), *row)
+    large = held.where(F.col("size") > BLOCK)
+    mine = large.where("outside").select(F.col("key").alias("lot"), block.alias("mine"), every.alias("other"), yes.alias("left"), no.alias("right"), *row)
+    against = large.select(F.col("key").alias("lot"), every.alias("mine"), block.alias("other"), no.alias("left"), yes.alias("right"), *row)
 
     def run(table: pa.Table) -> pa.Table:
-        left = table.column("left").to_numpy()
-        a, b = [], []
-        if left.any() and not left.all():
-            rep, of, out, n = (table.column(c).to_numpy() for c in ("rep", "cluster", "outside", "n"))
-            own = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(-1, BUCKETS)
-            other = np.flatnonzero(~left)
-            joined: dict[int, int] = {}
-
-            def find(x: int) -> int:
-                while (y := joined.get(x, x)) != x:
-                    joined[x] = x = joined.get(y, y)
-                return x
-
-            for i in np.flatnonzero(left).tolist():
-                # two that are outside meet twice, once from either
-                to = other[(of[other] != of[i]) & ~(out[other] & (rep[other] < rep[i]))]
-                near = promising(*estimate(own[i][None, :], own[to], n[i], n[to]), n[i], n[to], percent)
-                for j in to[near].tolist():
-                    x, y = find(int(of[i])), find(int(of[j]))
-                    if x != y:
-                        joined[x] = y
-                        a.append(min(rep[i], rep[j]))
-                        b.append(max(rep[i], rep[j]))
+        table = table.sort_by("key")
+        key, rep, component, n, left, right, outside = (table.column(c).to_numpy() for c in ("key", "rep", "component", "n", "left", "right", "outside"))
+        own = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        pairs: set[tuple[int, int]] = set()
+        for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
+            lefts, rights = (start + np.flatnonzero(side[start:stop]) for side in (left, right))
+            pairs.update(_meet(lefts, rights, rep, component, outside, n, own, percent, best))
+        a, b = zip(*sorted(pairs), strict=True) if pairs else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    pairs = scratch.store(outside.union(against).groupBy("key", "mine", "other").applyInArrow(run, "a long, b long").distinct())
+    pairs = scratch.store(whole.union(mine).union(against).groupBy("lot", "mine", "other").applyInArrow(run, "a long, b long").distinct())
     scratch.free(mixed, held)
     return pairs
 
 
-def _rest(members: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) between different components of members (rep, cluster, component, main, size).
-
-    Those outside the cluster's main component meet all its members. Both are dealt into blocks of about BLOCK; a group
-    of rows is one block of either, so its size is bounded and a large cluster becomes many groups.
-    """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    with_text = members.join(docs.withColumnRenamed("doc_id", "rep"), "rep")
-    outside = with_text.where("component <> main").select("cluster", block.alias("mine"), every.alias("other"), F.lit(True).alias("left"), "rep", "component", "text")
-    against = with_text.select("cluster", every.alias("mine"), block.alias("other"), F.lit(False).alias("left"), "rep", "component", "text")
-
-    def run(table: pa.Table) -> pa.Table:
-        shingler = worker_state(("minhash", shingle), lambda: Shingler(shingle))
-        left = table.column("left").to_numpy()
-        a, b = [], []
-        if left.any() and not left.all():
-            rep, comp = table.column("rep").to_numpy(), table.column("component").to_numpy()
-            sets = [shingler(t.as_py()) for t in table.column("text")]
-            n, regs = np.array([len(s) for s in sets]), registers(sets)
-            other = np.flatnonzero(~left)
-            for i in np.flatnonzero(left).tolist():
-                to = other[comp[other] != comp[i]]
-                near = promising(*estimate(regs[i][None, :], regs[to], n[i], n[to]), n[i], n[to], percent)
-                met: set[int] = set()  # one link to a component is enough
-                for j in to[near].tolist():
-                    if comp[j] not in met and linked(sets[i], sets[j], percent):
-                        met.add(comp[j])
-                        a.append(rep[i])
-                        b.append(rep[j])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return outside.union(against).groupBy("cluster", "mine", "other").applyInArrow(run, "a long, b long")
-
-
 def links(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(members, components): (doc_id, n, rep) of each row, and (node, component) of each rep that has a link."""
     sketches = scratch.store(sketch(df, id_col, text_col, shingle))
@@ -308,29 +278,23 @@ def links(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int,
     pairs = star.count()
     ends = scratch.store(star.select(F.col("a").alias("rep")).union(star.select("b")).distinct(), 2 * pairs)
     regs = scratch.store(heads.select("rep", "n", "regs").join(small(ends, ends.count()), "rep", "left_semi"))
+    tried = scratch.store(_estimated(star.join(regs.toDF("a", "n_a", "regs_a"), "a").join(regs.toDF("b", "n_b", "regs_b"), "b"), percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), pairs)
+    found = scratch.store(_verified(tried, docs, shingle, percent, scratch, pairs))
     # a key's hub has met the others already, and with two documents there is no other pair
-    unlike = live.where("size > 2").select("key", "rep").join(hubs, "key").where("rep <> hub").select("key", "rep")
-
-    judged = scratch.store(_estimated(star.join(regs.toDF("a", "n_a", "regs_a"), "a").join(regs.toDF("b", "n_b", "regs_b"), "b"), percent).distinct(), pairs)
-    found = scratch.store(_verified(judged.where("may_link").select("a", "b"), docs, shingle, percent, scratch, pairs))
-
-    near = judged.where("near").select("a", "b")
-    clusters = components(near.toDF("u", "v"), scratch, rows=pairs).toDF("rep", "cluster")
-    across = _across(scratch.store(unlike.join(clusters, "rep", "left").select("key", "rep", F.coalesce("cluster", "rep").alias("cluster"))), regs, percent, scratch)
-    scratch.free(heads, live, hubs, degree, shared)
-    if more := across.count():
-        pairs += more
-        found = scratch.store(found.union(_verified(across, docs, shingle, percent, scratch, more)), pairs)
-        clusters = components(near.union(across).toDF("u", "v"), scratch, rows=pairs).toDF("rep", "cluster")
-    first = components(found.toDF("u", "v"), scratch, rows=pairs)
-    parts = scratch.store(clusters.join(first.toDF("rep", "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), 2 * pairs)
-    sizes = parts.groupBy("cluster", "component").agg(F.count("*").alias("k"))
-    sizes = sizes.groupBy("cluster").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("parts"))
-    open_clusters = scratch.store(sizes.where("parts > 1 AND size > 2").select("cluster", F.col("top.component").alias("main"), "size"), 2 * pairs)
-    rest = scratch.store(parts.join(open_clusters, "cluster"), 2 * pairs)
-    more = scratch.store(_rest(small(rest, rest.count()), docs, shingle, percent))
-    linked_nodes = first if more.isEmpty() else components(found.union(more).toDF("u", "v"), scratch, rows=2 * pairs)
-    scratch.free(classes, star, ends, regs, judged, across, found, parts, open_clusters, rest, more)
+    open_keys = live.where("size > 2").select("key", "rep")
+    linked_nodes = components(found.toDF("u", "v"), scratch, rows=pairs)
+    for best in (True, False):
+        parts = scratch.store(open_keys.join(linked_nodes.toDF("rep", "component"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component")))
+        met = _across(parts, regs, percent, best, scratch)
+        fresh = scratch.store(met.join(tried, ["a", "b"], "left_anti"))
+        scratch.free(parts, met)
+        more = fresh.count()
+        if more:
+            pairs += more
+            links_ = _verified(fresh, docs, shingle, percent, scratch, more)
+            tried, found = scratch.store(tried.union(fresh), pairs), scratch.store(found.union(links_), pairs)
+            linked_nodes = components(found.toDF("u", "v"), scratch, rows=pairs)
+    scratch.free(classes, heads, live, hubs, degree, shared, star, ends, regs)
     return members, linked_nodes
 
 
