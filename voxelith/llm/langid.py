@@ -4,9 +4,10 @@ A word seen in training is scored by its log frequency in each language. A word
 longest known character n-grams: those of 5 characters if any is known, else those of 4, and so on. A text
 is the language with the largest sum over its words.
 
-The model is fitted on a bounded sample: of each language (the MAX_LANGUAGES most frequent ones) about
-DOCS_PER_LANGUAGE labelled documents, chosen by a hash of the identifier, and of their words and n-grams the
-KEPT most frequent. So what is collected and broadcast has a fixed bound; every document is scored.
+The model is fitted on a bounded sample: of each language about DOCS_PER_LANGUAGE labelled documents, chosen by
+a hash of the identifier, and of their words, and of their n-grams, the KEPT most frequent. Every labelled language
+is learned, and none takes room from another, so what is collected and broadcast is bounded by the number of
+languages; every document is scored.
 """
 
 from __future__ import annotations
@@ -17,15 +18,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Shared, short_batches, worker_state
 from .wordbpe import Numbers, portions
 
-MAX_LANGUAGES = 256
 DOCS_PER_LANGUAGE = 1_000
-KEPT = 100_000
+#: Words of a language in the model, and n-grams.
+KEPT = 25_000
 GRAM = 5
 SMOOTH = 0.5
 UNKNOWN = "und"
@@ -70,37 +71,54 @@ _SCHEMA = "kind int, lang string, item string, n long"
 
 
 class Model:
-    """languages; tables[0]: word -> row of scores[0], tables[n]: n-gram -> row of scores[n]; a row has a score for each language."""
+    """Log frequencies by language. tables[0]: word -> row, tables[n]: n-gram -> row; a row lists the languages that have the item.
+
+    Any other language has the item's least score: floors. So a model takes room for what was counted, not for each
+    item in each language.
+    """
 
     def __init__(self, languages: list[str], counts: list[tuple[int, str, str, int]]):
         self.languages = languages
         place = {lang: i for i, lang in enumerate(languages)}
         self.tables: list[dict[str, int]] = [{} for _ in range(GRAM + 1)]
-        known = [(kind, place[lang], self.tables[kind].setdefault(item, len(self.tables[kind])), n) for kind, lang, item, n in counts if lang in place]
-        self.scores = []
-        for kind, table in enumerate(self.tables):
-            sums = np.zeros((len(table), max(1, len(languages))))
-            for _, lang, row, n in (k for k in known if k[0] == kind):
-                sums[row, lang] += n
+        cells: list[list[tuple[int, int, int]]] = [[] for _ in self.tables]
+        for kind, lang, item, n in counts:
+            if lang in place:
+                cells[kind].append((self.tables[kind].setdefault(item, len(self.tables[kind])), place[lang], n))
+        self.floors, self.starts, self.langs, self.above = [], [], [], []
+        for table, rows in zip(self.tables, cells, strict=True):
+            row, lang, n = np.array(sorted(rows), np.int64).reshape(-1, 3).T
             # one more item than is known stands for all others
-            self.scores.append((np.log(sums + SMOOTH) - np.log(sums.sum(axis=0) + SMOOTH * (len(table) + 1))).astype(np.float32))
+            total = np.bincount(lang, weights=n, minlength=len(languages)) + SMOOTH * (len(table) + 1)
+            self.floors.append((np.log(SMOOTH) - np.log(total)).astype(np.float32))
+            self.starts.append(np.searchsorted(row, np.arange(len(table) + 1)))
+            self.langs.append(lang.astype(np.int32))
+            self.above.append((np.log(n + SMOOTH) - np.log(SMOOTH)).astype(np.float32))
+
+    def score(self, kind: int, rows: list[int]) -> np.ndarray:
+        """The mean of the items' scores."""
+        out = self.floors[kind].copy()
+        for row in rows:
+            a, b = self.starts[kind][row], self.starts[kind][row + 1]
+            out[self.langs[kind][a:b]] += self.above[kind][a:b] / len(rows)
+        return out
 
     def word(self, word: str) -> np.ndarray:
         row = self.tables[0].get(word)
         if row is not None:
-            return self.scores[0][row]
+            return self.score(0, [row])
         for n in range(GRAM, 0, -1):
             table = self.tables[n]
             known = [row for g in grams(word, n) if (row := table.get(g)) is not None]
             if known:
-                return self.scores[n][known].mean(axis=0) if len(known) > 1 else self.scores[n][known[0]]
+                return self.score(n, known)
         return np.zeros(len(self.languages), np.float32)
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_language: int = DOCS_PER_LANGUAGE, kept: int = KEPT) -> Model:
     """docs: those to learn from. Null languages and texts teach nothing."""
     labelled = short_batches(docs).select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).cast("string").alias("_text")).where("_lang IS NOT NULL AND _text IS NOT NULL")
-    sizes = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").collect()  # one row a language
     languages = [r["_lang"] for r in sizes]
     if not languages:
         return Model([], [])
@@ -114,7 +132,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
         pieces = sums(words.select("lang", "item", "n").mapInArrow(_grams, _SCHEMA))
         rows = []
         for df in (words, pieces):
-            top = df.orderBy(F.desc("n"), "kind", "lang", "item").limit(kept).toArrow()
+            # the sample bounds what a language has here
+            rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "kind", "item"))
+            top = df.withColumn("_rank", rank).where(F.col("_rank") <= kept).toArrow()
             rows += list(zip(*(top.column(c).to_pylist() for c in ("kind", "lang", "item", "n")), strict=True))
     finally:
         words.unpersist()
