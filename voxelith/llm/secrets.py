@@ -2,10 +2,10 @@
 
 Three base detectors find what is a secret by its form alone. Weak candidates (short secrets, mixed tokens
 without a keyword, account identifiers, endpoints) say nothing alone; they are reported only where parts
-that complement each other co-occur: an identifier or endpoint with a secret, in one scope. A scope is a
-paragraph (blank lines part them) and a reach of some characters around a part. The interval join of a
-document's parts takes the sorted starts and running ends of one kind and looks each interval of the other
-up by bisection, so a text with very many parts costs n log n and no pair is ever built.
+that complement each other co-occur: an identifier or endpoint with a secret, in one scope, neither a piece of the
+other. A scope is a paragraph (blank lines part them) and a reach of some characters around a part. The interval
+join of a document's parts sorts the starts and the ends of one kind and counts by bisection how many meet each
+interval of the other, so a text with very many parts costs n log n and no pair is ever built.
 """
 
 from __future__ import annotations
@@ -65,13 +65,12 @@ def entropy(token: str) -> float:
 
 
 def _touching(starts: np.ndarray, ends: np.ndarray, of: list[Span]) -> np.ndarray:
-    """Which of the intervals (starts, ends) meet any of the spans `of`."""
+    """How many of the spans `of` each of the intervals (starts, ends) meets."""
     if not of:
-        return np.zeros(len(starts), bool)
-    other = np.array(sorted((s, e) for s, _, e in of))
-    reach = np.maximum.accumulate(other[:, 1])
-    last = np.searchsorted(other[:, 0], ends, "left") - 1  # the last that starts before the interval ends
-    return (last >= 0) & (reach[np.maximum(last, 0)] > starts)
+        return np.zeros(len(starts), np.int64)
+    other = np.array(of)
+    # those that begin before its end, but for those that end before it begins
+    return np.searchsorted(np.sort(other[:, 0]), ends, "left") - np.searchsorted(np.sort(other[:, 2]), starts, "right")
 
 
 def linked(text: str, base: list[Span], short: list[Span], low: str, reach: int = REACH) -> list[Span]:
@@ -86,21 +85,26 @@ def linked(text: str, base: list[Span], short: list[Span], low: str, reach: int
         t = m[0]
         if re.search("[0-9]", t) and re.search("[A-Z]", t) and re.search("[a-z]", t) and entropy(t) >= MIN_ENTROPY:
             weak.append((m.start(), 5, m.end()))
-    if weak:  # what is part of another span isn't a candidate of its own
-        at = np.array(weak)
-        weak = [w for w, t in zip(weak, _touching(at[:, 0], at[:, 2], [*base, *endpoints]), strict=True) if not t]
+
+    def apart(own: list[Span], others: list[Span]) -> list[Span]:
+        """What is part of another span isn't a candidate of its own."""
+        at = np.array(own).reshape(-1, 3)
+        return [o for o, t in zip(own, _touching(at[:, 0], at[:, 2], others), strict=True) if not t]
+
+    weak = apart(weak, [*base, *endpoints])
+    identifiers = apart(identifiers, [s for s in [*base, *weak] if s[1] in (0, 5)])
     if not strong and not weak:
         return []
     cuts = np.array([m.end() for m in BLANK_LINE.finditer(text)])
 
     def meets(own: list[Span], others: list[Span]) -> np.ndarray:
-        """Spans of own whose scope meets any of others."""
+        """Spans of own whose scope meets any of others, besides those that they overlap themselves."""
         if not own:
             return np.zeros(0, bool)
         at = np.array(own)
         first = np.r_[0, cuts][np.searchsorted(cuts, at[:, 0], "right")] if len(cuts) else np.zeros(len(at), int)
         after = np.r_[cuts, len(text)][np.searchsorted(cuts, at[:, 0], "right")] if len(cuts) else np.full(len(at), len(text))
-        return _touching(np.maximum(at[:, 0] - reach, first), np.minimum(at[:, 2] + reach, after), others)
+        return _touching(np.maximum(at[:, 0] - reach, first), np.minimum(at[:, 2] + reach, after), others) > _touching(at[:, 0], at[:, 2], others)
 
     names = [s for s in base if s[1] == 1] + identifiers
     secrets = strong + weak
