@@ -5,7 +5,8 @@ depth. Forward scores, the best log-probability of any segmentation of the prefi
 computed depth by depth for all nodes at once: each node carries the open pieces (a position where a piece
 began, and how far it has come in the vocabulary's trie), each child moves them on by its character. A
 word's token count is stored at the node where it ends. Among segmentations of the same score the one with
-the fewest tokens counts.
+the fewest tokens counts. Where few words are left, which a depth at a time would take long over, the trie is
+walked word by word from there, in order, each word from the node at which it leaves the one before.
 
 Piece scores are a unigram file's own log-probabilities. A file of merge ranks has none; there the
 probability of a piece is taken as proportional to 1 / (rank + 1). A character that no piece covers costs
@@ -14,6 +15,7 @@ one token for each of its UTF-8 bytes.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
@@ -29,7 +31,8 @@ MARK = "▁"
 WORDS = re.compile("[^\x20\x09-\x0d]+")
 #: str.split() parts words here too, the contracts don't.
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-TRIE_CHARS = 48
+#: Words up to which the trie is walked word by word.
+TAIL = 32
 CACHED = 200_000
 LOT = 40_000
 BYTE_PENALTY = 10.0
@@ -68,6 +71,8 @@ class Unigram:
         inner.sort()
         self.key = np.array([k for k, _ in inner], np.int64)
         self.target = np.array([t for _, t in inner], np.int64)
+        self.arcs: dict[int, int] = {}
+        self.values: list[float] = []
         self.value = np.full(len(nodes), -np.inf)
         for p, s in pieces.items():
             self.value[nodes[p]] = s
@@ -79,43 +84,55 @@ class Unigram:
         at = np.minimum(np.searchsorted(self.key, want), len(self.key) - 1)
         return np.where(self.key[at] == want, self.target[at], -1)
 
-    def one(self, word: str) -> tuple[int, float]:
-        """Count and score of one word, for words too long to share much."""
-        best: list[tuple[float, int]] = [(0.0, 0)]
-        for end in range(1, len(word) + 1):
-            n = len(word[end - 1].encode("utf-8", "surrogatepass"))
-            score, count = best[end - 1]
-            top = (score + n * self.byte_score, -(count + n))
-            for start in range(max(0, end - self.longest), end):
-                value = self.pieces.get(word[start:end])
-                if value is not None:
-                    top = max(top, (best[start][0] + value, -(best[start][1] + 1)))
-            best.append((top[0], -top[1]))
-        return best[-1][1], best[-1][0]
+    def _walk(self, words: list[str], depth: int, node: list[tuple]) -> Iterator[tuple[int, float]]:
+        """(count, score) of each of the words, which are in order and go on from depth; node: what is known at each one's prefix.
+
+        A node is (score, count, open pieces); an open piece is (vocabulary state, score, count where it began).
+        """
+        if not self.arcs:
+            self.arcs, self.values = dict(zip(self.key.tolist(), self.target.tolist(), strict=True)), self.value.tolist()
+        arcs, value, byte_score = self.arcs, self.values, self.byte_score
+        shared = [0] + [len(os.path.commonprefix([a, b])) for a, b in zip(words, words[1:], strict=False)]
+        marks: dict[int, tuple] = {}
+        for i, word in enumerate(words):
+            start = max((d for d in marks if d <= shared[i]), default=None)
+            marks = {d: n for d, n in marks.items() if d <= shared[i]}
+            later = set(shared[i + 1 :])
+            at, (score, count, pieces) = (depth, node[i]) if start is None else (start, marks[start])
+            for d in range(at, len(word)):
+                if d in later:
+                    marks[d] = score, count, pieces
+                c = ord(word[d])
+                width = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+                top, least, still = score + width * byte_score, count + width, []
+                for state, s, n in [*pieces, (0, score, count)]:
+                    to = arcs.get(state << 21 | c, -1)
+                    if to >= 0:
+                        still.append((to, s, n))
+                        whole = s + value[to]
+                        if whole > top or (whole == top and n + 1 < least):
+                            top, least = whole, n + 1
+                score, count, pieces = top, least, still
+            if len(word) in later:
+                marks[len(word)] = score, count, pieces
+            yield count, score
 
     def many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(counts, scores) of words, each sharing its prefixes with the others."""
         counts, scores = np.zeros(len(words), np.int64), np.zeros(len(words))
-        short = []
-        for i, w in enumerate(words):
-            if len(w) > TRIE_CHARS:
-                counts[i], scores[i] = self.one(w)
-            elif w:
-                short.append(i)
-        if not short:
+        number = np.array(sorted((i for i, w in enumerate(words) if w), key=words.__getitem__), np.int64)
+        if not len(number):
             return counts, scores
-        short.sort(key=words.__getitem__)
-        lengths = np.array([len(words[i]) for i in short])
-        chars = np.frombuffer("".join(words[i] for i in short).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        lengths = np.array([len(words[i]) for i in number])
+        chars = np.frombuffer("".join(words[i] for i in number).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         begin = np.cumsum(lengths) - lengths
-        number = np.array(short)
         forward, tokens = np.zeros(1), np.zeros(1, np.int64)  # of the nodes of a depth, here the root
-        node_of = np.zeros(len(short), np.int64)  # of each word that goes on
-        live = np.arange(len(short))
+        node_of = np.zeros(len(number), np.int64)  # of each word that goes on
+        live = np.arange(len(number))
         # open pieces, in order of their node: node, vocabulary state, score and count where they began
         at, state, from_score, from_count = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
         depth = 0
-        while len(live):
+        while len(live) > TAIL:
             char = chars[begin[live] + depth]
             new = np.r_[True, (node_of[1:] != node_of[:-1]) | (char[1:] != char[:-1])]
             parent, label = node_of[new], char[new]
@@ -148,6 +165,10 @@ class Unigram:
             over = number[live[ended]]
             counts[over], scores[over] = tokens[child_of[ended]], forward[child_of[ended]]
             live, node_of = live[~ended], child_of[~ended]
+        if len(live):
+            nodes = {k: (float(forward[k]), int(tokens[k]), [(int(state[j]), float(from_score[j]), int(from_count[j])) for j in np.flatnonzero(at == k)]) for k in set(node_of.tolist())}
+            for i, (c, s) in zip(number[live], self._walk([words[i] for i in number[live]], depth, [nodes[k] for k in node_of.tolist()]), strict=True):
+                counts[i], scores[i] = c, s
         return counts, scores
 
 
