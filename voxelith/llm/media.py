@@ -1,4 +1,4 @@
-"""Media columns: payloads as progressive JPEG files, read back to bytes, coefficients and RGB tensors."""
+"""Media columns: payloads as progressive JPEG files in a table, read back from it to bytes, coefficients and RGB tensors."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import progressive_jpeg as pj
-from .common import short_batches, stateless
+from .common import Scratch, short_batches, stateless
 
 #: Bytes of media that go to the JVM at once.
 BATCH_BYTES = 8_000_000
@@ -63,23 +63,33 @@ def feature(rgb: np.ndarray) -> str:
     return f"{h}x{w}:{','.join(map(str, means.tolist()))}:{zlib.crc32(rgb):08x}"
 
 
+_DIGESTS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, height int, width int, rgb binary"
+
+
 def digests(media: DataFrame) -> DataFrame:
-    """Reads each file of stored() back: digests of its payload and of the file, and features of its RGB tensor."""
+    """Reads each file of stored() back: digests of its payload and of the file, its RGB tensor (height, width, rgb in rows of three bytes a pixel) and features of that."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary())
+    names = [c.split()[0] for c in _DIGESTS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+
+        rows, held = [], 0
         for batch in batches:
-            rows = []
-            for m in batch.column(2):
+            for i, n, m in zip(*(batch.column(k) for k in range(3)), strict=True):
                 raw = m.as_buffer().to_pybytes()
                 image = pj.decode(raw)
-                data = payload(image)
-                rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(raw), hashlib.sha256(raw).hexdigest(), feature(pj.pixels(image))))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            names = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
-            columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "n_bytes", *names])
+                data, rgb = payload(image), pj.pixels(image)
+                rows.append((i.as_py(), n.as_py(), len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(raw), hashlib.sha256(raw).hexdigest(), feature(rgb), *rgb.shape[:2], rgb.tobytes()))
+                held += rgb.nbytes
+                if held >= BATCH_BYTES:
+                    yield out()
+                    rows, held = [], 0
+        if rows:
+            yield out()
 
-    return media.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.mapInArrow(run, _DIGESTS)
 
 
 def tensors(media: DataFrame, media_col: str = "media") -> DataFrame:
@@ -104,10 +114,12 @@ def tensors(media: DataFrame, media_col: str = "media") -> DataFrame:
     return media.mapInArrow(run, T.StructType([*kept, T.StructField("height", T.IntegerType()), T.StructField("width", T.IntegerType()), T.StructField("rgb", T.BinaryType())]))
 
 
-def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of df, from the media column that stored() makes and digests() reads back.
+def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
+    """One row per row of df, of what digests() reads from the written table of stored() files.
 
     Null and empty texts give 192 spaces. Equal texts give equal values. Repeated rows give repeated results; an
     empty table gives an empty result. Only the two columns are read.
     """
-    return digests(stored(df, id_col, text_col))
+    scratch = scratch or Scratch(df.sparkSession, "media")
+    out = digests(scratch.store(stored(df, id_col, text_col)))
+    return out if id_col == "doc_id" else out.withColumnRenamed("doc_id", id_col)
