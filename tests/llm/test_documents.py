@@ -345,11 +345,7 @@ def test_bpe_codec(docs, empty, tokenizer):
 
 
 def test_bpe_any_text(tokenizer):
-    rnd = random.Random(11)
-    codec = bpe_codec.Codec(bpe_codec.default_path())
-    texts = [chr(i) + "a" + chr(i) + "1 'S" + chr(i) for i in range(0x250)]
-    texts += ["".join(chr(rnd.choice([rnd.randrange(32, 127), rnd.randrange(256), rnd.randrange(0x250), rnd.randrange(0x3000)])) for _ in range(60)) for _ in range(400)]
-    texts += ["".join(rnd.choice("ab ") for _ in range(200)) for _ in range(50)]
+    codec, texts = bpe_codec.Codec(bpe_codec.default_path()), any_texts()
     assert [x.tolist() for x in codec.encode(texts)] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -381,16 +377,37 @@ def test_lexicon():
 def test_token_output(docs, empty, tokenizer):
     encoded = lambda t: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
     out = token_output.round_trip(docs).collect()
-    expected = sorted((-1 if r[0] is None else r[0], len(encoded(r[1])), zlib.crc32(np.array(encoded(r[1]), "<u4").tobytes())) for r in rows())
-    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in out) == expected
+    expected = sorted(((r[0], len(encoded(r[1])), zlib.crc32(np.array(encoded(r[1]), "<u4").tobytes())) for r in rows()), key=repr)
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in out), key=repr) == expected
     at = 0
     for r in sorted(out, key=lambda r: r.start):
         assert r.start == at
         at += r.n_tokens
-    assert [r.doc_id for r in sorted(out, key=lambda r: r.start)] == sorted(r.doc_id for r in out)
+    order = [r.doc_id for r in sorted(out, key=lambda r: r.start)]
+    assert order == sorted(order, key=lambda i: (i is not None, i or 0)) and None in order
     assert token_output.round_trip(empty).count() == 0
 
 
+def test_token_output_export(docs, spark, tmp_path):
+    files = token_output.write(docs, common.Scratch(spark, "test"))
+    token_output.export(files, str(tmp_path))
+    read = [token_output.TokenFile(p.read_bytes()) for p in sorted(tmp_path.iterdir())]
+    assert sum(len(f.doc_ids) for f in read) == len(rows()) and sum(int(f.named.sum()) for f in read) == sum(r[0] is not None for r in rows())
+
+
+def any_texts():
+    rnd = random.Random(11)
+    texts = [chr(i) + "a" + chr(i) + "1 'S" + chr(i) for i in range(0x250)]
+    texts += ["".join(chr(rnd.choice([rnd.randrange(32, 127), rnd.randrange(256), rnd.randrange(0x250), rnd.randrange(0x3000)])) for _ in range(60)) for _ in range(400)]
+    texts += ["".join(chr(rnd.randrange(256)) for _ in range(40)) for _ in range(400)]
+    return texts + ["".join(rnd.choice("ab ") for _ in range(200)) for _ in range(50)] + ["<|endoftext|> a", "<|STARTOFTEXT|>", "  ", ""]
+
+
+def test_library_encoder_any_text(tokenizer):
+    encoder = token_output.LibraryEncoder(bpe_codec.default_path())
+    assert [x.tolist() for x in encoder.encode(any_texts())] == [e.ids for e in tokenizer.encode_batch(any_texts(), add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("bits", [1, 5, 8, 11, 16, 17, 32])
 def test_packing(bits):
     rnd = np.random.default_rng(bits)
@@ -543,6 +560,9 @@ def test_media(docs, empty):
     assert media.round_trip(empty).count() == 0
     t = media.tensors(media.stored(docs.where("doc_id = 7"))).first()
     assert len(t.rgb) == t.height * t.width * 3 and t.doc_id == 7
+    r = media.round_trip(docs.where("doc_id = 7")).first()
+    assert (r.height, r.width, r.rgb) == (t.height, t.width, t.rgb)
+    assert r.feature == media.feature(np.frombuffer(r.rgb, np.uint8).reshape(r.height, r.width, 3))
 
 
 def test_quality(docs, labels, empty, spark):

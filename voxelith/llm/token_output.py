@@ -5,7 +5,7 @@ bits that the vocabulary needs. A file is self-contained:
 
     magic 8 bytes | version, bits, ids in a block, documents, ids, blocks: 6 x uint64
     document identifiers: int64 x documents | first id of each document, and the end: uint64 x (documents + 1)
-    byte offset of each block: uint64 x blocks | the blocks
+    byte offset of each block: uint64 x blocks | the blocks | a bit for each document, set if it has an identifier
 
 Blocks but the last hold the same number of ids, so any id is found from its number; a block unpacks with
 numpy alone. Files are the `file` column of a Parquet table in the shared folder, so Spark's commit
@@ -31,6 +31,8 @@ BLOCK_IDS = 65_536
 FILE_IDS = 2_000_000
 END_ID = 1
 CACHED = 500_000
+#: Stretches that go to the library at once.
+AT_ONCE = 10_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -54,13 +56,15 @@ def unpack(raw, n: int, bits: int) -> np.ndarray:
     return np.packbits(wide, axis=1).view(">u4").reshape(-1).astype(np.uint32)
 
 
-def write_file(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, bits: int, block_ids: int = BLOCK_IDS) -> bytes:
+def write_file(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, bits: int, block_ids: int = BLOCK_IDS, named: np.ndarray | None = None) -> bytes:
+    """named: which documents have an identifier; all if it isn't given."""
+    named = np.ones(len(doc_ids), bool) if named is None else named
     blocks = [pack(ids[a : a + block_ids], bits) for a in range(0, len(ids), block_ids)]
-    head = np.array([1, bits, block_ids, len(doc_ids), len(ids), len(blocks)], "<u8").tobytes()
+    head = np.array([2, bits, block_ids, len(doc_ids), len(ids), len(blocks)], "<u8").tobytes()
     starts = np.r_[0, np.cumsum(lengths)].astype("<u8").tobytes()
     first = len(MAGIC) + len(head) + 8 * len(doc_ids) + len(starts) + 8 * len(blocks)
     offsets = (first + np.cumsum([0, *map(len, blocks)])[: len(blocks)]).astype("<u8").tobytes()
-    return b"".join([MAGIC, head, doc_ids.astype("<i8").tobytes(), starts, offsets, *blocks])
+    return b"".join([MAGIC, head, doc_ids.astype("<i8").tobytes(), starts, offsets, *blocks, np.packbits(named).tobytes()])
 
 
 class TokenFile:
@@ -74,6 +78,7 @@ class TokenFile:
         self.doc_ids = np.frombuffer(buffer, "<i8", docs, 56)
         self.starts = np.frombuffer(buffer, "<u8", docs + 1, 56 + 8 * docs).astype(np.int64)
         self.offsets = np.frombuffer(buffer, "<u8", blocks, 56 + 8 * (2 * docs + 1)).astype(np.int64)
+        self.named = np.unpackbits(np.frombuffer(buffer, np.uint8)[len(self.buffer) - -(-docs // 8) :], count=docs).astype(bool)
 
     def block(self, k: int) -> np.ndarray:
         n = min(self.block_ids, self.n - k * self.block_ids)
@@ -92,24 +97,27 @@ class TokenFile:
 
 
 class LibraryEncoder:
-    """The tokenizers library on each distinct word once, and on whole texts beyond Latin-1."""
+    """The tokenizers library on each distinct stretch between white space once, as words never cross that, and on whole texts beyond Latin-1."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.vocabulary = wordbpe.Vocabulary(path)
-        self.model = self.tokenizer.model
-        self.cache = wordbpe.CachedEncoder(self.vocabulary.special, self.words, self.whole, CACHED)
+        self.cache = wordbpe.CachedEncoder(self.vocabulary.special, self.chunks, self.whole, CACHED, split=False)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The library's model on words that are normalised and split already."""
-        model, spelt = self.model.tokenize, self.vocabulary.byte_level
-        each = [[t.id for t in model(spelt(w))] for w in words]
-        return np.array([len(x) for x in each], np.int64), np.array([i for x in each for i in x], np.int32)
+    def chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lengths, ids = [], []
+        for a in range(0, len(chunks), AT_ONCE):
+            each = [e.ids for e in self.tokenizer.encode_batch_fast(chunks[a : a + AT_ONCE], add_special_tokens=False)]
+            lengths += map(len, each)
+            ids += [np.array([i for x in each for i in x], np.int32)]
+        return np.array(lengths, np.int64), np.concatenate(ids) if ids else np.zeros(0, np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self.cache.encode(texts)
@@ -130,25 +138,26 @@ def write(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
         shard, seq = TaskContext.get().partitionId(), 0
         encoder = worker_encoder(path)
         bits = bits_for(encoder.vocabulary.size)
-        docs, lengths, ids, n = [], [], [], 0
+        docs, named, lengths, ids, n = [], [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            blob = write_file(np.concatenate(docs), np.concatenate(lengths), np.concatenate(ids), bits)
+            blob = write_file(np.concatenate(docs), np.concatenate(lengths), np.concatenate(ids), bits, named=np.concatenate(named))
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([seq], pa.int32()), pa.array([sum(map(len, docs))], pa.int64()), pa.array([n], pa.int64()), pa.array([blob], pa.binary())], names=["shard", "seq", "n_docs", "n_ids", "file"])
 
         for batch in batches:
-            numbers = batch.column(0).fill_null(-1).to_numpy()
+            numbers, valid = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             for a, b, texts in wordbpe.portions(batch.column(1)):
                 each = encoder.encode(texts)
                 if end_id is not None:
                     each = [np.append(x, end_id) for x in each]
                 docs.append(numbers[a:b])
+                named.append(valid[a:b])
                 lengths.append(np.array([len(x) for x in each], np.int64))
                 ids += each
                 n += int(lengths[-1].sum())
                 if n >= FILE_IDS:
                     yield close()
-                    docs, lengths, ids, n, seq = [], [], [], 0, seq + 1
+                    docs, named, lengths, ids, n, seq = [], [], [], [], 0, seq + 1
         if docs:
             yield close()
 
@@ -173,14 +182,13 @@ def read(files: DataFrame) -> DataFrame:
         for batch in batches:
             for shard, seq, raw in zip(*(batch.column(i) for i in range(3)), strict=True):
                 f = TokenFile(raw.as_buffer())
-                ids, at = [], []
                 crc = np.empty(len(f.doc_ids), np.int64)
                 flat = f.ids(0, f.n).astype("<u4") if f.n else np.zeros(0, "<u4")
                 for i, (a, b) in enumerate(zip(f.starts.tolist(), f.starts.tolist()[1:], strict=False)):
                     crc[i] = zlib.crc32(flat[a:b])
                 k = len(f.doc_ids)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(k, shard.as_py(), np.int32)), pa.array(np.full(k, seq.as_py(), np.int32)), pa.array(f.doc_ids), pa.array(f.starts[:-1]), pa.array(np.diff(f.starts)), pa.array(crc)],
+                    [pa.array(np.full(k, shard.as_py(), np.int32)), pa.array(np.full(k, seq.as_py(), np.int32)), pa.array(f.doc_ids, mask=~f.named), pa.array(f.starts[:-1]), pa.array(np.diff(f.starts)), pa.array(crc)],
                     names=["shard", "seq", "doc_id", "_in_file", "n_tokens", "ids_crc32"],
                 )
 
@@ -188,25 +196,27 @@ def read(files: DataFrame) -> DataFrame:
     return rows.join(small(starts, n), ["shard", "seq"]).select("doc_id", (F.col("_start") + F.col("_in_file")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int | None = END_ID) -> DataFrame:
+def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int | None = END_ID, scratch: Scratch | None = None) -> DataFrame:
     """Writes the files and gives what they hold: one row per row of df.
 
-    Null text counts as empty and has the end id alone. Null identifiers come first and read back as -1. Rows
+    Null text counts as empty and has the end id alone. Null identifiers come first and read back as null. Rows
     that repeat an identifier stand next to each other, in an order of their texts that reruns keep. An empty
     table gives no file and an empty result. Only the two columns are read.
     """
-    return read(write(df, Scratch(df.sparkSession, "tokens"), id_col, text_col, path, end_id))
+    out = read(write(df, scratch or Scratch(df.sparkSession, "tokens"), id_col, text_col, path, end_id))
+    return out if id_col == "doc_id" else out.withColumnRenamed("doc_id", id_col)
 
 
 def export(files: DataFrame, folder: str) -> None:
-    """Each file as part-<shard>-<seq>.vxt in a folder that all executors can write; a task that runs again writes the same bytes."""
+    """Each file as part-<shard>-<seq>.vxt in a folder that every executor has mounted (a path, not a URL); a task that runs again writes the same bytes."""
 
     def put(rows) -> None:
         import os
+        import uuid
 
         for r in rows:
             at = f"{folder}/part-{r.shard:05d}-{r.seq:05d}.vxt"
-            with open(f"{at}.{os.getpid()}", "wb") as f:
+            with open(f"{at}.{uuid.uuid4().hex}", "wb") as f:
                 f.write(r.file)
             os.replace(f.name, at)
 
