@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Of each local application without a folder of its own: the one that it has here.
+_own: dict[str, str] = {}
+#: Those not cleared yet, in order.
+_made: list[Scratch] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session, or a local folder where it is unset."""
+    """spark.checkpoint.dir of the session. Where it is unset, a temporary folder in local mode; a cluster has to name one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        where = f"file://{tempfile.mkdtemp(prefix='voxelith-')}"
-        spark.conf.set("spark.checkpoint.dir", where)
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        if context.applicationId not in _own:
+            _own[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='voxelith-')}"
+        where = _own[context.applicationId]
     return where.rstrip("/")
 
 
@@ -22,10 +34,13 @@ ROWS_PER_FILE = 10_000
 
 
 class Scratch:
+    """Written tables of one call of an operator. They stay until clear(), a closing released() block, or the end of the program."""
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        _made.append(self)
 
     def store(self, df: DataFrame, rows: int | None = None) -> DataFrame:
         """rows: about how many there are at most, where that is known; then a small table is not spread over many files."""
@@ -39,8 +54,11 @@ class Scratch:
         return out
 
     def clear(self) -> None:
-        """Everything that was stored here."""
-        self._delete(self.root)
+        """Everything that was stored here goes."""
+        if self.n:
+            self._delete(self.root)
+        with contextlib.suppress(ValueError):
+            _made.remove(self)
 
     def _delete(self, where: str) -> None:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
@@ -49,3 +67,22 @@ class Scratch:
     def free(self, *frames: DataFrame) -> None:
         for df in frames:
             self._delete(df._scratch_path)
+
+
+@contextlib.contextmanager
+def released(*kept: Scratch) -> Iterator[None]:
+    """What operators store inside goes at the end, but for `kept`; what is still needed has to be written or counted by then."""
+    before = set(map(id, _made)) | set(map(id, kept))
+    try:
+        yield
+    finally:
+        for s in [s for s in _made if id(s) not in before]:
+            s.clear()
+
+
+@atexit.register
+def _at_end() -> None:
+    for s in list(_made):
+        with contextlib.suppress(Exception):  # the session may be gone
+            if s.spark.sparkContext._jsc is not None:
+                s.clear()
