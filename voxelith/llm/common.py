@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelith.sources.scratch import Scratch
+from voxelith.sources.scratch import Scratch, released
 
-__all__ = ["BROADCAST_ROWS", "SPACE", "WORD", "Scratch", "Shared", "normalised", "partitions", "short_batches", "small", "stateless", "table", "word_count", "worker_state"]
+__all__ = ["BROADCAST_ROWS", "SPACE", "WORD", "Scratch", "Shared", "normalised", "partitions", "released", "short_batches", "small", "stateless", "table", "word_count", "worker_state"]
 
 #: White space of the query contracts; a word is a run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"

@@ -132,7 +132,11 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", scratc
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
-    """The rows that stay, with all columns of df: one of each group of equal texts, that of the smallest identifier."""
+    """The rows that stay, with all columns of df: one of each group of equal texts, that of the smallest identifier.
+
+    Null counts as an empty text and a null identifier as the largest; of rows that repeat both, one stays; an empty
+    table gives an empty result. Columns may have any names.
+    """
     scratch = scratch or Scratch(df.sparkSession, "exact")
     names = [f"c{i}" for i in range(len(df.columns))]  # whatever the columns are called, they can't clash with those added
     flat = df.toDF(*names)

@@ -316,7 +316,11 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
-    """The rows that stay, with all columns: of each component those of the smallest identifier."""
+    """The rows that stay, with all columns: of each component those of the smallest identifier.
+
+    Nulls, ties and repeated rows as in groups(): rows without identifier, text or words stay, rows that repeat an
+    identifier stay or go together; an empty table gives an empty result.
+    """
     scratch = scratch or Scratch(df.sparkSession, "minhash")
     name = "_gone"
     while name in df.columns:

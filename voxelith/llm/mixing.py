@@ -112,7 +112,7 @@ def allocation(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """The mixed corpus: the rows of df with all their columns, each as often as allocation() takes it."""
+    """The mixed corpus: the rows of df with all their columns, each as often as allocation() takes it; nulls, ties and repeated rows as there."""
     scratch = Scratch(df.sparkSession, "mix")
     names = [f"c{i}" for i in range(len(df.columns))]
     flat = df.toDF(*names)
