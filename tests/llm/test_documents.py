@@ -585,7 +585,7 @@ def test_quality_all_trusted(spark):
     n = 9_000
     docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
     labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
-    _, sample, _ = quality.train(docs, labels, common.Scratch(spark, "test"))
+    _, sample = quality.train(docs, labels, common.Scratch(spark, "test"))
     assert sample.count() == n
     rnd = random.Random(5)
     values = [(rnd.choice(["en", "de"]), rnd.random() < 0.5, rnd.gauss(3, 0.4), rnd.randrange(20, 900)) for _ in range(3_000)]
@@ -596,51 +596,84 @@ def test_quality_all_trusted(spark):
         assert abs(got_[lang][1] - np.quantile([x[1] for x in own if not x[2]], quality.HIGH) * (1 + quality.MARGIN)) < 2e-4
 
 
-def test_kneser_ney(docs, labels, spark):
-    scratch = common.Scratch(spark, "test")
-    model, _, (grams, contexts) = quality.train(docs, labels, scratch)
-    table = np.exp(model.dense().astype(float)).reshape(-1, quality.SYMBOLS)
-    assert np.allclose(table.sum(axis=1), 1, atol=1e-5)
-    some = docs.where("doc_id BETWEEN 100 AND 140 OR doc_id < 4")
-    dense = {r.doc_id: r.log_perplexity for r in quality.scored(some.dropDuplicates(["doc_id"]).select("doc_id", "text"), model, "text").collect()}
-    joined = {r.doc_id: r.log_perplexity for r in quality.perplexity_joined(some.dropDuplicates(["doc_id"]), model.symbols, grams, contexts, "doc_id", "text").collect()}
-    assert dense.keys() == joined.keys() and all(abs(dense[i] - joined[i]) < 1e-4 for i in dense)
-
-
-def test_kneser_ney_by_hand(spark):
-    """Two orders of counts small enough to redo with dictionaries."""
-    from collections import Counter
-
-    texts = ["abracadabra", "abba", "cadabra", "barb"]
-    alphabet = quality.Alphabet(sorted(set("".join(texts))))
-    code, _ = alphabet.grams(texts)
-    counts = Counter(code.tolist())
-    scratch = common.Scratch(spark, "test")
-    grams, _ = quality.kneser_ney(spark.createDataFrame(list(counts.items()), "code long, n long"), scratch)
-    found = {(r.k, r.code): r.p for r in grams.collect()}
-    tables = {quality.ORDER: counts}
-    for k in range(quality.ORDER - 1, 0, -1):
-        tables[k] = Counter(c & (64**k - 1) for c in tables[k + 1])
-    discounts = {}
+def plain_kneser_ney(texts):
+    """Log-probability of a text by dictionaries over symbols, the model counted on texts."""
+    from collections import Counter, defaultdict
+
+    symbols = lambda t: [quality.symbol_of(c) if ord(c) < 1 << 16 else chr(quality.SPARE + ord(c) % quality.SPARES) for c in t]
+    grams = lambda t: [tuple((["start"] * 3 + symbols(t))[i : i + 4]) for i in range(len(t))]
+    tables = {4: Counter(g for t in texts for g in grams(t))}
+    for k in (3, 2, 1):
+        tables[k] = Counter(g[1:] for g in tables[k + 1])
+    discount, total, held, every = {}, defaultdict(float), defaultdict(float), len(tables[1]) + 1
     for k, t in tables.items():
         n = [sum(v == i for v in t.values()) for i in range(5)]
         y = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
-        discounts[k] = [max(0.0, min(i, i - (i + 1) * y * n[i + 1] / n[i])) if n[i] and n[i + 1] else 0.5 for i in (1, 2, 3)]
-
-    def p(k, c):
-        if k == 0:
-            return 1 / 64
-        own = {g: v for g, v in tables[k].items() if g >> 6 == c >> 6}
-        below = p(k - 1, c & (64 ** (k - 1) - 1))
-        if not own:
-            return below
-        d = discounts[k]
-        total = sum(own.values())
-        gamma = sum(d[min(v, 3) - 1] for v in own.values()) / total
-        return (max(0, own[c] - d[min(own[c], 3) - 1]) / total if c in own else 0) + gamma * below
-
-    assert all(abs(v - p(k, c)) < 1e-9 for (k, c), v in found.items())
-    assert len(found) == sum(map(len, tables.values()))
+        discount[k] = [max(0.0, min(i, i - (i + 1) * y * n[i + 1] / n[i])) if n[i] and n[i + 1] else 0.5 for i in (1, 2, 3)]
+        for g, v in t.items():
+            total[g[:-1]] += v
+            held[g[:-1]] += discount[k][min(v, 3) - 1]
+    memo: dict = {(): 1 / every}
+
+    def p(g):
+        if g not in memo:
+            below, k, ctx = p(g[1:]), len(g), g[:-1]
+            v = tables[k].get(g, 0)
+            memo[g] = below if not total[ctx] else ((v - discount[k][min(v, 3) - 1]) / total[ctx] if v else 0) + held[ctx] / total[ctx] * below
+        return memo[g]
+
+    for ctx in [g[:-1] for g in list(tables[4])[:20]]:
+        assert sum(p((*ctx, *s)) for s in tables[1]) + p((*ctx, "unseen")) == pytest.approx(1)
+    return lambda t: sum(math.log(p(g)) for g in grams(t))
+
+
+@pytest.mark.parametrize("lot", [quality.LOT_CHARS, 50])
+def test_kneser_ney(spark, monkeypatch, lot):
+    """Rows that repeat or lack an identifier, scripts of thousands of characters, texts longer than a lot: each against dictionaries."""
+    monkeypatch.setattr(quality, "LOT_CHARS", lot)
+    rnd = random.Random(31)
+    han = ["".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(40)) for _ in range(30)]
+    texts = ["abracadabra", "abba", "cadabra 12", "Barb", *han[:20], *(words(rnd, 30) for _ in range(30))]
+    tables = quality.kneser_ney(spark.createDataFrame([(t,) for t in texts], "text string").mapInArrow(quality._gram_counts, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), common.Scratch(spark, "test"))
+    plain = plain_kneser_ney(texts)
+    ask = [(1, "abracadabra"), (1, "zzz"), (1, "abracadabra"), (None, "bar"), (None, "cab"), (2, None), (3, ""), (4, "a"), (5, "\x00\U0001f600A9"), (6, "x" * 900), (7, "the of " * 200)]
+    ask += [(100 + i, t) for i, t in enumerate([*han, *(words(rnd, 20) for _ in range(10))])]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(ask)], "doc_id long, text string, n int").repartition(3)
+    for with_text in (False, True):
+        out = {r.n: r for r in quality.scored(df, tables, "text", common.Scratch(spark, "test"), with_text).collect()}
+        assert len(out) == len(ask)
+        for n, (i, t) in enumerate(ask):
+            assert out[n].doc_id == i and out[n].n_symbols == len(t or "") and (not with_text or out[n].text == t)
+            assert out[n].log_perplexity == (pytest.approx(-plain(t) / len(t)) if t else None)
+    assert len({round(out[n].log_perplexity, 9) for n, (i, _) in enumerate(ask) if i and 100 <= i < 130}) > 20
+
+
+def test_pieces_of_long_texts(monkeypatch):
+    monkeypatch.setattr(quality, "LOT_CHARS", 50)
+    rnd = random.Random(41)
+    texts = ["", words(rnd, 300), "a", words(rnd, 4), "b" * 50, "c" * 51, words(rnd, 90)]
+    alphabet, found = quality.Alphabet(), {}
+    for lot in quality._pieces(texts):
+        assert sum(len(p) for _, p, _ in lot) <= 53
+        codes, first, place, n = quality.counted(alphabet, lot)
+        for c, a, b in zip(codes.tolist(), first, first[1:], strict=False):
+            for p, k in zip(place[a:b].tolist(), n[a:b].tolist(), strict=True):
+                found[p, c] = found.get((p, c), 0) + k
+    monkeypatch.undo()
+    (lot,) = quality._pieces(texts)
+    codes, first, place, n = quality.counted(alphabet, lot)
+    assert found == {(p, c): k for c, a, b in zip(codes.tolist(), first, first[1:], strict=False) for p, k in zip(place[a:b].tolist(), n[a:b].tolist(), strict=True)}
+
+
+def test_lots_with_many_symbols():
+    """Of more symbols and places than fit one word."""
+    rnd = random.Random(37)
+    texts = ["".join(chr(rnd.randrange(0x4E00, 0x9FFF)) for _ in range(30)) for _ in range(3000)]
+    alphabet = quality.Alphabet()
+    codes, first, place, n = quality.counted(alphabet, [(i, t, True) for i, t in enumerate(texts)])
+    got_ = sorted((p, c) for c, a, b in zip(codes.tolist(), first, first[1:], strict=False) for p, k in zip(place[a:b].tolist(), n[a:b].tolist(), strict=True) for _ in range(k))
+    code = lambda s: int(np.array([sum(v << 16 * (3 - k) for k, v in enumerate(s))], np.uint64).view(np.int64)[0])
+    assert got_ == sorted((i, code(([0, 0, 0] + [ord(c) for c in t])[k : k + 4])) for i, t in enumerate(texts) for k in range(len(t)))
 
 
 def test_secrets_window():

@@ -20,15 +20,8 @@ SPACE = r"[\x20\x09-\x0d]+"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables are not here")
 
 
-def rank_symbols(texts):
-    counts = Counter(quality.symbol_of(c) for t in texts for c in t)
-    return [s for s, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0].encode()))[:62]]
-
-
-def plain_model(texts, symbols):
-    place = {s: i for i, s in enumerate(symbols, 2)}
-    code = lambda t: [place.get(quality.symbol_of(c), 1) if ord(c) < 0x3000 else 1 for c in t]
-    grams = lambda t: [tuple(([0, 0, 0] + code(t))[i : i + 4]) for i in range(len(t))]
+def plain_model(texts):
+    grams = lambda t: [tuple((["start"] * 3 + [quality.symbol_of(c) for c in t])[i : i + 4]) for i in range(len(t))]
     tables = {4: Counter(g for t in texts for g in grams(t))}
     for k in (3, 2, 1):
         tables[k] = Counter(g[1:] for g in tables[k + 1])
@@ -40,7 +33,7 @@ def plain_model(texts, symbols):
         for g, v in t.items():
             total[g[:-1]] += v
             held[g[:-1]] += discount[k][min(v, 3) - 1]
-    memo: dict = {(): 1 / 64}
+    memo: dict = {(): 1 / (len(tables[1]) + 1)}
 
     def p(g):
         if g not in memo:
@@ -58,7 +51,7 @@ def keep_quality(docs, labels, draw):
         verdict[i] = verdict.get(i, True) and q == 1 and not x
     sample = [d for d in docs if d["text"] and verdict.get(d["doc_id"])]
     fit = [d["text"] for d in sample if draw[d["doc_id"]] % 2 == 0]
-    score = plain_model(fit, rank_symbols(fit))
+    score = plain_model(fit)
     groups = defaultdict(list)
     for d in sample:
         s, w = score(d["text"]), quality.SPREAD / math.sqrt(len(d["text"]))

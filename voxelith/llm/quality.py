@@ -1,15 +1,16 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over character symbols (capitals and digits are a symbol each, the most frequent other
-characters one each), four at a time. Its counts come from every second trusted document, by a hash, and stay
-tables throughout: n-gram counts, continuation counts, context sums and discounts are aggregated and joined
-by context and by suffix in hash shards, order by order, which gives the interpolated probability of each
-n-gram seen and the back-off weight of each context.
-
-Documents meet those tables in one of two ways with the same result. If the tables have at most
-BROADCAST_GRAMS rows (the alphabet bounds them) each worker holds them and lays them out as
-one array, so a text costs one look-up a character. Beyond that, n-gram counts of each document are joined
-with the shards and summed (perplexity_joined).
+The model is over characters, four at a time: capitals are one symbol and digits another, any other character is its
+own, of whatever script. Its counts come from every second trusted document, by a hash, and stay tables throughout:
+n-gram counts, continuation counts, context sums and discounts are aggregated and joined by context and by suffix in
+hash shards, order by order, which gives the interpolated probability of each n-gram seen and the back-off weight of
+each context.
+
+Documents meet those tables by joins as well. A lot of documents gives one row for each of its different n-grams, with
+the places and counts of the documents that have it. The different n-grams of all lots are joined with the tables,
+order by order, and their log-probabilities with the rows; sums by lot and place are the log-probabilities of the
+documents. A lot is numbered as it is written, so rows that repeat an identifier, or have none, are each scored by
+themselves, and the carried columns travel with their lot.
 
 A document is kept if its perplexity lies between two quantiles of its own language, taken over all trusted
 documents (the upper one over those that the model has not seen), widened by MARGIN.
@@ -17,23 +18,24 @@ documents (the upper one over those that the model has not seen), widened by MAR
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, Shared, short_batches, small, worker_state
-from .wordbpe import portions
+from .common import Scratch, short_batches, small, worker_state
 
 ORDER = 4
-BITS = 6
-SYMBOLS = 1 << BITS
-START, OTHER = 0, 1
-BROADCAST_GRAMS = 4_000_000
+BITS = 16
+START = 0
+#: Where characters beyond the first plane have their symbols, by remainder: it holds no characters of its own.
+SPARE, SPARES = 0xD800, 0x2100
+#: Characters that are counted at once: of a lot, or of a piece of a longer text. Documents of a lot.
+LOT_CHARS, LOT_DOCS = 4_000_000, 4_096
 #: Quantiles of log perplexity, and the factors by which the bounds are widened.
 LOW, HIGH = 0.005, 0.995
 MARGIN = 0.06
@@ -44,74 +46,110 @@ DECIMALS = 4
 SPREAD = 3.0
 CAPITAL, DIGIT = "A", "0"
 
+Tables = tuple[DataFrame, DataFrame, int]  # n-grams, contexts, symbols seen and one more for all others
+
 
 def symbol_of(char: str) -> str:
     return CAPITAL if char.isupper() else DIGIT if char.isdigit() else char
 
 
 class Alphabet:
-    def __init__(self, symbols: list[str]):
-        place = {s: i for i, s in enumerate(symbols[: SYMBOLS - 2], 2)}
-        self.table = np.array([place.get(symbol_of(chr(c)), OTHER) for c in range(0x3000)], np.uint8)
-
-    def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(symbols of all texts, ORDER - 1 starts before each; lengths without those)."""
-        pad = chr(0) * (ORDER - 1)
-        flat = np.frombuffer((pad + pad.join(texts)).encode("utf-32-le", "surrogatepass"), np.uint32)
-        out = np.full(len(flat), OTHER, np.uint8)
-        low = flat < len(self.table)
-        out[low] = self.table[flat[low]]
-        lengths = np.array([len(t) for t in texts], np.int64)
-        starts = np.cumsum(lengths + ORDER - 1) - lengths - (ORDER - 1)
-        for k in range(ORDER - 1):
-            out[starts + k] = START
-        return out, lengths
-
-    def grams(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(code of the ORDER symbols that end at each character, lengths)."""
-        sym, lengths = self.codes(texts)
-        code = np.zeros(max(0, len(sym) - ORDER + 1), np.int32)
-        for k in range(ORDER):
-            code <<= BITS
-            code |= sym[k : k + len(code)]
-        # those that begin in the one text and end in the next's starts are not counted
-        ends = np.repeat(np.arange(len(texts)) * (ORDER - 1), lengths) + np.arange(lengths.sum())
-        return code[ends], lengths
-
-
-def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
+    def __init__(self):
+        self.table = np.array([ord(symbol_of(chr(c))) or 1 for c in range(1 << BITS)], np.uint16)
+
+    def symbols(self, text: str) -> np.ndarray:
+        flat = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        low = flat < 1 << BITS
+        if low.all():
+            return self.table[flat]
+        return np.where(low, self.table[np.where(low, flat, 0)], SPARE + flat % SPARES).astype(np.uint16)
+
+
+def _pieces(texts: list[str]) -> Iterator[list[tuple[int, str, bool]]]:
+    """(place, piece, whether it begins its text) in lots of up to LOT_CHARS; a piece that doesn't begin has the ORDER - 1 characters before it in front."""
+    lot, held = [], 0
+    for i, t in enumerate(texts):
+        for a in range(0, len(t), LOT_CHARS):
+            piece = t[max(0, a - ORDER + 1) : a + LOT_CHARS]
+            if lot and held + len(piece) > LOT_CHARS:
+                yield lot
+                lot, held = [], 0
+            lot.append((i, piece, a == 0))
+            held += len(piece)
+    if lot:
+        yield lot
+
+
+def counted(alphabet: Alphabet, lot: list[tuple[int, str, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, first, place, n): different n-grams of a lot, where each one's entries begin (and the end), and the place and count of each entry."""
+    pad = chr(0) * (ORDER - 1)
+    flat = alphabet.symbols("".join(pad + p if begins else p for _, p, begins in lot))
+    lengths = np.array([len(p) + (ORDER - 1) * begins for _, p, begins in lot], np.int64)
+    begin = np.cumsum(lengths) - lengths
+    for k in range(ORDER - 1):
+        flat[begin[[b for _, _, b in lot]] + k] = START
+    # as few bits as the lot's own symbols need, so that n-gram and place fit one word and one sort counts them
+    own, dense = np.unique(flat, return_inverse=True)
+    places, of = np.unique([i for i, _, _ in lot], return_inverse=True)
+    bits, place_bits = max(1, int(len(own) - 1).bit_length()), int(len(places) - 1).bit_length()
+    if ORDER * bits + place_bits > 64:
+        half = [counted(alphabet, part) for part in (lot[: len(lot) // 2], lot[len(lot) // 2 :])]
+        codes, first = np.concatenate([h[0] for h in half]), np.concatenate([half[0][1][:-1], half[0][1][-1] + half[1][1]])
+        return codes, first, np.concatenate([h[2] for h in half]), np.concatenate([h[3] for h in half])
+    dense = dense.astype(np.uint64)
+    word = np.zeros(len(flat) - ORDER + 1, np.uint64)
+    for k in range(ORDER):
+        word = word << np.uint64(bits) | dense[k : k + len(word)]
+    each = lengths - (ORDER - 1)  # n-grams of each piece: those that end in it
+    at = np.repeat(begin, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    word = word[at] << np.uint64(place_bits) | np.repeat(of, each).astype(np.uint64)
+    word.sort()
+    new = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else np.zeros(0, np.int64)
+    n, word = np.diff(np.r_[new, len(word)]), word[new]
+    gram = word >> np.uint64(place_bits)
+    first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]]) if len(gram) else np.zeros(0, np.int64)
+    codes = np.zeros(len(first), np.uint64)
+    for k in range(ORDER):
+        part = gram[first] >> np.uint64(bits * (ORDER - 1 - k)) & np.uint64((1 << bits) - 1)
+        codes = codes << np.uint64(BITS) | own[part.astype(np.int64)].astype(np.uint64)
+    return codes.view(np.int64), np.r_[first, len(gram)], places[(word & np.uint64((1 << place_bits) - 1)).astype(np.int64)], n
+
+
+ENTRY = np.dtype([("place", "<u2"), ("n", "u1")])
+#: Entries that are summed at once.
+SUMMED = 2_000_000
+
+
+def _alphabet() -> Alphabet:
+    return worker_state(("quality",), Alphabet)
+
+
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for t in batch.column(0):
-            seen.update(t.as_py())
-    sums: Counter = Counter()
-    for c, n in seen.items():
-        sums[symbol_of(c)] += n
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.int64())], names=["symbol", "n"])
+        for lot in _pieces(batch.column(0).to_pylist()):
+            codes, first, _, n = counted(_alphabet(), lot)
+            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(np.add.reduceat(n, first[:-1]))], names=["code", "n"])
 
 
-def _gram_counts(symbols: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alphabet = Alphabet(symbols)
-        for batch in batches:
-            for _, _, texts in portions(batch.column(0)):
-                code, n = np.unique(alphabet.grams(texts)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"])
+def _suffix(code: str, k: int) -> Column:
+    return F.col(code).bitwiseAND((1 << BITS * k) - 1) if k < ORDER else F.col(code)
 
-    return run
 
+def _context(code: str) -> Column:
+    return F.shiftrightunsigned(code, BITS)
 
-def kneser_ney(counts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """counts (code, n) of ORDER-grams -> (k, code, p) of all grams seen, (k, context, gamma) of all contexts seen.
+
+def kneser_ney(counts: DataFrame, scratch: Scratch) -> Tables:
+    """counts (code, n) of ORDER-grams -> (k, code, p) of all grams seen, (k, context, gamma) of all contexts seen, and the number of symbols.
 
     The highest order uses counts; each lower one the number of different symbols seen before a gram. Discounts for
-    counts of 1, 2 and 3 or more come from the counts of counts of their order.
+    counts of 1, 2 and 3 or more come from the counts of counts of their order. All symbols that were not seen are
+    one more together.
     """
-    by_order = {ORDER: counts.select("code", "n")}
+    by_order = {ORDER: scratch.store(counts.select("code", "n"))}
     for k in range(ORDER - 1, 0, -1):
-        by_order[k] = by_order[k + 1].groupBy(F.col("code").bitwiseAND((1 << BITS * k) - 1).alias("code")).agg(F.count("*").alias("n"))
-    for k in by_order:
-        by_order[k] = scratch.store(by_order[k])
+        by_order[k] = scratch.store(by_order[k + 1].groupBy(_suffix("code", k).alias("code")).agg(F.count("*").alias("n")))
+    symbols = by_order[1].count() + 1
     lower, grams, contexts = None, [], []
     for k in range(1, ORDER + 1):
         rows = by_order[k]
@@ -119,124 +157,154 @@ def kneser_ney(counts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
         y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
         d1, d2, d3 = (max(0.0, min(i, i - (i + 1) * y * (b / a))) if a and b else 0.5 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))
         discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        context = F.shiftright("code", BITS)
-        sums = rows.groupBy(context.alias("context")).agg(F.sum("n").alias("total"), F.sum(discount).alias("held"))
-        joined = rows.withColumn("context", context).join(sums, "context")
+        sums = rows.groupBy(_context("code").alias("context")).agg(F.sum("n").alias("total"), F.sum(discount).alias("held"))
+        joined = rows.withColumn("context", _context("code")).join(sums, "context")
         own = (F.col("n") - discount) / F.col("total")
         gamma = F.col("held") / F.col("total")
         if lower is None:
-            p = joined.select("code", (own + gamma / SYMBOLS).alias("p"))
+            p = joined.select("code", (own + gamma / symbols).alias("p"))
         else:
-            suffix = F.col("code").bitwiseAND((1 << BITS * (k - 1)) - 1)
-            p = joined.withColumn("suffix", suffix).join(lower.toDF("suffix", "below"), "suffix").select("code", (own + gamma * F.col("below")).alias("p"))
+            p = joined.withColumn("suffix", _suffix("code", k - 1)).join(lower.toDF("suffix", "below"), "suffix").select("code", (own + gamma * F.col("below")).alias("p"))
         lower = scratch.store(p)
         grams.append(lower.select(F.lit(k).alias("k"), "code", "p"))
         contexts.append(sums.select(F.lit(k).alias("k"), "context", gamma.alias("gamma")))
     union = lambda frames: frames[0] if len(frames) == 1 else union([frames[0].union(frames[1]), *frames[2:]])
-    return scratch.store(union(grams)), scratch.store(union(contexts))
-
-
-class Model:
-    """symbols of the alphabet; the tables as arrays (k, code, p) and (k, context, gamma)."""
-
-    def __init__(self, symbols: list[str], grams: tuple, contexts: tuple):
-        self.symbols, self.grams, self.contexts = symbols, grams, contexts
-
-    def dense(self) -> np.ndarray:
-        """Natural log of the probability of each ORDER-gram's last symbol, seen or not."""
-        p = np.full((1, SYMBOLS), 1 / SYMBOLS, np.float32)
-        for k in range(1, ORDER + 1):
-            gamma = np.ones(SYMBOLS ** (k - 1), np.float32)
-            at = self.contexts[0] == k
-            gamma[self.contexts[1][at]] = self.contexts[2][at]
-            # what follows a context that was not seen is what follows it without its first symbol
-            now = (gamma.reshape(-1, len(p), 1) * p).reshape(-1)
-            at = self.grams[0] == k
-            now[self.grams[1][at]] = self.grams[2][at]
-            p = now.reshape(-1, SYMBOLS)
-        return np.log(now, out=now)
-
-
-def _laid_out(model: Shared) -> tuple[Alphabet, np.ndarray]:
-    return worker_state(("quality", model), lambda: (Alphabet(model.value.symbols), model.value.dense()))
-
-
-def scored(df: DataFrame, model: Model, text_col: str) -> DataFrame:
-    """df without its text, with log_perplexity (null without characters) and n_symbols."""
-    spark = df.sparkSession
-    shared = Shared(spark.sparkContext.broadcast(model))
-    others = [c for c in df.columns if c != text_col]
-    frame = short_batches(df).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_col), *others)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alphabet, log_p = _laid_out(shared)
-        for batch in batches:
-            for a, b, texts in portions(batch.column(0)):
-                code, lengths = alphabet.grams(texts)
-                ends = np.r_[0, np.cumsum(log_p[code], dtype=np.float64)][np.r_[0, np.cumsum(lengths)]]
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    score = -np.diff(ends) / lengths
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(1, part.num_columns)), pa.array(score, mask=lengths == 0), pa.array(lengths)], names=[*others, "log_perplexity", "n_symbols"])
+    return scratch.store(union(grams)), scratch.store(union(contexts)), symbols
 
-    schema = T.StructType([f for f in frame.schema if f.name in others] + [T.StructField("log_perplexity", T.DoubleType()), T.StructField("n_symbols", T.LongType())])
-    return frame.mapInArrow(run, schema)
 
-
-def perplexity_joined(df: DataFrame, symbols: list[str], grams: DataFrame, contexts: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, log_perplexity, n_symbols) by joins of each document's n-gram counts with the sharded tables, for tables too large to hold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alphabet = Alphabet(symbols)
-        for batch in batches:
-            for i, t in zip(batch.column(0), batch.column(1), strict=True):
-                code, n = np.unique(alphabet.grams([t.as_py()])[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * len(code), pa.int64()), pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["id", "code", "n"])
-
-    own = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    counted = own.mapInArrow(run, "id long, code long, n long")
-    # the longest suffix that was seen gives p; every context passed over on the way gives its weight
-    rows = counted.withColumns({"p": F.lit(None).cast("double"), "weight": F.lit(1.0)})
+def resolved(codes: DataFrame, tables: Tables) -> DataFrame:
+    """(code, log_p) of n-grams, seen or not: the longest suffix that was seen gives p, and every context passed over on the way its weight."""
+    grams, contexts, symbols = tables
+    rows = codes.select("code", F.lit(None).cast("double").alias("p"), F.lit(1.0).alias("weight"))
     for k in range(ORDER, 0, -1):
         mine = grams.where(F.col("k") == k).select(F.col("code").alias("c"), F.col("p").alias("found"))
         gamma = contexts.where(F.col("k") == k).select(F.col("context").alias("x"), "gamma")
-        code = F.col("code").bitwiseAND((1 << BITS * k) - 1)
-        rows = rows.withColumn("c", code).withColumn("x", F.shiftright(code, BITS)).join(mine, "c", "left").join(gamma, "x", "left")
+        if k == 1:  # one row for each symbol at most, and there are 65,536
+            mine, gamma = F.broadcast(mine), F.broadcast(gamma)
+        if k == 2:
+            gamma = F.broadcast(gamma)
+        rows = rows.withColumn("c", _suffix("code", k)).withColumn("x", _context("c")).join(mine, "c", "left").join(gamma, "x", "left")
         rows = rows.select(
-            "id", "code", "n",
-            F.coalesce("p", F.col("weight") * F.col("found")).alias("p"),
+            "code", F.coalesce("p", F.col("weight") * F.col("found")).alias("p"),
             F.when(F.col("p").isNull() & F.col("found").isNull(), F.col("weight") * F.coalesce("gamma", F.lit(1.0))).otherwise(F.col("weight")).alias("weight"),
         )
-    p = F.coalesce("p", F.col("weight") / SYMBOLS)
-    return rows.groupBy(F.col("id").alias(id_col)).agg((-F.sum(F.log(p) * F.col("n")) / F.sum("n")).alias("log_perplexity"), F.sum("n").alias("n_symbols"))
+    return rows.select("code", F.log(F.coalesce("p", F.col("weight") / symbols)).alias("log_p"))
 
 
-def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[Model | None, DataFrame | None, tuple[DataFrame, DataFrame] | None]:
-    """(model, trusted documents (lang, text, fit), its tables) from documents labelled of quality 1 and not toxic.
+def scored(df: DataFrame, tables: Tables, text_col: str, scratch: Scratch, with_text: bool = False) -> DataFrame:
+    """df (with or without its text) with log_perplexity (null without characters) and n_symbols, row by row."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    others = [c for c in df.columns if c != text_col]
+    carried = [*([text_col] if with_text else []), *others]
+    frame = short_batches(df).select(text_col, *others).toDF(*([] if with_text else ["_t"]), *[f"c{i}" for i in range(len(carried))])
+
+    def lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number, texts, heads = TaskContext.get().partitionId() << 32, [], []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            sizes = pa.array([len(t) for t in texts], pa.int64())
+            table = pa.Table.from_batches(heads).combine_chunks()
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema.append(pa.field("n_symbols", pa.int64()))) as out:
+                out.write_table(table.append_column("n_symbols", sizes))
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([None], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["shard", "code", "body"])
+            for lot in _pieces(texts):
+                codes, first, place, n = counted(_alphabet(), lot)
+                if n.max() > 255:  # an entry has a byte for its count
+                    times = -(-n // 255)
+                    first = np.r_[0, np.cumsum(times)][first]
+                    last = np.cumsum(times) - 1
+                    rest, n, place = n - 255 * (times - 1), np.full(times.sum(), 255), np.repeat(place, times)
+                    n[last] = rest
+                entries = np.empty(len(place), ENTRY)
+                entries["place"], entries["n"] = place, n
+                body = pa.BinaryArray.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer((first * ENTRY.itemsize).astype(np.int32)), pa.py_buffer(entries.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), number)), pa.array(codes), body], names=["shard", "code", "body"])
+
+        for batch in batches:
+            own, head, start, held = [t or "" for t in batch.column(0).to_pylist()], batch.select(batch.schema.names[not with_text :]), 0, sum(map(len, texts))
+            for i, t in enumerate(own):
+                if texts and (held + len(t) > LOT_CHARS or len(texts) >= LOT_DOCS):
+                    heads.append(head.slice(start, i - start))
+                    yield from close()
+                    number, texts, heads, start, held = number + 1, [], [], i, 0
+                texts.append(t)
+                held += len(t)
+            heads.append(head.slice(start))
+        if texts:
+            yield from close()
+
+    rows = scratch.store(frame.mapInArrow(lots, "shard long, code long, body binary"))
+    grams, heads = rows.where("code IS NOT NULL"), rows.where("code IS NULL")
+    known = scratch.store(resolved(grams.select("code").distinct(), tables))
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """By lot and place, of some rows at a time."""
+        shards, places, values, held = [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            lots, of = np.unique(np.concatenate(shards), return_inverse=True)
+            key, back = np.unique(of * LOT_DOCS + np.concatenate(places), return_inverse=True)
+            total = np.bincount(back, np.concatenate(values))
+            ends = np.searchsorted(key, np.arange(len(lots) + 1) * LOT_DOCS)
+            blobs = [(key[a:b] % LOT_DOCS).astype("<u2").tobytes() + total[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
+            for kept in (shards, places, values):
+                kept.clear()
+            return pa.RecordBatch.from_arrays([pa.array(lots), pa.array(blobs, pa.binary())], names=["shard", "body"])
+
+        for batch in batches:
+            size = pc.binary_length(batch.column(2)).to_numpy() // ENTRY.itemsize
+            entry = np.frombuffer(b"".join(batch.column(2).to_pylist()), ENTRY)
+            shards.append(np.repeat(batch.column(0).to_numpy(), size))
+            places.append(entry["place"])
+            values.append(entry["n"] * np.repeat(batch.column(1).to_numpy(), size))
+            held += len(entry)
+            if held >= SUMMED:
+                yield flush()
+                held = 0
+        if held:
+            yield flush()
+
+    partial = grams.join(known, "code").select("shard", "log_p", "body").mapInArrow(sums, "shard long, body binary")
+    schema = T.StructType([*[T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(carried)], T.StructField("log_perplexity", T.DoubleType()), T.StructField("n_symbols", T.LongType())])
+    arrow = to_arrow_schema(schema)
+
+    def finish(table: pa.Table) -> pa.Table:
+        head, total = None, np.zeros(LOT_DOCS)
+        for is_head, raw in zip(table.column("head").to_pylist(), table.column("body").to_pylist(), strict=True):
+            if is_head:
+                head = pa.ipc.open_stream(raw).read_all()
+            else:
+                n = len(raw) // 10
+                total[np.frombuffer(raw, "<u2", n)] += np.frombuffer(raw, np.float64, n, 2 * n)
+        sizes = head.column("n_symbols").to_numpy()
+        score = pa.array(-total[: len(sizes)] / np.maximum(sizes, 1), mask=sizes == 0)
+        return head.drop_columns(["n_symbols"]).append_column("log_perplexity", score).append_column("n_symbols", pa.array(sizes)).cast(arrow)
+
+    every = heads.select("shard", F.lit(True).alias("head"), "body").union(partial.select("shard", F.lit(False), "body"))
+    return every.groupBy("shard").applyInArrow(finish, schema).toDF(*carried, "log_perplexity", "n_symbols")
+
+
+def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[Tables | None, DataFrame | None]:
+    """(tables, trusted documents (lang, text, fit)) from documents labelled of quality 1 and not toxic.
 
     Half of them is counted, the other half is for calibration; labels that repeat an identifier with another
-    verdict count as not trusted. (None, None, None) without trusted documents.
+    verdict count as not trusted. (None, None) without trusted documents.
     """
     verdict = labels.groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.min(F.coalesce((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), F.lit(False))).alias("ok"))
     trusted = scratch.store(verdict.where("ok AND _id IS NOT NULL").select("_id"))
     count = trusted.count()
     if not count:
-        return None, None, None
+        return None, None
     draw = F.pmod(F.xxhash64(F.lit("quality"), "_id"), F.lit(1 << 20))
-    picked = trusted.withColumn("_draw", draw)
     own = short_batches(docs).select(F.col(id_col).cast("long").alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("text <> ''")
-    sample = scratch.store(own.join(small(picked, count), "_id").select("lang", "text", (F.col("_draw") % 2 == 0).alias("fit")))
-    fit = sample.where("fit").select("text")
-    top = fit.mapInArrow(_char_counts, "symbol string, n long").groupBy("symbol").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "symbol").limit(SYMBOLS - 2).collect()
-    symbols = [r["symbol"] for r in top]
-    if not symbols:
-        return None, None, None
-    counts = fit.mapInArrow(_gram_counts(symbols), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    grams, contexts = kneser_ney(counts, scratch)
-    if grams.count() > BROADCAST_GRAMS:
-        return Model(symbols, (), ()), sample, (grams, contexts)
-    arrays = [tuple(c.to_numpy() for c in t.toArrow().columns) for t in (grams, contexts)]
-    return Model(symbols, *arrays), sample, (grams, contexts)
+    sample = scratch.store(own.join(small(trusted.withColumn("_draw", draw), count), "_id").select("lang", "text", (F.col("_draw") % 2 == 0).alias("fit")))
+    counts = sample.where("fit").select("text").mapInArrow(_gram_counts, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    tables = kneser_ney(counts, scratch)
+    return (None, None) if tables[2] == 1 else (tables, sample)
 
 
 def _bounded() -> tuple[Column, Column]:
@@ -261,27 +329,23 @@ def thresholds(calibration: DataFrame, low: float = LOW, high: float = HIGH, mar
 
 def _judged(docs: DataFrame, labels: DataFrame, carried: list[str], id_col: str, text_col: str, lang_col: str, scratch: Scratch) -> DataFrame:
     """docs' carried columns with log_perplexity, n_symbols, low, high and kept."""
-    model, calibration, tables = train(docs, labels, scratch, id_col, text_col, lang_col)
-    names = [f"c{i}" for i in range(len(carried))]
-    frame = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carried, names, strict=True)], F.col(f"`{lang_col}`").cast("string").alias("_lang"), F.col(f"`{text_col}`").alias("_text"), F.col(f"`{id_col}`").cast("long").alias("_id"))
-    if model is None:
+    tables, calibration = train(docs, labels, scratch, id_col, text_col, lang_col)
+    with_text = text_col in carried
+    names = [f"k{i}" for i in range(len(carried))]
+    back = [F.col("_text" if c == text_col else n).alias(c) for c, n in zip(carried, names, strict=True)]
+    frame = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carried, names, strict=True) if c != text_col], F.col(f"`{lang_col}`").cast("string").alias("_lang"), F.col(f"`{text_col}`").alias("_text"))
+    if tables is None:
         out = frame.withColumns({"log_perplexity": F.lit(None).cast("double"), "n_symbols": F.length(F.coalesce("_text", F.lit(""))).cast("long"), "low": F.lit(None).cast("double"), "high": F.lit(None).cast("double")})
-        return out.withColumn("kept", F.col("n_symbols") > 0).select(*[F.col(n).alias(c) for c, n in zip(carried, names, strict=True)], "log_perplexity", "n_symbols", "low", "high", "kept")
-    if len(model.grams):
-        values, judged = scored(calibration, model, "text"), scored(frame.select(*names, "_lang", "_text"), model, "_text")
-    else:
-        rows = scratch.store(calibration.withColumn("_id", F.monotonically_increasing_id()))
-        values = rows.join(perplexity_joined(rows, model.symbols, *tables, "_id", "text"), "_id").select("lang", "fit", "log_perplexity", "n_symbols")
-        judged = frame.join(perplexity_joined(frame, model.symbols, *tables, "_id", "_text"), "_id", "left")
-    bounds = scratch.store(thresholds(values))
-    rows = bounds.collect()  # one for each language with calibration documents
+        return out.withColumn("kept", F.col("n_symbols") > 0).select(*back, "log_perplexity", "n_symbols", "low", "high", "kept")
+    rows = thresholds(scored(calibration, tables, "text", scratch)).collect()  # one for each language with calibration documents
     every = next(r for r in rows if r["lang"] is None)
+    judged = scored(frame, tables, "_text", scratch, with_text)
     side = judged.sparkSession.createDataFrame([(r["lang"], r["low"], r["high"]) for r in rows if r["lang"] is not None] or [("", None, None)], "_of string, low double, high double")
     joined = judged.join(F.broadcast(side), F.col("_lang") == F.col("_of"), "left")
     low, high = F.coalesce("low", F.lit(every["low"])), F.coalesce("high", F.lit(every["high"]))
     least, most = _bounded()
     kept = F.coalesce((least >= low) & (most <= high), F.col("log_perplexity").isNotNull())
-    return joined.select(*[F.col(n).alias(c) for c, n in zip(carried, names, strict=True)], "log_perplexity", F.coalesce("n_symbols", F.lit(0)).alias("n_symbols"), low.alias("low"), high.alias("high"), kept.alias("kept"))
+    return joined.select(*back, "log_perplexity", "n_symbols", low.alias("low"), high.alias("high"), kept.alias("kept"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", scratch: Scratch | None = None) -> DataFrame:
