@@ -155,6 +155,8 @@ def test_connected_voxels(spark):
     want = brute_components(edges)
     got = {(r.z * 5 + r.y) * 5 + r.x: r.component for r in graph.connected_voxels(voxels(spark, a), "v", a.shape).collect()}
     assert got == want
+    for block in (2, 3):
+        assert {(r.z * 5 + r.y) * 5 + r.x: r.component for r in graph.connected_voxels(voxels(spark, a), "v", a.shape, block=block).collect()} == want
     parts, names = graph.split_disconnected(voxels(spark, a), "v", a.shape)
     assert parts.count() == (a > 0).sum()
     for r in names.collect():
@@ -210,19 +212,21 @@ def test_overlap_metrics(spark):
     assert tuple(overlap.vi(none).first()) == (0.0, 0.0, 0.0) and tuple(overlap.rand(none).first()) == (1.0, 1.0, 1.0)
 
 
-@pytest.mark.parametrize("seed", range(20))
+@pytest.mark.parametrize("seed", range(200))
 def test_assignment(seed):
     rnd = random.Random(seed)
-    n = rnd.randrange(1, 7)
-    cost = [[rnd.randrange(20) for _ in range(n)] for _ in range(n)]
-    got = graph.assignment(cost)
-    assert sorted(got) == list(range(n))
-    assert sum(cost[i][j] for i, j in enumerate(got)) == min(sum(cost[i][p[i]] for i in range(n)) for p in itertools.permutations(range(n)))
+    value = {i: {100 + j: rnd.randrange(1, 9) for j in range(5) if rnd.random() < 0.6} for i in range(rnd.randrange(1, 6))}
+    got = graph.assignment(value)
+    assert len(set(got.values())) == len(got) and all(j in value[i] for i, j in got.items())
+    every = [c for c in itertools.product(*([None, *row] for row in value.values())) if len([j for j in c if j]) == len({j for j in c if j})]
+    assert sum(value[i][j] for i, j in got.items()) == max(sum(row[j] for row, j in zip(value.values(), c, strict=True) if j) for c in every)
 
 
 def test_match_bodies(spark):
     over = spark.createDataFrame([(1, 10, 50), (1, 11, 40), (2, 10, 45), (3, 12, 5), (4, 12, 6), (5, 0, 9)], "gt long, seg long, n long")
     assert rows(graph.match_bodies(over)) == [(1, 11, 40), (2, 10, 45), (3, 0, 0), (4, 12, 6)]
+    wide = spark.createDataFrame([(2**62 + 5, 2**62 + 9, 7), (2**53 + 1, 2**53 + 1, 3), (2**53, 2**53 + 1, 2)], "gt long, seg long, n long")
+    assert rows(graph.match_bodies(wide)) == [(2**53, 0, 0), (2**53 + 1, 2**53 + 1, 3), (2**62 + 5, 2**62 + 9, 7)]
 
 
 def test_edit_distance(spark):
@@ -285,7 +289,7 @@ def test_label_index(spark):
     stats = spark.createDataFrame([(1, 0, 0, 64, 5), (2, 0, 0, 64, 7), (2, 64, 0, 0, 1), (9, 0, 0, 0, 3)], "segment_id long, z long, y long, x long, count long")
     mapping = spark.createDataFrame([(1, 1), (2, 1)], "label long, body long")
     index = bodies.label_index(stats, mapping, 64)
-    assert {r.body: r.blocks for r in index.collect()} == {1: {1: {1: 5, 2: 7}, 1 << 42: {2: 1}}, 9: {0: {9: 3}}}
+    assert {(r.body, r.slab): r.blocks for r in index.collect()} == {(1, 0): {1: {1: 5, 2: 7}, 1 << 42: {2: 1}}, (9, 0): {0: {9: 3}}}
     assert rows(bodies.index_rows(index)) == [(1, 1, 1, 5), (1, 1, 2, 7), (1, 1 << 42, 2, 1), (9, 0, 9, 3)]
     assert rows(bodies.tombstones(mapping)) == [(2, 0)]
 

@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelith.functions.grid import AXES, Grid, cell, cells, packed_block
+from voxelith.functions.numbers import exact_mean, running
 
 HUNDRED, THOUSAND = 100, 1000
+#: Blocks along z that go into one row of a label index.
+SLAB = 64
 
 
 def segment_stats(df: DataFrame, value: str, block: int) -> DataFrame:
@@ -38,9 +41,21 @@ def keep(stats: DataFrame, least_segment: int = 0, most_segment: int | None = No
     return stats.where(ok)
 
 
-def downsample_factor(box_voxels: Column, most: int, least_factor: int = 1) -> Column:
-    """1 plus the whole cube root of how often the box holds what can be analysed, at least the minimum."""
-    return F.greatest(F.lit(least_factor), 1 + F.floor(F.cbrt(box_voxels / most) + 1e-9)).cast("long")
+def downsample_factor(box_voxels: Column, most: int, least_factor: int = 1, limit: Column | None = None) -> Column:
+    """1 plus the whole cube root of how often the box holds what can be analysed, at least the minimum; a body's own limit, if it has one, takes the place of `most`.
+
+    Factors of 256 and more cannot be stored and are null.
+    """
+    per = F.lit(most) if limit is None else F.coalesce(limit, F.lit(most))
+    factor = F.greatest(F.lit(least_factor), 1 + F.floor(F.cbrt(box_voxels / per) + 1e-9)).cast("long")
+    return F.when(factor < 256, factor)
+
+
+def without_huge(groups: DataFrame, key: str, size: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of groups whose sizes sum to at most `most`, (key, total) of the others)."""
+    totals = groups.groupBy(key).agg(F.sum(size).alias("total"))
+    huge = totals.where(F.col("total") > most)
+    return groups.join(huge.select(key), key, "left_anti"), huge
 
 
 def group_of(ident: Column, scheme: str) -> Column:
@@ -49,11 +64,14 @@ def group_of(ident: Column, scheme: str) -> Column:
 
 
 def label_index(stats: DataFrame, mapping: DataFrame, block: int) -> DataFrame:
-    """(body, blocks): of block statistics, a map from packed block to a map from supervoxel to count."""
+    """(body, slab, blocks): of block statistics, a map from packed block to a map from supervoxel to count.
+
+    A row has the blocks of one slab along z, so that the largest body's index doesn't have to fit one row.
+    """
     named = stats.join(mapping.select(F.col("label").alias("segment_id"), "body"), "segment_id", "left").withColumn("body", F.coalesce("body", "segment_id"))
-    packed = packed_block(*[(F.floor(F.col(a) / block)).cast("long") for a in AXES])
-    inner = named.groupBy("body", packed.alias("block")).agg(F.map_from_entries(F.collect_list(F.struct("segment_id", "count"))).alias("counts"))
-    return inner.groupBy("body").agg(F.map_from_entries(F.collect_list(F.struct("block", "counts"))).alias("blocks"))
+    at = [(F.floor(F.col(a) / block)).cast("long") for a in AXES]
+    inner = named.groupBy("body", F.floor(at[0] / SLAB).cast("long").alias("slab"), packed_block(*at).alias("block")).agg(F.map_from_entries(F.collect_list(F.struct("segment_id", "count"))).alias("counts"))
+    return inner.groupBy("body", "slab").agg(F.map_from_entries(F.collect_list(F.struct("block", "counts"))).alias("blocks"))
 
 
 def body_ids(stats: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -84,17 +102,9 @@ def index_check(stored: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def batches(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """(key, n, batch): consecutive keys in batches that begin at about every `rows` rows; a key is never split.
-
-    Sums by ranges of keys come first, so the running sum over all is over ranges and that over keys within one.
-    """
-    sizes = df.groupBy(key).agg(F.count("*").alias("n"))
-    span = F.floor(F.col(key) / 1024).cast("long")
-    sizes = sizes.withColumn("_span", span)
-    spans = sizes.groupBy("_span").agg(F.sum("n").alias("_n"))
-    spans = spans.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    inner = F.coalesce(F.sum("n").over(Window.partitionBy("_span").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return sizes.join(spans, "_span").withColumn("_before", inner + F.col("_start")).select(key, "n", F.floor(F.col("_before") / rows).cast("long").alias("batch"))
+    """(key, n, batch): consecutive keys in batches that begin at about every `rows` rows; a key is never split."""
+    sizes = running(df.groupBy(key).agg(F.count("*").alias("n")), key, "n", "_before")
+    return sizes.select(key, "n", F.floor(F.col("_before") / rows).cast("long").alias("batch"))
 
 
 def object_masks(df: DataFrame, value: str, block: int, least: int, shape: tuple[int, int, int]) -> DataFrame:
@@ -107,15 +117,18 @@ def object_masks(df: DataFrame, value: str, block: int, least: int, shape: tuple
 
 
 def assembled(df: DataFrame, value: str, most: int, least: int) -> DataFrame:
-    """(label, factor, z, y, x): each label's voxels at the factor that lets its box fit; dropped if too few remain."""
-    w = Window.partitionBy(value)
+    """(label, factor, z, y, x): each label's voxels at the factor that lets its box fit; dropped if too few remain.
+
+    Boxes and counts are aggregated and joined back, so that no label has to meet in one task.
+    """
+    own = df.where(F.col(value) != 0).select(F.col(value).alias("label"), *AXES)
     box = F.lit(1).cast("long")
     for a in AXES:
-        box = box * (F.max(a).over(w) - F.min(a).over(w) + 1)
-    scaled = df.where(F.col(value) != 0).withColumn("factor", downsample_factor(box, most))
-    cellsed = scaled.groupBy(F.col(value).alias("label"), "factor", *[F.floor(F.col(a) / F.col("factor")).cast("long").alias(a) for a in AXES]).agg(F.lit(1).alias("_one")).drop("_one")
-    n = F.count("*").over(Window.partitionBy("label"))
-    return cellsed.withColumn("_n", n * F.pow("factor", F.lit(3))).where(F.col("_n") >= least).drop("_n")
+        box = box * (F.max(a) - F.min(a) + 1)
+    factors = own.groupBy("label").agg(downsample_factor(box, most).alias("factor"))
+    scaled = own.join(factors, "label").select("label", "factor", *[F.floor(F.col(a) / F.col("factor")).cast("long").alias(a) for a in AXES]).distinct()
+    kept = scaled.groupBy("label", "factor").agg(F.count("*").alias("_n")).where(F.col("_n") * F.pow("factor", F.lit(3)) >= least).select("label")
+    return scaled.join(kept, "label", "left_semi")
 
 
 def mask_sizes(masks: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -128,4 +141,4 @@ def mask_sizes(masks: DataFrame, mapping: DataFrame) -> DataFrame:
 def request_stats(requests: DataFrame, start: str, seconds: str, group: str) -> DataFrame:
     """(group, requests, mean_seconds, wall_seconds): of timed requests."""
     at = F.unix_timestamp(start)
-    return requests.groupBy(group).agg(F.count("*").alias("requests"), F.round(F.avg(seconds), 4).alias("mean_seconds"), (F.max(at) - F.min(at)).alias("wall_seconds"))
+    return requests.groupBy(group).agg(F.count("*").alias("requests"), exact_mean(seconds, 4, 6).alias("mean_seconds"), (F.max(at) - F.min(at)).alias("wall_seconds"))

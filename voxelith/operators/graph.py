@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import heapq
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxelith.functions.grid import AXES
+from voxelith.functions.numbers import running
 from voxelith.operators.components import components
 from voxelith.sources.scratch import Scratch
 
@@ -64,11 +68,12 @@ def edges_of(edges: DataFrame, mapping: DataFrame, label: int) -> DataFrame:
 
 
 def compare_mappings(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(body, change) of bodies dropped, added, of another size, or of the same size with other members."""
-    side = lambda m, n: groups(m).select("body", F.col("members").alias(n))
-    both = side(old, "a").join(side(new, "b"), "body", "full_outer")
-    change = F.when(F.col("b").isNull(), "dropped").when(F.col("a").isNull(), "added").when(F.size("a") != F.size("b"), "size").when(F.col("a") != F.col("b"), "content")
-    return both.select("body", change.alias("change")).where("change IS NOT NULL")
+    """(body, change) of bodies dropped, added, of another size, or of the same size with other members. Members are matched, not gathered."""
+    side = lambda m, n: m.select("body", "label", F.lit(1).alias(n))
+    both = side(old, "a").join(side(new, "b"), ["body", "label"], "full_outer")
+    sums = both.groupBy("body").agg(F.count("a").alias("a"), F.count("b").alias("b"), F.count(F.col("a") + F.col("b")).alias("shared"))
+    change = F.when(F.col("b") == 0, "dropped").when(F.col("a") == 0, "added").when(F.col("a") != F.col("b"), "size").when(F.col("shared") != F.col("a"), "content")
+    return sums.select("body", change.alias("change")).where("change IS NOT NULL")
 
 
 def comparison_table(old: DataFrame, new: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
@@ -139,26 +144,64 @@ def voxel_id(shape: tuple[int, int, int]):
     return (F.col("z") * shape[1] + F.col("y")) * shape[2] + F.col("x")
 
 
-def connected_voxels(df: DataFrame, value: str, shape: tuple[int, int, int], keys: tuple[str, ...] = ()) -> DataFrame:
-    """With the component (its smallest voxel's number) of face-connected voxels of equal label, within the keys; 0 is left out."""
-    own = df.where(F.col(value) != 0).withColumn("_id", voxel_id(shape))
+def _in_block(values: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The least id of each face-connected component of equal values; ids spread along lines until nothing moves."""
+    least = np.where(values != 0, ids, 0)
+    while True:
+        before = least.copy()
+        for axis in range(3):
+            for flip in (False, True):
+                view, value = (np.moveaxis(np.flip(x, axis) if flip else x, axis, 0) for x in (least, values))
+                for i in range(1, len(view)):
+                    np.minimum(view[i], view[i - 1], out=view[i], where=(value[i] == value[i - 1]) & (value[i] != 0))
+        if (least == before).all():
+            return least
+
+
+def connected_voxels(df: DataFrame, value: str, shape: tuple[int, int, int], keys: tuple[str, ...] = (), block: int = 32) -> DataFrame:
+    """With the component (its smallest voxel's number) of face-connected voxels of equal label, within the keys; 0 is left out.
+
+    Components are found within blocks first; after that only the faces between blocks count, and the graph has a node
+    for each component of a block, not for each voxel.
+    """
+    own = df.where(F.col(value) != 0)
+    cell = [f"_{a}" for a in AXES]
+    numbered = own.withColumn("_id", voxel_id(shape)).withColumns({f"_{a}": F.floor(F.col(a) / block).cast("long") for a in AXES})
+
+    def inner(table: pa.Table) -> pa.Table:
+        at = [table.column(a).to_numpy() for a in AXES]
+        place = tuple(a - a.min() for a in at)
+        values, ids = (np.zeros([int(p.max()) + 1 for p in place], np.int64) for _ in range(2))
+        values[place], ids[place] = table.column(value).to_numpy(), table.column("_id").to_numpy()
+        return table.append_column("_part", pa.array(_in_block(values, ids)[place]))
+
+    schema = T.StructType([*[T.StructField(f.name, T.LongType()) if f.name == value else f for f in numbered.schema], T.StructField("_part", T.LongType())])
+    scratch = Scratch(df.sparkSession, "voxels")
+    parts = scratch.store(numbered.withColumn(value, F.col(value).cast("long")).groupBy(*keys, *cell).applyInArrow(inner, schema))
     pairs = None
     for a in AXES:
         w = Window.partitionBy(*keys, value, *[o for o in AXES if o != a]).orderBy(a)
-        part = own.select(F.col("_id").alias("u"), F.lead("_id").over(w).alias("v"), (F.lead(a).over(w) - F.col(a)).alias("d")).where("d = 1").select("u", "v")
-        pairs = part if pairs is None else pairs.union(part)
-    found = components(pairs, Scratch(df.sparkSession, "voxels"), SMALL_GRAPH).toDF("_id", "component")
-    return own.join(found, "_id", "left").withColumn("component", F.coalesce("component", "_id")).drop("_id")
+        edge = parts.where((F.pmod(a, F.lit(block)) == 0) | (F.pmod(a, F.lit(block)) == block - 1))
+        met = edge.select(F.col("_part").alias("u"), F.lead("_part").over(w).alias("v"), (F.lead(a).over(w) - F.col(a)).alias("d")).where("d = 1 AND u <> v").select("u", "v").distinct()
+        pairs = met if pairs is None else pairs.union(met)
+    found = components(pairs, scratch, SMALL_GRAPH).toDF("_part", "component")
+    return parts.join(found, "_part", "left").withColumn("component", F.coalesce("component", "_part")).drop("_id", "_part", *cell)
+
 
+def split_disconnected(df: DataFrame, value: str, shape: tuple[int, int, int], base: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(voxels with their part, parts (part, label, size)): the largest part of a label keeps it (the first among equals), the others get new labels.
 
-def split_disconnected(df: DataFrame, value: str, shape: tuple[int, int, int]) -> tuple[DataFrame, DataFrame]:
-    """(voxels with their part, parts (part, label, size)): the largest part of a label keeps it (the first among equals), the others get new labels after the largest one."""
+    New labels go on after the largest one, or from `base` (SPLIT_BASE keeps clear of labels that are made elsewhere).
+    """
     parts = connected_voxels(df, value, shape)
     sizes = parts.groupBy(value, "component").agg(F.count("*").alias("size"))
     place = F.row_number().over(Window.partitionBy(value).orderBy(F.desc("size"), "component"))
     ranked = sizes.withColumn("_place", place)
-    top = sizes.agg(F.max(value).alias("_top"))
-    moved = ranked.where("_place > 1").withColumn("_n", F.row_number().over(Window.orderBy(value, "component"))).join(F.broadcast(top)).select(value, "component", (F.col("_top") + F.col("_n")).alias("part"), "size")
+    first = sizes.agg((F.max(value) + 1).alias("_top")) if base is None else df.sparkSession.range(1).select(F.lit(base).alias("_top"))
+    moved = ranked.where("_place > 1")
+    within = F.row_number().over(Window.partitionBy(value).orderBy("component")) - 1
+    starts = running(moved.groupBy(value).agg(F.count("*").alias("_k")), value, "_k", "_before").select(value, "_before")
+    moved = moved.withColumn("_n", within).join(starts, value).join(F.broadcast(first)).select(value, "component", (F.col("_top") + F.col("_before") + F.col("_n")).alias("part"), "size")
     kept = ranked.where("_place = 1").select(value, "component", F.col(value).alias("part"), "size")
     names = kept.union(moved)
     voxels = parts.join(names.select(value, "component", "part"), [value, "component"]).select(*AXES, value, "part")
@@ -206,64 +249,78 @@ def stitched(df: DataFrame, value: str, pairs: DataFrame) -> DataFrame:
     return df.join(named.toDF(value, "_body"), value, "left").withColumn(value, F.coalesce("_body", value)).drop("_body")
 
 
-def assignment(cost: list[list[int]]) -> list[int]:
-    """The column of each row with the least sum of costs: shortest augmenting paths with potentials."""
-    n = len(cost)
-    big = float("inf")
-    row_of, u, v = [n] * (n + 1), [0] * (n + 1), [0] * (n + 1)
-    for i in range(n):
-        row_of[n], j0 = i, n
-        least, before, used = [big] * (n + 1), [n] * (n + 1), [False] * (n + 1)
+def assignment(value: dict[int, dict[int, int]]) -> dict[int, int]:
+    """Each left node's right one, so that no right node is taken twice and the sum of values is the largest; a left node may go without.
+
+    Shortest augmenting paths over the pairs that there are, with potentials: a path ends at the first free right node,
+    or where some left node on it is better off without.
+    """
+    u = {i: -max(row.values(), default=0) for i, row in value.items()}
+    v: dict[int, int] = {}
+    left_of: dict[int, int] = {}
+    right_of: dict[int, int] = {}
+    for start in value:
+        far, before, done, queue, i, so_far = {}, {}, {}, [], start, 0
+        seen = {start: 0}
+        best, single = -u[start], start  # the cost of leaving a node of the path single
+        end = None
         while True:
-            used[j0] = True
-            i0, delta, j1 = row_of[j0], big, n
-            for j in range(n):
-                if not used[j]:
-                    value = cost[i0][j] - u[i0] - v[j]
-                    if value < least[j]:
-                        least[j], before[j] = value, j0
-                    if least[j] < delta:
-                        delta, j1 = least[j], j
-            for j in range(n + 1):
-                if used[j]:
-                    u[row_of[j]] += delta
-                    v[j] -= delta
-                else:
-                    least[j] -= delta
-            j0 = j1
-            if row_of[j0] == n:
+            for j, gain in value[i].items():
+                if j not in done:
+                    d = so_far - gain - u[i] - v.get(j, 0)
+                    if d < far.get(j, float("inf")):
+                        far[j], before[j] = d, i
+                        heapq.heappush(queue, (d, j))
+            while queue and (queue[0][1] in done or queue[0][0] > far[queue[0][1]]):
+                heapq.heappop(queue)
+            if not queue or queue[0][0] >= best:
+                so_far = best
                 break
-        while j0 != n:
-            row_of[j0] = row_of[before[j0]]
-            j0 = before[j0]
-    out = [0] * n
-    for j in range(n):
-        out[row_of[j]] = j
-    return out
+            so_far, j = heapq.heappop(queue)
+            done[j] = so_far
+            if j not in left_of:
+                end = j
+                break
+            i = left_of[j]
+            seen[i] = so_far
+            if so_far - u[i] < best:
+                best, single = so_far - u[i], i
+        for i, d in seen.items():
+            u[i] += so_far - d
+        for j, d in done.items():
+            v[j] = v.get(j, 0) - (so_far - d)
+        if end is None:  # the node goes without, and those before it on the path move up
+            end = right_of.pop(single, None)
+            if end is None:
+                continue
+        while True:
+            i = before[end]
+            left_of[end] = i
+            end, right_of[i] = right_of.get(i), end
+            if i == start:
+                break
+    return right_of
 
 
 def match_bodies(over: DataFrame, threshold: int = 0, partners: int = 3) -> DataFrame:
     """(gt, seg, n): one-to-one matches with the largest total overlap, within components of each body's top partners.
 
-    A body without a match has seg 0 and n 0. Each component is one group; the partner limit keeps them small.
+    A body without a match has seg 0 and n 0. Each component is one group; its pairs are three a body at most, and
+    the search goes over pairs, so its room and time grow with the bodies of a component, not with their square.
     """
     size = F.sum("n").over(Window.partitionBy("gt"))
     kept = over.where("seg <> 0").withColumn("_t", size).where(F.col("_t") >= threshold)
     top = kept.withColumn("_r", F.row_number().over(Window.partitionBy("gt").orderBy(F.desc("n"), "seg"))).where(F.col("_r") <= partners).select("gt", "seg", "n")
-    # ground-truth bodies are even nodes, the others odd ones
-    found = mapping_from_edges(top.select((F.col("gt") * 2).alias("u"), (F.col("seg") * 2 + 1).alias("v")))
-    placed = top.join(found.select((F.col("label") / 2).cast("long").alias("gt"), (F.col("label") % 2).alias("odd"), "body").where("odd = 0").drop("odd"), "gt")
+    # the other side's bodies are negative nodes: -1 - seg
+    found = mapping_from_edges(top.select(F.col("gt").alias("u"), F.bitwise_not("seg").alias("v")))
+    placed = top.join(found.where("label >= 0").toDF("gt", "body"), "gt")
 
     def solve(t: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(t.column(c).to_pylist() for c in ("gt", "seg", "n")), strict=True))
-        left, right = sorted({r[0] for r in rows}), sorted({r[1] for r in rows})
-        n = max(len(left), len(right))
-        most = max(r[2] for r in rows)
-        value = {(r[0], r[1]): r[2] for r in rows}
-        cost = [[most - value.get((left[i], right[j]), 0) if i < len(left) and j < len(right) else most for j in range(n)] for i in range(n)]
-        got = assignment(cost)
-        pairs = [(g, right[got[i]] if got[i] < len(right) and (g, right[got[i]]) in value else 0) for i, g in enumerate(left)]
-        return pa.table({"gt": pa.array([g for g, _ in pairs], pa.int64()), "seg": pa.array([s for _, s in pairs], pa.int64()), "n": pa.array([value.get(p, 0) for p in pairs], pa.int64())})
+        value: dict[int, dict[int, int]] = {}
+        for g, s, n in sorted(zip(*(t.column(c).to_pylist() for c in ("gt", "seg", "n")), strict=True)):
+            value.setdefault(g, {})[s] = n
+        got = assignment(value)
+        return pa.table({"gt": pa.array(list(value), pa.int64()), "seg": pa.array([got.get(g, 0) for g in value], pa.int64()), "n": pa.array([value[g].get(got.get(g), 0) for g in value], pa.int64())})
 
     return placed.groupBy("body").applyInArrow(solve, "gt long, seg long, n long")
 
@@ -302,26 +359,13 @@ def autapses(conns: DataFrame) -> DataFrame:
 def edit_distance(ops: DataFrame, total: int, percents: tuple[int, ...] = (50, 75, 90), split_cost: int = 5) -> DataFrame:
     """(percent, splits, merges): operations until that share of what lies wrong is right, the most useful first; a split counts a fifth.
 
-    Both lists are taken in order of size, so only their sorted sizes matter. They are gathered as counts by size,
-    of which there are far fewer than operations.
+    Operations of one kind and size are alike, so the running sum goes over the distinct sizes, of which there are few; of
+    the one at which a share is reached so many are taken as it needs.
     """
-    sizes = ops.groupBy("kind", "n").agg(F.count("*").alias("k"))
-
-    def walk(t: pa.Table) -> pa.Table:
-        rows = list(zip(*(t.column(c).to_pylist() for c in ("kind", "n", "k")), strict=True))
-        left = {kind: sorted(([n, k] for x, n, k in rows if x == kind), reverse=True) for kind in ("split", "merge")}
-        done, count, out = 0, {"split": 0, "merge": 0}, []
-        for p in percents:
-            while done * 100 < total * p and (left["split"] or left["merge"]):
-                s, m = left["split"][0][0] if left["split"] else 0, left["merge"][0][0] if left["merge"] else 0
-                kind = "split" if s / split_cost > m else "merge" if m else "split"
-                front = left[kind][0]
-                done += front[0]
-                count[kind] += 1
-                front[1] -= 1
-                if not front[1]:
-                    left[kind].pop(0)
-            out.append((p, count["split"], count["merge"]))
-        return pa.table({"percent": pa.array([r[0] for r in out], pa.int32()), "splits": pa.array([r[1] for r in out], pa.int64()), "merges": pa.array([r[2] for r in out], pa.int64())})
-
-    return sizes.groupBy().applyInArrow(walk, "percent int, splits long, merges long")
+    runs = ops.groupBy("kind", "n").agg(F.count("*").alias("k"))
+    use = F.when(F.col("kind") == "split", F.col("n")).otherwise(F.col("n") * split_cost)
+    before = Window.orderBy(F.desc(use), "kind").rowsBetween(Window.unboundedPreceding, -1)  # of equals the merge
+    runs = runs.withColumn("held", F.coalesce(F.sum(F.col("n") * F.col("k")).over(before), F.lit(0)))
+    need = lambda p: F.expr(f"greatest(0, least(k, ({int(total)} * {p} - held * 100 + n * 100 - 1) div (n * 100)))")
+    sums = runs.agg(*[F.coalesce(F.sum(F.when(F.col("kind") == kind, need(p))), F.lit(0)).cast("long").alias(f"{kind}{p}") for p in percents for kind in ("split", "merge")])
+    return sums.selectExpr(f"stack({len(percents)}, {', '.join(f'{p}, split{p}, merge{p}' for p in percents)}) AS (percent, splits, merges)")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxelith.functions.numbers import exact_mean
+
 ROUND = 4
 
 
@@ -98,7 +100,7 @@ def over_subvolumes(by_sv: DataFrame, value: str, higher_is_better: bool = False
     df = by_sv if ignored is None else by_sv.join(ignored, "sv", "left_anti")
     least = F.min(F.struct(F.col(value), F.col("sv")))
     most = F.min(F.struct((-F.col(value)).alias("minus"), F.col("sv")))
-    sums = df.agg(least.alias("lo"), most.alias("hi"), F.round(F.avg(value), ROUND).alias("average"))
+    sums = df.agg(least.alias("lo"), most.alias("hi"), exact_mean(value, ROUND).alias("average"))
     lo, hi = (F.col(f"lo.{value}"), F.col("lo.sv")), (-F.col("hi.minus"), F.col("hi.sv"))
     best, worst = (hi, lo) if higher_is_better else (lo, hi)
     return sums.select(best[0].alias("best"), best[1].alias("best_sv"), worst[0].alias("worst"), worst[1].alias("worst_sv"), "average")
@@ -140,12 +142,26 @@ def body_counts(over: DataFrame, keys: tuple[str, ...] = ("sv",)) -> DataFrame:
     return over.groupBy(*keys).agg(F.count_distinct("gt").alias("gt_bodies"), F.count_distinct("seg").alias("seg_bodies"), F.sum("n").alias("size"))
 
 
+def largest_bodies(over: DataFrame, percent: int, side: str = "gt") -> DataFrame:
+    """(body) of one side, the largest first until they hold a share of the volume; the larger identifier first among equals.
+
+    The running sum goes over the distinct sizes; only bodies of the one size at which the share is reached are ranked.
+    """
+    before = Window.orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    sized = _sizes(over, side)
+    runs = sized.groupBy("size").agg(F.count("*").alias("k")).withColumn("held", F.coalesce(F.sum(F.col("size") * F.col("k")).over(before), F.lit(0)))
+    runs = runs.join(F.broadcast(over.agg(F.sum("n").alias("total"))))  # one row
+    # so many of a size begin before the share is reached
+    runs = runs.withColumn("fit", F.expr(f"greatest(0, (total * {percent} - held * 100 + size * 100 - 1) div (size * 100))")).where("fit > 0")
+    marked = sized.join(runs.select("size", "k", "fit"), "size")
+    whole = marked.where("fit >= k").select("body")
+    rank = F.row_number().over(Window.orderBy(F.desc("body")))
+    return whole.union(marked.where("fit < k").withColumn("_r", rank).where("_r <= fit").select("body"))
+
+
 def top_overlaps(over: DataFrame, percent: int = 90, k: int = 10) -> DataFrame:
     """(gt, rank, seg, n): the k largest overlaps of the largest ground-truth bodies that hold a share of the volume."""
-    w = Window.orderBy(F.desc("size"), F.desc("body"))
-    run = _sizes(over, "gt").withColumn("before", F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    chosen = run.join(F.broadcast(over.agg(F.sum("n").alias("total")))).where(F.col("before") * 100 < F.col("total") * percent).select(F.col("body").alias("gt"))
-    return top(over.join(chosen, "gt"), "n", k, ("gt",), "seg").select("gt", "rank", "seg", "n")
+    return top(over.join(largest_bodies(over, percent).toDF("gt"), "gt"), "n", k, ("gt",), "seg").select("gt", "rank", "seg", "n")
 
 
 def orphans(df: DataFrame, side: str, threshold: int, sizes: tuple[int, int, int], keys: tuple[str, ...] = ()) -> DataFrame:
@@ -157,6 +173,24 @@ def orphans(df: DataFrame, side: str, threshold: int, sizes: tuple[int, int, int
     return body.where((F.col("size") < threshold) & ~F.col("edge")).select(*keys, "body", "size")
 
 
+def orphan_counts(df: DataFrame, side: str, threshold: int, sizes: tuple[int, int, int], keys: tuple[str, ...] = ("sv",)) -> DataFrame:
+    """(keys, n, voxels): orphans of each subvolume; one without any has none, not no row."""
+    found = orphans(df, side, threshold, sizes, keys)
+    every = df.select(*keys).distinct().join(found, list(keys), "left")
+    return every.groupBy(*keys).agg(F.count("body").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("voxels"))
+
+
+def worst_merged(over: DataFrame, k: int, threshold: int = 0) -> DataFrame:
+    """(rank, seg, bits, size): bodies that merge the most, by their share of the false-merge bits; the larger identifier first among equals."""
+    of = vi_bodies(over, threshold).where("side = 'seg'").select(F.col("body").alias("seg"), "bits", "size")
+    return top(of.withColumnRenamed("seg", "body"), "bits", k).select("rank", F.col("body").alias("seg"), "bits", "size")
+
+
+def total_size(over: DataFrame) -> DataFrame:
+    """(size, gt_bodies, seg_bodies): voxels that count, and bodies of either side."""
+    return over.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("size"), F.count_distinct("gt").alias("gt_bodies"), F.count_distinct("seg").alias("seg_bodies"))
+
+
 def edit_operations(over: DataFrame) -> DataFrame:
     """(kind, gt, seg, n): overlaps that a correction would move.
 

@@ -6,6 +6,7 @@ Each query applies the operators to volumes, graphs and points derived from the
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +16,12 @@ from voxelith.functions import grid
 from voxelith.operators import bodies, graph, overlap, segmentation, tiles, volume
 from voxelith.plans import workflows
 from voxelith.sources import fixtures as fx
+from voxelith.sources.scratch import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-SHAPE = (24, 24, 24)
 BLOCK = 8
 SV = 12
 THRESHOLD = 100
@@ -39,13 +40,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return put
 
 
+def own_folder(s: SparkSession, name: str) -> str:
+    """In the shared folder, for this run alone."""
+    return f"{shared_dir(s)}/{name}-{uuid.uuid4().hex}"
+
+
 def by_sv(df: DataFrame) -> DataFrame:
-    """With sv, the number of the 12-voxel cell in z, y, x order."""
+    """With sv, a number of the 12-voxel cell in z, y, x order."""
     c = [grid.cell(a, SV) for a in grid.AXES]
-    return df.withColumn("sv", c[0] * 4 + c[1] * 2 + c[2])
+    return df.withColumn("sv", (c[0] * 1000 + c[1]) * 1000 + c[2])
 
 
-SQL_SV = "CAST(floor(z / 12.0) * 4 + floor(y / 12.0) * 2 + floor(x / 12.0) AS BIGINT)"
+SQL_SV = "CAST((floor(z / 12.0) * 1000 + floor(y / 12.0)) * 1000 + floor(x / 12.0) AS BIGINT)"
 OVERLAP = "over_ AS (SELECT gt, seg, count(*) AS n FROM voxels WHERE gt <> 0 GROUP BY 1, 2)"
 OVERLAP_SV = f"over_ AS (SELECT {SQL_SV} AS sv, gt, seg, count(*) AS n FROM voxels WHERE gt <> 0 GROUP BY 1, 2, 3)"
 B8 = ", ".join(f"CAST(floor({a} / 8.0) AS BIGINT) AS b{a}" for a in "zyx")
@@ -110,7 +116,7 @@ def _(s, d):
     return overlap.vi(overlap.overlap(by_sv(fx.voxels(s, d)), ("sv",)), 0, ("sv",))
 
 
-@query("vi_subvolume_summary", fx.with_("voxels", more=f"{OVERLAP_SV},\n{vi_sql('sv', 0)}") + "SELECT min(vi) AS best, arg_min(sv, vi * 100000 + sv / 100.0) AS best_sv, max(vi) AS worst, arg_min(sv, -vi * 100000 + sv / 100.0) AS worst_sv, round(avg(vi), 4) AS average FROM vis")
+@query("vi_subvolume_summary", fx.with_("voxels", more=f"{OVERLAP_SV},\n{vi_sql('sv', 0)}") + "SELECT min(vi) AS best, min_by(sv, (vi, sv)) AS best_sv, max(vi) AS worst, min_by(sv, (-vi, sv)) AS worst_sv, floor((2 * sum(CAST(round(vi * 10000) AS BIGINT)) + count(*)) / (2.0 * count(*))) / 10000 AS average FROM vis")
 def _(s, d):
     return overlap.over_subvolumes(overlap.vi(overlap.overlap(by_sv(fx.voxels(s, d)), ("sv",)), 0, ("sv",)), "vi")
 
@@ -139,7 +145,7 @@ def _(s, d):
     return overlap.rand(overlap.overlap(by_sv(fx.voxels(s, d)), ("sv",)), 0, ("sv",))
 
 
-@query("rand_subvolume_summary", fx.with_("voxels", more=f"{OVERLAP_SV},\n{rand_sql('sv', 0)}") + "SELECT max(rand) AS best, arg_min(sv, -rand * 100000 + sv / 100.0) AS best_sv, min(rand) AS worst, arg_min(sv, rand * 100000 + sv / 100.0) AS worst_sv, round(avg(rand), 4) AS average FROM rands")
+@query("rand_subvolume_summary", fx.with_("voxels", more=f"{OVERLAP_SV},\n{rand_sql('sv', 0)}") + "SELECT max(rand) AS best, min_by(sv, (-rand, sv)) AS best_sv, min(rand) AS worst, min_by(sv, (rand, sv)) AS worst_sv, floor((2 * sum(CAST(round(rand * 10000) AS BIGINT)) + count(*)) / (2.0 * count(*))) / 10000 AS average FROM rands")
 def _(s, d):
     return overlap.over_subvolumes(overlap.rand(overlap.overlap(by_sv(fx.voxels(s, d)), ("sv",)), 0, ("sv",)), "rand", True)
 
@@ -183,9 +189,10 @@ def _(s, d):
     return overlap.top_overlaps(overlap.overlap(fx.voxels(s, d)))
 
 
-@query("orphans", fx.with_("voxels", more="sized AS (SELECT seg AS body, count(*) AS size, max(CAST(z = 0 OR z = 23 OR y = 0 OR y = 23 OR x = 0 OR x = 23 AS INT)) AS edge FROM voxels WHERE seg <> 0 AND z BETWEEN 2 AND 20 AND y BETWEEN 2 AND 20 AND x BETWEEN 2 AND 20 GROUP BY 1)") + "SELECT body, size FROM sized WHERE size < 900 AND edge = 0")
+@query("orphans", fx.with_("voxels", more="sized AS (SELECT seg AS body, count(*) AS size, max(CAST(z = 0 OR z = n - 1 OR y = 0 OR y = n - 1 OR x = 0 OR x = n - 1 AS INT)) AS edge FROM voxels, side_ WHERE seg <> 0 AND z BETWEEN 2 AND n - 4 AND y BETWEEN 2 AND n - 4 AND x BETWEEN 2 AND n - 1 GROUP BY 1)") + "SELECT body, size FROM sized WHERE size < 900 AND edge = 0")
 def _(s, d):
-    return overlap.orphans(volume.clip(fx.voxels(s, d), ((2, 2, 2), (21, 21, 21))), "seg", 900, SHAPE)
+    n = fx.side(s, d)
+    return overlap.orphans(volume.clip(fx.voxels(s, d), ((2, 2, 2), (n - 3, n - 3, n))), "seg", 900, (n, n, n))
 
 
 EDIT = fx.with_("voxels", more=f"""{OVERLAP},
@@ -198,7 +205,12 @@ def _(s, d):
     return overlap.edit_operations(overlap.overlap(fx.voxels(s, d)))
 
 
-@query("edit_distance")
+@query("edit_distance", EDIT.rstrip() + """,
+ops AS (SELECT CASE WHEN owned THEN 'merge' ELSE 'split' END AS kind, n FROM placed WHERE NOT owned OR place > 1),
+run AS (SELECT kind, n, coalesce(sum(n) OVER (ORDER BY CASE kind WHEN 'split' THEN n ELSE 5 * n END DESC, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held FROM ops),
+p AS (SELECT unnest([50, 75, 90]) AS percent)
+SELECT percent, CAST((SELECT count(*) FROM run WHERE kind = 'split' AND held * 100 < percent * (SELECT sum(n) FROM over_)) AS BIGINT) AS splits,
+       CAST((SELECT count(*) FROM run WHERE kind = 'merge' AND held * 100 < percent * (SELECT sum(n) FROM over_)) AS BIGINT) AS merges FROM p""")
 def _(s, d):
     over = overlap.overlap(fx.voxels(s, d))
     return graph.edit_distance(overlap.edit_operations(over), over.agg(F.sum("n")).first()[0] or 0)
@@ -293,13 +305,13 @@ def _(s, d):
 @query("fill_missing", fx.with_("voxels", "dense") + "SELECT z, y, x, coalesce(seg, label) AS label FROM dense FULL JOIN voxels USING (z, y, x)")
 def _(s, d):
     v = fx.voxels(s, d).select("z", "y", "x", F.col("seg").alias("label"))
-    return volume.fill_missing(v, fx.dense(s), "label").select("z", "y", "x", "label")
+    return volume.fill_missing(v, fx.dense(s, d), "label").select("z", "y", "x", "label")
 
 
 @query("mask_fill", fx.with_("voxels", "dense") + "SELECT z, y, x, CASE WHEN seg = 0 THEN coalesce(label, seg) ELSE seg END AS label FROM voxels LEFT JOIN dense USING (z, y, x)")
 def _(s, d):
     v = fx.voxels(s, d).select("z", "y", "x", F.col("seg").alias("label"))
-    return volume.mask_fill(v, fx.dense(s), "label").select("z", "y", "x", "label")
+    return volume.mask_fill(v, fx.dense(s, d), "label").select("z", "y", "x", "label")
 
 
 @query("relabel", fx.with_("voxels", "mapping") + "SELECT coalesce(body, seg) AS seg, count(*) AS n FROM voxels LEFT JOIN mapping ON label = seg GROUP BY 1")
@@ -323,9 +335,9 @@ def _(s, d):
     return volume.translate(fx.voxels(s, d), (-30, 0, 0)).groupBy(grid.cell("z", 8).alias("bz")).agg(F.count("*").alias("n"))
 
 
-@query("transpose", fx.with_("voxels") + "SELECT 23 - x AS z, y, z AS x, seg FROM voxels")
+@query("transpose", fx.with_("voxels") + "SELECT n - 1 - x AS z, y, z AS x, seg FROM voxels, side_")
 def _(s, d):
-    return volume.transpose(fx.voxels(s, d), "Xyz", SHAPE).select("z", "y", "x", "seg")
+    return volume.transpose(fx.voxels(s, d), "Xyz", fx.shape(s, d)).select("z", "y", "x", "seg")
 
 
 @query("clip_box", fx.with_("voxels") + "SELECT z, y, x, seg FROM voxels WHERE z >= 3 AND z < 11 AND y >= 5 AND y < 20 AND x >= 2 AND x < 17")
@@ -350,12 +362,12 @@ def _(s, d):
 
 @query("downsample_gray", fx.with_("dense") + "SELECT CAST(floor(z / 2.0) AS BIGINT) AS z, CAST(floor(y / 2.0) AS BIGINT) AS y, CAST(floor(x / 2.0) AS BIGINT) AS x, CAST(floor(avg(label * 20)) AS BIGINT) AS v FROM dense GROUP BY 1, 2, 3")
 def _(s, d):
-    return volume.downsample_mean(fx.dense(s).withColumn("v", F.col("label") * 20), 2, "v")
+    return volume.downsample_mean(fx.dense(s, d).withColumn("v", F.col("label") * 20), 2, "v")
 
 
 @query("downsample_binary", fx.with_("dense") + "SELECT CAST(floor(z / 5.0) AS BIGINT) AS z, CAST(floor(y / 5.0) AS BIGINT) AS y, CAST(floor(x / 5.0) AS BIGINT) AS x, CAST(sum(CAST(label > 4 AS INT)) > floor(count(*) / 2.0) AS BIGINT) AS v FROM dense GROUP BY 1, 2, 3")
 def _(s, d):
-    return volume.downsample_binary(fx.dense(s).withColumn("v", (F.col("label") > 4).cast("long")), 5, "v", SHAPE)
+    return volume.downsample_binary(fx.dense(s, d).withColumn("v", (F.col("label") > 4).cast("long")), 5, "v", fx.shape(s, d))
 
 
 @query("pyramid", fx.with_("voxels", more=f"""{mode_sql('voxels', 'seg', 2.0)},
@@ -480,7 +492,7 @@ def _(s, d):
 
 @query("destripe", fx.with_("dense", more="g AS (SELECT z, y, x, label * 20 + (y % 3) * 7 AS v FROM dense)") + "SELECT z, y, x, CAST(greatest(0, least(255, floor(v - avg(v) OVER (PARTITION BY z, y) + avg(v) OVER (PARTITION BY z) + 0.5))) AS BIGINT) AS v FROM g")
 def _(s, d):
-    g = fx.dense(s).select("z", "y", "x", (F.col("label") * 20 + (F.col("y") % 3) * 7).alias("v"))
+    g = fx.dense(s, d).select("z", "y", "x", (F.col("label") * 20 + (F.col("y") % 3) * 7).alias("v"))
     return volume.destripe(g, "v")
 
 
@@ -584,12 +596,12 @@ MASKS = f"masks AS (SELECT {B8}, seg AS label, count(*) AS n, min(z) AS z0, min(
 
 @query("object_masks", fx.with_("voxels", more=MASKS) + "SELECT bz, by, bx, label, n, z0, y0, x0, z1, y1, x1 FROM kept_masks")
 def _(s, d):
-    return bodies.object_masks(fx.voxels(s, d), "seg", BLOCK, 20, SHAPE)
+    return bodies.object_masks(fx.voxels(s, d), "seg", BLOCK, 20, fx.shape(s, d))
 
 
 @query("mask_sizes", fx.with_("voxels", "mapping", more=MASKS) + "SELECT coalesce(body, k.label) AS body, CAST(sum((z1 - z0) * (y1 - y0) * (x1 - x0)) AS BIGINT) AS boxes, CAST(sum(n) AS BIGINT) AS voxels FROM kept_masks k LEFT JOIN mapping m ON m.label = k.label GROUP BY 1")
 def _(s, d):
-    return bodies.mask_sizes(bodies.object_masks(fx.voxels(s, d), "seg", BLOCK, 20, SHAPE), fx.mapping(s, d))
+    return bodies.mask_sizes(bodies.object_masks(fx.voxels(s, d), "seg", BLOCK, 20, fx.shape(s, d)), fx.mapping(s, d))
 
 
 @query("assembled_masks", fx.with_("voxels", more=SEGMENTS + """,
@@ -599,7 +611,7 @@ def _(s, d):
     return bodies.assembled(fx.voxels(s, d), "seg", 1500, 2000)
 
 
-@query("request_stats", "SELECT event_type, count(*) AS requests, round(avg(value), 4) AS mean_seconds, CAST(epoch(date_trunc('second', max(ts))) - epoch(date_trunc('second', min(ts))) AS BIGINT) AS wall_seconds FROM events GROUP BY 1")
+@query("request_stats", "SELECT event_type, count(*) AS requests, floor((2 * sum(CAST(round(value * 1000000) AS BIGINT)) + 100 * count(value)) / (200.0 * count(value))) / 10000 AS mean_seconds, CAST(epoch(date_trunc('second', max(ts))) - epoch(date_trunc('second', min(ts))) AS BIGINT) AS wall_seconds FROM events GROUP BY 1")
 def _(s, d):
     return bodies.request_stats(fx.table(s, d, "events"), "ts", "value", "event_type")
 
@@ -607,9 +619,8 @@ def _(s, d):
 @query("csv_points", fx.with_("points") + "SELECT point_id, z, y, x, z + y + x AS coord_sum FROM points")
 def _(s, d):
     from voxelith.sources import tables
-    from voxelith.sources.scratch import shared_dir
 
-    path = f"{shared_dir(s)}/points-csv"
+    path = own_folder(s, "points-csv")
     tables.write_csv(fx.points(s, d).withColumn("coord_sum", F.col("z") + F.col("y") + F.col("x")), path)
     return tables.read_csv(s, path, "point_id long, z long, y long, x long, coord_sum long")
 
@@ -617,28 +628,31 @@ def _(s, d):
 @query("block_store_read", fx.with_("dense") + "SELECT z, y, x, label FROM dense WHERE z >= 8 AND z < 20 AND y >= 4 AND y < 10 AND x < 16")
 def _(s, d):
     from voxelith.sources import blocks
-    from voxelith.sources.scratch import shared_dir
 
-    path = f"{shared_dir(s)}/dense-blocks"
-    blocks.write(fx.dense(s).withColumn("scale", F.lit(0)), path, "label", BLOCK)
+    path = own_folder(s, "dense-blocks")
+    blocks.write(fx.dense(s, d).withColumn("scale", F.lit(0)), path, "label", BLOCK)
     return blocks.read(s, path, "label", 0, ((8, 4, 0), (20, 10, 16)), BLOCK)
 
 
 @query("slice_files", fx.with_("dense") + "SELECT z, y, x, label * 20 AS v FROM dense")
 def _(s, d):
     from voxelith.sources import slices
-    from voxelith.sources.scratch import shared_dir
 
-    path = f"{shared_dir(s)}/dense-slices"
-    slices.write(fx.dense(s).withColumn("v", F.col("label") * 20), path, "v", SHAPE)
+    path = own_folder(s, "dense-slices")
+    slices.write(fx.dense(s, d).withColumn("v", F.col("label") * 20), path, "v", fx.shape(s, d))
     return slices.read(s, path, "v")
 
 
 # -- graphs
 
-REACH = """links AS (SELECT u AS a, v AS b FROM edges UNION ALL SELECT v, u FROM edges),
-reach AS (SELECT DISTINCT a AS label, a AS root FROM links UNION SELECT b, root FROM reach JOIN links ON a = label),
-cc AS (SELECT label, min(root) AS body FROM reach GROUP BY 1)"""
+def reach_of(name: str, table: str) -> str:
+    """(label, body) of the components of an edge table: the least label spreads until nothing changes."""
+    return f"""{name}_l AS (SELECT u AS a, v AS b FROM {table} UNION ALL SELECT v, u FROM {table}),
+{name}(label, body) USING KEY (label) AS (SELECT DISTINCT a, a FROM {name}_l UNION
+  SELECT l.a, min(c.body) FROM {name} c JOIN {name}_l l ON l.b = c.label JOIN recurring.{name} o ON o.label = l.a GROUP BY l.a, o.body HAVING min(c.body) < o.body)"""
+
+
+REACH = reach_of("cc", "edges")
 
 
 @query("edge_normalize", fx.with_("edges") + "SELECT u, v FROM edges")
@@ -681,19 +695,14 @@ def _(s, d):
     return graph.erode_leaves(fx.edges(s, d), 2)
 
 
-def reach_of(name: str, where: str) -> str:
-    return f"""{name}_e AS (SELECT u, v FROM edges WHERE {where}),
-{name}_l AS (SELECT u AS a, v AS b FROM {name}_e UNION ALL SELECT v, u FROM {name}_e),
-{name}_r AS (SELECT DISTINCT a AS label, a AS root FROM {name}_l UNION SELECT b, root FROM {name}_r JOIN {name}_l ON a = label),
-{name} AS (SELECT label, min(root) AS body FROM {name}_r GROUP BY 1)"""
-
-
-OLD_NEW = f"{reach_of('old_', '(u + v) % 3 <> 0')},\n{reach_of('new_', '(u + v) % 3 <> 1')}"
+OLD_NEW = f"""old_e AS (SELECT u, v FROM edges WHERE (u + v) % 5 <> 0), new_e AS (SELECT u, v FROM edges WHERE (u + v) % 5 <> 1),
+{reach_of('old_', 'old_e')},
+{reach_of('new_', 'new_e')}"""
 
 
 def old_new(s, d) -> tuple[DataFrame, DataFrame]:
     e = fx.edges(s, d)
-    return e.where("(u + v) % 3 <> 0"), e.where("(u + v) % 3 <> 1")
+    return e.where("(u + v) % 5 <> 0"), e.where("(u + v) % 5 <> 1")
 
 
 @query("compare_mappings", fx.with_("edges", more=f"""{OLD_NEW},
@@ -706,7 +715,8 @@ def _(s, d):
 
 
 COMPARISON = f"""{OLD_NEW},
-{reach_of('both_', '(u + v) % 3 <> 0 AND (u + v) % 3 <> 1')},
+common_e AS (SELECT u, v FROM old_e INTERSECT SELECT u, v FROM new_e),
+{reach_of('both_', 'common_e')},
 svs AS (SELECT DISTINCT label AS sv FROM (SELECT label FROM old_ UNION SELECT label FROM new_)),
 cmp AS (SELECT sv, coalesce(o.body, sv) AS old, coalesce(n.body, sv) AS new, coalesce(b.body, sv) AS both, coalesce(p_size, 0)::BIGINT AS size
   FROM svs LEFT JOIN old_ o ON o.label = sv LEFT JOIN new_ n ON n.label = sv LEFT JOIN both_ b ON b.label = sv LEFT JOIN part ON p_partkey = sv),
@@ -766,16 +776,16 @@ def _(s, d):
     return graph.edge_features(graph.rag_edges(v, "seg"), graph.rag_vertices(v.where("seg > 2"), "seg")).fillna(0)
 
 
-@query("connected_voxels", fx.with_("dense", more="""own AS (SELECT (z * 24 + y) * 24 + x AS id, label, x // 8 AS slab FROM dense WHERE label <> 0)""") + "SELECT label, min(id) AS component, count(*) AS n FROM own GROUP BY label, slab")
+@query("connected_voxels", fx.with_("dense", more="""own AS (SELECT (z * n + y) * n + x AS id, label, x // 8 AS slab FROM dense, side_ WHERE label <> 0)""") + "SELECT label, min(id) AS component, count(*) AS n FROM own GROUP BY label, slab")
 def _(s, d):
-    c = graph.connected_voxels(fx.dense(s), "label", SHAPE)
+    c = graph.connected_voxels(fx.dense(s, d), "label", fx.shape(s, d))
     return c.groupBy("label", "component").agg(F.count("*").alias("n"))
 
 
-@query("split_disconnected", fx.with_("dense", more="""parts AS (SELECT label, min((z * 24 + y) * 24 + x) AS component, count(*) AS size FROM dense WHERE label <> 0 GROUP BY label, x // 8),
+@query("split_disconnected", fx.with_("dense", more="""parts AS (SELECT label, min((z * n + y) * n + x) AS component, count(*) AS size FROM dense, side_ WHERE label <> 0 GROUP BY label, x // 8),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY size DESC, component) AS place FROM parts)""") + "SELECT label AS part, label, size FROM ranked WHERE place = 1 UNION ALL SELECT 8 + row_number() OVER (ORDER BY label, component), label, size FROM ranked WHERE place > 1")
 def _(s, d):
-    return graph.split_disconnected(fx.dense(s), "label", SHAPE)[1]
+    return graph.split_disconnected(fx.dense(s, d), "label", fx.shape(s, d))[1]
 
 
 @query("stitch_offsets", fx.with_("voxels", more=f"m AS (SELECT {SQL_SV} AS sv, max(seg) AS top FROM voxels GROUP BY 1)") + "SELECT sv, CAST(coalesce(sum(top) OVER (ORDER BY sv ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset FROM m")
@@ -816,7 +826,7 @@ def _(s, d):
 
 @query("membrane_predictions", fx.with_("dense", more=f"g AS (SELECT z, y, x, label * 20 AS v, {B8} FROM dense)") + "SELECT z, y, x, round(1.0 - coalesce((v - min(v) OVER w) / nullif(max(v) OVER w - min(v) OVER w, 0), 0.0), 6) AS p FROM g WINDOW w AS (PARTITION BY bz, by, bx)")
 def _(s, d):
-    return segmentation.membrane_predictions(fx.dense(s).withColumn("v", F.col("label") * 20), "v", BLOCK)
+    return segmentation.membrane_predictions(fx.dense(s, d).withColumn("v", F.col("label") * 20), "v", BLOCK)
 
 
 @query("preserve_bodies", fx.with_("voxels", more="k AS (SELECT z, y, x, CASE WHEN gt IN (1, 2) THEN gt + (SELECT max(gt) FROM voxels) ELSE gt END AS n, CASE WHEN seg IN (1, 2) THEN seg END AS kept FROM voxels)") + "SELECT z, y, x, coalesce(kept, n) AS label FROM k")
@@ -825,27 +835,43 @@ def _(s, d):
     return segmentation.preserve_bodies(v.select("z", "y", "x", F.col("gt").alias("label")), v.select("z", "y", "x", F.col("seg").alias("label")), [1, 2], "label")
 
 
-@query("watershed")
+@query("watershed", fx.with_("dense") + f"SELECT z, y, x, {B8}, CAST(1 + CAST(x % 8 > 3 AS INT) AS DOUBLE) AS label FROM dense")
 def _(s, d):
-    g = fx.dense(s).withColumn("v", F.when(F.col("label") == 0, 1.0).otherwise(0.0))
+    # a wall within each block: the seed before it comes first and floods it
+    g = fx.dense(s, d).withColumn("v", F.when(F.col("x") % 8 == 3, 1.0).otherwise(0.0))
     return segmentation.run_step(g, "seeded-watershed", "v", "label", BLOCK, threshold=0.5, seed_size=4)
 
 
-@query("segment_pipeline")
+B12 = B8.replace("8.0", "12.0")
+
+
+@query("segment_pipeline", fx.with_("dense") + f"SELECT z, y, x, {B12}, CAST(1 + x // 8 - (12 * (x // 12)) // 8 AS DOUBLE) AS label FROM dense")
 def _(s, d):
-    g = fx.dense(s).withColumn("v", F.when(F.col("label") == 0, 0).otherwise(F.col("label") * 10 + 100))
+    g = fx.dense(s, d).withColumn("v", F.when(F.col("label") == 0, 0).otherwise(F.col("label") * 10 + 100))
     return segmentation.segment(g, "v", 12, [("membranes", {}), ("seeded-watershed", {"threshold": 0.6}), ("keep", {})])
 
 
-@query("face_mesh", fx.with_("dense", more="""v AS (SELECT * FROM dense WHERE label <> 0),
-f AS (SELECT v.*, a.axis, a.side, v.z + a.dz AS nz, v.y + a.dy AS ny, v.x + a.dx AS nx FROM v, (VALUES ('z', 0, -1, 0, 0), ('z', 1, 1, 0, 0), ('y', 0, 0, -1, 0), ('y', 1, 0, 1, 0), ('x', 0, 0, 0, -1), ('x', 1, 0, 0, 1)) a(axis, side, dz, dy, dx))""") + "SELECT f.label, axis, side, f.z, f.y, f.x FROM f LEFT JOIN v n ON n.z = nz AND n.y = ny AND n.x = nx AND n.label = f.label WHERE n.label IS NULL")
+def faces_sql(where: str) -> str:
+    return f"""v AS (SELECT * FROM dense WHERE {where}),
+f AS (SELECT v.*, a.axis, a.side, v.z + a.dz AS nz, v.y + a.dy AS ny, v.x + a.dx AS nx FROM v, (VALUES ('z', 0, -1, 0, 0), ('z', 1, 1, 0, 0), ('y', 0, 0, -1, 0), ('y', 1, 0, 1, 0), ('x', 0, 0, 0, -1), ('x', 1, 0, 0, 1)) a(axis, side, dz, dy, dx)),
+quads AS (SELECT f.label, axis, side, f.z, f.y, f.x FROM f LEFT JOIN v n ON n.z = nz AND n.y = ny AND n.x = nx AND n.label = f.label WHERE n.label IS NULL)"""
+
+
+#: The corners of each quad, and the quad's middle.
+CORNERS = """corners AS (
+  SELECT q.*, CASE axis WHEN 'z' THEN z + side ELSE z + i END AS vz, CASE axis WHEN 'y' THEN y + side WHEN 'z' THEN y + i ELSE y + j END AS vy, CASE axis WHEN 'x' THEN x + side ELSE x + j END AS vx
+  FROM quads q, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j)),
+middles AS (SELECT *, avg(vz) OVER w AS mz, avg(vy) OVER w AS my, avg(vx) OVER w AS mx FROM corners WINDOW w AS (PARTITION BY label, axis, side, z, y, x))"""
+
+
+@query("face_mesh", fx.with_("dense", more=faces_sql("label <> 0")) + "SELECT label, axis, side, z, y, x FROM quads")
 def _(s, d):
-    return segmentation.faces(fx.dense(s), "label")
+    return segmentation.faces(fx.dense(s, d), "label")
 
 
-@query("mesh_smoothed")
+@query("mesh_smoothed", fx.with_("dense", more=f"{faces_sql('label IN (1, 8)')},\n{CORNERS}") + "SELECT label, vz, vy, vx, round(avg(mz), 4) AS sz, round(avg(my), 4) AS sy, round(avg(mx), 4) AS sx FROM middles GROUP BY 1, 2, 3, 4")
 def _(s, d):
-    return segmentation.smoothed(segmentation.faces(fx.dense(s).where("label IN (1, 8)"), "label"))
+    return segmentation.smoothed(segmentation.faces(fx.dense(s, d).where("label IN (1, 8)"), "label"))
 
 
 # -- tiles, sources and streams
@@ -856,12 +882,24 @@ SELECT 'xy' AS plane, z AS slice, y // 10 AS "row", x // 10 AS col, CAST(sum(lab
 UNION ALL SELECT 'xz', y, z // 10, x // 10, CAST(sum(label) AS BIGINT), count(*) FROM dense GROUP BY 1, 2, 3, 4
 UNION ALL SELECT 'yz', x, z // 10, y // 10, CAST(sum(label) AS BIGINT), count(*) FROM dense GROUP BY 1, 2, 3, 4""")
 def _(s, d):
-    return tiles.pixels(fx.dense(s), "label", 10).groupBy("plane", "slice", "row", "col").agg(F.sum("value").alias("total"), F.count("*").alias("n"))
+    return tiles.pixels(fx.dense(s, d), "label", 10).groupBy("plane", "slice", "row", "col").agg(F.sum("value").alias("total"), F.count("*").alias("n"))
 
 
-@query("tile_pyramid")
+def tiles_sql(plane: str, slice_: str, row: str, col: str) -> str:
+    """Both levels of one plane: the bytes of each 16 x 16 tile, pixels beyond the volume 0."""
+    return f"""{plane}0 AS (SELECT 0 AS level, {slice_} AS s, {row} AS r, {col} AS c, label * 20 AS v FROM dense),
+{plane}1 AS (SELECT 1 AS level, s, r // 2 AS r, c // 2 AS c, CAST(floor(avg(v)) AS BIGINT) AS v FROM {plane}0 GROUP BY s, r // 2, c // 2),
+{plane}t AS (SELECT * FROM {plane}0 UNION ALL SELECT * FROM {plane}1),
+{plane}g AS (SELECT level, s, r // 16 AS tr, c // 16 AS tc, any_value(1) AS one FROM {plane}t GROUP BY 1, 2, 3, 4),
+{plane}_tiles AS (
+  SELECT '{plane}' AS plane, g.level, g.s AS slice, g.tr AS "row", g.tc AS col, string_agg(format('{{:02X}}', coalesce(t.v, 0)), '' ORDER BY i, j) AS pixels
+  FROM {plane}g g CROSS JOIN range(16) a(i) CROSS JOIN range(16) b(j) LEFT JOIN {plane}t t ON t.level = g.level AND t.s = g.s AND t.r = g.tr * 16 + i AND t.c = g.tc * 16 + j GROUP BY 1, 2, 3, 4, 5)"""
+
+
+@query("tile_pyramid", fx.with_("dense", more=",\n".join(tiles_sql(*p) for p in (("xy", "z", "y", "x"), ("xz", "y", "z", "x"), ("yz", "x", "z", "y")))) + """
+SELECT plane, level, slice, "row", col, md5('50350A31362031360A3235350A' || pixels) AS image FROM (SELECT * FROM xy_tiles UNION ALL SELECT * FROM xz_tiles UNION ALL SELECT * FROM yz_tiles)""")
 def _(s, d):
-    return tiles.pyramid(fx.dense(s).withColumn("v", F.col("label") * 20), "v", 16, 2)
+    return tiles.pyramid(fx.dense(s, d).withColumn("v", F.col("label") * 20), "v", 16, 2).withColumn("image", F.md5(F.hex("image")))
 
 
 @query("data_source", fx.with_("dense") + "SELECT z, y, x, label FROM dense")
@@ -869,14 +907,11 @@ def _(s, d):
     from voxelith.sources import volume_source
 
     volume_source.register(s)
-    return s.read.format("voxelith").option("shape", "24,24,24").option("block", "10").load()
+    return s.read.format("voxelith").option("shape", ",".join(map(str, fx.shape(s, d)))).option("block", "10").load()
 
 
 @query("stream_windows", "SELECT CAST(epoch(time_bucket(INTERVAL '1 hour', ts)) AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def _(s, d):
-    import uuid
-
-    from voxelith.sources.scratch import shared_dir
     from voxelith.streaming import events
 
     schema = s.read.parquet(f"{d}/events.parquet").schema
@@ -900,9 +935,12 @@ def _(s, d):
     return workflows.sample_points(fx.points(s, d), coarse, "seg", 1)["points"].select("point_id", "z", "y", "x", "label")
 
 
-@query("wf_create_segmentation")
+# walls at x % 8 = 5 lie within blocks of 12, so slabs agree in all blocks that share them; a slab has the least of its names
+@query("wf_create_segmentation", fx.with_("dense", more="""b AS (SELECT bx, greatest(0, 12 * bx - 1) AS lo, least(n - 1, 12 * bx + 12) AS hi FROM side_, unnest(range((n + 11) // 12)) r(bx)),
+o AS (SELECT *, coalesce(sum((hi + 2) // 8 - (lo + 2) // 8 + 1) OVER (ORDER BY bx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM b),
+named AS (SELECT slab, CAST(min(above + slab - (lo + 2) // 8 + 1) AS BIGINT) AS label FROM o, unnest(range((lo + 2) // 8, (hi + 2) // 8 + 1)) s(slab) GROUP BY 1)""") + "SELECT z, y, x, named.label FROM dense JOIN named ON slab = (x + 2) // 8")
 def _(s, d):
-    g = fx.dense(s).withColumn("v", F.when(F.col("label") == 0, 0).otherwise(200))
+    g = fx.dense(s, d).withColumn("v", F.when(F.col("x") % 8 == 5, 0).otherwise(200))
     return workflows.create_segmentation(g, "v", 12, [("membranes", {}), ("seeded-watershed", {"threshold": 0.5})], "simple", 1)["voxels"]
 
 

@@ -1,46 +1,72 @@
-"""Volumes, graphs and points derived from the driver's tables, as DataFrames and as SQL common table expressions."""
+"""Volumes, graphs and points derived from the driver's tables, as DataFrames and as SQL common table expressions.
+
+Volumes grow with lineitem: about half as many voxels as cells, in a cube whose side is a multiple of 8. A third of the
+voxels belong to one body, and a third of the merge graph's nodes to a few.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+import math
 
-SIDE = 24
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _third(column: str) -> F.Column:
-    return F.floor(F.col(column) / 24.0).cast("long") % SIDE
+def side(spark: SparkSession, sf_dir: str) -> int:
+    """Of the cube: the count comes from the file's footer."""
+    return 8 * math.ceil(round((2 * table(spark, sf_dir, "lineitem").count()) ** (1 / 3), 6) / 8)
+
+
+def shape(spark: SparkSession, sf_dir: str) -> tuple[int, int, int]:
+    return (side(spark, sf_dir),) * 3
+
+
+def _line(column: str, n: int) -> Column:
+    return F.floor(F.col(column) / float(n)).cast("long") % n
 
 
 def voxels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(z, y, x, gt, seg), two labelings of a sparse 24 x 24 x 24 volume; 0 is background."""
-    return (
+    """(z, y, x, gt, seg), two labelings of a sparse cube; 0 is background.
+
+    Body 1 of gt has a third of the voxels. seg follows gt in most places, with bodies 1 and 2 merged, and has bodies of
+    its own elsewhere.
+    """
+    n = side(spark, sf_dir)
+    cells = (
         table(spark, sf_dir, "lineitem")
-        .groupBy((F.col("l_orderkey") % SIDE).alias("z"), _third("l_orderkey").alias("y"), (F.col("l_linenumber") - 1 + 8 * (F.col("l_suppkey") % 3)).cast("long").alias("x"))
-        .agg(F.min(F.col("l_partkey") % 12).alias("gt"), F.min(F.col("l_suppkey") % 9).alias("seg"))
+        .groupBy((F.col("l_orderkey") % n).alias("z"), _line("l_orderkey", n).alias("y"), ((F.col("l_linenumber") - 1 + 8 * F.col("l_suppkey")) % n).cast("long").alias("x"))
+        .agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
     )
+    named = cells.withColumn("gt", F.when(F.col("p") % 7 == 0, 0).when(F.col("p") % 3 == 0, 1).otherwise(2 + F.col("p") % F.lit(n // 2)))
+    seg = F.when(F.col("s") % 9 == 0, 0).when((F.col("s") % 4 == 1) | (F.col("gt") == 0), 3 + F.col("s") % 9).when(F.col("gt") <= 2, 1).otherwise(F.col("gt"))
+    return named.select("z", "y", "x", F.col("gt").cast("long").alias("gt"), seg.cast("long").alias("seg"))
 
 
-def dense(spark: SparkSession) -> DataFrame:
-    """(z, y, x, label) of a full volume; planes of 0 at every eighth x, else the octant plus 1."""
-    n = spark.range(SIDE**3).select(F.floor(F.col("id") / 576).cast("long").alias("z"), (F.floor(F.col("id") / 24) % 24).cast("long").alias("y"), (F.col("id") % 24).alias("x"))
-    octant = 1 + 4 * (F.col("z") >= 12).cast("long") + 2 * (F.col("y") >= 12).cast("long") + (F.col("x") >= 12).cast("long")
-    return n.withColumn("label", F.when(F.col("x") % 8 == 7, F.lit(0).cast("long")).otherwise(octant))
+def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(z, y, x, label) of the full cube; planes of 0 at every eighth x, else the octant plus 1."""
+    n = side(spark, sf_dir)
+    half = n // 2
+    cells = spark.range(n**3).select(F.floor(F.col("id") / float(n * n)).cast("long").alias("z"), (F.floor(F.col("id") / float(n)) % n).cast("long").alias("y"), (F.col("id") % n).alias("x"))
+    octant = 1 + 4 * (F.col("z") >= half).cast("long") + 2 * (F.col("y") >= half).cast("long") + (F.col("x") >= half).cast("long")
+    return cells.withColumn("label", F.when(F.col("x") % 8 == 7, F.lit(0).cast("long")).otherwise(octant))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(u, v) with u < v, a merge graph."""
-    raw = table(spark, sf_dir, "lineitem").where("l_orderkey % 40 = 0").select(F.col("l_partkey").alias("p"), ((F.col("l_partkey") * 7 + F.col("l_suppkey")) % 2000).alias("q"))
+    """(u, v) with u < v, a merge graph over all orders: every third one is tied to one of four hubs, the others to some of their own class and sixty."""
+    k = F.col("l_orderkey")
+    q = F.when(k % 3 == 0, 3 + 3 * (F.col("l_suppkey") % 4)).otherwise(F.floor(k / 60.0) * 60 + 3 * (F.col("l_partkey") % 20) + k % 3)
+    raw = table(spark, sf_dir, "lineitem").select(k.alias("p"), q.cast("long").alias("q"))
     return raw.where("p <> q").select(F.least("p", "q").alias("u"), F.greatest("p", "q").alias("v")).distinct()
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(point_id, z, y, x)."""
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("point_id"), (F.col("o_orderkey") % SIDE).alias("z"), _third("o_orderkey").alias("y"), (F.col("o_custkey") % SIDE).alias("x"))
+    n = side(spark, sf_dir)
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("point_id"), (F.col("o_orderkey") % n).alias("z"), _line("o_orderkey", n).alias("y"), (F.col("o_custkey") % n).alias("x"))
 
 
 def synapses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,20 +80,23 @@ def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1, 9).select(F.col("id").alias("label"), (F.col("id") - (F.col("id") + 1) % 2).alias("body"))
 
 
-#: The same relations for SQL.
+#: The same relations for SQL. Each but `side_` and `mapping` takes the cube's side n from side_.
 CTE = {
-    "voxels": """voxels AS (
-  SELECT l_orderkey % 24 AS z, CAST(floor(l_orderkey / 24.0) AS BIGINT) % 24 AS y, CAST(l_linenumber - 1 + 8 * (l_suppkey % 3) AS BIGINT) AS x,
-         min(l_partkey % 12) AS gt, min(l_suppkey % 9) AS seg
-  FROM lineitem GROUP BY 1, 2, 3)""",
+    "side_": "side_ AS (SELECT 8 * CAST(ceil(round(cbrt(2.0 * count(*)), 6) / 8) AS BIGINT) AS n FROM lineitem)",
+    "voxels": """cells_ AS (
+  SELECT l_orderkey % n AS z, CAST(floor(l_orderkey / CAST(n AS DOUBLE)) AS BIGINT) % n AS y, CAST((l_linenumber - 1 + 8 * l_suppkey) % n AS BIGINT) AS x,
+         min(l_partkey) AS p, min(l_suppkey) AS s, n
+  FROM lineitem, side_ GROUP BY 1, 2, 3, n),
+named_ AS (SELECT *, CAST(CASE WHEN p % 7 = 0 THEN 0 WHEN p % 3 = 0 THEN 1 ELSE 2 + p % (n // 2) END AS BIGINT) AS gt FROM cells_),
+voxels AS (SELECT z, y, x, gt, CAST(CASE WHEN s % 9 = 0 THEN 0 WHEN s % 4 = 1 OR gt = 0 THEN 3 + s % 9 WHEN gt <= 2 THEN 1 ELSE gt END AS BIGINT) AS seg FROM named_)""",
     "dense": """dense AS (
-  SELECT z, y, x, CASE WHEN x % 8 = 7 THEN 0 ELSE 1 + 4 * CAST(z >= 12 AS BIGINT) + 2 * CAST(y >= 12 AS BIGINT) + CAST(x >= 12 AS BIGINT) END AS label
-  FROM range(24) a(z), range(24) b(y), range(24) c(x))""",
+  SELECT z, y, x, CASE WHEN x % 8 = 7 THEN 0 ELSE 1 + 4 * CAST(z >= n // 2 AS BIGINT) + 2 * CAST(y >= n // 2 AS BIGINT) + CAST(x >= n // 2 AS BIGINT) END AS label
+  FROM side_, unnest(range(n)) a(z), unnest(range(n)) b(y), unnest(range(n)) c(x))""",
     "edges": """edges AS (
   SELECT DISTINCT least(p, q) AS u, greatest(p, q) AS v
-  FROM (SELECT l_partkey AS p, (l_partkey * 7 + l_suppkey) % 2000 AS q FROM lineitem WHERE l_orderkey % 40 = 0) WHERE p <> q)""",
+  FROM (SELECT l_orderkey AS p, CASE WHEN l_orderkey % 3 = 0 THEN 3 + 3 * (l_suppkey % 4) ELSE CAST(floor(l_orderkey / 60.0) AS BIGINT) * 60 + 3 * (l_partkey % 20) + l_orderkey % 3 END AS q FROM lineitem) WHERE p <> q)""",
     "points": """points AS (
-  SELECT o_orderkey AS point_id, o_orderkey % 24 AS z, CAST(floor(o_orderkey / 24.0) AS BIGINT) % 24 AS y, o_custkey % 24 AS x FROM orders)""",
+  SELECT o_orderkey AS point_id, o_orderkey % n AS z, CAST(floor(o_orderkey / CAST(n AS DOUBLE)) AS BIGINT) % n AS y, o_custkey % n AS x FROM orders, side_)""",
     "synapses": """synapses AS (SELECT a.o_orderkey AS pre, b.o_orderkey AS post FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1)""",
     "mapping": """mapping AS (SELECT label, label - (label + 1) % 2 AS body FROM range(1, 9) t(label))""",
 }
@@ -75,4 +104,4 @@ CTE = {
 
 def with_(*names: str, more: str = "") -> str:
     """A WITH clause of fixtures; more: further expressions."""
-    return "WITH RECURSIVE " + ",\n".join([*(CTE[n] for n in names), *([more] if more else [])]) + "\n"
+    return "WITH RECURSIVE " + ",\n".join([CTE["side_"], *(CTE[n] for n in names), *([more] if more else [])]) + "\n"
