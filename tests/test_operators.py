@@ -90,7 +90,7 @@ def test_block_store(spark, tmp_path):
     blocks.write(df, f"file://{tmp_path}/b", "v", 4)
     got = blocks.read(spark, f"file://{tmp_path}/b", "v", 0, ((1, 0, 2), (8, 5, 5)), 4)
     assert (dense(got, a.shape)[1:8, :5, 2:] == a[1:8, :5, 2:]).all() and got.count() == 7 * 5 * 3
-    plan = spark.read.parquet(f"file://{tmp_path}/b").where("scale = 1 AND bz <= 0").select("bz")._jdf.queryExecution().toString()
+    plan = spark.read.parquet(f"file://{tmp_path}/b").where("scale = 1 AND slab = 0 AND bz <= 0").select("bz")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(scale" in plan and "LessThanOrEqual(bz,0)" in plan
 
 

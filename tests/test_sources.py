@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from voxelith.operators import tiles
 from voxelith.plans import workflows
-from voxelith.sources import blocks, n5, service, slices, volume_source
+from voxelith.sources import blocks, messages, n5, scratch, service, slices, volume_source
 from voxelith.streaming import events
 
 
@@ -58,11 +58,129 @@ def test_configured_volume(spark, array, dataset):
     assert (dense(service.load(spark, config), (10, 8, 6)) == want).all()
     fine = service.load(spark, config | {"scale": 1, "transpose": "zyx"})
     assert fine.count() == 3 * 4 * 5
+    assert json.loads(service.dumped(config))["scale"] == 0 and service.resolved({"n5": {"path": "a"}}, "/b")["n5"]["path"] == "/b/a"
     for wrong in ({}, {"n5": {}, "table": {}}, {"n5": {}, "transpose": "zzy"}, {"n5": {}, "geometry": {"bounding-box": [[1, 1, 1], [1, 2, 2]]}}):
         with pytest.raises(ValueError):
             service.checked(wrong)
 
 
+def test_n5_scales(spark, tmp_path):
+    """Each scale is read from its own dataset, and only a scale that there is none of is made."""
+    fine, coarse = np.arange(64).reshape(4, 4, 4), np.arange(8).reshape(2, 2, 2) + 1000
+    for name, a in (("s0", fine), ("s1", coarse)):
+        (tmp_path / f"v/{name}/0/0").mkdir(parents=True)
+        (tmp_path / f"v/{name}/attributes.json").write_text(json.dumps({"dimensions": [a.shape[0]] * 3, "blockSize": [4, 4, 4], "dataType": "uint64", "compression": {"type": "raw"}}))
+        (tmp_path / f"v/{name}/0/0/0").write_bytes(n5.encode_block(a.astype(np.uint64), "raw"))
+    config = {"n5": {"path": f"file://{tmp_path}/v", "dataset": "s0"}, "geometry": {"available-scales": [0, 1], "bounding-box": [[0, 0, 0], [4, 4, 4]]}}
+    got = service.load(spark, config | {"scale": 1})
+    assert got.count() == 8 and (dense(got, (2, 2, 2)) == coarse).all()
+    assert (dense(service.load(spark, config), (4, 4, 4)) == fine).all()
+    assert service.load(spark, config | {"scale": 2}).count() == 1
+    assert n5.read(spark, f"file://{tmp_path}/v/s0", "label", ((4, 4, 4), (9, 9, 9))).count() == 0
+    with pytest.raises(ValueError):
+        n5.at_scale("volume", 1)
+
+
+def test_put_into_blocks(spark, array, tmp_path):
+    path, df = f"file://{tmp_path}/b", voxels(spark, array).withColumn("scale", F.lit(0))
+    blocks.write(df, path, "label", 2)
+    want = array.copy()
+    some = np.zeros_like(array)
+    some[1:4, 3:5, 2:9] = 77
+    want[some == 77] = 77
+    blocks.write(voxels(spark, some).where("label = 77").withColumn("scale", F.lit(0)), path, "label", 2, whole_blocks=False)
+    read = lambda: dense(blocks.read(spark, path, "label", 0, ((0, 0, 0), array.shape), 2), array.shape)
+    assert (read() == want).all()
+    want[2:4, 0:2, 0:2] = 0  # the block that is put whole has one voxel
+    want[3, 1, 1] = 55
+    blocks.write(spark.createDataFrame([(3, 1, 1, 55, 0)], "z long, y long, x long, label long, scale int"), path, "label", 2)
+    assert (read() == want).all()
+
+
+def test_computed_blocks(spark, tmp_path):
+    seen = []
+
+    def compute(missing):
+        seen.append(missing.count())
+        return missing.withColumn("v", F.col("bx") * 2)
+
+    wanted = spark.range(6).select(F.lit(0).cast("long").alias("bz"), F.lit(0).cast("long").alias("by"), F.col("id").alias("bx"))
+    path = f"file://{tmp_path}/c"
+    assert blocks.computed(wanted.where("bx < 4"), compute, path).count() == 4
+    assert {(r.bx, r.v) for r in blocks.computed(wanted.where("bx > 1"), compute, path).collect()} == {(i, 2 * i) for i in range(2, 6)}
+    assert seen == [4, 2]
+
+
+def test_checkpoint(spark, tmp_path):
+    one, two = spark.range(3), spark.range(5)
+    assert scratch.checkpoint(one, f"file://{tmp_path}/c").count() == 3
+    assert scratch.checkpoint(two, f"file://{tmp_path}/c").count() == 3
+    assert scratch.checkpoint(two, f"file://{tmp_path}/c", rollback=False).count() == 5
+
+
+def test_released(spark):
+    with scratch.released():
+        own = scratch.Scratch(spark, "test")
+        path = own.store(spark.range(3))._scratch_path
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def filtered_png(image, kind):
+    """A PNG whose rows all have one filter."""
+    import zlib
+
+    rows, a = [], image.astype(int)
+    for y in range(len(a)):
+        line = []
+        for x in range(a.shape[1]):
+            left, above = (a[y, x - 1] if x else 0), (a[y - 1, x] if y else 0)
+            corner = a[y - 1, x - 1] if x and y else 0
+            p = left + above - corner
+            near = min((abs(p - left), 0, left), (abs(p - above), 1, above), (abs(p - corner), 2, corner))[2]
+            line.append((a[y, x] - (0, left, above, (left + above) // 2, near)[kind]) % 256)
+        rows.append(bytes([kind, *line]))
+    plain = slices.encode_png(image)
+    head = plain[: plain.index(b"IDAT") - 4]
+    return head + slices._chunk(b"IDAT", zlib.compress(b"".join(rows))) + slices._chunk(b"IEND", b"")
+
+
+def test_slice_stacks(spark, tmp_path):
+    a = np.random.default_rng(4).integers(0, 256, (4, 5, 6))
+    for kind in range(5):
+        assert (slices.decode(filtered_png(a[0], kind)) == a[0]).all()
+    with pytest.raises(ValueError):
+        slices.decode(b"GIF89a")
+    for suffix in ("png", "pgm"):
+        pattern = f"{tmp_path}/z{{:05d}}-{suffix}.{suffix}"
+        slices.write_files(voxels(spark, a, "v"), pattern, "v", a.shape)
+        assert slices.stack_attributes(spark, pattern) == ((0, 0, 0), (4, 5, 6))
+        assert (dense(slices.read_stack(spark, pattern, "v"), a.shape, "v") == a).all()
+        assert slices.read_stack(spark, pattern.replace("{:05d}", "%05d"), "v", 1, 3).count() == 2 * 30
+    config = {"slice-files": {"path": f"{tmp_path}/z{{:05d}}-png.png"}, "value": "v", "geometry": {"bounding-box": [[0, 0, 1], [6, 5, 3]]}}
+    assert service.load(spark, config).count() == 2 * 30
+    assert slices.split_pattern("a/%04d.png") == ("a/", "{:04d}", ".png") and slices.split_pattern("a/b") == ("a/b/", "{}", "")
+    (tmp_path / "z7-png.png").write_bytes(slices.encode_png(a[0]))
+    with pytest.raises(ValueError):
+        slices.stack_attributes(spark, f"{tmp_path}/z{{:05d}}-png.png")
+    with pytest.raises(Exception):  # noqa: B017
+        slices.stack_attributes(spark, f"{tmp_path}/none-{{}}.png")
+    assert [r[0] for r in spark.range(0, 200, 50).toDF("z").select(slices.slab("z", 64, 10)).collect()] == [-1, 0, 1, 2]
+
+
+def test_messages(spark):
+    mapping = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (5, 4), (9, 9)], "label long, body long")
+    sent = messages.merges(mapping)
+    assert {(r.target, tuple(r.merged)) for r in sent.collect()} == {(1, (2, 3)), (4, (5,))}
+    assert sum(len(r.merged) for r in messages.merges(mapping, 1).collect()) == 3
+    back = messages.read(messages.write(sent, "merge"), "merge")
+    assert {tuple(r) for r in messages.merged_labels(back).collect()} == {(2, 1), (3, 1), (5, 4)}
+    split = spark.createDataFrame([(1, 2, 3, True, b"\x00\xff")], messages.SCHEMAS["split"])
+    assert messages.read(messages.write(split, "split"), "split").collect() == split.collect()
+    table = {r.label: (r.labels, [round(a, 3) for a in r.affinities]) for r in messages.affinity_table(spark.createDataFrame([(1, 2, 0.5), (1, 3, 0.25)], messages.SCHEMAS["affinity"])).collect()}
+    assert table == {1: ([2, 3], [0.5, 0.25]), 2: ([1], [0.5]), 3: ([1], [0.25])}
+
+
 def test_data_source(spark):
     volume_source.register(spark)
     df = spark.read.format("voxelith").option("shape", "5,6,7").option("block", "4").option("period", "3").load()

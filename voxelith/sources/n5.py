@@ -2,7 +2,8 @@
 
 A block's file is <x>/<y>/<z> under the dataset; it begins with mode, number of axes and size (big-endian), then its
 samples in x-fastest order, raw or gzip. Blocks are found by Spark's binaryFile source, so any store that Spark reads
-will do; missing blocks are 0 and have no rows.
+will do; missing blocks are 0 and have no rows. A box is a pattern of block paths, so other blocks are not even listed.
+Scales are datasets beside each other, whose names end in the scale's digit.
 """
 
 from __future__ import annotations
@@ -43,17 +44,33 @@ def encode_block(block: np.ndarray, compression: str = "gzip") -> bytes:
     return struct.pack(">HH3I", 0, 3, *block.shape[::-1]) + (gzip.compress(body) if compression == "gzip" else body)
 
 
+def at_scale(dataset: str, scale: int) -> str:
+    """The dataset of a scale, from the name of scale 0, which ends in 0 if there are others."""
+    if not scale:
+        return dataset
+    if not 0 < scale < 10 or not dataset.endswith("0"):
+        raise ValueError(f"{dataset} has no scale {scale}")
+    return f"{dataset[:-1]}{scale}"
+
+
+def _files(spark: SparkSession, pattern: str) -> DataFrame:
+    """(path, content) of the files that match; none if none do."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path):
+        return spark.createDataFrame([], "path string, content binary")
+    return spark.read.format("binaryFile").load(pattern).select("path", "content")
+
+
 def read(spark: SparkSession, dataset: str, value: str, box: tuple | None = None) -> DataFrame:
     """(z, y, x, value) of the dataset's blocks, or of those that meet a box, cut to it."""
     about = attributes(spark, dataset)
     size, dtype = about["blockSize"], about["dataType"]
     kind = about.get("compression", {}).get("type", "raw") if isinstance(about.get("compression"), dict) else about.get("compressionType", "raw")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(dataset).where(~F.col("path").endswith("attributes.json"))
+    ends = [(0, n) for n in about["dimensions"][::-1]] if box is None else list(zip(*box, strict=True))
+    axes = [range(max(0, lo) // s, max(0, hi - 1) // s + 1) for s, (lo, hi) in zip(size, ends[::-1], strict=True)]
+    files = _files(spark, "/".join([dataset, *("{" + ",".join(map(str, a)) + "}" if box is not None else "*" for a in axes)]))
     at = [F.regexp_extract("path", r"/(\d+)/(\d+)/(\d+)$", i).cast("long").alias(n) for i, n in ((3, "bz"), (2, "by"), (1, "bx"))]
     found = files.select(*at, "content")
-    if box is not None:
-        for a, s, lo, hi in zip(("bz", "by", "bx"), size[::-1], *box, strict=True):
-            found = found.where(F.col(a).between(lo // s, (hi - 1) // s))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -69,6 +69,15 @@ class Scratch:
             self._delete(df._scratch_path)
 
 
+def checkpoint(df: DataFrame, path: str, rollback: bool = True) -> DataFrame:
+    """df written to path and reread; with rollback, what a complete earlier run has written there is taken instead."""
+    spark = df.sparkSession
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not rollback or not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextlib.contextmanager
 def released(*kept: Scratch) -> Iterator[None]:
     """What operators store inside goes at the end, but for `kept`; what is still needed has to be written or counted by then."""

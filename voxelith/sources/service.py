@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,21 @@ def checked(config: dict) -> dict:
     return out
 
 
+def dumped(config: dict) -> str:
+    """The configuration with all defaults, as JSON in order of its keys: what a run was made with."""
+    return json.dumps(checked(config), indent=2, sort_keys=True)
+
+
+def resolved(config: dict, folder: str) -> dict:
+    """Paths that are not absolute and name no store are taken from the configuration's own folder."""
+    out = dict(config)
+    for key in (*SOURCES, "apply-labelmap"):
+        about = out.get(key)
+        if about and "path" in about and "://" not in about["path"] and not about["path"].startswith("/"):
+            out[key] = about | {"path": f"{folder.rstrip('/')}/{about['path']}"}
+    return out
+
+
 def load(spark: SparkSession, config: dict) -> DataFrame:
     """(z, y, x, value) of a configured volume. Boxes are [[x0, y0, z0], [x1, y1, z1]], in the source's own axes."""
     c = checked(config)
@@ -52,16 +68,20 @@ def load(spark: SparkSession, config: dict) -> DataFrame:
     about, value = c[kind], c["value"]
     box = None if c["geometry"]["bounding-box"] is None else xyz_box(c["geometry"]["bounding-box"])
     native = max((s for s in c["geometry"]["available-scales"] if s <= c["scale"]), default=min(c["geometry"]["available-scales"]))
+    # the box is given in full resolution
+    scaled = None if box is None else (tuple(a >> native for a in box[0]), tuple(-(-a >> native) for a in box[1]))
     if kind == "block-store":
         if box is None:
             raise ValueError("a block store needs a bounding box")
-        df = blocks.read(spark, about["path"], value, native, box, c["geometry"]["block-width"])
+        df = blocks.read(spark, about["path"], value, native, scaled, c["geometry"]["block-width"])
     elif kind == "n5":
-        df = n5.read(spark, f"{about['path']}/{about['dataset']}", value, box)
+        df = n5.read(spark, n5.at_scale(f"{about['path']}/{about['dataset']}", native), value, scaled)
     elif kind == "slice-files":
-        df = slices.read_files(spark, about["path"], value)
+        native = 0
+        df = slices.read_stack(spark, about["path"], value, *((box[0][0], box[1][0]) if box else (None, None)))
         df = df if box is None else volume.clip(df, box)
     else:
+        native = 0
         df = spark.read.parquet(about["path"]).select("z", "y", "x", value)
         df = df if box is None else volume.clip(df, box)
     if c["apply-labelmap"]:
@@ -70,5 +90,5 @@ def load(spark: SparkSession, config: dict) -> DataFrame:
     if c["transpose"] != "zyx":
         if box is None or any(box[0]):
             raise ValueError("axes are moved on volumes that begin at the origin, with a bounding box")
-        df = volume.transpose(df, c["transpose"], box[1])
+        df = volume.transpose(df, c["transpose"], scaled[1] if kind in ("block-store", "n5") else box[1])
     return volume.rescale(df, native, c["scale"], value).select("z", "y", "x", value)
