@@ -219,6 +219,7 @@ def test_near_dedup_foreign_hubs(spark):
 def test_near_dedup_templates(spark, monkeypatch):
     """Documents of few frequent lines, half like each other, with planted near copies: every link comes out, of keys in one piece and in blocks."""
     monkeypatch.setattr(minhash, "BLOCK", 100)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 100_000)
     rnd = random.Random(17)
     line = lambda n: " ".join(f"{rnd.choice(WORDS)}{rnd.randrange(10**6)}" for _ in range(n))
     lines = [line(12) for _ in range(45)]

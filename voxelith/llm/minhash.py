@@ -8,23 +8,26 @@
 3. star: within a key each document is compared with the hub, the one with the most neighbours overall. A pair
    goes to verification unless its collision-corrected estimate is far below the threshold; verification
    compares the full sets. Groups of copies so cost a pair for each member, not each pair.
-4. rest: where the links found leave the documents of a key in several components, those outside the key's
-   largest one are compared with all documents of the key, by their registers and in blocks of bounded size. At
-   first only the best partner in each other component is verified, which joins most of what belongs together;
-   then every pair that may be a link and still lies in two components. No link between documents that share a
-   key is lost: a pair that isn't verified is in one component already, or estimated far below the threshold.
-5. connected components over all links.
+4. across: where the links found leave the documents of a key in several components, those outside the key's
+   largest one are compared with all documents of the key, by their registers and in blocks of bounded size.
+   Components with a pair that may be a link form a cluster; of a block only the pairs that it takes to join
+   them leave.
+5. rest: in a cluster of several components the documents outside the largest one are compared with all of the
+   cluster, by full sets and in blocks of bounded bytes: an inverted list of a block's shingles gives all
+   intersections with it at once, and only links leave. So no link between documents that share a key is lost:
+   two documents are in one component, estimated far below the threshold, or compared in full.
+6. connected components over all links.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelith.operators.components import components
@@ -42,6 +45,8 @@ SLACK = 4.5
 BLOCK, LARGE_BLOCK, LARGE = 2_048, 8_192, 1 << 18
 #: Documents of small keys that go to Python as one group.
 AT_ONCE = 20_000
+#: Bytes of the texts that are compared in full at once with as many others.
+BLOCK_BYTES = 8_000_000
 CACHED_WORDS = 200_000
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -204,61 +209,110 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _meet(left: np.ndarray, right: np.ndarray, rep: np.ndarray, component: np.ndarray, outside: np.ndarray, n: np.ndarray, regs: np.ndarray, percent: int, best: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of a left and a right row, of different components, that may be links; best: the best right row of each component only."""
+def _join(left: np.ndarray, right: np.ndarray, rep: np.ndarray, component: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Pairs of a left and a right row that it takes to join the components which near(row, rows) finds a pair between."""
+    label = component.copy()
     for i in left.tolist():
-        # two that are outside meet twice, once from either
-        to = right[(component[right] != component[i]) & ~(outside[right] & (rep[right] < rep[i])) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
-        if not len(to):
-            continue
-        similarity, k = estimate(regs[i][None, :], regs[to], n[i], n[to])
-        near = promising(similarity, k, n[i], n[to], percent)
-        to = to[near]
-        if best and len(to) > 1:
-            to = to[np.argsort(-similarity[near], kind="stable")]
-            to = to[np.sort(np.unique(component[to], return_index=True)[1])]
-        for j in to.tolist():
-            yield min(rep[i], rep[j]), max(rep[i], rep[j])
-
-
-def _across(members: DataFrame, regs: DataFrame, percent: int, best: bool, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b), a < b, of members (key, rep, component) that share a key, may be links and are in different components.
-
-    Those outside a key's largest component meet all its members. A key of up to BLOCK members is one piece, and several
-    such go to Python together; a larger one is dealt into blocks, each of which meets each other.
+        to = right[label[right] != label[i]]
+        for j in to[near(i, to)].tolist() if len(to) else []:
+            if label[i] != label[j]:
+                label[label == label[j]] = label[i]
+                yield int(min(rep[i], rep[j])), int(max(rep[i], rep[j]))
+
+
+def _dealt(rows: DataFrame, key: str, size: Column, per_block: Column, total: int, at_once: int) -> DataFrame:
+    """rows (key, rep, outside, ...) with lot, mine, other, left, right: what is compared is the left and the right rows of one lot, mine and other.
+
+    A key whose size is at most per_block is one piece, and several such are a lot, of about at_once. A larger one is dealt
+    into blocks; each block of rows that are outside meets each block of all rows, so a row is copied as often as its key
+    has blocks, and no piece grows with its key.
     """
+    blocks = F.ceil(size / per_block).cast("int")
+    block, every, yes, no = F.pmod(F.xxhash64("rep"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1)), F.lit(True), F.lit(False)
+    lot = F.pmod(F.xxhash64(key), F.lit(1 + total // at_once))
+    columns = lambda lot, mine, other, left, right: (lot.alias("lot"), mine.alias("mine"), other.alias("other"), left.alias("left"), right.alias("right"), F.col(key).alias("key"), *[c for c in rows.columns if c != key])
+    whole = rows.where(blocks <= 1).select(*columns(lot, F.lit(-1), F.lit(-1), F.col("outside"), yes))
+    large = rows.where(blocks > 1)
+    mine = large.where("outside").select(*columns(F.col(key), block, every, yes, no))
+    return whole.union(mine).union(large.select(*columns(F.col(key), every, block, no, yes)))
+
+
+def _keyed(table: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """(rows, left, right) of each key of a lot."""
+    table = table.sort_by("key")
+    key = table.column("key").to_numpy()
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]).tolist()
+    for start, stop in zip(starts, [*starts[1:], len(key)], strict=True):
+        part = table.slice(start, stop - start)
+        yield part, *(np.flatnonzero(part.column(c).to_numpy()) for c in ("left", "right"))
+
+
+def _pairs(pairs: set[tuple[int, int]]) -> pa.Table:
+    a, b = zip(*sorted(pairs), strict=True) if pairs else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _across(members: DataFrame, regs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) that join the components of members (key, rep, component) between which a pair that shares a key may be a link."""
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("k"))
     sizes = sizes.groupBy("key").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("parts"))
     mixed = scratch.store(sizes.where("parts > 1").select("key", F.col("top.component").alias("main"), "size"))
-    keys, rows = mixed.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    held = scratch.store(members.join(small(mixed, keys), "key").join(regs, "rep").withColumn("outside", F.col("component") != F.col("main")))
+    keys, total = mixed.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    held = scratch.store(members.join(small(mixed, keys), "key").join(regs, "rep").withColumn("outside", F.col("component") != F.col("main")).drop("main"))
     per_block = F.when(F.col("size") >= LARGE, LARGE_BLOCK).otherwise(BLOCK)
-    blocks = F.ceil(F.col("size") / per_block).cast("int")
-    block, every, yes, no = F.pmod(F.xxhash64("rep"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1)), F.lit(True), F.lit(False)
-    row = ("key", "rep", "component", "outside", "n", "regs")
-    lot = F.pmod(F.xxhash64("key"), F.lit(1 + rows // AT_ONCE))
-    whole = held.where(F.col("size") <= BLOCK).select(lot.alias("lot"), F.lit(-1).alias("mine"), F.lit(-1).alias("other"), F.col("outside").alias("left"), yes.alias("right"), *row)
-    large = held.where(F.col("size") > BLOCK)
-    mine = large.where("outside").select(F.col("key").alias("lot"), block.alias("mine"), every.alias("other"), yes.alias("left"), no.alias("right"), *row)
-    against = large.select(F.col("key").alias("lot"), every.alias("mine"), block.alias("other"), no.alias("left"), yes.alias("right"), *row)
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("key")
-        key, rep, component, n, left, right, outside = (table.column(c).to_numpy() for c in ("key", "rep", "component", "n", "left", "right", "outside"))
-        own = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(-1, BUCKETS)
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         pairs: set[tuple[int, int]] = set()
-        for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
-            lefts, rights = (start + np.flatnonzero(side[start:stop]) for side in (left, right))
-            pairs.update(_meet(lefts, rights, rep, component, outside, n, own, percent, best))
-        a, b = zip(*sorted(pairs), strict=True) if pairs else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        for part, left, right in _keyed(table):
+            rep, component, n = (part.column(c).to_numpy() for c in ("rep", "component", "n"))
+            own = np.frombuffer(b"".join(part.column("regs").to_pylist()), np.uint16).reshape(-1, BUCKETS)
 
-    pairs = scratch.store(whole.union(mine).union(against).groupBy("lot", "mine", "other").applyInArrow(run, "a long, b long").distinct())
+            def near(i: int, to: np.ndarray, n=n, own=own) -> np.ndarray:
+                ok = 100 * np.minimum(n[to], n[i]) >= percent * np.maximum(n[to], n[i])
+                ok[ok] = promising(*estimate(own[i][None, :], own[to[ok]], n[i], n[to[ok]]), n[i], n[to[ok]], percent)
+                return ok
+
+            pairs.update(_join(left, right, rep, component, near))
+        return _pairs(pairs)
+
+    pairs = scratch.store(_dealt(held, "key", F.col("size"), per_block, total, AT_ONCE).groupBy("lot", "mine", "other").applyInArrow(run, "a long, b long").distinct())
     scratch.free(mixed, held)
     return pairs
 
 
+def _rest(members: DataFrame, docs: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) that join the components of members (cluster, rep, component, main), all of a cluster that has several."""
+    held = scratch.store(docs.withColumnRenamed("doc_id", "rep").join(small(members, members.count()), "rep").select("cluster", "rep", "component", (F.col("component") != F.col("main")).alias("outside"), "text"))
+    sizes = scratch.store(held.groupBy("cluster").agg(F.sum(F.length("text") + 1).alias("size")))
+    clusters, total = sizes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+
+    def run(table: pa.Table) -> pa.Table:
+        shingler = worker_state(("minhash", shingle), lambda: Shingler(shingle))
+        pairs: set[tuple[int, int]] = set()
+        for part, left, right in _keyed(table):
+            rep, component = (part.column(c).to_numpy() for c in ("rep", "component"))
+            sets = [shingler(t.as_py()) for t in part.column("text")]
+            n = np.array([len(s) for s in sets])
+            flat, of = np.concatenate([sets[j] for j in right] or [np.zeros(0, np.uint64)]), np.repeat(right, n[right])
+            order = np.argsort(flat, kind="stable")
+            flat, of = flat[order], of[order]
+
+            def near(i: int, to: np.ndarray, sets=sets, n=n, flat=flat, of=of) -> np.ndarray:
+                first = np.searchsorted(flat, sets[i], "left")
+                each = np.searchsorted(flat, sets[i], "right") - first
+                hits = of[np.repeat(first - np.cumsum(each) + each, each) + np.arange(each.sum())]
+                both = np.bincount(hits, minlength=len(n))[to]
+                return 100 * both >= percent * (n[i] + n[to] - both)
+
+            pairs.update(_join(left, right, rep, component, near))
+        return _pairs(pairs)
+
+    dealt = _dealt(held.join(small(sizes, clusters), "cluster"), "cluster", F.col("size"), F.lit(BLOCK_BYTES), total, 2 * BLOCK_BYTES)
+    pairs = scratch.store(dealt.groupBy("lot", "mine", "other").applyInArrow(run, "a long, b long").distinct())
+    scratch.free(held, sizes)
+    return pairs
+
+
 def links(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(members, components): (doc_id, n, rep) of each row, and (node, component) of each rep that has a link."""
     sketches = scratch.store(sketch(df, id_col, text_col, shingle))
@@ -278,23 +332,24 @@ def links(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int,
     pairs = star.count()
     ends = scratch.store(star.select(F.col("a").alias("rep")).union(star.select("b")).distinct(), 2 * pairs)
     regs = scratch.store(heads.select("rep", "n", "regs").join(small(ends, ends.count()), "rep", "left_semi"))
-    tried = scratch.store(_estimated(star.join(regs.toDF("a", "n_a", "regs_a"), "a").join(regs.toDF("b", "n_b", "regs_b"), "b"), percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), pairs)
-    found = scratch.store(_verified(tried, docs, shingle, percent, scratch, pairs))
+    maybe = scratch.store(_estimated(star.join(regs.toDF("a", "n_a", "regs_a"), "a").join(regs.toDF("b", "n_b", "regs_b"), "b"), percent).distinct(), pairs)
+    found = scratch.store(_verified(maybe, docs, shingle, percent, scratch, pairs))
+    first = components(found.toDF("u", "v"), scratch, rows=pairs).toDF("rep", "component")
+
     # a key's hub has met the others already, and with two documents there is no other pair
-    open_keys = live.where("size > 2").select("key", "rep")
-    linked_nodes = components(found.toDF("u", "v"), scratch, rows=pairs)
-    for best in (True, False):
-        parts = scratch.store(open_keys.join(linked_nodes.toDF("rep", "component"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component")))
-        met = _across(parts, regs, percent, best, scratch)
-        fresh = scratch.store(met.join(tried, ["a", "b"], "left_anti"))
-        scratch.free(parts, met)
-        more = fresh.count()
-        if more:
-            pairs += more
-            links_ = _verified(fresh, docs, shingle, percent, scratch, more)
-            tried, found = scratch.store(tried.union(fresh), pairs), scratch.store(found.union(links_), pairs)
-            linked_nodes = components(found.toDF("u", "v"), scratch, rows=pairs)
-    scratch.free(classes, heads, live, hubs, degree, shared, star, ends, regs)
+    parts = scratch.store(live.where("size > 2").select("key", "rep").join(first, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component")))
+    across = _across(parts, regs, percent, scratch)
+    linked_nodes = first.toDF("node", "component")
+    if more := across.count():
+        pairs += more
+        clusters = components(found.union(across).toDF("u", "v"), scratch, rows=pairs).toDF("rep", "cluster")
+        named = scratch.store(clusters.join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep")), 2 * pairs)
+        sizes = named.groupBy("cluster", "component").agg(F.count("*").alias("k")).groupBy("cluster").agg(F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts"))
+        mixed = scratch.store(sizes.where("parts > 1").select("cluster", F.col("top.component").alias("main")), 2 * pairs)
+        rest = _rest(named.join(mixed, "cluster"), docs, shingle, percent, scratch)
+        linked_nodes = components(found.union(rest).toDF("u", "v"), scratch, rows=2 * pairs)
+        scratch.free(named, mixed, rest)
+    scratch.free(classes, heads, live, hubs, degree, shared, star, ends, regs, maybe, found, parts, across)
     return members, linked_nodes
 
 
