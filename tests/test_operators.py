@@ -303,3 +303,42 @@ def test_channels(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0, 5.0]), (2, [0.0, 0.0, 0.0])], "i int, v array<double>")
     out = rows(df.select("i", volume.merged_channels(F.col("v"), [[0, 2], [1]]).alias("m"), volume.normalised_channels(F.col("v")).alias("n")))
     assert out[0][1] == [6.0, 2.0] and out[0][2] == [0.125, 0.25, 0.625] and out[1][2] == [1 / 3] * 3
+
+
+def test_self_touching(spark):
+    """Two parts of one body aren't joined over a third label; the weakest pair of each such body goes, round by round."""
+    pairs = spark.createDataFrame([(1, 10, 50), (2, 10, 40), (3, 11, 9), (4, 12, 7), (5, 12, 8), (5, 13, 60), (4, 13, 70)], "u long, v long, n long")
+    apart = spark.createDataFrame([(1, 2), (4, 5), (3, 99)], "a long, b long")
+    # the body of 4 and 5 loses the pairs of 7, 8 and 60, as they meet over 13 until then
+    assert rows(graph.without_self_touch(pairs, apart)) == [(1, 10, 50), (3, 11, 9), (4, 13, 70)]
+    assert rows(graph.without_self_touch(pairs, apart.where("a > 50"))) == rows(pairs)
+
+
+def test_eligible_pairs(spark):
+    counts = spark.createDataFrame([(1, 5, 900), (1, 6, 60), (2, 6, 100)], "u long, v long, n long")
+    plane = spark.createDataFrame([(0, 3, 0, 1), (0, 4, 0, 2), (1, 3, 0, 0)], "z long, y long, x long, label long")
+    assert rows(graph.on_plane(plane, "label", "y", 3)) == [(1,)]
+    assert rows(graph.eligible(counts, graph.on_plane(plane, "label", "y", 3), None, [5])) == [(1, 6, 60)]
+    assert rows(graph.eligible(counts)) == rows(counts)
+
+
+def test_configured_steps(spark):
+    config = {"create-supervoxels": {"step": "seeded-watershed", "parameters": {"threshold": 0.5}}, "background-mask": {"step": "empty-regions"}}
+    assert segmentation.configured(config) == [("empty-regions", {}), ("seeded-watershed", {"threshold": 0.5})]
+    for wrong in ({"other": {"step": "keep"}}, {"predict-voxels": {"step": "none"}}):
+        with pytest.raises(ValueError):
+            segmentation.configured(wrong)
+    gray = np.full((6, 6, 6), 200.0)
+    gray[:, :, 3], gray[:3, :, :3] = 10, 0
+    out = segmentation.gray_only(gray, 0.2, 5, 50)
+    assert (out[:3, :, :3] == 0).all() and len(np.unique(out[3:, :, :3])) == 1 and out[5, 0, 0] != out[0, 0, 5]
+
+
+def test_factors_and_huge_groups(spark):
+    df = spark.createDataFrame([(1000, None), (1000, 10), (10**9, None)], "box long, own long")
+    got = [r[0] for r in df.select(bodies.downsample_factor(F.col("box"), 125, 1, F.col("own"))).collect()]
+    assert got == [3, 5, 200] and df.select(bodies.downsample_factor(F.col("box"), 1)).where("box = 1000000000").first()[0] is None
+    sizes = spark.createDataFrame([(1, 5), (1, 6), (2, 10)], "g long, n long")
+    kept, huge = bodies.without_huge(sizes, "g", "n", 10)
+    assert rows(kept) == [(2, 10)] and rows(huge) == [(1, 11)]
+    assert [r[0] for r in bodies.by_size(spark.createDataFrame([(1, 5), (2, 9), (3, 5)], "segment long, voxel_count long")).collect()] == [2, 1, 3]

@@ -63,6 +63,17 @@ def group_of(ident: Column, scheme: str) -> Column:
     return {"hundreds": F.floor(ident / HUNDRED) * HUNDRED, "thousands": F.floor(ident / THOUSAND) * THOUSAND, "singletons": ident}[scheme].cast("long")
 
 
+def name_of(ident: Column, scheme: str, suffix: str = "") -> Column:
+    """The key under which grouped output is found: the group's number in 16 digits, `<body>` itself for singletons."""
+    group = group_of(ident, scheme)
+    return F.concat(group.cast("string") if scheme == "singletons" else F.lpad(group.cast("string"), 16, "0"), F.lit(suffix))
+
+
+def by_size(stats: DataFrame, size: str = "voxel_count", key: str = "segment") -> DataFrame:
+    """Largest first, so that what takes longest begins first; the smaller key among equals."""
+    return stats.orderBy(F.desc(size), key)
+
+
 def label_index(stats: DataFrame, mapping: DataFrame, block: int) -> DataFrame:
     """(body, slab, blocks): of block statistics, a map from packed block to a map from supervoxel to count.
 

@@ -243,6 +243,40 @@ def stitch_pairs(counts: DataFrame, mode: str, least: int = 50, share: float = 0
     return best.where(mutual).select("u", "v")
 
 
+def on_plane(df: DataFrame, value: str, axis: str, plane: int) -> DataFrame:
+    """(label) with a voxel on a plane: of two subvolumes that touch along an axis, only labels on the centre plane of what they share are stitched."""
+    return df.where((F.col(axis) == plane) & (F.col(value) != 0)).select(F.col(value).alias("label")).distinct()
+
+
+def eligible(counts: DataFrame, left: DataFrame | None = None, right: DataFrame | None = None, preserved: list[int] | None = None) -> DataFrame:
+    """counts (u, v, n) of labels that may be stitched: listed on their side (label), and no body that is preserved."""
+    out = counts
+    for side, labels in (("u", left), ("v", right)):
+        out = out if labels is None else out.join(labels.select(F.col("label").alias(side)), side, "left_semi")
+    return out.select("u", "v", "n") if not preserved else out.where(~F.col("u").isin(preserved) & ~F.col("v").isin(preserved)).select("u", "v", "n")
+
+
+def without_self_touch(pairs: DataFrame, apart: DataFrame, rounds: int = 100) -> DataFrame:
+    """(u, v, n) of pairs (u, v, n), less those that would join labels which have to stay apart; apart: (a, b).
+
+    In each round every body that holds such labels loses its weakest pair (the smallest names among equals), until none
+    does: the pairs that remain are a fixpoint. A round costs one pass over the pairs and their components.
+    """
+    scratch = Scratch(pairs.sparkSession, "apart")
+    now, want = scratch.store(pairs.select("u", "v", "n")), scratch.store(apart.select("a", "b"))
+    for _ in range(rounds):
+        body = mapping_from_edges(now)
+        of = lambda side, body=body: body.select(F.col("label").alias(side), F.col("body").alias(f"_{side}"))
+        broken = want.join(of("a"), "a").join(of("b"), "b").where("_a = _b").select(F.col("_a").alias("body")).distinct()
+        weakest = now.join(body.toDF("u", "body"), "u").join(broken, "body", "left_semi").groupBy("body").agg(F.min(F.struct("n", "u", "v")).alias("w")).select("w.u", "w.v")
+        after = scratch.store(now.join(weakest, ["u", "v"], "left_anti").select("u", "v", "n"))
+        if after.count() == now.count():
+            return now
+        scratch.free(now)
+        now = after
+    raise RuntimeError("labels that have to stay apart are still joined")
+
+
 def stitched(df: DataFrame, value: str, pairs: DataFrame) -> DataFrame:
     """Labels merged over all pairs, each by the smallest of its component."""
     named = mapping_from_edges(pairs)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from voxelith.functions.grid import AXES, Grid, cells
 
 STEPS: dict[str, Callable[..., np.ndarray]] = {}
+#: The stages of a segmentation, in order; a configuration names a step for each, or leaves it out.
 KINDS = ("background-mask", "predict-voxels", "create-supervoxels", "agglomerate-supervoxels")
 
 
@@ -68,6 +69,21 @@ def segment(df: DataFrame, value: str, block: int, steps: list[tuple[str, dict]]
     return df
 
 
+def configured(config: dict[str, dict]) -> list[tuple[str, dict]]:
+    """The steps of a configuration {stage: {"step": name, "parameters": {...}}}, in order of the stages."""
+    if unknown := set(config) - set(KINDS):
+        raise ValueError(f"no stage {sorted(unknown)}; there are {KINDS}")
+    if missing := {c["step"] for c in config.values()} - set(STEPS):
+        raise ValueError(f"no step {sorted(missing)}; there are {sorted(STEPS)}")
+    return [(config[k]["step"], config[k].get("parameters", {})) for k in KINDS if k in config]
+
+
+def precomputed(df: DataFrame, stored: DataFrame, value: str) -> DataFrame:
+    """df with value from a segmentation or prediction that is stored already; 0 where it has nothing."""
+    known = stored.select(*AXES, F.col(value).alias("_known"))
+    return df.join(known, list(AXES), "left").withColumn(value, F.coalesce("_known", F.lit(0))).drop("_known")
+
+
 def membrane_predictions(df: DataFrame, value: str, block: int) -> DataFrame:
     """(z, y, x, p): 1 less the value's place between the least and the largest of its block."""
     keyed = df.select("*", *cells(Grid((block,) * 3)))
@@ -139,6 +155,14 @@ def membranes(values: np.ndarray) -> np.ndarray:
     return 1 - (values - low) / (high - low) if high > low else np.ones_like(values)
 
 
+@step("gray-only")
+def gray_only(values: np.ndarray, threshold: float = 0.2, seed_size: int = 5, least: int = 100) -> np.ndarray:
+    """The whole pipeline on grey values alone: large empty regions are masked, dark is membrane, and seeds flood the rest."""
+    mask = empty_regions(values, least)
+    boundary = np.where(mask, membranes(values), np.inf)
+    return np.where(mask, seeded_watershed(np.where(mask, boundary, 2.0), threshold, seed_size), 0)
+
+
 @step("keep")
 def keep(values: np.ndarray) -> np.ndarray:
     """No agglomeration."""

@@ -9,11 +9,11 @@ import re
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxelith.functions import grid
-from voxelith.operators import bodies, graph, overlap, segmentation, tiles, volume
+from voxelith.operators import bodies, evaluation, graph, overlap, segmentation, tiles, volume
 from voxelith.plans import workflows
 from voxelith.sources import fixtures as fx
 from voxelith.sources.scratch import shared_dir
@@ -221,6 +221,120 @@ def _(s, d):
     return graph.match_bodies(overlap.overlap(fx.voxels(s, d)))
 
 
+# -- evaluation records
+
+TYPE = "voxels:labels"
+
+
+def evaluation_of(s, d) -> evaluation.Evaluation:
+    over = overlap.overlap(by_sv(fx.voxels(s, d)), ("sv",))
+    flags = evaluation.ignored_subvolumes(over, by_sv(fx.voxels(s, d)).groupBy("sv").agg(F.count("*").alias("size")), 80.0)
+    return evaluation.Evaluation(evaluation.labelled(over, evaluation.Comparison(evaluation.VOXELS)), {evaluation.VOXELS: THRESHOLD}, flags, 5)
+
+
+def in_sv(sql: str) -> str:
+    """The expressions of a metric once more, under other names, for subvolumes."""
+    return re.sub(r"\b(over_|sized|kept|sums|vis|rsized|rkept|rseg|rgt|rboth|rates|rands)\b", r"\1_sv", sql)
+
+
+IGNORED = f"flags AS (SELECT sv, coalesce(g, 0) * 100.0 / size < 80 AS ignore FROM (SELECT {SQL_SV} AS sv, count(*) AS size, count(*) FILTER (gt <> 0) AS g FROM voxels GROUP BY 1))"
+RECORD = fx.with_("voxels", more=f"""{OVERLAP},
+{vi_sql()},
+{rand_sql()},
+{in_sv(OVERLAP_SV)},
+{in_sv(vi_sql('sv', 0))},
+{in_sv(rand_sql('sv', 0))},
+{IGNORED},
+shares AS (
+  SELECT 'gt' AS side, gt AS body, round(sum(n * log2(t / n)) / (SELECT sum(n) FROM kept), 4) AS bits, CAST(sum(n) AS BIGINT) AS size FROM kept GROUP BY gt
+  UNION ALL SELECT 'seg', seg, round(sum(n * log2(s / n)) / (SELECT sum(n) FROM kept), 4), CAST(sum(n) AS BIGINT) FROM kept GROUP BY seg),
+parts AS (
+  SELECT sv, 'FM-VI' AS name, false AS higher_better, fm_vi AS val FROM vis_sv UNION ALL SELECT sv, 'FS-VI', false, fs_vi FROM vis_sv UNION ALL SELECT sv, 'VI', false, vi FROM vis_sv
+  UNION ALL SELECT sv, 'FM-RD', true, merge FROM rands_sv UNION ALL SELECT sv, 'FS-RD', true, split FROM rands_sv UNION ALL SELECT sv, 'RAND', true, rand FROM rands_sv),
+counted_parts AS (SELECT sv, name, higher_better, CASE WHEN higher_better THEN -val ELSE val END AS loss, val FROM parts JOIN flags USING (sv) WHERE NOT ignore AND name NOT IN ('FM-RD', 'FS-RD'))""")
+SUMMARY = RECORD + f"""
+SELECT name, higher_better, '{TYPE}' AS typename, CAST(val AS DOUBLE) AS val, description FROM (
+  SELECT 'FM-VI' AS name, false AS higher_better, fm_vi AS val, 'False merge bits' AS description FROM vis UNION ALL SELECT 'FS-VI', false, fs_vi, 'False split bits' FROM vis UNION ALL SELECT 'VI', false, vi, 'Both' FROM vis
+  UNION ALL SELECT 'FM-RD', true, merge, 'Pairs of a test body that belong together' FROM rands UNION ALL SELECT 'FS-RD', true, split, 'Pairs of a true body that stay together' FROM rands UNION ALL SELECT 'RAND', true, rand, 'Harmonic mean' FROM rands
+  UNION ALL SELECT 'S-BEST-' || name, higher_better, min_by(val, (loss, sv)), 'Subvolume=' || min_by(sv, (loss, sv)) FROM counted_parts GROUP BY name, higher_better
+  UNION ALL SELECT 'S-WRST-' || name, higher_better, min_by(val, (-loss, sv)), 'Subvolume=' || min_by(sv, (-loss, sv)) FROM counted_parts GROUP BY name, higher_better
+  UNION ALL SELECT 'S-AVE-' || name, higher_better, floor((2 * sum(CAST(round(val * 10000) AS BIGINT)) + count(*)) / (2.0 * count(*))) / 10000, 'Mean of the subvolumes' FROM counted_parts GROUP BY name, higher_better
+  UNION ALL SELECT CASE side WHEN 'gt' THEN 'B-WRST-FS-VI' ELSE 'B-WRST-FM-VI' END, false, max(bits), 'Body=' || max_by(body, (bits, body)) FROM shares GROUP BY side)"""
+
+
+@query("evaluate_summary", SUMMARY)
+def _(s, d):
+    return evaluation.record(evaluation_of(s, d), ["vi", "rand"])["summarystats"]
+
+
+@query("evaluate_json", SUMMARY)
+def _(s, d):
+    return evaluation.from_json(evaluation.to_json(evaluation.record(evaluation_of(s, d), ["vi", "rand"])["summarystats"]), evaluation.SUMMARY)
+
+
+@query("evaluate_subvolumes", RECORD + f"SELECT sv, name, higher_better, '{TYPE}' AS typename, CAST(val AS DOUBLE) AS val, ignore FROM parts JOIN flags USING (sv)")
+def _(s, d):
+    return evaluation.record(evaluation_of(s, d), ["vi", "rand"])["subvolumes"]
+
+
+@query("evaluate_bodies", RECORD + f"""
+SELECT CASE side WHEN 'gt' THEN 'Worst GT' ELSE 'Worst Test' END AS name, '{TYPE}' AS typename, true AS largest2smallest, side = 'gt' AS isgt, body, CAST(bits AS DOUBLE) AS bits, CAST(size AS DOUBLE) AS size
+FROM (SELECT *, row_number() OVER (PARTITION BY side ORDER BY bits DESC, body DESC) AS r FROM shares) WHERE r <= 5""")
+def _(s, d):
+    out = evaluation.record(evaluation_of(s, d), ["vi"])["bodystats"]
+    return out.select("name", "typename", "largest2smallest", "isgt", "body", F.col("vals")[0].alias("bits"), F.col("vals")[1].alias("size"))
+
+
+@query("evaluate_counts", fx.with_("voxels", more=f"""{OVERLAP},
+best AS (SELECT gt, seg, n, CAST(sum(n) OVER (PARTITION BY gt) AS BIGINT) AS gt_size, CAST(sum(n) OVER (PARTITION BY seg) AS BIGINT) AS seg_size FROM over_),
+first_ AS (SELECT *, row_number() OVER (PARTITION BY gt ORDER BY n DESC, seg) AS r FROM best WHERE gt_size >= {THRESHOLD}),
+top AS (SELECT *, row_number() OVER (ORDER BY n DESC, gt DESC) AS place FROM first_ WHERE r = 1 AND n > floor(seg_size / 2.0))""") + f"""SELECT 'Best Test' AS name, '{TYPE}' AS typename, gt AS body, CAST(n AS DOUBLE) AS a, CAST(seg AS DOUBLE) AS b, CAST(seg_size AS DOUBLE) AS c FROM top WHERE place <= 5
+UNION ALL SELECT 'TOTAL-SIZE', '{TYPE}', -1, CAST(sum(n) AS DOUBLE), NULL, NULL FROM over_ UNION ALL SELECT 'GT-BODIES', '{TYPE}', -1, count(DISTINCT gt), NULL, NULL FROM over_ UNION ALL SELECT 'TEST-BODIES', '{TYPE}', -1, count(DISTINCT seg), NULL, NULL FROM over_""")
+def _(s, d):
+    out = evaluation.record(evaluation_of(s, d), ["count"])
+    best = out["bodystats"].select("name", "typename", "body", *[F.col("vals")[i].alias(c) for i, c in enumerate("abc")])
+    none = F.lit(None).cast("double")
+    return best.union(out["summarystats"].where("name NOT LIKE 'HIST%'").select("name", "typename", F.lit(-1).cast("long"), "val", none, none))
+
+
+@query("subvolume_ignore", fx.with_("voxels", more=IGNORED) + "SELECT sv, ignore FROM flags")
+def _(s, d):
+    return evaluation_of(s, d).ignored
+
+
+@query("subvolume_merge", fx.with_("voxels", more=f"{OVERLAP_SV},\n{IGNORED}") + """
+SELECT 'overlap' AS part, CAST(floor(sv / 1000000.0) AS BIGINT) AS sv, gt, seg, CAST(sum(n) AS BIGINT) AS n FROM over_ GROUP BY 2, 3, 4
+UNION ALL SELECT 'ignore', CAST(floor(sv / 1000000.0) AS BIGINT), -1, -1, CAST(bool_and(ignore) AS BIGINT) FROM flags GROUP BY 2""")
+def _(s, d):
+    e, none = evaluation_of(s, d), F.lit(-1).cast("long")
+    table, flags, _ = evaluation.merged(e.over, e.ignored, e.over.select("sv", F.col("gt").alias("body")), F.floor(F.col("sv") / 1_000_000))
+    return table.select(F.lit("overlap").alias("part"), "sv", "gt", "seg", "n").union(flags.select(F.lit("ignore"), "sv", none, none, F.col("ignore").cast("long")))
+
+
+NEIGHBOURS = "(VALUES (-1, 0, 0), (1, 0, 0), (0, -1, 0), (0, 1, 0), (0, 0, -1), (0, 0, 1)) a(i, j, k)"
+
+
+@query("boundary_bodies", fx.with_("voxels", more=f"met AS (SELECT v.z, v.y, v.x, any_value(v.gt) AS gt, count(o.z) AS k FROM voxels v CROSS JOIN {NEIGHBOURS} LEFT JOIN voxels o ON o.z = v.z + i AND o.y = v.y + j AND o.x = v.x + k GROUP BY 1, 2, 3)") + "SELECT DISTINCT gt AS body FROM met WHERE k < 6")
+def _(s, d):
+    v = fx.voxels(s, d)
+    return evaluation.boundary_bodies(v, "gt", v)
+
+
+@query("eroded_overlap", fx.with_("voxels", more=f"met AS (SELECT v.z, v.y, v.x, any_value(v.gt) AS gt, any_value(v.seg) AS seg, count(*) FILTER (o.gt <> v.gt) AS other FROM voxels v CROSS JOIN {NEIGHBOURS} LEFT JOIN voxels o ON o.z = v.z + i AND o.y = v.y + j AND o.x = v.x + k GROUP BY 1, 2, 3)") + "SELECT gt, seg, count(*) AS n FROM met WHERE other = 0 AND gt <> 0 GROUP BY 1, 2")
+def _(s, d):
+    return overlap.overlap(evaluation.eroded(fx.voxels(s, d), "gt", 1))
+
+
+@query("orphans_by_subvolume", fx.with_("voxels", more=f"sized AS (SELECT {SQL_SV} AS sv, seg, count(*) AS size, max(CAST(z = 0 OR z = n - 1 OR y = 0 OR y = n - 1 OR x = 0 OR x = n - 1 AS INT)) AS edge FROM voxels, side_ GROUP BY 1, 2)") + "SELECT sv, count(*) FILTER (seg <> 0 AND size < 40 AND edge = 0) AS n, CAST(coalesce(sum(size) FILTER (seg <> 0 AND size < 40 AND edge = 0), 0) AS BIGINT) AS voxels FROM sized GROUP BY 1")
+def _(s, d):
+    return overlap.orphan_counts(by_sv(fx.voxels(s, d)), "seg", 40, fx.shape(s, d))
+
+
+@query("worst_merged", VI_BODIES + "SELECT row_number() OVER (ORDER BY bits DESC, body DESC) AS rank, body AS seg, bits, size FROM shares WHERE side = 'seg' QUALIFY rank <= 7")
+def _(s, d):
+    return overlap.worst_merged(overlap.overlap(fx.voxels(s, d)), 7, THRESHOLD)
+
+
 # -- points and connectivity
 
 
@@ -947,3 +1061,200 @@ def _(s, d):
 @query("wf_mesh_groups", fx.with_("voxels", "mapping", more=f"{SEGMENTS},\n{BODY}") + 'SELECT segment, body, CAST(floor(body / 100.0) * 100 AS BIGINT) AS "group" FROM stats WHERE voxel_count >= 100 AND body_voxels >= 500')
 def _(s, d):
     return workflows.create_meshes(fx.voxels(s, d), "seg", fx.mapping(s, d), BLOCK, 100, 500, "hundreds")["groups"]
+
+
+@query("wf_compute_graph", fx.with_("voxels", more=RAG) + "SELECT 'edge' AS kind, u, v, weight AS n FROM rag UNION ALL SELECT 'vertex', seg, -1, count(*) FROM voxels WHERE seg <> 0 GROUP BY seg")
+def _(s, d):
+    out = workflows.compute_graph(fx.voxels(s, d), "seg")
+    return out["edges"].select(F.lit("edge").alias("kind"), "u", "v", F.col("weight").alias("n")).union(out["vertices"].select(F.lit("vertex"), "id", F.lit(-1).cast("long"), "size"))
+
+
+@query("wf_connected_components", fx.with_("dense", more="""parts AS (SELECT label, min((z * n + y) * n + x) AS component, count(*) AS size FROM dense, side_ WHERE label <> 0 GROUP BY label, x // 8)""") + "SELECT count(*) AS parts, CAST(sum(size) AS BIGINT) AS voxels, min(size) AS least, max(size) AS most, max(label) + count(*) - count(DISTINCT label) AS top FROM parts")
+def _(s, d):
+    out = workflows.connected_components(fx.dense(s, d), "label", fx.shape(s, d))
+    return out["parts"].agg(F.count("*").alias("parts"), F.sum("size").alias("voxels"), F.min("size").alias("least"), F.max("size").alias("most"), F.max("part").alias("top"))
+
+
+@query("wf_ingest_label_indices", fx.with_("voxels", "mapping", more=f"""{BLOCKSTATS},
+named AS (SELECT coalesce(body, segment_id) AS body, (bz << 42) | (by << 21) | bx AS block, segment_id, count FROM bstats LEFT JOIN mapping ON label = segment_id),
+sizes AS (SELECT body, count(*) AS n FROM named GROUP BY 1),
+batched AS (SELECT body, n, CAST(floor(coalesce(sum(n) OVER (ORDER BY body ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 300) AS BIGINT) AS batch FROM sizes)""") + """
+SELECT 'index' AS part, body, block AS a, segment_id AS b, count AS n FROM named UNION ALL SELECT 'batch', body, batch, -1, n FROM batched
+UNION ALL SELECT 'tombstone', label, -1, -1, 0 FROM mapping WHERE label <> body UNION ALL SELECT 'mapping', body, -1, CAST(sum(label) AS BIGINT), count(*) FROM mapping GROUP BY body""")
+def _(s, d):
+    st, none = volume.block_statistics(fx.voxels(s, d), "seg", BLOCK), F.lit(-1).cast("long")
+    out = workflows.ingest_label_indices(st, fx.mapping(s, d), BLOCK, 300)
+    index = bodies.index_rows(out["index"]).select(F.lit("index").alias("part"), "body", F.col("block").alias("a"), F.col("segment_id").alias("b"), F.col("count").alias("n"))
+    total = F.aggregate("original", F.lit(0).cast("long"), lambda a, x: a + x)
+    return index.union(out["batches"].select(F.lit("batch"), "body", "batch", none, "n")).union(out["tombstones"].select(F.lit("tombstone"), "body", none, none, "count")).union(out["mappings"].select(F.lit("mapping"), "mapped", none, total, F.size("original").cast("long")))
+
+
+@query("wf_check_segmentation", fx.with_("voxels", more=f"""stored AS (SELECT DISTINCT seg AS body, {B8} FROM voxels WHERE gt <> 1 AND seg <> 0),
+actual AS (SELECT DISTINCT seg AS body, {B8} FROM voxels WHERE seg <> 0)""") + "SELECT body, bz, by, bx, true AS missing FROM (SELECT * FROM actual EXCEPT SELECT * FROM stored)")
+def _(s, d):
+    v = fx.voxels(s, d)
+    return workflows.check_segmentation(v, "seg", volume.body_blocks(v.where("gt <> 1"), "seg", None, BLOCK), BLOCK)["errors"]
+
+
+@query("wf_export_slices", fx.with_("dense") + "SELECT z, md5(hex(encode('P5' || chr(10) || n || ' ' || n || chr(10) || '255' || chr(10))) || string_agg(format('{:02X}', label * 20), '' ORDER BY y, x)) AS image FROM dense, side_ GROUP BY z, n")
+def _(s, d):
+    g = fx.dense(s, d).withColumn("v", F.col("label") * 20)
+    return workflows.export_slices(g, "v", fx.shape(s, d))["slices"].select("z", F.md5(F.hex("image")).alias("image"))
+
+
+def mean_levels(table: str, depth: int) -> str:
+    """`level0` and on: each the mean, rounded down, of the one before."""
+    return ",\n".join([f"level0 AS (SELECT z, y, x, v FROM {table})"] + [f"level{k} AS (SELECT z // 2 AS z, y // 2 AS y, x // 2 AS x, CAST(floor(avg(v)) AS BIGINT) AS v FROM level{k - 1} GROUP BY 1, 2, 3)" for k in range(1, depth + 1)])
+
+
+LEVELS = " UNION ALL ".join(f"SELECT {k} AS scale, count(*) AS voxels, CAST(sum(v) AS BIGINT) AS total, CAST(sum(v * (z + 3 * y + 5 * x)) AS BIGINT) AS moment FROM level{k}" for k in range(3))
+
+
+def levels(df: DataFrame) -> DataFrame:
+    return df.groupBy("scale").agg(F.count("*").alias("voxels"), F.sum("v").alias("total"), F.sum(F.col("v") * (F.col("z") + 3 * F.col("y") + 5 * F.col("x"))).alias("moment"))
+
+
+GRAY = "gray AS (SELECT z, y, x, label * 20 + (y % 3) * 7 AS v FROM dense)"
+
+
+def gray(s, d) -> DataFrame:
+    return fx.dense(s, d).select("z", "y", "x", (F.col("label") * 20 + (F.col("y") % 3) * 7).alias("v"))
+
+
+@query("wf_convert_grayscale", fx.with_("dense", more=f"{GRAY},\nclean AS (SELECT z, y, x, CAST(greatest(0, least(255, floor(v - avg(v) OVER (PARTITION BY z, y) + avg(v) OVER (PARTITION BY z) + 0.5))) AS BIGINT) AS v FROM gray),\n{mean_levels('clean', 2)}") + LEVELS)
+def _(s, d):
+    return levels(workflows.convert_grayscale(gray(s, d), "v", fx.shape(s, d), True, 2)["voxels"])
+
+
+@query("wf_create_pyramid", fx.with_("dense", more=f"{GRAY},\n{mean_levels('gray', 2)}") + LEVELS)
+def _(s, d):
+    return levels(workflows.create_pyramid(gray(s, d), "v", fx.shape(s, d), False, 2)["voxels"])
+
+
+@query("wf_ingest_volume", fx.with_("dense", more=GRAY) + """
+SELECT 'voxels' AS part, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM gray
+UNION ALL SELECT 'tiles-' || plane, CAST((SELECT n * ((n + 15) // 16) * ((n + 15) // 16) FROM side_) AS BIGINT), -1 FROM (VALUES ('xy'), ('xz'), ('yz')) p(plane)""")
+def _(s, d):
+    out = workflows.ingest_volume(gray(s, d), "v", fx.shape(s, d), 16)
+    cut = out["tiles"].groupBy("plane").agg(F.count("*").alias("n")).select(F.concat(F.lit("tiles-"), F.col("plane")).alias("part"), "n", F.lit(-1).cast("long").alias("total"))
+    return out["voxels"].agg(F.count("*").alias("n"), F.sum("v").alias("total")).select(F.lit("voxels").alias("part"), "n", "total").union(cut)
+
+
+@query("wf_ingest_grayscale", fx.with_("dense", more=GRAY) + "SELECT CAST(floor(z / 8.0) AS BIGINT) AS bz, CAST(floor(y / 8.0) AS BIGINT) AS by, CAST(floor(x / 8.0) AS BIGINT) AS bx, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM gray GROUP BY 1, 2, 3")
+def _(s, d):
+    from voxelith.sources import blocks
+
+    packed = workflows.ingest_grayscale(gray(s, d), "v", BLOCK)["blocks"]
+    return blocks.unpack(packed, "v").groupBy(*grid.cells(G8)).agg(F.count("*").alias("n"), F.sum("v").alias("total"))
+
+
+@query("wf_create_tiles", fx.with_("dense", more=",\n".join(tiles_sql(*p) for p in (("xy", "z", "y", "x"), ("yz", "x", "z", "y")))) + """
+SELECT plane, level, slice, "row", col, md5('50350A31362031360A3235350A' || pixels) AS image FROM (SELECT * FROM xy_tiles UNION ALL SELECT * FROM yz_tiles)""")
+def _(s, d):
+    return workflows.create_tiles(fx.dense(s, d).withColumn("v", F.col("label") * 20), "v", 16, 2, ("xy", "yz"))["tiles"].withColumn("image", F.md5(F.hex("image")))
+
+
+@query("wf_benchmark_requests", "SELECT event_type, count(*) AS requests, floor((2 * sum(CAST(round(value * 1000000) AS BIGINT)) + 100 * count(value)) / (200.0 * count(value))) / 10000 AS mean_seconds, CAST(epoch(date_trunc('second', max(ts))) - epoch(date_trunc('second', min(ts))) AS BIGINT) AS wall_seconds FROM events WHERE ts >= (SELECT min(ts) + INTERVAL '6 hours' FROM events) GROUP BY 1")
+def _(s, d):
+    e = fx.table(s, d, "events")
+    start = e.agg((F.min("ts") + F.expr("INTERVAL '6' HOUR")).cast("string")).first()[0]
+    return workflows.benchmark_requests(e, "ts", "value", "event_type", start)["stats"]
+
+
+@query("wf_edge_probabilities", fx.with_("voxels", more=f"{RAG}, vs AS (SELECT seg AS id, count(*) AS size FROM voxels WHERE seg <> 0 GROUP BY 1)") + "SELECT u, v, round(weight / least(a.size, b.size), 4) AS p FROM rag JOIN vs a ON a.id = u JOIN vs b ON b.id = v")
+def _(s, d):
+    score = lambda e: e.select("u", "v", F.round(F.col("weight") / F.least("u_size", "v_size"), 4).alias("p"))
+    return workflows.edge_probabilities(fx.voxels(s, d), "seg", score)["edges"]
+
+
+@query("wf_stitched_meshes", fx.with_("dense", more=f"m AS (SELECT label AS l, label - (label + 1) % 2 AS body FROM range(1, 9) t(label)),\n{faces_sql('label <> 0')},\n{CORNERS}") + "SELECT label, count(*) AS vertices, round(sum(vz) + sum(vy) + sum(vx), 3) AS total FROM (SELECT DISTINCT label, vz, vy, vx FROM corners) GROUP BY 1")
+def _(s, d):
+    out = workflows.create_stitched_meshes(fx.dense(s, d), "label", fx.mapping(s, d), block=BLOCK, smooth=False)
+    return out["vertices"].groupBy("label").agg(F.count("*").alias("vertices"), F.round(F.sum("vz") + F.sum("vy") + F.sum("vx"), 3).cast("double").alias("total"))
+
+
+@query("wf_skeleton_masks", fx.with_("voxels", "mapping", more="""own AS (SELECT z, y, x, coalesce(body, seg) AS label FROM voxels LEFT JOIN mapping ON mapping.label = seg WHERE seg <> 0),
+f AS (SELECT label, 1 + CAST(floor(cbrt((max(z) - min(z) + 1) * (max(y) - min(y) + 1) * (max(x) - min(x) + 1) / 2000.0) + 1e-9) AS BIGINT) AS factor FROM own GROUP BY 1)""") + "SELECT DISTINCT label, factor, CAST(floor(z / factor) AS BIGINT) AS z, CAST(floor(y / factor) AS BIGINT) AS y, CAST(floor(x / factor) AS BIGINT) AS x FROM own JOIN f USING (label)")
+def _(s, d):
+    return workflows.create_skeleton_masks(fx.voxels(s, d), "seg", fx.mapping(s, d), 2000)["masks"]
+
+
+# -- stores, messages and names
+
+
+@query("block_store_put", fx.with_("dense") + "SELECT z, y, x, CASE WHEN z BETWEEN 3 AND 9 AND y BETWEEN 5 AND 6 AND x BETWEEN 2 AND 20 THEN 99 ELSE label END AS label FROM dense WHERE z < 16 AND y < 16 AND x < 24")
+def _(s, d):
+    from voxelith.sources import blocks
+
+    path, full = own_folder(s, "put-blocks"), fx.dense(s, d).withColumn("scale", F.lit(0))
+    blocks.write(full, path, "label", BLOCK)
+    box = full.where("z BETWEEN 3 AND 9 AND y BETWEEN 5 AND 6 AND x BETWEEN 2 AND 20").withColumn("label", F.lit(99).cast("long"))
+    blocks.write(box, path, "label", BLOCK, whole_blocks=False)
+    return blocks.read(s, path, "label", 0, ((0, 0, 0), (16, 16, 24)), BLOCK)
+
+
+@query("block_cache", fx.with_("voxels") + f"SELECT {B8}, count(*) AS n FROM voxels GROUP BY 1, 2, 3")
+def _(s, d):
+    from voxelith.sources import blocks
+
+    v, path = volume.retile(fx.voxels(s, d), G8), own_folder(s, "cache")
+    key = ["bz", "by", "bx"]
+    count = lambda missing: v.join(missing, key, "left_semi").groupBy(*key).agg(F.count("*").alias("n"))
+    blocks.computed(v.where("bz = 0").select(*key), count, path)
+    return blocks.computed(v.select(*key), count, path)
+
+
+@query("checkpointed", fx.with_("voxels") + "SELECT seg, count(*) AS n FROM voxels GROUP BY 1")
+def _(s, d):
+    from voxelith.sources import scratch
+
+    path, v = own_folder(s, "checkpoint"), fx.voxels(s, d)
+    scratch.checkpoint(volume.histogram(v, "seg"), path)
+    return scratch.checkpoint(volume.histogram(v.where("seg = 0"), "seg"), path)
+
+
+@query("label_merges", fx.with_("edges", more=REACH) + "SELECT label, body FROM cc WHERE label <> body")
+def _(s, d):
+    from voxelith.sources import messages
+
+    sent = messages.write(messages.merges(graph.mapping_from_edges(fx.edges(s, d)), 50), "merge")
+    return messages.merged_labels(messages.read(sent, "merge"))
+
+
+@query("huge_groups", "WITH s AS (SELECT o_custkey AS body, count(*) AS size FROM orders GROUP BY 1), g AS (SELECT CAST(floor(body / 100.0) * 100 AS BIGINT) AS grp, CAST(sum(size) AS BIGINT) AS total FROM s GROUP BY 1) SELECT grp, total, total > 1000 AS huge FROM g")
+def _(s, d):
+    sizes = fx.table(s, d, "orders").groupBy(F.col("o_custkey").alias("body")).agg(F.count("*").alias("size")).withColumn("grp", bodies.group_of(F.col("body"), "hundreds"))
+    kept, huge = bodies.without_huge(sizes, "grp", "size", 1000)
+    return kept.groupBy("grp").agg(F.sum("size").alias("total")).withColumn("huge", F.lit(False)).union(huge.withColumn("huge", F.lit(True)))
+
+
+@query("mesh_names", fx.with_("voxels", more=SEGMENTS) + "SELECT segment, lpad(CAST(CAST(floor(segment / 100.0) * 100 AS BIGINT) AS VARCHAR), 16, '0') || '.tar' AS archive, segment || '.ngmesh' AS mesh, row_number() OVER (ORDER BY voxel_count DESC, segment) AS place FROM segs")
+def _(s, d):
+    st = bodies.by_size(bodies.segment_stats(fx.voxels(s, d), "seg", BLOCK))
+    place = F.row_number().over(Window.orderBy(F.desc("voxel_count"), "segment")).cast("long")
+    return st.select("segment", bodies.name_of(F.col("segment"), "hundreds", ".tar").alias("archive"), bodies.name_of(F.col("segment"), "singletons", ".ngmesh").alias("mesh"), place.alias("place"))
+
+
+@query("box_overlaps", fx.with_("voxels", more=SEGMENTS) + "SELECT a.segment AS a, b.segment AS b, greatest(0, least(a.z1, b.z1) - greatest(a.z0, b.z0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) * greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) AS voxels FROM segs a JOIN segs b ON b.segment = a.segment + 1")
+def _(s, d):
+    st = bodies.segment_stats(fx.voxels(s, d), "seg", BLOCK)
+    one, two = st.alias("a"), st.alias("b")
+    sides = [grid.overlap_length(F.col(f"a.{x}0"), F.col(f"a.{x}1"), F.col(f"b.{x}0"), F.col(f"b.{x}1")) for x in grid.AXES]
+    return one.join(two, F.col("b.segment") == F.col("a.segment") + 1).select(F.col("a.segment").alias("a"), F.col("b.segment").alias("b"), (sides[0] * sides[1] * sides[2]).cast("long").alias("voxels"))
+
+
+@query("stitch_eligible", fx.with_("voxels", more=COUNTS + ", le AS (SELECT DISTINCT gt FROM voxels WHERE z = 5), re AS (SELECT DISTINCT seg FROM voxels WHERE z = 6)") + "SELECT u, v, n FROM cnt WHERE u IN (SELECT gt FROM le) AND v IN (SELECT seg FROM re) AND u NOT IN (2, 3) AND v NOT IN (2, 3)")
+def _(s, d):
+    v = fx.voxels(s, d)
+    return graph.eligible(stitch_counts(s, d), graph.on_plane(v, "gt", "z", 5), graph.on_plane(v, "seg", "z", 6), [2, 3])
+
+
+@query("gray_only", fx.with_("dense") + f"SELECT z, y, x, {B8}, CAST(1 + CAST(x % 8 > 3 AS INT) AS DOUBLE) AS label FROM dense")
+def _(s, d):
+    g = fx.dense(s, d).withColumn("v", F.when(F.col("x") % 8 == 3, 10.0).otherwise(200.0))
+    return segmentation.run_step(g, "gray-only", "v", "label", BLOCK)
+
+
+@query("precomputed", fx.with_("voxels", "dense") + "SELECT z, y, x, coalesce(gt, 0) AS gt FROM dense LEFT JOIN voxels USING (z, y, x)")
+def _(s, d):
+    return segmentation.precomputed(fx.dense(s, d).select("z", "y", "x"), fx.voxels(s, d), "gt")
