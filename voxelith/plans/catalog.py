@@ -1030,8 +1030,8 @@ def _(s, d):
 
     schema = s.read.parquet(f"{d}/events.parquet").schema
     stream = events.read_stream(s, f"{d}/events.parquet*", schema).withColumn("ts", F.col("ts").cast("timestamp"))
-    name = f"windows_{uuid.uuid4().hex}"
-    out = events.finish(events.windowed_counts(stream, "ts", "event_type", "1 hour", "1 day"), f"{shared_dir(s)}/{name}", name)
+    path = own_folder(s, "windows")
+    out = events.finish(events.windowed_counts(stream, "ts", "event_type", "1 hour", "1 day"), f"{path}/checkpoint", f"{path}/rows", ("start", "event_type"))
     return out.select(F.unix_timestamp("start").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 

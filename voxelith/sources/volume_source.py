@@ -1,4 +1,4 @@
-"""`spark.read.format("voxelith")`: a block store or N5 dataset through the Python Data Source API, and analytic test volumes."""
+"""`spark.read.format("voxelith")`: analytic test volumes through the Python Data Source API, a partition a block."""
 
 from __future__ import annotations
 

@@ -16,16 +16,26 @@ def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int =
 
 
 def windowed_counts(events: DataFrame, time: str, key: str, window: str, late: str) -> DataFrame:
-    """(start, key, n, total): by tumbling windows; rows later than the watermark are dropped."""
+    """(start, key, n, total): by tumbling windows. In update or append mode, as finish() has it, rows later than the watermark are dropped and so is the state of windows before it."""
     own = events.withWatermark(time, late)
     return own.groupBy(F.window(time, window).alias("w"), key).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), key, "n", "total")
 
 
-def finish(stream: DataFrame, checkpoint: str, table: str, mode: str = "complete") -> DataFrame:
-    """Runs what is there to its end and gives the result; the checkpoint folder lets a lost run go on."""
-    query = stream.writeStream.format("memory").queryName(table).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def finish(stream: DataFrame, checkpoint: str, path: str, keys: tuple[str, ...]) -> DataFrame:
+    """Runs what is there to its end; gives the last row of each key, from files.
+
+    Each batch writes the rows that it changed to a folder of its own, which replaces what the batch left if it runs
+    again. The checkpoint folder lets a lost run go on.
+    """
+    def put(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    query = stream.writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(table)
+    rows = stream.sparkSession.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in stream.schema)}, batch long").parquet(path)
+    values = [c for c in stream.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in stream.columns])
 
 
 def merge_block_stats(batch: DataFrame, batch_id: int, path: str) -> None:
