@@ -9,7 +9,8 @@ each context.
 Documents meet those tables by joins as well. A lot of documents gives one row for each of its different n-grams, with
 the places and counts of the documents that have it. The different n-grams of all lots are joined with the tables,
 order by order, and their log-probabilities with the rows; sums by lot and place are the log-probabilities of the
-documents. A lot is numbered as it is written, so rows that repeat an identifier, or have none, are each scored by
+documents. The HEAD most frequent n-grams of the model, which are hot keys of that join, are joined by a broadcast of
+their fixed number instead, so that only the rarer ones are shuffled. A lot is numbered as it is written, so rows that repeat an identifier, or have none, are each scored by
 themselves, and the carried columns travel with their lot.
 
 A document is kept if its perplexity lies between two quantiles of its own language, taken over all trusted
@@ -46,7 +47,11 @@ DECIMALS = 4
 SPREAD = 3.0
 CAPITAL, DIGIT = "A", "0"
 
-Tables = tuple[DataFrame, DataFrame, int]  # n-grams, contexts, symbols seen and one more for all others
+#: N-grams that are joined by broadcast: the most frequent ones, a megabyte at any size of the corpus.
+HEAD = 65_536
+
+#: N-grams, contexts, symbols seen and one more for all others, and the codes of the head, in order, with their log-probabilities.
+Tables = tuple[DataFrame, DataFrame, int, np.ndarray, np.ndarray]
 
 
 def symbol_of(char: str) -> str:
@@ -140,7 +145,7 @@ def _context(code: str) -> Column:
 
 
 def kneser_ney(counts: DataFrame, scratch: Scratch) -> Tables:
-    """counts (code, n) of ORDER-grams -> (k, code, p) of all grams seen, (k, context, gamma) of all contexts seen, and the number of symbols.
+    """counts (code, n) of ORDER-grams -> (k, code, p) of all grams seen, (k, context, gamma) of all contexts seen, the number of symbols, and the head.
 
     The highest order uses counts; each lower one the number of different symbols seen before a gram. Discounts for
     counts of 1, 2 and 3 or more come from the counts of counts of their order. All symbols that were not seen are
@@ -169,12 +174,13 @@ def kneser_ney(counts: DataFrame, scratch: Scratch) -> Tables:
         grams.append(lower.select(F.lit(k).alias("k"), "code", "p"))
         contexts.append(sums.select(F.lit(k).alias("k"), "context", gamma.alias("gamma")))
     union = lambda frames: frames[0] if len(frames) == 1 else union([frames[0].union(frames[1]), *frames[2:]])
-    return scratch.store(union(grams)), scratch.store(union(contexts)), symbols
+    head = by_order[ORDER].orderBy(F.desc("n"), "code").limit(HEAD).select("code").join(lower, "code").select("code", F.log("p").alias("log_p")).orderBy("code").toArrow()
+    return scratch.store(union(grams)), scratch.store(union(contexts)), symbols, *(c.to_numpy() for c in head.columns)
 
 
 def resolved(codes: DataFrame, tables: Tables) -> DataFrame:
     """(code, log_p) of n-grams, seen or not: the longest suffix that was seen gives p, and every context passed over on the way its weight."""
-    grams, contexts, symbols = tables
+    grams, contexts, symbols, *_ = tables
     rows = codes.select("code", F.lit(None).cast("double").alias("p"), F.lit(1.0).alias("weight"))
     for k in range(ORDER, 0, -1):
         mine = grams.where(F.col("k") == k).select(F.col("code").alias("c"), F.col("p").alias("found"))
@@ -197,43 +203,49 @@ def scored(df: DataFrame, tables: Tables, text_col: str, scratch: Scratch, with_
 
     others = [c for c in df.columns if c != text_col]
     carried = [*([text_col] if with_text else []), *others]
+    head = df.sparkSession.sparkContext.broadcast(tables[3:])
     frame = short_batches(df).select(text_col, *others).toDF(*([] if with_text else ["_t"]), *[f"c{i}" for i in range(len(carried))])
 
     def lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number, texts, heads = TaskContext.get().partitionId() << 32, [], []
+        known, log_p = head.value
 
         def close() -> Iterator[pa.RecordBatch]:
-            sizes = pa.array([len(t) for t in texts], pa.int64())
-            table = pa.Table.from_batches(heads).combine_chunks()
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema.append(pa.field("n_symbols", pa.int64()))) as out:
-                out.write_table(table.append_column("n_symbols", sizes))
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([None], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["shard", "code", "body"])
+            sums = np.zeros(len(texts))
             for lot in _pieces(texts):
                 codes, first, place, n = counted(_alphabet(), lot)
-                if n.max() > 255:  # an entry has a byte for its count
-                    times = -(-n // 255)
-                    first = np.r_[0, np.cumsum(times)][first]
-                    last = np.cumsum(times) - 1
-                    rest, n, place = n - 255 * (times - 1), np.full(times.sum(), 255), np.repeat(place, times)
-                    n[last] = rest
-                entries = np.empty(len(place), ENTRY)
-                entries["place"], entries["n"] = place, n
-                body = pa.BinaryArray.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer((first * ENTRY.itemsize).astype(np.int32)), pa.py_buffer(entries.tobytes())])
+                at = np.minimum(np.searchsorted(known, codes), max(0, len(known) - 1))
+                hot = known[at] == codes if len(known) else np.zeros(len(codes), bool)
+                each = np.diff(first)
+                inside = np.repeat(hot, each)
+                sums += np.bincount(place[inside], (n * np.repeat(np.where(hot, log_p[at], 0) if len(known) else 0.0, each))[inside], len(texts))
+                codes, place, n, each = codes[~hot], place[~inside], n[~inside], each[~hot]
+                times = -(-n // 255)  # an entry has a byte for its count
+                entries = np.empty(times.sum(), ENTRY)
+                entries["place"], entries["n"] = np.repeat(place, times), 255
+                entries["n"][np.cumsum(times) - 1] = n - 255 * (times - 1)
+                ends = np.r_[0, np.cumsum(times)][np.r_[0, np.cumsum(each)]]
+                body = pa.BinaryArray.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer((ends * ENTRY.itemsize).astype(np.int32)), pa.py_buffer(entries.tobytes())])
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), number)), pa.array(codes), body], names=["shard", "code", "body"])
+            table = pa.Table.from_batches(heads).combine_chunks()
+            table = table.append_column("n_symbols", pa.array([len(t) for t in texts], pa.int64())).append_column("log_p", pa.array(sums))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as out:
+                out.write_table(table)
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([None], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["shard", "code", "body"])
 
         for batch in batches:
-            own, head, start, held = [t or "" for t in batch.column(0).to_pylist()], batch.select(batch.schema.names[not with_text :]), 0, sum(map(len, texts))
+            own, part, start, held = [t or "" for t in batch.column(0).to_pylist()], batch.select(batch.schema.names[not with_text :]), 0, sum(map(len, texts))
             for i, t in enumerate(own):
                 if texts and (held + len(t) > LOT_CHARS or len(texts) >= LOT_DOCS):
-                    heads.append(head.slice(start, i - start))
+                    heads.append(part.slice(start, i - start))
                     yield from close()
                     number, texts, heads, start, held = number + 1, [], [], i, 0
                 texts.append(t)
                 held += len(t)
-            heads.append(head.slice(start))
+            heads.append(part.slice(start))
         if texts:
             yield from close()
 
@@ -273,16 +285,16 @@ def scored(df: DataFrame, tables: Tables, text_col: str, scratch: Scratch, with_
     arrow = to_arrow_schema(schema)
 
     def finish(table: pa.Table) -> pa.Table:
-        head, total = None, np.zeros(LOT_DOCS)
+        rows, total = None, np.zeros(LOT_DOCS)
         for is_head, raw in zip(table.column("head").to_pylist(), table.column("body").to_pylist(), strict=True):
             if is_head:
-                head = pa.ipc.open_stream(raw).read_all()
+                rows = pa.ipc.open_stream(raw).read_all()
             else:
                 n = len(raw) // 10
                 total[np.frombuffer(raw, "<u2", n)] += np.frombuffer(raw, np.float64, n, 2 * n)
-        sizes = head.column("n_symbols").to_numpy()
-        score = pa.array(-total[: len(sizes)] / np.maximum(sizes, 1), mask=sizes == 0)
-        return head.drop_columns(["n_symbols"]).append_column("log_perplexity", score).append_column("n_symbols", pa.array(sizes)).cast(arrow)
+        sizes = rows.column("n_symbols").to_numpy()
+        score = pa.array(-(total[: len(sizes)] + rows.column("log_p").to_numpy()) / np.maximum(sizes, 1), mask=sizes == 0)
+        return rows.drop_columns(["n_symbols", "log_p"]).append_column("log_perplexity", score).append_column("n_symbols", pa.array(sizes)).cast(arrow)
 
     every = heads.select("shard", F.lit(True).alias("head"), "body").union(partial.select("shard", F.lit(False), "body"))
     return every.groupBy("shard").applyInArrow(finish, schema).toDF(*carried, "log_perplexity", "n_symbols")
