@@ -3,13 +3,12 @@
 Words are added in sorted order; states with the same suffixes are shared as soon as they can't change.
 Each transition carries the number of words that sort before those through it, so the sum along a path is
 the word's place, and the ids of that place are the output. All of it is a few flat arrays in one buffer,
-which a worker maps from a file instead of building objects.
+which a worker maps instead of building objects.
 """
 
 from __future__ import annotations
 
 import mmap
-import tempfile
 
 import numpy as np
 
@@ -77,11 +76,10 @@ class Lexicon:
 
     @classmethod
     def mapped(cls, blob: bytes) -> Lexicon:
-        """From a nameless file of this worker: its pages are the kernel's to drop, and nothing stays behind."""
-        with tempfile.TemporaryFile() as f:
-            f.write(blob)
-            f.flush()
-            return cls(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
+        """From pages mapped for this worker, without a file: nothing is written to the machine's disk."""
+        pages = mmap.mmap(-1, max(1, len(blob)))
+        pages.write(blob)
+        return cls(pages)
 
     @property
     def states(self) -> int:
