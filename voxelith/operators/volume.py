@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelith.functions.grid import AXES, Grid, cell, cells, inside
+from voxelith.sources.scratch import Scratch
 
 COORDS = ["z", "y", "x"]
 
@@ -110,11 +111,12 @@ def rescale(df: DataFrame, have: int, want: int, value: str, labels: bool = True
 
 
 def pyramid(df: DataFrame, depth: int, value: str, labels: bool = True) -> DataFrame:
-    """All scales, each made from the one before, with their number."""
-    level, out = df.select(*COORDS, value), None
+    """All scales, each made from the one before, with their number. A scale that another is made from is written first, so none is made twice."""
+    level, out, scratch = df.select(*COORDS, value), None, Scratch(df.sparkSession, "pyramid")
     for scale in range(depth + 1):
         if scale:
             level = rescale(level, 0, 1, value, labels)
+            level = scratch.store(level) if scale < depth else level
         part = level.withColumn("scale", F.lit(scale))
         out = part if out is None else out.unionByName(part)
     return out

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelith.functions.grid import Grid, pyramid_depth
-from voxelith.operators import bodies, graph, overlap, segmentation, tiles, volume
+from voxelith.operators import bodies, evaluation, graph, overlap, segmentation, tiles, volume
+from voxelith.sources.scratch import Scratch
 
 Frames = dict[str, DataFrame]
 WORKFLOWS: dict[str, Callable[..., Frames]] = {}
@@ -33,13 +34,17 @@ def copy_segmentation(df: DataFrame, value: str, block: int = 64, offset: tuple
 
 @workflow
 def evaluate_segmentation(df: DataFrame, shape: tuple[int, int, int], subvolume: int, threshold: int = 1000, points: DataFrame | None = None, pairs: DataFrame | None = None) -> Frames:
-    """All metrics over one overlap frame: of the volume, of its subvolumes and of its bodies; with points also of connections."""
-    sv = F.struct(*[F.floor(F.col(a) / subvolume).cast("long").alias(a) for a in ("z", "y", "x")])
-    by_sv = overlap.overlap(df.withColumn("sv", sv), ("sv",)).persist()
+    """All metrics over one overlap frame, which is written first: of the volume, of its subvolumes and of its bodies; with points also of connections.
+
+    summarystats, subvolumes, bodystats, bodydebug and types are the sections of the record.
+    """
+    cell = [F.floor(F.col(a) / subvolume).cast("long") for a in ("z", "y", "x")]
+    by_sv = Scratch(df.sparkSession, "evaluate").store(overlap.overlap(df.withColumn("sv", (cell[0] * 1_000_000 + cell[1]) * 1_000_000 + cell[2]), ("sv",)))
     over = by_sv.groupBy("gt", "seg").agg(F.sum("n").alias("n"))
     out = {
         "vi": overlap.vi(over, threshold), "rand": overlap.rand(over, threshold), "vi_by_subvolume": overlap.vi(by_sv, 0, ("sv",)), "rand_by_subvolume": overlap.rand(by_sv, 0, ("sv",)),
         "bodies": overlap.vi_bodies(over, threshold), "histogram": overlap.bodies_to_reach(over), "best": overlap.best_match(over, threshold), "counts": overlap.body_counts(by_sv),
+        **evaluation.record(evaluation.Evaluation(evaluation.labelled(by_sv, evaluation.Comparison(evaluation.VOXELS)), {evaluation.VOXELS: threshold})),
         "top_overlaps": overlap.top_overlaps(over), "orphans": overlap.orphans(df, "seg", threshold, shape), "edits": overlap.edit_operations(over),
     }
     if points is not None and pairs is not None:
