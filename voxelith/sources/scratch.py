@@ -42,13 +42,13 @@ class Scratch:
         self.n = 0
         _made.append(self)
 
-    def store(self, df: DataFrame, rows: int | None = None) -> DataFrame:
-        """rows: about how many there are at most, where that is known; then a small table is not spread over many files."""
+    def store(self, df: DataFrame, rows: int | None = None, codec: str | None = None) -> DataFrame:
+        """rows: about how many there are at most, where that is known; then a small table is not spread over many files. codec: instead of the session's."""
         self.n += 1
         path = f"{self.root}/{self.n}"
         if rows is not None:
             df = df.coalesce(1 + rows // ROWS_PER_FILE)
-        df.write.parquet(path)
+        (df.write.option("compression", codec) if codec else df.write).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
