@@ -31,7 +31,7 @@ GRAM = 5
 SMOOTH = 0.5
 UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-CACHED_CHUNKS, CACHED_SCORES = 200_000, 4_000_000
+CACHED_CHUNKS, CACHED_SCORES, SCORES_AT_ONCE = 200_000, 4_000_000, 1_000_000
 COUNTED_AT_ONCE = 200_000
 
 
@@ -95,24 +95,44 @@ class Model:
             self.langs.append(lang.astype(np.int32))
             self.above.append((np.log(n + SMOOTH) - np.log(SMOOTH)).astype(np.float32))
 
-    def score(self, kind: int, rows: list[int]) -> np.ndarray:
-        """The mean of the items' scores."""
-        out = self.floors[kind].copy()
-        for row in rows:
-            a, b = self.starts[kind][row], self.starts[kind][row + 1]
-            out[self.langs[kind][a:b]] += self.above[kind][a:b] / len(rows)
-        return out
-
-    def word(self, word: str) -> np.ndarray:
+    def items(self, word: str) -> tuple[int, list[int]]:
+        """(kind, rows) that score a word: its own row, or those of its longest known n-grams; no rows without any."""
         row = self.tables[0].get(word)
         if row is not None:
-            return self.score(0, [row])
+            return 0, [row]
         for n in range(GRAM, 0, -1):
             table = self.tables[n]
             known = [row for g in grams(word, n) if (row := table.get(g)) is not None]
             if known:
-                return self.score(n, known)
-        return np.zeros(len(self.languages), np.float32)
+                return n, known
+        return 0, []
+
+    def sums(self, words: list[list[str]]) -> np.ndarray:
+        """The sum of the scores of each list of words, a row each; a word's score is the mean over its rows."""
+        out, width = np.zeros((len(words), len(self.languages))), len(self.languages)
+        met: list[tuple[list[int], list[int], list[int], list[float]]] = [([], [], [], []) for _ in self.tables]
+        for i, own in enumerate(words):
+            for w in own:
+                kind, rows = self.items(w)
+                if rows:
+                    of, owner, row, weight = met[kind]
+                    of.append(i)
+                    owner += [i] * len(rows)
+                    row += rows
+                    weight += [1 / len(rows)] * len(rows)
+        for kind, (of, owner, row, weight) in enumerate(met):
+            if not of:
+                continue
+            out += np.bincount(of, minlength=len(words))[:, None] * self.floors[kind]
+            start = self.starts[kind][row]
+            each = self.starts[kind][np.array(row) + 1] - start
+            at = np.repeat(start - np.cumsum(each) + each, each) + np.arange(each.sum())
+            key = np.repeat(owner, each) * width + self.langs[kind][at]
+            out += np.bincount(key, self.above[kind][at] * np.repeat(weight, each), out.size).reshape(out.shape)
+        return out
+
+    def word(self, word: str) -> np.ndarray:
+        return self.sums([[word]])[0]
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_language: int = DOCS_PER_LANGUAGE, kept: int = KEPT) -> Model:
@@ -156,11 +176,12 @@ class Scorer:
     def _score(self, chunks: list[str], first: int) -> None:
         while first + len(chunks) > len(self.n_words):
             self.scores, self.n_words = np.concatenate([self.scores, np.zeros_like(self.scores)]), np.concatenate([self.n_words, np.zeros_like(self.n_words)])
-        for i, c in enumerate(chunks, first):
-            words = WORD.findall(c)
-            self.n_words[i] = len(words)
-            for w in words if self.model.languages else []:
-                self.scores[i] += self.model.word(w)
+        at_once = max(1, SCORES_AT_ONCE // self.width)
+        for a in range(0, len(chunks), at_once):
+            words = [WORD.findall(c) for c in chunks[a : a + at_once]]
+            self.n_words[first + a : first + a + len(words)] = [len(w) for w in words]
+            if self.model.languages:
+                self.scores[first + a : first + a + len(words)] = self.model.sums(words)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if len(self.known) > self.limit:
