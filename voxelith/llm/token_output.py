@@ -97,7 +97,11 @@ class TokenFile:
 
 
 class LibraryEncoder:
-    """The tokenizers library on each distinct stretch between white space once, as words never cross that, and on whole texts beyond Latin-1."""
+    """The tokenizers library: whole texts beyond Latin-1, and its normaliser, pre-tokenizer and model on each distinct piece of others once.
+
+    Words never cross white space. So the library splits the distinct stretches between white space, many in one text,
+    and its model takes each distinct word.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -105,19 +109,32 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.normaliser, self.splitter, self.model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
         self.vocabulary = wordbpe.Vocabulary(path)
-        self.cache = wordbpe.CachedEncoder(self.vocabulary.special, self.chunks, self.whole, CACHED, split=False)
+        self.cache = wordbpe.CachedEncoder(self.vocabulary.special, self.words, self.whole, CACHED, self.split)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
-    def chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        lengths, ids = [], []
+    def split(self, chunks: list[str]) -> list[list[str]]:
+        """The words of each chunk, as the vocabulary spells them."""
+        out: list[list[str]] = [[] for _ in chunks]
         for a in range(0, len(chunks), AT_ONCE):
-            each = [e.ids for e in self.tokenizer.encode_batch_fast(chunks[a : a + AT_ONCE], add_special_tokens=False)]
-            lengths += map(len, each)
-            ids += [np.array([i for x in each for i in x], np.int32)]
-        return np.array(lengths, np.int64), np.concatenate(ids) if ids else np.zeros(0, np.int32)
+            part = chunks[a : a + AT_ONCE]
+            text = self.normaliser.normalize_str(" ".join(part))
+            ends = np.cumsum([len(c) + 1 for c in part])
+            if len(text) != ends[-1] - 1:
+                raise ValueError("the normaliser changes the length of Latin-1 text")
+            found = self.splitter.pre_tokenize_str(text)
+            of = np.searchsorted(ends, [at for _, (at, _) in found], "right") + a
+            for i, (word, _) in zip(of.tolist(), found, strict=True):
+                out[i].append(word)
+        return out
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        tokenize = self.model.tokenize
+        each = [[t.id for t in tokenize(w)] for w in words]
+        return np.array([len(x) for x in each], np.int64), np.array([i for x in each for i in x], np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self.cache.encode(texts)

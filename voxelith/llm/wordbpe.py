@@ -164,11 +164,13 @@ def _newest(numbered: Numbers, before: int) -> list:
 class CachedEncoder:
     """encode_words: distinct words -> (lengths, ids); encode_odd: ids of a text beyond Latin-1 or with special tokens.
 
-    split: whether chunks between white space are split into words here; else encode_words gets the chunks. A full cache keeps the chunks met more than once, of those the most frequent, and half its size at most.
+    split: the words of each of some chunks in lower case; by LATIN_WORD unless it is given. A full cache keeps the chunks
+    met more than once, of those the most frequent, and half its size at most.
     """
 
-    def __init__(self, special: Iterable[str], encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], encode_odd: Callable[[str], np.ndarray], size: int = CACHED, split: bool = True):
-        self.special, self.encode_words, self.encode_odd, self.size, self.split = tuple(special), encode_words, encode_odd, size, split
+    def __init__(self, special: Iterable[str], encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], encode_odd: Callable[[str], np.ndarray], size: int = CACHED, split: Callable[[list[str]], list[list[str]]] | None = None):
+        self.special, self.encode_words, self.encode_odd, self.size = tuple(special), encode_words, encode_odd, size
+        self.split = split or (lambda chunks: [LATIN_WORD.findall(c) for c in chunks])
         self.chunk, self.chunk_rows, self.met = Numbers(), Rows(), np.zeros(1024, np.int64)
         self.word, self.word_rows = Numbers(), Rows()
 
@@ -188,10 +190,7 @@ class CachedEncoder:
         self.word, self.word_rows = Numbers(), Rows()
 
     def _fill(self, chunks: list[str]) -> None:
-        if not self.split:
-            self.chunk_rows.append(*self.encode_words(chunks))
-            return
-        found = [LATIN_WORD.findall(c) for c in chunks]
+        found = self.split(chunks)
         before = len(self.word)
         number = self.word.__getitem__
         numbers = np.array([number(w) for ws in found for w in ws], np.int64)
@@ -210,7 +209,7 @@ class CachedEncoder:
         rows, numbers = [], []
         for i, t in enumerate(texts):
             if is_latin(t, self.special):
-                numbers.append(np.array(list(map(number, (t.lower() if self.split else t).split())), np.int64))
+                numbers.append(np.array(list(map(number, t.lower().split())), np.int64))
                 rows.append(i)
             else:
                 out[i] = self.encode_odd(t)
