@@ -121,5 +121,5 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sc
     empty table gives an empty result. Only the two columns are read.
     """
     scratch = scratch or Scratch(df.sparkSession, "media")
-    out = digests(scratch.store(stored(df, id_col, text_col)))
+    out = digests(scratch.store(stored(df, id_col, text_col), codec="zstd"))
     return out if id_col == "doc_id" else out.withColumnRenamed("doc_id", id_col)
