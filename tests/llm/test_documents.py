@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxelith.llm import bpe_codec, common, exact_dedup, langid, media, minhash, mixing, quality, secrets, token_counts, token_output
+from voxelith.llm import bpe_codec, common, exact_dedup, langid, media, minhash, mixing, quality, secrets, token_counts, token_output, wordbpe
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _norm string, low double"
 WORDS = "the of and to kar bel tor min sol var nim pel dor fen gal hut jor lum ros tav".split()
@@ -409,6 +409,20 @@ def test_library_encoder_any_text(tokenizer):
     assert [x.tolist() for x in encoder.encode(any_texts())] == [e.ids for e in tokenizer.encode_batch(any_texts(), add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("at_once", [1, 7, 10_000])
+def test_chunks_of_one_call(tokenizer, monkeypatch, at_once):
+    monkeypatch.setattr(token_output, "AT_ONCE", at_once)
+    encoder = token_output.LibraryEncoder(bpe_codec.default_path())
+    whole, calls = encoder.whole, []
+    monkeypatch.setattr(encoder, "whole", lambda *a: calls.append(a) or whole(*a))
+    chunks = [c for t in any_texts() for c in t.lower().split() if wordbpe.is_latin(c, ())] + ["don't,", "a<|endoftext|>b", "x" * 5000, "é½²ß'sµ"]
+    lengths, ids = encoder.chunks(chunks)
+    assert len(calls) == -(-len(chunks) // at_once)
+    # in capitals a special token's string is not one
+    expected = [e.ids for e in tokenizer.encode_batch([c.replace("<|endoftext|>", "<|ENDOFTEXT|>").replace("<|startoftext|>", "<|STARTOFTEXT|>") for c in chunks], add_special_tokens=False)]
+    assert lengths.tolist() == [len(x) for x in expected] and ids.tolist() == sum(expected, [])
+
+
 @pytest.mark.parametrize("bits", [1, 5, 8, 11, 16, 17, 32])
 def test_packing(bits):
     rnd = np.random.default_rng(bits)

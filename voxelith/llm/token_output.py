@@ -14,6 +14,7 @@ protocol decides which attempts count when executors are lost; export() writes t
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -97,44 +98,43 @@ class TokenFile:
 
 
 class LibraryEncoder:
-    """The tokenizers library: whole texts beyond Latin-1, and its normaliser, pre-tokenizer and model on each distinct piece of others once.
+    """The tokenizers library: whole texts beyond Latin-1, and each distinct stretch between white space of others once.
 
-    Words never cross white space. So the library splits the distinct stretches between white space, many in one text,
-    and its model takes each distinct word.
+    Words never cross white space. So the library takes many stretches in one text, and the bytes that its tokens stand for
+    tell which ids are of which stretch.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.normaliser, self.splitter, self.model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
+        # chunks can spell a special token in lower case, which the text didn't: they go to the same model without added tokens
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.normalizer, self.plain.pre_tokenizer = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         self.vocabulary = wordbpe.Vocabulary(path)
-        self.cache = wordbpe.CachedEncoder(self.vocabulary.special, self.words, self.whole, CACHED, self.split)
+        self.token_bytes = np.array([len(t.removesuffix(self.vocabulary.suffix)) for t in self.vocabulary.tokens.tolist()])
+        self.cache = wordbpe.CachedEncoder(self.vocabulary.special, None, self.whole, CACHED, self.chunks)
 
-    def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+    def whole(self, text: str, tokenizer=None) -> np.ndarray:
+        return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
 
-    def split(self, chunks: list[str]) -> list[list[str]]:
-        """The words of each chunk, as the vocabulary spells them."""
-        out: list[list[str]] = [[] for _ in chunks]
+    def chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, ids) of chunks of Latin-1 in lower case, of which the library's normaliser and splitter keep every byte."""
+        each, ids = [], []
         for a in range(0, len(chunks), AT_ONCE):
             part = chunks[a : a + AT_ONCE]
-            text = self.normaliser.normalize_str(" ".join(part))
-            ends = np.cumsum([len(c) + 1 for c in part])
-            if len(text) != ends[-1] - 1:
-                raise ValueError("the normaliser changes the length of Latin-1 text")
-            found = self.splitter.pre_tokenize_str(text)
-            of = np.searchsorted(ends, [at for _, (at, _) in found], "right") + a
-            for i, (word, _) in zip(of.tolist(), found, strict=True):
-                out[i].append(word)
-        return out
-
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        tokenize = self.model.tokenize
-        each = [[t.id for t in tokenize(w)] for w in words]
-        return np.array([len(x) for x in each], np.int64), np.array([i for x in each for i in x], np.int32)
+            own = self.whole(" ".join(part), self.plain)
+            upto = np.cumsum(self.token_bytes[own])
+            ends = np.cumsum([len(c.encode()) for c in part])
+            last = np.searchsorted(upto, ends)
+            if not len(upto) or upto[-1] != ends[-1] or (upto[last] != ends).any():
+                raise ValueError("tokens do not keep to the bytes of Latin-1 text")
+            each.append(np.diff(last, prepend=-1))
+            ids.append(own)
+        return np.concatenate(each), np.concatenate(ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self.cache.encode(texts)

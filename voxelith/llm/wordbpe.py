@@ -164,13 +164,13 @@ def _newest(numbered: Numbers, before: int) -> list:
 class CachedEncoder:
     """encode_words: distinct words -> (lengths, ids); encode_odd: ids of a text beyond Latin-1 or with special tokens.
 
-    split: the words of each of some chunks in lower case; by LATIN_WORD unless it is given. A full cache keeps the chunks
-    met more than once, of those the most frequent, and half its size at most.
+    encode_chunks: distinct chunks in lower case -> (lengths, ids); unless it is given, by LATIN_WORD and encode_words. A full
+    cache keeps the chunks met more than once, of those the most frequent, and half its size at most.
     """
 
-    def __init__(self, special: Iterable[str], encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], encode_odd: Callable[[str], np.ndarray], size: int = CACHED, split: Callable[[list[str]], list[list[str]]] | None = None):
+    def __init__(self, special: Iterable[str], encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]] | None, encode_odd: Callable[[str], np.ndarray], size: int = CACHED, encode_chunks: Callable[[list[str]], tuple[np.ndarray, np.ndarray]] | None = None):
         self.special, self.encode_words, self.encode_odd, self.size = tuple(special), encode_words, encode_odd, size
-        self.split = split or (lambda chunks: [LATIN_WORD.findall(c) for c in chunks])
+        self.encode_chunks = encode_chunks or self._by_words
         self.chunk, self.chunk_rows, self.met = Numbers(), Rows(), np.zeros(1024, np.int64)
         self.word, self.word_rows = Numbers(), Rows()
 
@@ -189,8 +189,8 @@ class CachedEncoder:
         self.met[: len(keep)] = met[keep]
         self.word, self.word_rows = Numbers(), Rows()
 
-    def _fill(self, chunks: list[str]) -> None:
-        found = self.split(chunks)
+    def _by_words(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [LATIN_WORD.findall(c) for c in chunks]
         before = len(self.word)
         number = self.word.__getitem__
         numbers = np.array([number(w) for ws in found for w in ws], np.int64)
@@ -199,7 +199,7 @@ class CachedEncoder:
         each = np.array([len(ws) for ws in found], np.int64)
         lengths, ids = self.word_rows.gather(numbers)
         ends = np.r_[0, np.cumsum(lengths)][np.r_[0, np.cumsum(each)]]
-        self.chunk_rows.append(np.diff(ends), ids)
+        return np.diff(ends), ids
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
@@ -214,7 +214,7 @@ class CachedEncoder:
             else:
                 out[i] = self.encode_odd(t)
         if len(self.chunk) > before:
-            self._fill(_newest(self.chunk, before))
+            self.chunk_rows.append(*self.encode_chunks(_newest(self.chunk, before)))
         if rows:
             every = np.concatenate(numbers)
             if len(self.chunk) > len(self.met):
