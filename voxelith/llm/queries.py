@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, exact_dedup, langid, media, minhash, mixing, quality, secrets, token_counts, token_output
+from . import bpe_codec, clustering, exact_dedup, importance, langid, media, minhash, mixing, quality, secrets, token_counts, token_output
 from .common import table
 
 
@@ -50,6 +50,14 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encoded(table(spark, sf_dir, "documents"))
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.lloyd(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_mixing": op2_mixing,
@@ -61,10 +69,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_output": op8_token_output,
     "op9_media": op9_media,
     "op10_bpe_codec": op10_bpe_codec,
+    "op12_importance": op12_importance,
+    "op13_clustering": op13_clustering,
 }
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.SQL,
+    "op13_clustering": clustering.sql(),
     "op7_exact_dedup": r"""
 WITH docs AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
