@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, clustering, exact_dedup, importance, langid, media, minhash, mixing, quality, secrets, token_counts, token_output
+from . import bpe_codec, clustering, exact_dedup, importance, langid, media, minhash, mixing, quality, secrets, token_counts, token_output, toxicity
 from .common import table
 
 
@@ -50,6 +50,11 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encoded(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", "n_pieces", toxicity.spans().alias("offending"))
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_output": op8_token_output,
     "op9_media": op9_media,
     "op10_bpe_codec": op10_bpe_codec,
+    "op11_toxicity": op11_toxicity,
     "op12_importance": op12_importance,
     "op13_clustering": op13_clustering,
 }
