@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxelith.functions import grid
-from voxelith.operators import bodies, components, graph, overlap, segmentation, volume
+from voxelith.operators import bodies, components, graph, matching, overlap, segmentation, volume
 from voxelith.sources import blocks, slices, tables
 from voxelith.sources.scratch import Scratch
 
@@ -224,9 +224,9 @@ def test_assignment(seed):
 
 def test_match_bodies(spark):
     over = spark.createDataFrame([(1, 10, 50), (1, 11, 40), (2, 10, 45), (3, 12, 5), (4, 12, 6), (5, 0, 9)], "gt long, seg long, n long")
-    assert rows(graph.match_bodies(over)) == [(1, 11, 40), (2, 10, 45), (3, 0, 0), (4, 12, 6)]
+    assert rows(matching.match_bodies(over)) == [(1, 11, 40), (2, 10, 45), (3, 0, 0), (4, 12, 6)]
     wide = spark.createDataFrame([(2**62 + 5, 2**62 + 9, 7), (2**53 + 1, 2**53 + 1, 3), (2**53, 2**53 + 1, 2)], "gt long, seg long, n long")
-    assert rows(graph.match_bodies(wide)) == [(2**53, 0, 0), (2**53 + 1, 2**53 + 1, 3), (2**62 + 5, 2**62 + 9, 7)]
+    assert rows(matching.match_bodies(wide)) == [(2**53, 0, 0), (2**53 + 1, 2**53 + 1, 3), (2**62 + 5, 2**62 + 9, 7)]
 
 
 def test_edit_distance(spark):
@@ -337,7 +337,7 @@ def test_configured_steps(spark):
 def test_factors_and_huge_groups(spark):
     df = spark.createDataFrame([(1000, None), (1000, 10), (10**9, None)], "box long, own long")
     got = [r[0] for r in df.select(bodies.downsample_factor(F.col("box"), 125, 1, F.col("own"))).collect()]
-    assert got == [3, 5, 200] and df.select(bodies.downsample_factor(F.col("box"), 1)).where("box = 1000000000").first()[0] is None
+    assert got == [3, 5, 201] and df.select(bodies.downsample_factor(F.col("box"), 1)).where("box = 1000000000").first()[0] is None
     sizes = spark.createDataFrame([(1, 5), (1, 6), (2, 10)], "g long, n long")
     kept, huge = bodies.without_huge(sizes, "g", "n", 10)
     assert rows(kept) == [(2, 10)] and rows(huge) == [(1, 11)]

@@ -336,29 +336,6 @@ def assignment(value: dict[int, dict[int, int]]) -> dict[int, int]:
     return right_of
 
 
-def match_bodies(over: DataFrame, threshold: int = 0, partners: int = 3) -> DataFrame:
-    """(gt, seg, n): one-to-one matches with the largest total overlap, within components of each body's top partners.
-
-    A body without a match has seg 0 and n 0. Each component is one group; its pairs are three a body at most, and
-    the search goes over pairs, so its room and time grow with the bodies of a component, not with their square.
-    """
-    size = F.sum("n").over(Window.partitionBy("gt"))
-    kept = over.where("seg <> 0").withColumn("_t", size).where(F.col("_t") >= threshold)
-    top = kept.withColumn("_r", F.row_number().over(Window.partitionBy("gt").orderBy(F.desc("n"), "seg"))).where(F.col("_r") <= partners).select("gt", "seg", "n")
-    # the other side's bodies are negative nodes: -1 - seg
-    found = mapping_from_edges(top.select(F.col("gt").alias("u"), F.bitwise_not("seg").alias("v")))
-    placed = top.join(found.where("label >= 0").toDF("gt", "body"), "gt")
-
-    def solve(t: pa.Table) -> pa.Table:
-        value: dict[int, dict[int, int]] = {}
-        for g, s, n in sorted(zip(*(t.column(c).to_pylist() for c in ("gt", "seg", "n")), strict=True)):
-            value.setdefault(g, {})[s] = n
-        got = assignment(value)
-        return pa.table({"gt": pa.array(list(value), pa.int64()), "seg": pa.array([got.get(g, 0) for g in value], pa.int64()), "n": pa.array([value[g].get(got.get(g), 0) for g in value], pa.int64())})
-
-    return placed.groupBy("body").applyInArrow(solve, "gt long, seg long, n long")
-
-
 def connections(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """(pre, post) point pairs with the labels of both ends. points: (point_id, gt, seg)."""
     ends = lambda side: points.select(F.col("point_id").alias(side), F.col("gt").alias(f"{side}_gt"), F.col("seg").alias(f"{side}_seg"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelith.functions.grid import Grid, pyramid_depth
-from voxelith.operators import bodies, evaluation, graph, overlap, segmentation, tiles, volume
+from voxelith.operators import bodies, evaluation, graph, matching, overlap, segmentation, tiles, volume
 from voxelith.sources.scratch import Scratch
 
 Frames = dict[str, DataFrame]
@@ -49,7 +49,7 @@ def evaluate_segmentation(df: DataFrame, shape: tuple[int, int, int], subvolume:
     }
     if points is not None and pairs is not None:
         conns = graph.connections(pairs, points)
-        table = graph.connectivity(conns, graph.match_bodies(over, threshold))
+        table = graph.connectivity(conns, matching.match_bodies(over, threshold))
         out |= {"connectivity": table, "connectivity_summary": graph.connectivity_summary(table, conns), "autapses": graph.autapses(conns)}
     return out
 
