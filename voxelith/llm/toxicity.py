@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, Shared, short_batches, stateless, worker_state
+from .common import Scratch, Shared, short_batches, small, stateless, worker_state
 from .langid import held_out
 from .wordbpe import Numbers, portions
 
@@ -131,15 +131,13 @@ class Scorer:
             yield score, len(starts), spans
 
 
-def learned(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, docs_per_label: int) -> tuple[DataFrame, dict[int, float]]:
-    """(sample (_label, _text), how many documents one of each label stands for)."""
+def learned(labels: DataFrame, id_col: str, label_col: str, docs_per_label: int) -> tuple[DataFrame, dict[int, float]]:
+    """(sample (_id, _label), how many documents one of each label stands for)."""
     own = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).where("_id IS NOT NULL AND _label IN (0, 1)").where(~held_out("_id"))
     own = own.groupBy("_id").agg(F.max("_label").alias("_label"))
     each = {r["_label"]: max(1.0, r["count"] / docs_per_label) for r in own.groupBy("_label").count().collect()}  # two rows
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("_id")), F.lit(1 << 20)) / float(1 << 20)
-    drawn = own.where(draw * F.when(F.col("_label") == 1, each.get(1, 1.0)).otherwise(each.get(0, 1.0)) < 1)
-    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    return drawn.join(texts, "_id").select("_label", "_text"), each
+    return own.where(draw * F.when(F.col("_label") == 1, each.get(1, 1.0)).otherwise(each.get(0, 1.0)) < 1), each
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,8 +257,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
-    drawn, each = learned(docs, labels, id_col, text_col, label_col, docs_per_label)
-    sample = short_batches(scratch.store(drawn))
+    drawn, each = learned(labels, id_col, label_col, docs_per_label)
+    drawn = scratch.store(drawn)
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    # so many identifiers as are drawn at most, counted before they are broadcast
+    sample = short_batches(scratch.store(texts.join(small(drawn, drawn.count()), "_id").select("_label", "_text")))
     sizes = {r["_label"]: r["count"] for r in sample.groupBy("_label").count().collect()}  # two rows
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     counts = sample.mapInArrow(_counts, "feature string, label int, n long")
