@@ -305,15 +305,6 @@ def test_channels(spark):
     assert out[0][1] == [6.0, 2.0] and out[0][2] == [0.125, 0.25, 0.625] and out[1][2] == [1 / 3] * 3
 
 
-def test_self_touching(spark):
-    """Two parts of one body aren't joined over a third label; the weakest pair of each such body goes, round by round."""
-    pairs = spark.createDataFrame([(1, 10, 50), (2, 10, 40), (3, 11, 9), (4, 12, 7), (5, 12, 8), (5, 13, 60), (4, 13, 70)], "u long, v long, n long")
-    apart = spark.createDataFrame([(1, 2), (4, 5), (3, 99)], "a long, b long")
-    # the body of 4 and 5 loses the pairs of 7, 8 and 60, as they meet over 13 until then
-    assert rows(graph.without_self_touch(pairs, apart)) == [(1, 10, 50), (3, 11, 9), (4, 13, 70)]
-    assert rows(graph.without_self_touch(pairs, apart.where("a > 50"))) == rows(pairs)
-
-
 def test_eligible_pairs(spark):
     counts = spark.createDataFrame([(1, 5, 900), (1, 6, 60), (2, 6, 100)], "u long, v long, n long")
     plane = spark.createDataFrame([(0, 3, 0, 1), (0, 4, 0, 2), (1, 3, 0, 0)], "z long, y long, x long, label long")

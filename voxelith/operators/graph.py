@@ -112,15 +112,15 @@ def size_buckets(df: DataFrame, size: str, bounds: tuple[int, ...]) -> DataFrame
     return spread
 
 
-def contacts(df: DataFrame, value: str) -> DataFrame:
-    """(u, v, axis): each pair of voxels that share a face and differ in label, background left out.
+def contacts(df: DataFrame, value: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(u, v, axis): each pair of voxels that share a face and differ in label, background left out; with keys of one subvolume.
 
     The neighbour on an axis is the next voxel of its line, so a window along the line finds it without a self-join.
     """
     own = df.where(F.col(value) != 0)
     out = None
     for a in AXES:
-        w = Window.partitionBy(*[o for o in AXES if o != a]).orderBy(a)
+        w = Window.partitionBy(*keys, *[o for o in AXES if o != a]).orderBy(a)
         part = own.select(F.col(value).alias("p"), F.lead(value).over(w).alias("q"), (F.lead(a).over(w) - F.col(a)).alias("d")).where("d = 1 AND p <> q")
         part = part.select(F.least("p", "q").alias("u"), F.greatest("p", "q").alias("v"), F.lit(a).alias("axis"))
         out = part if out is None else out.union(part)
@@ -256,27 +256,6 @@ def eligible(counts: DataFrame, left: DataFrame | None = None, right: DataFrame
     return out.select("u", "v", "n") if not preserved else out.where(~F.col("u").isin(preserved) & ~F.col("v").isin(preserved)).select("u", "v", "n")
 
 
-def without_self_touch(pairs: DataFrame, apart: DataFrame, rounds: int = 100) -> DataFrame:
-    """(u, v, n) of pairs (u, v, n), less those that would join labels which have to stay apart; apart: (a, b).
-
-    In each round every body that holds such labels loses its weakest pair (the smallest names among equals), until none
-    does: the pairs that remain are a fixpoint. A round costs one pass over the pairs and their components.
-    """
-    scratch = Scratch(pairs.sparkSession, "apart")
-    now, want = scratch.store(pairs.select("u", "v", "n")), scratch.store(apart.select("a", "b"))
-    for _ in range(rounds):
-        body = mapping_from_edges(now)
-        of = lambda side, body=body: body.select(F.col("label").alias(side), F.col("body").alias(f"_{side}"))
-        broken = want.join(of("a"), "a").join(of("b"), "b").where("_a = _b").select(F.col("_a").alias("body")).distinct()
-        weakest = now.join(body.toDF("u", "body"), "u").join(broken, "body", "left_semi").groupBy("body").agg(F.min(F.struct("n", "u", "v")).alias("w")).select("w.u", "w.v")
-        after = scratch.store(now.join(weakest, ["u", "v"], "left_anti").select("u", "v", "n"))
-        if after.count() == now.count():
-            return now
-        scratch.free(now)
-        now = after
-    raise RuntimeError("labels that have to stay apart are still joined")
-
-
 def stitched(df: DataFrame, value: str, pairs: DataFrame) -> DataFrame:
     """Labels merged over all pairs, each by the smallest of its component."""
     named = mapping_from_edges(pairs)

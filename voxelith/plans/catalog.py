@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from voxelith.functions import grid
 from voxelith.functions.numbers import exact_sum
-from voxelith.operators import bodies, evaluation, graph, matching, overlap, segmentation, tiles, volume
+from voxelith.operators import bodies, evaluation, graph, matching, overlap, segmentation, stitching, tiles, volume
 from voxelith.plans import workflows
 from voxelith.sources import fixtures as fx
 from voxelith.sources.scratch import shared_dir
@@ -962,9 +962,32 @@ def _(s, d):
     return graph.stitch_pairs(stitch_counts(s, d), "simple")
 
 
-@query("stitch_conservative", fx.with_("voxels", more=COUNTS) + "SELECT u, v FROM b WHERE n > 50 AND ur = 1 AND vr = 1 AND n / ut >= 0.1 AND n / vt >= 0.1")
+SLABS = """slabs AS (SELECT z, y, x, unnest([z // 8 - 1, z // 8]) AS slab, gt, seg, n AS side FROM voxels, side_),
+named AS (SELECT z, y, x, slab, slab * 1000 + CASE WHEN slab % 2 = 0 OR 5 * x >= side THEN gt ELSE seg END AS label FROM slabs
+  WHERE slab >= 0 AND CASE WHEN slab % 2 = 0 OR 5 * x >= side THEN gt ELSE seg END <> 0),
+shared AS (SELECT a.label AS u, b.label AS v, count(*) AS n FROM named a JOIN named b ON b.slab = a.slab + 1 AND b.z = a.z AND b.y = a.y AND b.x = a.x GROUP BY 1, 2),
+ranks AS (SELECT *, sum(n) OVER (PARTITION BY u) AS ut, sum(n) OVER (PARTITION BY v) AS vt, row_number() OVER (PARTITION BY u ORDER BY n DESC, v) AS ur, row_number() OVER (PARTITION BY v ORDER BY n DESC, u) AS vr FROM shared)"""
+
+
+def slabs(s, d) -> DataFrame:
+    """(z, y, x, slab, label): slabs of 16 planes, each half shared with the next; the odd ones have the other labeling in a fifth of the volume. Labels say which slab they are of."""
+    n = fx.side(s, d)
+    k = F.floor(F.col("z") / 8.0).cast("long")
+    v = fx.voxels(s, d).withColumn("slab", F.explode(F.array(k - 1, k))).where("slab >= 0")
+    own = F.when((F.col("slab") % 2 == 0) | (5 * F.col("x") >= n), F.col("gt")).otherwise(F.col("seg"))
+    return v.withColumn("own", own).where("own <> 0").select("z", "y", "x", "slab", (F.col("slab") * 1000 + F.col("own")).alias("label"))
+
+
+def shared_counts(s, d) -> DataFrame:
+    """(u, v, n): voxels that labels of consecutive slabs share."""
+    v = slabs(s, d)
+    after = v.select("z", "y", "x", (F.col("slab") - 1).alias("slab"), F.col("label").alias("v"))
+    return v.withColumnRenamed("label", "u").join(after, ["z", "y", "x", "slab"]).groupBy("u", "v").agg(F.count("*").alias("n"))
+
+
+@query("stitch_conservative", fx.with_("voxels", more=SLABS) + "SELECT u, v FROM ranks WHERE n > 50 AND ur = 1 AND vr = 1 AND n / ut >= 0.9 AND n / vt >= 0.9")
 def _(s, d):
-    return graph.stitch_pairs(stitch_counts(s, d), "conservative", share=0.1)
+    return graph.stitch_pairs(shared_counts(s, d), "conservative")
 
 
 @query("stitch_medium", fx.with_("voxels", more=COUNTS) + "SELECT u, v FROM b WHERE n > 50 AND ur = 1 AND vr = 1")
@@ -972,9 +995,52 @@ def _(s, d):
     return graph.stitch_pairs(stitch_counts(s, d), "medium")
 
 
-@query("stitch_aggressive", fx.with_("voxels", more=COUNTS) + "SELECT u, v FROM b WHERE n > 50 AND ((ur = 1 AND vr = 1) OR (ur = 1 AND n / ut > 0.12 AND n > 120) OR (vr = 1 AND n / vt > 0.12 AND n > 120))")
+@query("stitch_aggressive", fx.with_("voxels", more=SLABS) + "SELECT u, v FROM ranks WHERE n > 50 AND ((ur = 1 AND vr = 1) OR (ur = 1 AND n / ut > 0.9 AND n > 1000) OR (vr = 1 AND n / vt > 0.9 AND n > 1000))")
+def _(s, d):
+    return graph.stitch_pairs(shared_counts(s, d), "aggressive")
+
+
+WALLS = """face AS (SELECT a.label AS p, b.label AS q FROM named a JOIN named b ON b.slab = a.slab AND b.z = a.z + 1 AND b.y = a.y AND b.x = a.x
+  UNION ALL SELECT a.label, b.label FROM named a JOIN named b ON b.slab = a.slab AND b.z = a.z AND b.y = a.y + 1 AND b.x = a.x
+  UNION ALL SELECT a.label, b.label FROM named a JOIN named b ON b.slab = a.slab AND b.z = a.z AND b.y = a.y AND b.x = a.x + 1),
+walls AS MATERIALIZED (SELECT DISTINCT least(p, q) AS a, greatest(p, q) AS b FROM face WHERE p <> q),
+met AS MATERIALIZED (SELECT u, v, n FROM shared)"""
+#: A label's body is its place in a list; each step looks at the next pair.
+IN_TURN = """labels AS MATERIALIZED (SELECT label, row_number() OVER (ORDER BY label) AS i FROM (SELECT u AS label FROM met UNION SELECT v FROM met)),
+turns AS MATERIALIZED (SELECT row_number() OVER (ORDER BY n DESC, u, v) AS k, a.i AS ui, b.i AS vi FROM met JOIN labels a ON a.label = u JOIN labels b ON b.label = v),
+barred AS MATERIALIZED (SELECT list({'p': a.i, 'q': b.i}) AS bars FROM walls w JOIN labels a ON a.label = w.a JOIN labels b ON b.label = w.b),
+state AS (SELECT CAST(0 AS BIGINT) AS k, (SELECT list(i ORDER BY i) FROM labels) AS body
+  UNION ALL SELECT s.k + 1, CASE WHEN body[ui] = body[vi] OR len([x for x in bars if (body[x.p] = body[ui] AND body[x.q] = body[vi]) OR (body[x.p] = body[vi] AND body[x.q] = body[ui])]) > 0
+    THEN body ELSE [CASE WHEN c = greatest(body[ui], body[vi]) THEN least(body[ui], body[vi]) ELSE c END for c in body] END
+  FROM state s JOIN turns t ON t.k = s.k + 1, barred),
+ended AS MATERIALIZED (SELECT body FROM state ORDER BY k DESC LIMIT 1),
+bodies AS MATERIALIZED (SELECT a.label, b.label AS body FROM labels a, ended JOIN labels b ON b.i = ended.body[a.i])"""
+
+
+def walled(s, d) -> tuple[DataFrame, DataFrame]:
+    """(every overlap, labels that touch in a slab)."""
+    return shared_counts(s, d), stitching.touching(slabs(s, d), "label", ("slab",))
+
+
+@query("stitch_constrained", fx.with_("voxels", more=f"{SLABS},\n{WALLS},\n{IN_TURN}") + "SELECT label, body FROM bodies")
+def _(s, d):
+    return stitching.constrained(*walled(s, d))
+
+
+@query("stitch_constrained_pairs", fx.with_("voxels", more=f"{SLABS},\n{WALLS},\n{IN_TURN}") + "SELECT u, v, n FROM met JOIN bodies a ON a.label = u JOIN bodies b ON b.label = v WHERE a.body = b.body")
+def _(s, d):
+    pairs, apart = walled(s, d)
+    return stitching.kept_pairs(pairs, stitching.constrained(pairs, apart))
+
+
+@query("stitch_false_mergers", fx.with_("voxels", more=f"""{SLABS},
+{WALLS.replace("FROM shared)", "FROM shared WHERE n > 8)")},
+either AS (SELECT a, b FROM walls UNION ALL SELECT b, a FROM walls),
+bad_u AS (SELECT DISTINCT p.u FROM either JOIN met p ON p.v = a JOIN met q ON q.v = b AND q.u = p.u),
+bad_v AS (SELECT DISTINCT p.v FROM either JOIN met p ON p.u = a JOIN met q ON q.u = b AND q.v = p.v)""") + "SELECT u, v, n FROM met WHERE u NOT IN (SELECT u FROM bad_u) AND v NOT IN (SELECT v FROM bad_v)")
 def _(s, d):
-    return graph.stitch_pairs(stitch_counts(s, d), "aggressive", share=0.12, liberal=120)
+    pairs, apart = walled(s, d)
+    return stitching.without_false_mergers(pairs.where("n > 8"), apart)
 
 
 # -- segmentation
