@@ -8,16 +8,17 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxelith.functions import grid
 from voxelith.functions.numbers import exact_sum
-from voxelith.operators import bodies, evaluation, graph, matching, overlap, segmentation, stitching, tiles, volume
+from voxelith.operators import bodies, evaluation, graph, matching, overlap, segmentation, stitching, synapses, tiles, volume
 from voxelith.plans import workflows
 from voxelith.sources import fixtures as fx
-from voxelith.sources.scratch import shared_dir
+from voxelith.sources.scratch import Scratch, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -437,6 +438,40 @@ def _(s, d):
     return graph.autapses(graph.connections(fx.synapses(s, d), labelled_points(s, d)))
 
 
+#: Cells of 12, 24 and 48 voxels, and everything.
+SYNAPSE_LEVELS = 4
+LEVEL_SQL = """known AS (SELECT point_id, z, y, x, gt, seg FROM points JOIN voxels USING (z, y, x)),
+placed AS (SELECT k AS level, CASE WHEN k = 3 THEN 0 ELSE ((z // (12 << k)) * 1000 + y // (12 << k)) * 1000 + x // (12 << k) END AS sv, (z // 12 * 1000 + y // 12) * 1000 + x // 12 AS home, point_id, gt, seg FROM known, range(4) t(k)),
+begun AS (SELECT level, sv, home, post, gt AS pre_gt, seg AS pre_seg FROM synapses JOIN placed ON point_id = pre WHERE gt <> 0)"""
+
+
+def synapse_levels(s, d) -> list[synapses.Graph]:
+    """The synapse graph of cells, and of those merged eight by eight, up to the whole."""
+    scratch = Scratch(s, "synapses")
+    known = by_sv(fx.points(s, d).join(fx.voxels(s, d), ["z", "y", "x"]))
+    found = [synapses.graph_of(known.select("point_id", "sv", "gt", "seg"), fx.synapses(s, d)).stored(scratch)]
+    z, y, x = (F.floor(F.col("sv") / 1_000_000), F.floor(F.col("sv") / 1000) % 1000, F.col("sv") % 1000)
+    half = lambda c: F.floor(c / 2)
+    for to in [(half(z) * 1000 + half(y)) * 1000 + half(x)] * (SYNAPSE_LEVELS - 2) + [F.lit(0)]:
+        found.append(synapses.merged(found[-1], to).stored(scratch))
+    return found
+
+
+@query("synapse_graph", fx.with_("voxels", "points", "synapses", more=LEVEL_SQL) + "SELECT level, sv, pre_gt, pre_seg, gt AS post_gt, seg AS post_seg, count(*) AS n FROM begun JOIN placed p USING (level, sv) WHERE p.point_id = post AND gt <> 0 GROUP BY ALL")
+def _(s, d):
+    return reduce(DataFrame.union, [g.edges.select(F.lit(k).cast("long").alias("level"), *synapses.EDGE, "n") for k, g in enumerate(synapse_levels(s, d))])
+
+
+@query("synapse_leftovers", fx.with_("voxels", "points", "synapses", more=LEVEL_SQL) + """
+-- an end without ground truth settles a connection only in the subvolume where both ends are
+SELECT level, sv, 'out' AS kind, count(*) AS n FROM begun b WHERE NOT EXISTS (SELECT 1 FROM placed p WHERE p.level = b.level AND p.sv = b.sv AND p.point_id = b.post AND (p.gt <> 0 OR p.home = b.home)) GROUP BY 1, 2
+UNION ALL SELECT level, sv, 'in', count(*) FROM synapses JOIN placed e ON e.point_id = post
+WHERE e.gt <> 0 AND NOT EXISTS (SELECT 1 FROM placed p WHERE p.level = e.level AND p.sv = e.sv AND p.point_id = pre AND (p.gt <> 0 OR p.home = e.home)) GROUP BY 1, 2""")
+def _(s, d):
+    part = lambda k, f, kind: f.groupBy("sv").agg(F.sum("n").alias("n")).select(F.lit(k).cast("long").alias("level"), "sv", F.lit(kind).alias("kind"), "n")
+    return reduce(DataFrame.union, [part(k, f, kind) for k, g in enumerate(synapse_levels(s, d)) for f, kind in ((g.going_out, "out"), (g.coming_in, "in"))])
+
+
 # -- grid algebra
 
 
