@@ -574,10 +574,13 @@ def _(s, d):
     return volume.rescale(fx.voxels(s, d), 1, 0, "seg").select("z", "y", "x", "seg")
 
 
-@query("blockwise_boxes", """SELECT bz, by, bx, greatest(2, bz * 7) AS z0, greatest(3, by * 8) AS y0, greatest(-5, bx * 9) AS x0, least(23, bz * 7 + 7) AS z1, least(24, by * 8 + 8) AS y1, least(20, bx * 9 + 9) AS x1
-FROM range(0, 4) a(bz), range(0, 3) b(by), range(-1, 3) c(bx)""")
+@query("blockwise_boxes", fx.with_("voxels", more="""box AS (SELECT min(z) AS z0, min(y) AS y0, min(x) AS x0, max(z) + 1 AS z1, max(y) + 1 AS y1, max(x) + 1 AS x1 FROM voxels WHERE gt = 5 AND x < 13)""") + """
+SELECT bz, by, bx, greatest(z0, bz * 7) AS z0, greatest(y0, by * 8) AS y0, greatest(x0, bx * 9) AS x0, least(z1, bz * 7 + 7) AS z1, least(y1, by * 8 + 8) AS y1, least(x1, bx * 9 + 9) AS x1
+FROM box, unnest(range(z0 // 7, (z1 + 6) // 7)) a(bz), unnest(range(y0 // 8, (y1 + 7) // 8)) b(by), unnest(range(x0 // 9, (x1 + 8) // 9)) c(bx)""")
 def _(s, d):
-    return volume.boxes((2, 3, -5), (23, 24, 20), grid.Grid((7, 8, 9)), s)
+    own = fx.voxels(s, d).where("gt = 5 AND x < 13")
+    ends = own.agg(*[F.min(a) for a in grid.AXES], *[F.max(a) + 1 for a in grid.AXES]).first()  # one row
+    return volume.boxes(tuple(ends[:3]), tuple(ends[3:]), grid.Grid((7, 8, 9)), s)
 
 
 @query("drop_empty", fx.with_("voxels", more=f"cellsed AS (SELECT z, y, x, seg, {B8} FROM voxels WHERE z < 12 OR seg = 0)") + "SELECT bz, by, bx, count(*) AS n FROM cellsed c WHERE EXISTS (SELECT 1 FROM cellsed e WHERE e.seg <> 0 AND e.bz = c.bz AND e.by = c.by AND e.bx = c.bx) GROUP BY 1, 2, 3")
@@ -967,14 +970,24 @@ def _(s, d):
     return graph.edge_features(graph.rag_edges(v, "seg"), graph.rag_vertices(v.where("seg > 2"), "seg")).fillna(0)
 
 
-@query("connected_voxels", fx.with_("dense", more="""own AS (SELECT (z * n + y) * n + x AS id, label, x // 8 AS slab FROM dense, side_ WHERE label <> 0)""") + "SELECT label, min(id) AS component, count(*) AS n FROM own GROUP BY label, slab")
+#: Components of the dense volume: every voxel with all that it reaches.
+DENSE_PARTS = """own AS MATERIALIZED (SELECT (z * n + y) * n + x AS id, z, y, x, label FROM dense, side_ WHERE label <> 0),
+touch AS MATERIALIZED (SELECT a.id AS p, b.id AS q FROM own a JOIN own b ON b.label = a.label AND b.z = a.z + 1 AND b.y = a.y AND b.x = a.x
+  UNION ALL SELECT a.id, b.id FROM own a JOIN own b ON b.label = a.label AND b.z = a.z AND b.y = a.y + 1 AND b.x = a.x
+  UNION ALL SELECT a.id, b.id FROM own a JOIN own b ON b.label = a.label AND b.z = a.z AND b.y = a.y AND b.x = a.x + 1),
+ways AS MATERIALIZED (SELECT p, q FROM touch UNION ALL SELECT q, p FROM touch),
+reach AS (SELECT id AS p, id AS q FROM own UNION SELECT r.p, w.q FROM reach r JOIN ways w ON w.p = r.q),
+parts AS MATERIALIZED (SELECT label, component, count(*) AS size FROM (SELECT p AS id, min(q) AS component FROM reach GROUP BY 1) JOIN own USING (id) GROUP BY 1, 2)"""
+
+
+@query("connected_voxels", fx.with_("dense", more=DENSE_PARTS) + "SELECT label, component, size AS n FROM parts")
 def _(s, d):
     c = graph.connected_voxels(fx.dense(s, d), "label", fx.shape(s, d))
     return c.groupBy("label", "component").agg(F.count("*").alias("n"))
 
 
-@query("split_disconnected", fx.with_("dense", more="""parts AS (SELECT label, min((z * n + y) * n + x) AS component, count(*) AS size FROM dense, side_ WHERE label <> 0 GROUP BY label, x // 8),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY size DESC, component) AS place FROM parts)""") + "SELECT label AS part, label, size FROM ranked WHERE place = 1 UNION ALL SELECT 8 + row_number() OVER (ORDER BY label, component), label, size FROM ranked WHERE place > 1")
+@query("split_disconnected", fx.with_("dense", more=f"""{DENSE_PARTS},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY size DESC, component) AS place FROM parts)""") + "SELECT label AS part, label, size FROM ranked WHERE place = 1 UNION ALL SELECT (SELECT max(label) FROM parts) + row_number() OVER (ORDER BY label, component), label, size FROM ranked WHERE place > 1")
 def _(s, d):
     return graph.split_disconnected(fx.dense(s, d), "label", fx.shape(s, d))[1]
 
@@ -1092,19 +1105,33 @@ def _(s, d):
     return segmentation.preserve_bodies(v.select("z", "y", "x", F.col("gt").alias("label")), v.select("z", "y", "x", F.col("seg").alias("label")), [1, 2], "label")
 
 
-@query("watershed", fx.with_("dense") + f"SELECT z, y, x, {B8}, CAST(1 + CAST(x % 8 > 3 AS INT) AS DOUBLE) AS label FROM dense")
+def with_walls(s, d, block: int, nearest: int, span: int) -> DataFrame:
+    """The dense volume with, in each block, the place along x of a wall: from the sum of the block's labels."""
+    v = fx.dense(s, d).withColumns({f"b{a}": grid.cell(a, block) for a in grid.AXES})
+    walls = v.groupBy("bz", "by", "bx").agg((nearest + F.sum("label") % span).alias("wall"))
+    return v.join(walls, ["bz", "by", "bx"]).select("z", "y", "x", "label", (F.col("x") % block == F.col("wall")).alias("wall"))
+
+
+def walls_sql(block: int, nearest: int, span: int, nearer: str) -> str:
+    """split (z, y, x, label): 1 before the wall of a block and 2 after it. A voxel of the wall is flooded from the side whose value is lower, from before it among equals."""
+    return f"""beside AS (SELECT z, y, x, label AS v, z // {block} AS cz, y // {block} AS cy, x // {block} AS cx, x % {block} AS px,
+  CASE WHEN (x + 1) % {block} <> 0 THEN lead(label) OVER (PARTITION BY z, y ORDER BY x) END AS v_next, lag(label) OVER (PARTITION BY z, y ORDER BY x) AS v_last FROM dense),
+wall AS (SELECT cz, cy, cx, {nearest} + CAST(sum(v) AS BIGINT) % {span} AS wall FROM beside GROUP BY 1, 2, 3),
+split AS (SELECT z, y, x, CASE WHEN px < wall THEN 1 WHEN px > wall THEN 2 WHEN coalesce({nearer}, FALSE) THEN 2 ELSE 1 END AS label FROM beside JOIN wall USING (cz, cy, cx))"""
+
+
+@query("watershed", fx.with_("dense", more=walls_sql(8, 2, 4, "v_next < v_last")) + f"SELECT z, y, x, {B8}, CAST(label AS DOUBLE) AS label FROM split")
 def _(s, d):
-    # a wall within each block: the seed before it comes first and floods it
-    g = fx.dense(s, d).withColumn("v", F.when(F.col("x") % 8 == 3, 1.0).otherwise(0.0))
+    g = with_walls(s, d, BLOCK, 2, 4).withColumn("v", F.when(F.col("wall"), 1.0).otherwise(F.col("label") / 20))
     return segmentation.run_step(g, "seeded-watershed", "v", "label", BLOCK, threshold=0.5, seed_size=4)
 
 
 B12 = B8.replace("8.0", "12.0")
 
 
-@query("segment_pipeline", fx.with_("dense") + f"SELECT z, y, x, {B12}, CAST(1 + x // 8 - (12 * (x // 12)) // 8 AS DOUBLE) AS label FROM dense")
+@query("segment_pipeline", fx.with_("dense", more=walls_sql(12, 1, 3, "v_next > v_last")) + f"SELECT z, y, x, {B12}, CAST(label AS DOUBLE) AS label FROM split")
 def _(s, d):
-    g = fx.dense(s, d).withColumn("v", F.when(F.col("label") == 0, 0).otherwise(F.col("label") * 10 + 100))
+    g = with_walls(s, d, 12, 1, 3).withColumn("v", F.when(F.col("wall"), 0).otherwise(F.col("label") * 10 + 100))
     return segmentation.segment(g, "v", 12, [("membranes", {}), ("seeded-watershed", {"threshold": 0.6}), ("keep", {})])
 
 
@@ -1159,12 +1186,13 @@ def _(s, d):
     return tiles.pyramid(fx.dense(s, d).withColumn("v", F.col("label") * 20), "v", 16, 2).withColumn("image", F.md5(F.hex("image")))
 
 
-@query("data_source", fx.with_("dense") + "SELECT z, y, x, label FROM dense")
+@query("data_source", fx.with_("voxels") + "SELECT 1 + 4 * CAST(z >= n // 2 AS BIGINT) + 2 * CAST(y >= n // 2 AS BIGINT) + CAST(x >= n // 2 AS BIGINT) AS label, gt, count(*) AS n FROM voxels, side_ WHERE x % 8 <> 7 GROUP BY 1, 2")
 def _(s, d):
     from voxelith.sources import volume_source
 
     volume_source.register(s)
-    return s.read.format("voxelith").option("shape", ",".join(map(str, fx.shape(s, d)))).option("block", "10").load()
+    cube = s.read.format("voxelith").option("shape", ",".join(map(str, fx.shape(s, d)))).option("block", "10").load()
+    return cube.where("label <> 0").join(fx.voxels(s, d), ["z", "y", "x"]).groupBy("label", "gt").agg(F.count("*").alias("n"))
 
 
 @query("stream_windows", "SELECT CAST(epoch(time_bucket(INTERVAL '1 hour', ts)) AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
@@ -1192,12 +1220,14 @@ def _(s, d):
     return workflows.sample_points(fx.points(s, d), coarse, "seg", 1)["points"].select("point_id", "z", "y", "x", "label")
 
 
-# walls at x % 8 = 5 lie within blocks of 12, so slabs agree in all blocks that share them; a slab has the least of its names
+# walls at x % 8 = 5 lie within blocks of 12, so slabs agree in all blocks that share them; a slab has the least of its names.
+# Grey values are of the labels, and a voxel of a wall goes to the brighter side
 @query("wf_create_segmentation", fx.with_("dense", more="""b AS (SELECT bx, greatest(0, 12 * bx - 1) AS lo, least(n - 1, 12 * bx + 12) AS hi FROM side_, unnest(range((n + 11) // 12)) r(bx)),
 o AS (SELECT *, coalesce(sum((hi + 2) // 8 - (lo + 2) // 8 + 1) OVER (ORDER BY bx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM b),
-named AS (SELECT slab, CAST(min(above + slab - (lo + 2) // 8 + 1) AS BIGINT) AS label FROM o, unnest(range((lo + 2) // 8, (hi + 2) // 8 + 1)) s(slab) GROUP BY 1)""") + "SELECT z, y, x, named.label FROM dense JOIN named ON slab = (x + 2) // 8")
+named AS (SELECT slab, CAST(min(above + slab - (lo + 2) // 8 + 1) AS BIGINT) AS label FROM o, unnest(range((lo + 2) // 8, (hi + 2) // 8 + 1)) s(slab) GROUP BY 1),
+flooded AS (SELECT z, y, x, (x + 2) // 8 + CASE WHEN x % 8 = 5 AND coalesce(lead(label) OVER line > lag(label) OVER line, FALSE) THEN 1 ELSE 0 END AS slab FROM dense WINDOW line AS (PARTITION BY z, y ORDER BY x))""") + "SELECT z, y, x, named.label FROM flooded JOIN named USING (slab)")
 def _(s, d):
-    g = fx.dense(s, d).withColumn("v", F.when(F.col("x") % 8 == 5, 0).otherwise(200))
+    g = fx.dense(s, d).withColumn("v", F.when(F.col("x") % 8 == 5, 0).otherwise(150 + 6 * F.col("label")))
     return workflows.create_segmentation(g, "v", 12, [("membranes", {}), ("seeded-watershed", {"threshold": 0.5})], "simple", 1)["voxels"]
 
 
@@ -1212,7 +1242,7 @@ def _(s, d):
     return out["edges"].select(F.lit("edge").alias("kind"), "u", "v", F.col("weight").alias("n")).union(out["vertices"].select(F.lit("vertex"), "id", F.lit(-1).cast("long"), "size"))
 
 
-@query("wf_connected_components", fx.with_("dense", more="""parts AS (SELECT label, min((z * n + y) * n + x) AS component, count(*) AS size FROM dense, side_ WHERE label <> 0 GROUP BY label, x // 8)""") + "SELECT count(*) AS parts, CAST(sum(size) AS BIGINT) AS voxels, min(size) AS least, max(size) AS most, max(label) + count(*) - count(DISTINCT label) AS top FROM parts")
+@query("wf_connected_components", fx.with_("dense", more=DENSE_PARTS) + "SELECT count(*) AS parts, CAST(sum(size) AS BIGINT) AS voxels, min(size) AS least, max(size) AS most, max(label) + count(*) - count(DISTINCT label) AS top FROM parts")
 def _(s, d):
     out = workflows.connected_components(fx.dense(s, d), "label", fx.shape(s, d))
     return out["parts"].agg(F.count("*").alias("parts"), F.sum("size").alias("voxels"), F.min("size").alias("least"), F.max("size").alias("most"), F.max("part").alias("top"))
@@ -1392,9 +1422,9 @@ def _(s, d):
     return graph.eligible(stitch_counts(s, d), graph.on_plane(v, "gt", "z", 5), graph.on_plane(v, "seg", "z", 6), [2, 3])
 
 
-@query("gray_only", fx.with_("dense") + f"SELECT z, y, x, {B8}, CAST(1 + CAST(x % 8 > 3 AS INT) AS DOUBLE) AS label FROM dense")
+@query("gray_only", fx.with_("dense", more=walls_sql(8, 2, 4, "v_next > v_last")) + f"SELECT z, y, x, {B8}, CAST(label AS DOUBLE) AS label FROM split")
 def _(s, d):
-    g = fx.dense(s, d).withColumn("v", F.when(F.col("x") % 8 == 3, 10.0).otherwise(200.0))
+    g = with_walls(s, d, BLOCK, 2, 4).withColumn("v", F.when(F.col("wall"), 10.0).otherwise(180.0 + 2 * F.col("label")))
     return segmentation.run_step(g, "gray-only", "v", "label", BLOCK)
 
 

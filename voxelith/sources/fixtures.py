@@ -47,12 +47,11 @@ def voxels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(z, y, x, label) of the full cube; planes of 0 at every eighth x, else the octant plus 1."""
+    """(z, y, x, label) of the full cube: gt of the voxels, folded into 1 to 8, and 0 where it has none. A third of them are one label; all labels are shattered."""
     n = side(spark, sf_dir)
-    half = n // 2
     cells = spark.range(n**3).select(F.floor(F.col("id") / float(n * n)).cast("long").alias("z"), (F.floor(F.col("id") / float(n)) % n).cast("long").alias("y"), (F.col("id") % n).alias("x"))
-    octant = 1 + 4 * (F.col("z") >= half).cast("long") + 2 * (F.col("y") >= half).cast("long") + (F.col("x") >= half).cast("long")
-    return cells.withColumn("label", F.when(F.col("x") % 8 == 7, F.lit(0).cast("long")).otherwise(octant))
+    label = F.when(F.col("gt") > 0, 1 + (F.col("gt") - 1) % 8).otherwise(0).cast("long")
+    return cells.join(voxels(spark, sf_dir).select("z", "y", "x", "gt"), ["z", "y", "x"], "left").select("z", "y", "x", label.alias("label"))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +75,9 @@ def synapses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(label, body) for small labels, pairs of consecutive ones under the smaller."""
-    return spark.range(1, 9).select(F.col("id").alias("label"), (F.col("id") - (F.col("id") + 1) % 2).alias("body"))
+    """(label, body) for the small labels that suppliers' numbers give, 1 to 8, pairs of consecutive ones under the smaller."""
+    label = (1 + F.col("l_suppkey") % 8).cast("long")
+    return table(spark, sf_dir, "lineitem").select(label.alias("label")).distinct().select("label", (F.col("label") - (F.col("label") + 1) % 2).alias("body"))
 
 
 #: The same relations for SQL. Each but `side_` and `mapping` takes the cube's side n from side_.
@@ -90,18 +90,19 @@ CTE = {
 named_ AS (SELECT *, CAST(CASE WHEN p % 7 = 0 THEN 0 WHEN p % 3 = 0 THEN 1 ELSE 2 + p % (n // 2) END AS BIGINT) AS gt FROM cells_),
 voxels AS (SELECT z, y, x, gt, CAST(CASE WHEN s % 9 = 0 THEN 0 WHEN s % 4 = 1 OR gt = 0 THEN 3 + s % 9 WHEN gt <= 2 THEN 1 ELSE gt END AS BIGINT) AS seg FROM named_)""",
     "dense": """dense AS (
-  SELECT z, y, x, CASE WHEN x % 8 = 7 THEN 0 ELSE 1 + 4 * CAST(z >= n // 2 AS BIGINT) + 2 * CAST(y >= n // 2 AS BIGINT) + CAST(x >= n // 2 AS BIGINT) END AS label
-  FROM side_, unnest(range(n)) a(z), unnest(range(n)) b(y), unnest(range(n)) c(x))""",
+  SELECT z, y, x, CASE WHEN gt > 0 THEN 1 + (gt - 1) % 8 ELSE 0 END AS label
+  FROM side_, unnest(range(n)) a(z), unnest(range(n)) b(y), unnest(range(n)) c(x) LEFT JOIN (SELECT z AS vz, y AS vy, x AS vx, gt FROM voxels) ON vz = z AND vy = y AND vx = x)""",
     "edges": """edges AS (
   SELECT DISTINCT least(p, q) AS u, greatest(p, q) AS v
   FROM (SELECT l_orderkey AS p, CASE WHEN l_orderkey % 3 = 0 THEN 3 + 3 * (l_suppkey % 4) ELSE CAST(floor(l_orderkey / 60.0) AS BIGINT) * 60 + 3 * (l_partkey % 20) + l_orderkey % 3 END AS q FROM lineitem) WHERE p <> q)""",
     "points": """points AS (
   SELECT o_orderkey AS point_id, o_orderkey % n AS z, CAST(floor(o_orderkey / CAST(n AS DOUBLE)) AS BIGINT) % n AS y, o_custkey % n AS x FROM orders, side_)""",
     "synapses": """synapses AS (SELECT a.o_orderkey AS pre, b.o_orderkey AS post FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1)""",
-    "mapping": """mapping AS (SELECT label, label - (label + 1) % 2 AS body FROM range(1, 9) t(label))""",
+    "mapping": """mapping AS (SELECT label, label - (label + 1) % 2 AS body FROM (SELECT DISTINCT 1 + l_suppkey % 8 AS label FROM lineitem))""",
 }
 
 
 def with_(*names: str, more: str = "") -> str:
-    """A WITH clause of fixtures; more: further expressions."""
+    """A WITH clause of fixtures; more: further expressions. The dense volume needs the voxels."""
+    names = ("voxels", *names) if "dense" in names and "voxels" not in names else names
     return "WITH RECURSIVE " + ",\n".join([CTE["side_"], *(CTE[n] for n in names), *([more] if more else [])]) + "\n"
