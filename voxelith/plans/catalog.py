@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from voxelith.functions import grid
 from voxelith.functions.numbers import exact_sum
-from voxelith.operators import bodies, evaluation, graph, matching, overlap, segmentation, stitching, synapses, tiles, volume
+from voxelith.operators import agglomeration, bodies, evaluation, graph, matching, overlap, segmentation, stitching, synapses, tiles, volume
 from voxelith.plans import workflows
 from voxelith.sources import fixtures as fx
 from voxelith.sources.scratch import Scratch, shared_dir
@@ -1340,6 +1340,59 @@ def _(s, d):
     return workflows.edge_probabilities(fx.voxels(s, d), "seg", score)["edges"]
 
 
+GREY = "grey AS (SELECT z, y, x, seg, (gt * 37 + seg * 11 + 5 * x + 3 * y) % 256 AS v FROM voxels)"
+BINS_SQL = ", ".join(f"CAST(sum(CAST(least(v // 32, 7) = {i} AS INT)) AS BIGINT) AS h{i}" for i in range(8))
+EDGES = f"""{GREY},
+sides AS (SELECT a.seg AS p, b.seg AS q, greatest(a.v, b.v) AS v FROM grey a JOIN grey b ON b.z = a.z + 1 AND b.y = a.y AND b.x = a.x
+  UNION ALL SELECT a.seg, b.seg, greatest(a.v, b.v) FROM grey a JOIN grey b ON b.z = a.z AND b.y = a.y + 1 AND b.x = a.x
+  UNION ALL SELECT a.seg, b.seg, greatest(a.v, b.v) FROM grey a JOIN grey b ON b.z = a.z AND b.y = a.y AND b.x = a.x + 1),
+bounds AS MATERIALIZED (SELECT least(p, q) AS u, greatest(p, q) AS v2, count(*) AS n, CAST(sum(v) AS BIGINT) AS total, CAST(sum(v * v) AS BIGINT) AS squares, min(v) AS low, max(v) AS high, {BINS_SQL}
+  FROM sides WHERE p <> q AND p <> 0 AND q <> 0 GROUP BY 1, 2)"""
+#: Mean along a boundary up to which regions merge, and rounds that are enough for that in the fixture.
+MERGE_BELOW, MERGE_ROUNDS = 150.0, 14
+
+
+def grey(s, d) -> DataFrame:
+    return fx.voxels(s, d).select("z", "y", "x", "seg", ((F.col("gt") * 37 + F.col("seg") * 11 + 5 * F.col("x") + 3 * F.col("y")) % 256).alias("v"))
+
+
+def merging_sql() -> str:
+    """merged (label, body), a common table expression for each round."""
+    out = """e0 AS MATERIALIZED (SELECT u, v2 AS v, n, total FROM bounds),
+m0 AS MATERIALIZED (SELECT DISTINCT label, label AS body FROM (SELECT u AS label FROM e0 UNION SELECT v FROM e0))"""
+    for k in range(MERGE_ROUNDS):
+        out += f""",
+ends{k} AS (SELECT node, u, v FROM (SELECT u AS node, u, v, total / n AS mean FROM e{k} UNION ALL SELECT v, u, v, total / n FROM e{k}) QUALIFY row_number() OVER (PARTITION BY node ORDER BY mean, u, v) = 1),
+join{k} AS MATERIALIZED (SELECT e.u AS kept, e.v AS gone FROM e{k} e JOIN ends{k} a ON a.node = e.u AND a.u = e.u AND a.v = e.v JOIN ends{k} b ON b.node = e.v AND b.u = e.u AND b.v = e.v WHERE total / n <= {MERGE_BELOW}),
+e{k + 1} AS MATERIALIZED (SELECT least(a, b) AS u, greatest(a, b) AS v, CAST(sum(n) AS BIGINT) AS n, CAST(sum(total) AS BIGINT) AS total
+  FROM (SELECT coalesce(p.kept, u) AS a, coalesce(q.kept, v) AS b, n, total FROM e{k} LEFT JOIN join{k} p ON p.gone = u LEFT JOIN join{k} q ON q.gone = v) WHERE a <> b GROUP BY 1, 2),
+m{k + 1} AS MATERIALIZED (SELECT label, coalesce(kept, body) AS body FROM m{k} LEFT JOIN join{k} ON gone = body)"""
+    return f"{out},\nmerged AS (SELECT label, body FROM m{MERGE_ROUNDS})"
+
+
+@query("boundary_features", fx.with_("voxels", more=EDGES) + f"SELECT u, v2 AS v, n, total, squares, low, high, {', '.join(f'h{i}' for i in range(8))}, round(total / n, 4) AS mean, round(squares / n - (total / n) * (total / n), 4) AS variance FROM bounds")
+def _(s, d):
+    # by slabs of eight planes with the first of the next, whose features add up
+    v = grey(s, d)
+    parts = v.withColumn("part", F.floor(F.col("z") / 8.0).cast("long")).union(v.where("z % 8 = 0 AND z > 0").withColumn("part", (F.floor(F.col("z") / 8.0) - 1).cast("long")))
+    faces = agglomeration.boundary_features(parts, "seg", "v", ("part",))
+    # what lies in the shared plane alone is in both parts: it is taken off the one that only borrows it
+    twice = agglomeration.boundary_features(v.where("z % 8 = 0 AND z > 0").withColumn("part", F.col("z")), "seg", "v", ("part",))
+    minus = twice.select("u", "v", *[(-F.col(c)).alias(c) if c not in ("low", "high") else F.col(c) for c in twice.columns[3:]])
+    every = agglomeration.described(agglomeration.combined(faces.drop("part").union(minus), "u", "v"))
+    return every.withColumns({"mean": F.round("mean", 4), "variance": F.round("variance", 4)})
+
+
+@query("agglomerated", fx.with_("voxels", more=f"{EDGES},\n{merging_sql()}") + "SELECT label, body FROM merged")
+def _(s, d):
+    return agglomeration.agglomerated(agglomeration.boundary_features(grey(s, d), "seg", "v"), MERGE_BELOW)
+
+
+@query("wf_edge_features", fx.with_("voxels", more=f"{EDGES},\ninner_ AS (SELECT seg AS id, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM grey WHERE seg <> 0 GROUP BY 1)") + "SELECT u, v2 AS v, round(1 - b.total / (b.n * 255), 6) AS p, b.n FROM bounds b JOIN inner_ i ON i.id = u JOIN inner_ j ON j.id = v2")
+def _(s, d):
+    return workflows.edge_probabilities(grey(s, d), "seg", intensity="v")["edges"]
+
+
 @query("wf_stitched_meshes", fx.with_("dense", more=f"m AS (SELECT label AS l, label - (label + 1) % 2 AS body FROM range(1, 9) t(label)),\n{faces_sql('label <> 0')},\n{CORNERS}") + "SELECT label, count(*) AS vertices, round(sum(vz) + sum(vy) + sum(vx), 3) AS total FROM (SELECT DISTINCT label, vz, vy, vx FROM corners) GROUP BY 1")
 def _(s, d):
     out = workflows.create_stitched_meshes(fx.dense(s, d), "label", fx.mapping(s, d), block=BLOCK, smooth=False)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelith.functions.grid import Grid, pyramid_depth
-from voxelith.operators import bodies, evaluation, graph, matching, overlap, segmentation, tiles, volume
+from voxelith.operators import agglomeration, bodies, evaluation, graph, matching, overlap, segmentation, tiles, volume
 from voxelith.sources.scratch import Scratch
 
 Frames = dict[str, DataFrame]
@@ -60,9 +60,18 @@ def compute_graph(df: DataFrame, value: str) -> Frames:
 
 
 @workflow
-def edge_probabilities(df: DataFrame, value: str, score: Callable[[DataFrame], DataFrame]) -> Frames:
-    """score: a function of edges with the features of both ends; the model itself is the caller's."""
-    return {"edges": score(graph.edge_features(graph.rag_edges(df, value), graph.rag_vertices(df, value)))}
+def edge_probabilities(df: DataFrame, value: str, score: Callable[[DataFrame], DataFrame] | None = None, intensity: str | None = None, threshold: float | None = None) -> Frames:
+    """score: a function of edges with the features of both ends; the model itself is the caller's.
+
+    With an intensity, edges and regions have its features along boundaries and inside, and without a score the mean along
+    a boundary gives the probability; with a threshold also (label, body) of regions merged by those means.
+    """
+    if intensity is None:
+        return {"edges": score(graph.edge_features(graph.rag_edges(df, value), graph.rag_vertices(df, value)))}
+    scratch = Scratch(df.sparkSession, "edges")
+    edges, regions = (scratch.store(f(df, value, intensity)) for f in (agglomeration.boundary_features, agglomeration.region_features))
+    out = {"edges": (score or agglomeration.boundary_probability)(agglomeration.with_ends(edges, regions)), "vertices": regions}
+    return out if threshold is None else out | {"bodies": agglomeration.agglomerated(edges, threshold)}
 
 
 @workflow
