@@ -499,7 +499,7 @@ def test_language_id(docs, empty, spark):
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
-def plain_language(train, ask, kept=langid.KEPT):
+def plain_language(train, ask):
     """Predictions with dictionaries: train (text, lang), all of which is counted."""
     from collections import Counter, defaultdict
 
@@ -507,10 +507,9 @@ def plain_language(train, ask, kept=langid.KEPT):
     found = lambda t: re.findall(r"[^\W\d_]+", t.lower())
     words = {lang: Counter(w for t, of in train if of == lang for w in found(t)) for lang in langs}
     pieces = {lang: Counter((n, g) for w, k in words[lang].items() for n in range(1, 6) for g in langid.grams(w, n) for _ in range(k)) for lang in langs}
-    least = lambda counts: dict(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:kept])
-    tables = [{lang: least(words[lang]) for lang in langs}] + [{lang: {} for lang in langs} for _ in range(5)]
+    tables = [words] + [{lang: {} for lang in langs} for _ in range(5)]
     for lang in langs:
-        for (n, g), k in least(pieces[lang]).items():
+        for (n, g), k in pieces[lang].items():
             tables[n][lang][g] = k
     every = [{item for lang in langs for item in t[lang]} for t in tables]
     log = lambda n, item, lang: math.log((tables[n][lang].get(item, 0) + 0.5) / (sum(tables[n][lang].values()) + 0.5 * (len(every[n]) + 1)))
@@ -529,15 +528,14 @@ def plain_language(train, ask, kept=langid.KEPT):
     return out
 
 
-@pytest.mark.parametrize("kept", [langid.KEPT, 40])
-def test_language_by_brute_force(spark, kept):
+def test_language_by_brute_force(spark):
     rnd = random.Random(23)
     langs = {f"l{i}": ["".join(rnd.choice("abcdefghijklmno"[i % 5 : i % 5 + 9]) for _ in range(rnd.randrange(2, 8))) for _ in range(60)] for i in range(12)}
     train = [(" ".join(rnd.choice(v) for _ in range(rnd.randrange(1, 30))), lang) for lang, v in langs.items() for _ in range(10)]
     ask = [(i, " ".join(rnd.choice(langs[f"l{rnd.randrange(12)}"]) + rnd.choice(("", "q", "abc")) for _ in range(rnd.randrange(0, 12)))) for i in range(200)]
-    model = langid.train(spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(train)], "doc_id long, text string, lang string"), kept=kept)
+    model = langid.train(spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(train)], "doc_id long, text string, lang string"))
     got_ = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(spark.createDataFrame(ask, "doc_id long, text string"), model).collect()}
-    expected = plain_language(train, ask, kept)
+    expected = plain_language(train, ask)
     assert got_.keys() == expected.keys()
     for i, (lang, score) in expected.items():
         assert got_[i][1] == pytest.approx(score, abs=1e-3) and (got_[i][0] == lang or abs(score - 0.5) < 1e-2), i
@@ -555,6 +553,17 @@ def test_every_language_is_learned(spark):
     assert out == {i: f"x{i}" for i in picked}
 
 
+def test_all_words_of_the_sample_are_known(spark):
+    """More words than any bound on a model's size would leave: each, met once, tells its language."""
+    name = lambda lang, i: "".join(chr(ord("a") + int(d)) for d in f"{i:05d}") + lang
+    train = [(1000 * k + i, " ".join(name(lang, 100 * i + j) for j in range(100)), lang) for k, lang in enumerate(("de", "en")) for i in range(300)]
+    model = langid.train(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    assert len(model.tables[0]) == 60_000
+    ask = [(i, name(("de", "en")[i % 2], i)) for i in range(0, 30_000, 997)]
+    out = {r.doc_id: r.lang_pred for r in langid.predict(spark.createDataFrame(ask, "doc_id long, text string"), model).collect()}
+    assert out == {i: ("de", "en")[i % 2] for i, _ in ask}
+
+
 def test_language_of_unseen_words_backs_off():
     model = langid.Model(["a", "b"], [(0, "a", "known", 5), (3, "a", "xyz", 2), (3, "b", "xyz", 9), (1, "b", "q", 4)])
     assert model.word("known").argmax() == 0 and model.word("xyz").argmax() == 1 and model.word("qq").argmax() == 1
@@ -615,8 +624,8 @@ def plain_kneser_ney(texts):
     """Log-probability of a text by dictionaries over symbols, the model counted on texts."""
     from collections import Counter, defaultdict
 
-    symbols = lambda t: [quality.symbol_of(c) if ord(c) < 1 << 16 else chr(quality.SPARE + ord(c) % quality.SPARES) for c in t]
-    grams = lambda t: [tuple((["start"] * 3 + symbols(t))[i : i + 4]) for i in range(len(t))]
+    symbols = lambda t: [u for c in t for u in ([quality.symbol_of(c)] if ord(c) < 1 << 16 else [c.encode("utf-16-le")[:2], c.encode("utf-16-le")[2:]])]
+    grams = lambda t: [tuple((["start"] * 3 + symbols(t))[i : i + 4]) for i in range(len(symbols(t)))]
     tables = {4: Counter(g for t in texts for g in grams(t))}
     for k in (3, 2, 1):
         tables[k] = Counter(g[1:] for g in tables[k + 1])
@@ -648,19 +657,36 @@ def test_kneser_ney(spark, monkeypatch, lot):
     monkeypatch.setattr(quality, "LOT_CHARS", lot)
     rnd = random.Random(31)
     han = ["".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(40)) for _ in range(30)]
-    texts = ["abracadabra", "abba", "cadabra 12", "Barb", *han[:20], *(words(rnd, 30) for _ in range(30))]
+    # two scripts beyond the first plane, whose characters differ by a multiple of any number of shared symbols
+    far = ["".join(chr(0x10000 + 0x2100 * k + rnd.randrange(40)) for _ in range(30)) for k in (0, 7) for _ in range(12)]
+    texts = ["abracadabra", "abba", "cadabra 12", "Barb", *han[:20], *far[:10], *(words(rnd, 30) for _ in range(30))]
     tables = quality.kneser_ney(spark.createDataFrame([(t,) for t in texts], "text string").mapInArrow(quality._gram_counts, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), common.Scratch(spark, "test"))
     plain = plain_kneser_ney(texts)
     ask = [(1, "abracadabra"), (1, "zzz"), (1, "abracadabra"), (None, "bar"), (None, "cab"), (2, None), (3, ""), (4, "a"), (5, "\x00\U0001f600A9"), (6, "x" * 900), (7, "the of " * 200)]
-    ask += [(100 + i, t) for i, t in enumerate([*han, *(words(rnd, 20) for _ in range(10))])]
+    ask += [(100 + i, t) for i, t in enumerate([*han, *(words(rnd, 20) for _ in range(10))])] + [(200 + i, t) for i, t in enumerate(far)]
+    size = lambda t: len((t or "").encode("utf-16-le")) // 2
     df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(ask)], "doc_id long, text string, n int").repartition(3)
     for with_text in (False, True):
         out = {r.n: r for r in quality.scored(df, tables, "text", common.Scratch(spark, "test"), with_text).collect()}
         assert len(out) == len(ask)
         for n, (i, t) in enumerate(ask):
-            assert out[n].doc_id == i and out[n].n_symbols == len(t or "") and (not with_text or out[n].text == t)
-            assert out[n].log_perplexity == (pytest.approx(-plain(t) / len(t)) if t else None)
+            assert out[n].doc_id == i and out[n].n_symbols == size(t) and (not with_text or out[n].text == t)
+            assert out[n].log_perplexity == (pytest.approx(-plain(t) / size(t)) if t else None)
     assert len({round(out[n].log_perplexity, 9) for n, (i, _) in enumerate(ask) if i and 100 <= i < 130}) > 20
+    # the script that the model has not seen is the less likely one
+    known, unknown = ([out[n].log_perplexity for n, (i, _) in enumerate(ask) if i in r] for r in (range(200, 212), range(212, 224)))
+    assert max(known) < min(unknown)
+
+
+def test_perplexity_is_the_same_under_any_partitioning(spark, docs, labels):
+    found = []
+    for parts, shuffled in ((1, 4), (5, 3)):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+        try:
+            found.append(sorted(map(tuple, quality.classify(docs.repartition(parts), labels.repartition(parts)).collect()), key=repr))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert found[0] == found[1]
 
 
 def test_pieces_of_long_texts(monkeypatch):

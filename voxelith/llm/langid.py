@@ -5,9 +5,9 @@ longest known character n-grams: those of 5 characters if any is known, else tho
 is the language with the largest sum over its words.
 
 The model is fitted on a bounded sample: of each language about DOCS_PER_LANGUAGE labelled documents, chosen by
-a hash of the identifier, and of their words, and of their n-grams, the KEPT most frequent. Every labelled language
-is learned, and none takes room from another, so what is collected and broadcast is bounded by the number of
-languages; every document is scored.
+a hash of the identifier, and knows all their words and all the n-grams of those. Every labelled language is
+learned, and none takes room from another, so what is collected and broadcast is bounded by the samples, and not by
+the corpus; every document is scored.
 """
 
 from __future__ import annotations
@@ -18,15 +18,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Shared, short_batches, worker_state
 from .wordbpe import Numbers, portions
 
 DOCS_PER_LANGUAGE = 1_000
-#: Words of a language in the model, and n-grams.
-KEPT = 25_000
 GRAM = 5
 SMOOTH = 0.5
 UNKNOWN = "und"
@@ -135,7 +133,7 @@ class Model:
         return self.sums([[word]])[0]
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_language: int = DOCS_PER_LANGUAGE, kept: int = KEPT) -> Model:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """docs: those to learn from. Null languages and texts teach nothing."""
     labelled = short_batches(docs).select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).cast("string").alias("_text")).where("_lang IS NOT NULL AND _text IS NOT NULL")
     sizes = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").collect()  # one row a language
@@ -152,10 +150,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
         pieces = sums(words.select("lang", "item", "n").mapInArrow(_grams, _SCHEMA))
         rows = []
         for df in (words, pieces):
-            # the sample bounds what a language has here
-            rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "kind", "item"))
-            top = df.withColumn("_rank", rank).where(F.col("_rank") <= kept).toArrow()
-            rows += list(zip(*(top.column(c).to_pylist() for c in ("kind", "lang", "item", "n")), strict=True))
+            every = df.toArrow()  # the sample bounds it
+            rows += list(zip(*(every.column(c).to_pylist() for c in ("kind", "lang", "item", "n")), strict=True))
     finally:
         words.unpersist()
     return Model(languages, rows)
@@ -213,7 +209,7 @@ def held_out(id_col: str | Column) -> Column:
 
 
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of df: id, held_out, lang_pred, score, n_words.
+    """One row per row of df: id, held_out, lang_pred, score.
 
     A text that is null or has no letter is `und` with score 0; so is every text if nothing was learned. score
     is the share of the language among all, 0 to 1. A null identifier is not held out, and not learned from.
