@@ -1,7 +1,7 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 The model is over characters, four at a time: capitals are one symbol and digits another, any other character is its
-own, of whatever script. Its counts come from every second trusted document, by a hash, and stay tables throughout:
+own, of whatever script; one beyond the first plane is two symbols, those of its UTF-16 pair. Its counts come from every second trusted document, by a hash, and stay tables throughout:
 n-gram counts, continuation counts, context sums and discounts are aggregated and joined by context and by suffix in
 hash shards, order by order, which gives the interpolated probability of each n-gram seen and the back-off weight of
 each context.
@@ -33,8 +33,8 @@ from .common import Scratch, short_batches, small, worker_state
 ORDER = 4
 BITS = 16
 START = 0
-#: Where characters beyond the first plane have their symbols, by remainder: it holds no characters of its own.
-SPARE, SPARES = 0xD800, 0x2100
+#: Log-probabilities are whole multiples of this, so that their sums are exact and do not depend on any order.
+UNIT = 2.0**-24
 #: Characters that are counted at once: of a lot, or of a piece of a longer text. Documents of a lot.
 LOT_CHARS, LOT_DOCS = 4_000_000, 4_096
 #: Quantiles of log perplexity, and the factors by which the bounds are widened.
@@ -63,11 +63,15 @@ class Alphabet:
         self.table = np.array([ord(symbol_of(chr(c))) or 1 for c in range(1 << BITS)], np.uint16)
 
     def symbols(self, text: str) -> np.ndarray:
-        flat = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        low = flat < 1 << BITS
-        if low.all():
-            return self.table[flat]
-        return np.where(low, self.table[np.where(low, flat, 0)], SPARE + flat % SPARES).astype(np.uint16)
+        """text: of units()."""
+        return self.table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+
+def units(text: str) -> str:
+    """With a character for each UTF-16 unit, so that all fit 16 bits."""
+    if text.isascii() or max(text) < chr(1 << BITS):
+        return text
+    return np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16).astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
 
 
 def _pieces(texts: list[str]) -> Iterator[list[tuple[int, str, bool]]]:
@@ -131,7 +135,7 @@ def _alphabet() -> Alphabet:
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lot in _pieces(batch.column(0).to_pylist()):
+        for lot in _pieces(list(map(units, batch.column(0).to_pylist()))):
             codes, first, _, n = counted(_alphabet(), lot)
             yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(np.add.reduceat(n, first[:-1]))], names=["code", "n"])
 
@@ -144,6 +148,10 @@ def _context(code: str) -> Column:
     return F.shiftrightunsigned(code, BITS)
 
 
+def log_of(p: Column) -> Column:
+    return F.rint(F.log(p) / UNIT) * UNIT
+
+
 def kneser_ney(counts: DataFrame, scratch: Scratch) -> Tables:
     """counts (code, n) of ORDER-grams -> (k, code, p) of all grams seen, (k, context, gamma) of all contexts seen, the number of symbols, and the head.
 
@@ -162,7 +170,9 @@ def kneser_ney(counts: DataFrame, scratch: Scratch) -> Tables:
         y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
         d1, d2, d3 = (max(0.0, min(i, i - (i + 1) * y * (b / a))) if a and b else 0.5 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))
         discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        sums = rows.groupBy(_context("code").alias("context")).agg(F.sum("n").alias("total"), F.sum(discount).alias("held"))
+        # from whole counts, so that it is the same in any order
+        held = sum(F.sum(is_.cast("long")) * d for is_, d in ((F.col("n") == 1, d1), (F.col("n") == 2, d2), (F.col("n") > 2, d3)))
+        sums = rows.groupBy(_context("code").alias("context")).agg(F.sum("n").alias("total"), held.alias("held"))
         joined = rows.withColumn("context", _context("code")).join(sums, "context")
         own = (F.col("n") - discount) / F.col("total")
         gamma = F.col("held") / F.col("total")
@@ -174,7 +184,7 @@ def kneser_ney(counts: DataFrame, scratch: Scratch) -> Tables:
         grams.append(lower.select(F.lit(k).alias("k"), "code", "p"))
         contexts.append(sums.select(F.lit(k).alias("k"), "context", gamma.alias("gamma")))
     union = lambda frames: frames[0] if len(frames) == 1 else union([frames[0].union(frames[1]), *frames[2:]])
-    head = by_order[ORDER].orderBy(F.desc("n"), "code").limit(HEAD).select("code").join(lower, "code").select("code", F.log("p").alias("log_p")).orderBy("code").toArrow()
+    head = by_order[ORDER].orderBy(F.desc("n"), "code").limit(HEAD).select("code").join(lower, "code").select("code", log_of(F.col("p")).alias("log_p")).orderBy("code").toArrow()
     return scratch.store(union(grams)), scratch.store(union(contexts)), symbols, *(c.to_numpy() for c in head.columns)
 
 
@@ -194,7 +204,7 @@ def resolved(codes: DataFrame, tables: Tables) -> DataFrame:
             "code", F.coalesce("p", F.col("weight") * F.col("found")).alias("p"),
             F.when(F.col("p").isNull() & F.col("found").isNull(), F.col("weight") * F.coalesce("gamma", F.lit(1.0))).otherwise(F.col("weight")).alias("weight"),
         )
-    return rows.select("code", F.log(F.coalesce("p", F.col("weight") / symbols)).alias("log_p"))
+    return rows.select("code", log_of(F.coalesce("p", F.col("weight") / symbols)).alias("log_p"))
 
 
 def scored(df: DataFrame, tables: Tables, text_col: str, scratch: Scratch, with_text: bool = False) -> DataFrame:
@@ -237,7 +247,7 @@ def scored(df: DataFrame, tables: Tables, text_col: str, scratch: Scratch, with_
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([None], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["shard", "code", "body"])
 
         for batch in batches:
-            own, part, start, held = [t or "" for t in batch.column(0).to_pylist()], batch.select(batch.schema.names[not with_text :]), 0, sum(map(len, texts))
+            own, part, start, held = [units(t or "") for t in batch.column(0).to_pylist()], batch.select(batch.schema.names[not with_text :]), 0, sum(map(len, texts))
             for i, t in enumerate(own):
                 if texts and (held + len(t) > LOT_CHARS or len(texts) >= LOT_DOCS):
                     heads.append(part.slice(start, i - start))
@@ -347,7 +357,7 @@ def _judged(docs: DataFrame, labels: DataFrame, carried: list[str], id_col: str,
     back = [F.col("_text" if c == text_col else n).alias(c) for c, n in zip(carried, names, strict=True)]
     frame = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carried, names, strict=True) if c != text_col], F.col(f"`{lang_col}`").cast("string").alias("_lang"), F.col(f"`{text_col}`").alias("_text"))
     if tables is None:
-        out = frame.withColumns({"log_perplexity": F.lit(None).cast("double"), "n_symbols": F.length(F.coalesce("_text", F.lit(""))).cast("long"), "low": F.lit(None).cast("double"), "high": F.lit(None).cast("double")})
+        out = frame.withColumns({"log_perplexity": F.lit(None).cast("double"), "n_symbols": (F.length(F.coalesce("_text", F.lit(""))) + F.regexp_count(F.coalesce("_text", F.lit("")), F.lit(r"[\x{10000}-\x{10FFFF}]"))).cast("long"), "low": F.lit(None).cast("double"), "high": F.lit(None).cast("double")})
         return out.withColumn("kept", F.col("n_symbols") > 0).select(*back, "log_perplexity", "n_symbols", "low", "high", "kept")
     rows = thresholds(scored(calibration, tables, "text", scratch)).collect()  # one for each language with calibration documents
     every = next(r for r in rows if r["lang"] is None)
