@@ -1195,6 +1195,25 @@ def _(s, d):
     return cube.where("label <> 0").join(fx.voxels(s, d), ["z", "y", "x"]).groupBy("label", "gt").agg(F.count("*").alias("n"))
 
 
+@query("n5_source", fx.with_("voxels") + "SELECT z, y, x, gt AS label FROM voxels WHERE gt <> 0 AND z >= 5 AND z < 19 AND y > 2 AND y <= 17 AND x = 11")
+def _(s, d):
+    from voxelith.sources import chunked
+
+    path, n = own_folder(s, "n5"), fx.side(s, d)
+    chunked.write_n5(fx.voxels(s, d), f"{path}/s0", "gt", (n, n, n), block=8)
+    return s.read.format("voxelith-n5").load(f"{path}/s0").where("label <> 0 AND z >= 5 AND z < 19 AND y > 2 AND y <= 17 AND x = 11")
+
+
+@query("slices_source", fx.with_("voxels") + "SELECT z, count(*) AS n, CAST(sum(gt) AS BIGINT) AS total FROM voxels WHERE gt <> 0 AND z BETWEEN 3 AND 9 AND x < 20 GROUP BY 1")
+def _(s, d):
+    from voxelith.sources import chunked
+
+    path = own_folder(s, "slices")
+    chunked.write_slices(fx.voxels(s, d), f"{path}/z{{:05d}}.png", "gt", fx.shape(s, d))
+    stack = s.read.format("voxelith-slices").load(f"{path}/z{{:05d}}.png").where("label <> 0 AND z BETWEEN 3 AND 9 AND x < 20")
+    return stack.groupBy("z").agg(F.count("*").alias("n"), F.sum("label").alias("total"))
+
+
 @query("stream_windows", "SELECT CAST(epoch(time_bucket(INTERVAL '1 hour', ts)) AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def _(s, d):
     from voxelith.streaming import events

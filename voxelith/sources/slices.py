@@ -94,24 +94,10 @@ def write(df: DataFrame, path: str, value: str, shape: tuple[int, int, int]) ->
 
 
 def write_files(df: DataFrame, pattern: str, value: str, shape: tuple[int, int, int]) -> None:
-    """A file for each complete slice, named by the pattern (`.../z{:05d}.png` or `.pgm`), in a folder that every executor has mounted.
+    """A file for each complete slice, named by the pattern (`.../z{:05d}.png` or `.pgm`), in any store that pyarrow opens; files appear when all are written."""
+    from voxelith.sources import chunked
 
-    A file gets its name when it is complete, so a task that runs again replaces it by the same bytes.
-    """
-    prefix, number, suffix = split_pattern(pattern)
-
-    def put(rows) -> None:
-        import os
-        import uuid
-
-        for r in rows:
-            at = f"{prefix}{number.format(r.z)}{suffix}"
-            own = f"{at}.{uuid.uuid4().hex}"
-            with open(own, "wb") as f:
-                f.write(r.image)
-            os.replace(own, at)
-
-    images(df, value, shape, suffix.lower().endswith(".png")).foreachPartition(put)
+    chunked.write_slices(df, pattern, value, shape)
 
 
 def _pixels(value: str):
