@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from voxelith.functions import grid
 from voxelith.functions.numbers import exact_sum
-from voxelith.operators import agglomeration, bodies, evaluation, graph, matching, overlap, segmentation, stitching, synapses, tiles, volume
+from voxelith.operators import agglomeration, bodies, evaluation, graph, matching, meshes, overlap, segmentation, stitching, synapses, tiles, volume
 from voxelith.plans import workflows
 from voxelith.sources import fixtures as fx
 from voxelith.sources.scratch import Scratch, shared_dir
@@ -1158,6 +1158,31 @@ def _(s, d):
     return segmentation.smoothed(segmentation.faces(fx.dense(s, d).where("label IN (1, 8)"), "label"))
 
 
+@query("mesh_welded", fx.with_("dense", more=f"{faces_sql('label <> 0')},\n{CORNERS}") + """
+SELECT label, 2 * q.n AS triangles, c.n AS vertices, CAST(o.n AS DOUBLE) AS volume, CAST(0 AS BIGINT) AS open
+FROM (SELECT label, count(*) AS n FROM quads GROUP BY 1) q JOIN (SELECT label, count(*) AS n FROM (SELECT DISTINCT label, vz, vy, vx FROM corners) GROUP BY 1) c USING (label) JOIN (SELECT label, count(*) AS n FROM dense GROUP BY 1) o USING (label)""")
+def _(s, d):
+    return meshes.summary(meshes.triangles(fx.dense(s, d), "label", 16))
+
+
+# a face is split from its first corner to its last, which are in both triangles
+@query("mesh_normals", fx.with_("dense", more=f"{faces_sql('label IN (2, 7)')},\n{CORNERS}") + """
+SELECT label, CAST(vz AS DOUBLE) AS z, CAST(vy AS DOUBLE) AS y, CAST(vx AS DOUBLE) AS x, CAST(sum(CASE WHEN axis = 'z' THEN w ELSE 0 END) AS DOUBLE) AS nz, CAST(sum(CASE WHEN axis = 'y' THEN w ELSE 0 END) AS DOUBLE) AS ny, CAST(sum(CASE WHEN axis = 'x' THEN w ELSE 0 END) AS DOUBLE) AS nx
+FROM (SELECT *, (2 * side - 1) * CASE WHEN (vz, vy, vx) IN (first_, last_) THEN 2 ELSE 1 END AS w FROM (SELECT *, min((vz, vy, vx)) OVER one AS first_, max((vz, vy, vx)) OVER one AS last_ FROM corners WINDOW one AS (PARTITION BY label, axis, side, z, y, x)))
+GROUP BY label, vz, vy, vx""")
+def _(s, d):
+    return meshes.normals(meshes.triangles(fx.dense(s, d).where("label IN (2, 7)"), "label", 16))
+
+
+@query("mesh_simplified", fx.with_("voxels", more=mode_sql("voxels", "seg", 4.0)) + "SELECT label, 0 AS open, TRUE AS fewer, TRUE AS near FROM moded WHERE r = 1 AND label <> 0 GROUP BY 1")
+def _(s, d):
+    coarse = volume.downsample_mode(fx.voxels(s, d), 4, "seg")
+    before, after = (meshes.summary(meshes.triangles(coarse, "seg", 8, error)) for error in (None, 0.5))
+    both = before.join(after.select("label", F.col("triangles").alias("now"), F.col("volume").alias("is"), F.col("open").alias("left")), "label")
+    # an error of half a voxel over the whole surface, two triangles of which are one face
+    return both.select("label", F.col("left").cast("int").alias("open"), (F.col("now") <= F.col("triangles")).alias("fewer"), (F.abs(F.col("is") - F.col("volume")) <= 0.5 * F.col("triangles") / 2).alias("near"))
+
+
 # -- tiles, sources and streams
 
 

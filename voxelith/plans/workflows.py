@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelith.functions.grid import Grid, pyramid_depth
-from voxelith.operators import agglomeration, bodies, evaluation, graph, matching, overlap, segmentation, tiles, volume
+from voxelith.operators import agglomeration, bodies, evaluation, graph, matching, meshes, overlap, segmentation, tiles, volume
 from voxelith.sources.scratch import Scratch
 
 Frames = dict[str, DataFrame]
@@ -107,9 +107,15 @@ def create_meshes(df: DataFrame, value: str, mapping: DataFrame, block: int = 64
 
 
 @workflow
-def create_stitched_meshes(df: DataFrame, value: str, mapping: DataFrame, **options) -> Frames:
-    """Faces come from the whole volume's neighbours, so meshes have no seams; as create_meshes."""
-    return create_meshes(df, value, mapping, **options)
+def create_stitched_meshes(df: DataFrame, value: str, mapping: DataFrame, block: int = 64, error: float | None = None, share: float = 0.0, **options) -> Frames:
+    """create_meshes, whose faces come from the whole volume's neighbours, and triangle meshes of the kept bodies by blocks that fit without seams.
+
+    triangles are simplified up to an error, in voxels; normals are of their vertices over all blocks, obj is the text of each block.
+    """
+    out = create_meshes(df, value, mapping, block, **options)
+    named = df.join(out["groups"].select(F.col("segment").alias(value), "body"), value).select("z", "y", "x", "body")
+    mesh = meshes.triangles(named, "body", block, error, share)
+    return out | {"triangles": mesh, "normals": meshes.normals(mesh), "obj": meshes.obj_chunks(mesh)}
 
 
 @workflow
