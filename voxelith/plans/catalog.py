@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from voxelith.functions import grid
 from voxelith.functions.numbers import exact_sum
-from voxelith.operators import agglomeration, bodies, evaluation, graph, matching, meshes, overlap, segmentation, stitching, synapses, tiles, volume
+from voxelith.operators import agglomeration, bodies, evaluation, graph, layout, matching, meshes, overlap, segmentation, stitching, synapses, tiles, volume
 from voxelith.plans import workflows
 from voxelith.sources import fixtures as fx
 from voxelith.sources.scratch import Scratch, shared_dir
@@ -1239,6 +1239,48 @@ def _(s, d):
     return stack.groupBy("z").agg(F.count("*").alias("n"), F.sum("label").alias("total"))
 
 
+@query("balanced_parts", fx.with_("voxels", more="""held AS (SELECT z // 8 AS bz, y // 8 AS by, x // 8 AS bx, count(*) AS n FROM voxels WHERE z >= 4 AND x < 40 GROUP BY 1, 2, 3),
+curve AS (SELECT n, CAST(list_sum([((bz >> k & 1) << (3 * k + 2)) + ((by >> k & 1) << (3 * k + 1)) + ((bx >> k & 1) << 3 * k) for k in range(21)]) AS BIGINT) AS place FROM held),
+run AS (SELECT n, coalesce(sum(n) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM curve)""") + "SELECT CAST(before // 1000 AS BIGINT) AS part, CAST(sum(n) AS BIGINT) AS voxels, count(*) AS blocks FROM run GROUP BY 1")
+def _(s, d):
+    n = fx.side(s, d)
+    parts, _ = layout.balanced(fx.voxels(s, d), BLOCK, 1000, ((4, 0, 0), (n, n, 40)))
+    return parts.groupBy("part").agg(F.count("*").alias("voxels"), F.count_distinct("bz", "by", "bx").alias("blocks"))
+
+
+def chosen_bodies(s, *bodies: int) -> DataFrame:
+    return s.createDataFrame([(b,) for b in bodies], "body long")
+
+
+@query("sparse_bodies", fx.with_("voxels") + "SELECT gt AS body, z, y, x FROM voxels WHERE gt IN (5, 7)")
+def _(s, d):
+    from voxelith.sources import blocks
+
+    path = own_folder(s, "bodies")
+    v = fx.voxels(s, d).where("gt <> 0").withColumn("scale", F.lit(0))
+    blocks.write(v, f"{path}/store", "gt", BLOCK)
+    layout.write_index(layout.body_index(v, "gt", BLOCK), f"{path}/index")
+    return layout.read_bodies(s, f"{path}/store", s.read.parquet(f"{path}/index"), chosen_bodies(s, 5, 7, 987_654), "gt")
+
+
+@query("sparse_boxes", fx.with_("voxels", more="""own AS (SELECT DISTINCT z // 8 AS bz, y // 8 AS by, x // 8 AS bx FROM voxels WHERE gt = 12 AND z < 24)""") + """
+SELECT DISTINCT cz AS bz, cy AS by, cx AS bx FROM own, unnest(range(8 * bz // 12, (8 * bz + 7) // 12 + 1)) a(cz), unnest(range(8 * by // 12, (8 * by + 7) // 12 + 1)) b(cy), unnest(range(8 * bx // 5, (8 * bx + 7) // 5 + 1)) c(cx)""")
+def _(s, d):
+    index = layout.body_index(fx.voxels(s, d).where("z < 24"), "gt", BLOCK)
+    return layout.sparse_boxes(index, chosen_bodies(s, 12, 987_654), BLOCK, grid.Grid((12, 12, 5)))
+
+
+@query("archives", """
+WITH files AS (SELECT o_custkey % 3 AS grp, 'order-' || o_orderkey AS name, CAST(512 + ceil(7 * (o_orderkey % 400) / 512.0) * 512 AS BIGINT) AS size FROM orders),
+placed AS (SELECT *, md5(name) AS h, CAST('0x' || substr(md5(name), 1, 8) AS BIGINT) % 4096 AS shard FROM files),
+run AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY grp ORDER BY shard, h, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed)
+SELECT grp || '.' || CAST(before // 300000 AS BIGINT) || '.tar' AS name, CAST(ceil((sum(size) + 1024) / 10240) * 10240 AS BIGINT) AS bytes, count(*) AS files FROM run GROUP BY grp, CAST(before // 300000 AS BIGINT)""")
+def _(s, d):
+    own = fx.table(s, d, "orders").select((F.col("o_custkey") % 3).alias("group"), F.concat(F.lit("order-"), "o_orderkey").alias("name"), F.repeat(F.lit("voxels "), (F.col("o_orderkey") % 400).cast("int")).cast("binary").alias("content"))
+    # a file's header holds its name, which begins with order-
+    return layout.archives(own, 300_000).select("name", F.octet_length("content").cast("long").alias("bytes"), F.regexp_count(F.decode("content", "ISO-8859-1"), F.lit("order-")).cast("long").alias("files"))
+
+
 @query("stream_windows", "SELECT CAST(epoch(time_bucket(INTERVAL '1 hour', ts)) AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def _(s, d):
     from voxelith.streaming import events
