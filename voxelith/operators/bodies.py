@@ -100,9 +100,9 @@ def tombstones(mapping: DataFrame) -> DataFrame:
     return mapping.where("label <> body").select(F.col("label").alias("body"), F.lit(0).cast("long").alias("count"))
 
 
-def mapping_operations(mapping: DataFrame) -> DataFrame:
-    """(mapped, original): the supervoxels of each body, as a mapping operation lists them."""
-    return mapping.groupBy(F.col("body").alias("mapped")).agg(F.sort_array(F.collect_list("label")).alias("original"))
+def mapping_operations(mapping: DataFrame, span: int = 100_000) -> DataFrame:
+    """(mapped, original): the supervoxels of each body, as a mapping operation lists them; a body has an operation for each range of so many names."""
+    return mapping.groupBy(F.col("body").alias("mapped"), F.floor(F.col("label") / span).alias("_part")).agg(F.sort_array(F.collect_set("label")).alias("original")).drop("_part")
 
 
 def index_check(stored: DataFrame, actual: DataFrame) -> DataFrame:

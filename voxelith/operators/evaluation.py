@@ -54,7 +54,7 @@ def ignored_subvolumes(over: DataFrame, sizes: DataFrame, least: float, importan
         held = over.groupBy("sv").agg(F.sum("n").alias("_n"))
         share = F.coalesce("_n", F.lit(0)) * 100 / F.col("size")
     else:
-        held = over.join(F.broadcast(important.select("gt").distinct()), "gt", "left_semi").groupBy("sv").agg(F.count("*").alias("_n"))
+        held = over.join(important.select("gt").distinct(), "gt", "left_semi").groupBy("sv").agg(F.count("*").alias("_n"))
         share = F.coalesce("_n", F.lit(0))
     return sizes.join(held, "sv", "left").select("sv", (F.lit(least > 0) & (share < least)).alias("ignore"))
 

@@ -35,9 +35,13 @@ def mapping_from_edges(edges: DataFrame, keep_identities: bool = True) -> DataFr
     return found if keep_identities else found.where("label <> body")
 
 
-def groups(mapping: DataFrame) -> DataFrame:
-    """(body, members), members in order."""
-    return mapping.groupBy("body").agg(F.sort_array(F.collect_list("label")).alias("members"))
+#: Labels of one row of groups(): a body's labels of one range of names.
+SPAN = 100_000
+
+
+def groups(mapping: DataFrame, span: int = SPAN) -> DataFrame:
+    """(body, part, members), members in order. A row has the labels from part * span on, so many at most, as the largest body doesn't have to fit one row."""
+    return mapping.groupBy("body", F.floor(F.col("label") / span).cast("long").alias("part")).agg(F.sort_array(F.collect_set("label")).alias("members"))
 
 
 def mapping_from_groups(grouped: DataFrame) -> DataFrame:
@@ -209,9 +213,8 @@ def split_disconnected(df: DataFrame, value: str, shape: tuple[int, int, int], b
 
 
 def stitch_offsets(df: DataFrame, value: str, sv: str = "sv") -> DataFrame:
-    """(sv, offset): what to add to a subvolume's labels so that they are unique overall."""
-    top = df.groupBy(sv).agg(F.max(value).alias("_top"))
-    return top.select(sv, F.coalesce(F.sum("_top").over(Window.orderBy(sv).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
+    """(sv, offset): what to add to a subvolume's labels so that they are unique overall. Subvolumes are numbered by whole numbers."""
+    return running(df.groupBy(sv).agg(F.max(value).alias("_top")), sv, "_top", "offset").select(sv, F.col("offset").cast("long").alias("offset"))
 
 
 def overlap_counts(left: DataFrame, right: DataFrame) -> DataFrame:

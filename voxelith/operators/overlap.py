@@ -56,7 +56,7 @@ def vi_sparse(over: DataFrame, important: DataFrame, threshold: int = 0) -> Data
     """(fm_vi, fs_vi, vi) where only important ground-truth bodies (gt) count; the others stay visible on the other side."""
     sized = over.withColumn("t", F.sum("n").over(Window.partitionBy("gt"))).where(F.col("t") >= threshold)
     sized = sized.withColumn("s", F.sum("n").over(Window.partitionBy("seg")))
-    own = sized.join(F.broadcast(important.select("gt").distinct()), "gt", "left_semi")
+    own = sized.join(important.select("gt").distinct(), "gt", "left_semi")
     share = lambda e: F.coalesce(F.round(F.sum(e) / F.sum("n"), ROUND), F.lit(0.0))
     sums = own.agg(share(_bits("n", "s")).alias("fm_vi"), share(_bits("n", "t")).alias("fs_vi"))
     return sums.withColumn("vi", F.round(F.col("fm_vi") + F.col("fs_vi"), ROUND))

@@ -160,7 +160,11 @@ def boxes(start: tuple, stop: tuple, grid: Grid, spark) -> DataFrame:
 def subvolumes(roi: DataFrame, ratio: int) -> DataFrame:
     """(sv, cz, cy, cx, blocks): subvolumes of ratio^3 blocks that have any block of the region, numbered from 0 in order."""
     found = roi.groupBy(*[cell("b" + a, ratio).alias("c" + a) for a in AXES]).agg(F.count_distinct("bz", "by", "bx").alias("blocks"))
-    return found.withColumn("sv", F.row_number().over(Window.orderBy("cz", "cy", "cx")).cast("long") - 1)
+    # by planes of subvolumes, of which there are few, and within each
+    planes = found.groupBy("cz").agg(F.count("*").alias("_n"))
+    starts = planes.select("cz", F.coalesce(F.sum("_n").over(Window.orderBy("cz").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("cz").orderBy("cy", "cx"))
+    return found.withColumn("_k", within).join(starts, "cz").select("cz", "cy", "cx", "blocks", (F.col("_start") + F.col("_k") - 1).cast("long").alias("sv"))
 
 
 def interior(subvols: DataFrame, ratio: int) -> DataFrame:

@@ -46,8 +46,8 @@ def merged_labels(messages: DataFrame) -> DataFrame:
     return messages.select(F.explode("merged").alias("label"), F.col("target").alias("body"))
 
 
-def affinity_table(pairs: DataFrame) -> DataFrame:
-    """(label, labels, affinities): each label's partners, in order; pairs: (label1, label2, value)."""
+def affinity_table(pairs: DataFrame, span: int = 100_000) -> DataFrame:
+    """(label, labels, affinities): each label's partners, in order; pairs: (label1, label2, value). A label has a row for each range of so many names that its partners are in."""
     both = pairs.select(F.col("label1").alias("label"), F.col("label2").alias("other"), "value").union(pairs.select("label2", "label1", "value"))
-    rows = both.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("other", "value"))).alias("of"))
+    rows = both.groupBy("label", F.floor(F.col("other") / span).alias("_part")).agg(F.sort_array(F.collect_list(F.struct("other", "value"))).alias("of"))
     return rows.select("label", F.col("of.other").alias("labels"), F.col("of.value").alias("affinities"))
