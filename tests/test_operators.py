@@ -333,3 +333,22 @@ def test_factors_and_huge_groups(spark):
     kept, huge = bodies.without_huge(sizes, "g", "n", 10)
     assert rows(kept) == [(2, 10)] and rows(huge) == [(1, 11)]
     assert [r[0] for r in bodies.by_size(spark.createDataFrame([(1, 5), (2, 9), (3, 5)], "segment long, voxel_count long")).collect()] == [2, 1, 3]
+
+
+def test_index_mismatches(spark):
+    schema = "body long, block long, segment_id long, count long"
+    actual = [(1, 5, 1, 9), (2, 5, 2, 3), (2, 6, 2, 4), (3, 1, 3, 1), (4, 1, 4, 1), (4, 1, 5, 2)]
+    stored = [(1, 5, 1, 9), (2, 5, 2, 3), (4, 1, 4, 1), (4, 1, 5, 3), (9, 9, 9, 9)]
+    assert rows(bodies.index_mismatches(spark.createDataFrame(stored, schema), spark.createDataFrame(actual, schema))) == [(2, "mismatch"), (3, "missing"), (4, "mismatch")]
+
+
+def test_label_pairs_and_padded_parts(spark):
+    gt = spark.createDataFrame([(0, 0, x, x % 3) for x in range(6)], "z long, y long, x long, label long")
+    seg = spark.createDataFrame([(0, 0, x, 7) for x in range(5)], "z long, y long, x long, label long")
+    cells = grid.Grid((4, 4, 4))
+    got = {(r.bx, r.x): (r.gt, r.seg, r.in_halo) for r in volume.label_pairs(gt, seg, cells, 1).collect()}
+    assert got == {(0, 0): (0, 0, False), (0, 1): (1, 7, False), (0, 2): (2, 7, False), (0, 3): (0, 0, False), (0, 4): (1, 7, True), (1, 3): (0, 0, True), (1, 4): (1, 7, False), (1, 5): (2, 0, False)}
+    assert {r.seg for r in volume.label_pairs(gt, None, cells).collect()} == {1}
+    part = {r.x: (r.label, r.valid) for r in volume.padded_parts(gt.where("x = 3 OR x = 1"), cells, "label", 2, -1).collect() if (r.z, r.y) == (0, 0)}
+    assert part == {0: (-1, False), 1: (1, True), 2: (-1, False), 3: (0, True)}
+    assert volume.padded_parts(gt.where("x = 3"), cells, "label", 2).count() == 8

@@ -112,6 +112,18 @@ def index_check(stored: DataFrame, actual: DataFrame) -> DataFrame:
     return both.where("_s IS NULL OR _a IS NULL").select(*key, F.col("_s").isNull().alias("missing"))
 
 
+def index_mismatches(stored: DataFrame, actual: DataFrame) -> DataFrame:
+    """(body, state): bodies whose stored index is missing, or is a mismatch: other blocks, supervoxels or counts.
+
+    Both are rows (body, block, segment_id, count). A stored index of a body that is not there any more is no mismatch.
+    """
+    key = ["body", "block", "segment_id"]
+    both = stored.select(*key, F.col("count").alias("_s")).join(actual.select(*key, F.col("count").alias("_a")), key, "full_outer")
+    sums = both.groupBy("body").agg(F.count("_s").alias("s"), F.count("_a").alias("a"), F.max((~F.col("_s").eqNullSafe(F.col("_a"))).cast("int")).alias("other"))
+    state = F.when(F.col("s") == 0, "missing").when(F.col("other") == 1, "mismatch")
+    return sums.where("a > 0").select("body", state.alias("state")).where("state IS NOT NULL")
+
+
 def batches(df: DataFrame, key: str, rows: int) -> DataFrame:
     """(key, n, batch): consecutive keys in batches that begin at about every `rows` rows; a key is never split."""
     sizes = running(df.groupBy(key).agg(F.count("*").alias("n")), key, "n", "_before")

@@ -146,6 +146,34 @@ def drop_empty(df: DataFrame, value: str, keys: tuple[str, ...] = ("bz", "by", "
     return df.join(df.where(F.col(value) != 0).select(*keys).distinct(), list(keys), "left_semi")
 
 
+def padded_parts(df: DataFrame, grid: Grid, value: str, padding: int = 1, blank: int = 0) -> DataFrame:
+    """(bz, by, bx, z, y, x, value, valid): each cell as a full box, from the first to the last voxel that it has, widened to multiples of the padding.
+
+    Voxels that df lacks are blank and not valid. A cell without any has no box.
+    """
+    at = retile(df.select(*AXES, value), grid)
+    ends = at.groupBy("bz", "by", "bx").agg(*[F.min(a).alias(a + "0") for a in AXES], *[F.max(a).alias(a + "1") for a in AXES])
+    for a in AXES:
+        first, last = (F.floor(F.col(a + end) / padding).cast("long") for end in "01")
+        ends = ends.withColumn(a, F.explode(F.sequence(first * padding, (last + 1) * padding - 1)))
+    found = ends.select("bz", "by", "bx", *AXES).join(at.withColumn("_in", F.lit(True)), ["bz", "by", "bx", *AXES], "left")
+    return found.select("bz", "by", "bx", *AXES, F.coalesce(value, F.lit(blank)).alias(value), F.coalesce("_in", F.lit(False)).alias("valid"))
+
+
+def label_pairs(gt: DataFrame, seg: DataFrame | None, grid: Grid, border: int = 0, value: str = "label") -> DataFrame:
+    """(bz, by, bx, z, y, x, gt, seg, in_halo): two labelings by subvolume, with a border of their neighbours' voxels.
+
+    Where the ground truth has nothing, 0, the other labeling counts as 0 too; without another one its labels are all 1.
+    """
+    own = gt.select(*AXES, F.col(value).alias("gt"))
+    if seg is None:
+        both = own.withColumn("seg", F.lit(1).cast("long"))
+    else:
+        both = own.join(seg.select(*AXES, F.col(value).alias("seg")), list(AXES), "left").withColumn("seg", F.when(F.col("gt") == 0, 0).otherwise(F.coalesce("seg", F.lit(0))))
+    parts = retile_with_halo(both, grid, border) if border else retile(both, grid).withColumn("in_halo", F.lit(False))
+    return parts.select("bz", "by", "bx", *AXES, "gt", "seg", "in_halo")
+
+
 def boxes(start: tuple, stop: tuple, grid: Grid, spark) -> DataFrame:
     """Cells that meet a box, clipped to it: (bz, by, bx, z0, y0, x0, z1, y1, x1)."""
     out = None

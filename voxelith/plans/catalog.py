@@ -574,6 +574,24 @@ def _(s, d):
     return volume.rescale(fx.voxels(s, d), 1, 0, "seg").select("z", "y", "x", "seg")
 
 
+@query("padded_parts", fx.with_("voxels", more="""part AS (SELECT z // 20 AS bz, y // 20 AS by, x // 20 AS bx, z, y, x, seg FROM voxels WHERE gt IN (3, 4)),
+ends AS (SELECT bz, by, bx, min(z) // 4 * 4 AS z0, min(y) // 4 * 4 AS y0, min(x) // 4 * 4 AS x0, max(z) // 4 * 4 + 4 AS z1, max(y) // 4 * 4 + 4 AS y1, max(x) // 4 * 4 + 4 AS x1 FROM part GROUP BY 1, 2, 3),
+full_ AS (SELECT bz, by, bx, z, y, x FROM ends, unnest(range(z0, z1)) a(z), unnest(range(y0, y1)) b(y), unnest(range(x0, x1)) c(x))""") + "SELECT bz, by, bx, z, y, x, coalesce(seg, -1) AS seg, seg IS NOT NULL AS valid FROM full_ LEFT JOIN part USING (bz, by, bx, z, y, x)")
+def _(s, d):
+    return volume.padded_parts(fx.voxels(s, d).where("gt IN (3, 4)"), grid.Grid((20, 20, 20)), "seg", 4, -1)
+
+
+@query("label_pairs", fx.with_("voxels", more="""pair AS (SELECT z, y, x, gt, CASE WHEN gt = 0 OR z < 4 THEN 0 ELSE seg END AS seg FROM voxels),
+near AS (SELECT *, unnest(list_distinct([(z - 2) // 12, z // 12, (z + 2) // 12])) AS bz FROM pair),
+nearer AS (SELECT *, unnest(list_distinct([CASE WHEN y < 2 THEN -1 ELSE (y - 2) // 12 END, y // 12, (y + 2) // 12])) AS by FROM near),
+nearest AS (SELECT *, unnest(list_distinct([CASE WHEN x < 2 THEN -1 ELSE (x - 2) // 12 END, x // 12, (x + 2) // 12])) AS bx FROM nearer),
+own AS (SELECT DISTINCT z // 12 AS bz, y // 12 AS by, x // 12 AS bx FROM voxels)""") + "SELECT bz, by, bx, gt, seg, bz <> z // 12 OR by <> y // 12 OR bx <> x // 12 AS in_halo, count(*) AS n FROM nearest JOIN own USING (bz, by, bx) GROUP BY ALL")
+def _(s, d):
+    v = fx.voxels(s, d)
+    pairs = volume.label_pairs(v.select("z", "y", "x", F.col("gt").alias("label")), v.where("z >= 4").select("z", "y", "x", F.col("seg").alias("label")), grid.Grid((12, 12, 12)), 2)
+    return pairs.groupBy("bz", "by", "bx", "gt", "seg", "in_halo").agg(F.count("*").alias("n"))
+
+
 @query("blockwise_boxes", fx.with_("voxels", more="""box AS (SELECT min(z) AS z0, min(y) AS y0, min(x) AS x0, max(z) + 1 AS z1, max(y) + 1 AS y1, max(x) + 1 AS x1 FROM voxels WHERE gt = 5 AND x < 13)""") + """
 SELECT bz, by, bx, greatest(z0, bz * 7) AS z0, greatest(y0, by * 8) AS y0, greatest(x0, bx * 9) AS x0, least(z1, bz * 7 + 7) AS z1, least(y1, by * 8 + 8) AS y1, least(x1, bx * 9 + 9) AS x1
 FROM box, unnest(range(z0 // 7, (z1 + 6) // 7)) a(bz), unnest(range(y0 // 8, (y1 + 7) // 8)) b(by), unnest(range(x0 // 9, (x1 + 8) // 9)) c(bx)""")
@@ -780,6 +798,17 @@ def _(s, d):
     return bodies.index_check(stored, volume.body_blocks(v, "seg", None, BLOCK))
 
 
+@query("index_mismatches", fx.with_("voxels", "mapping", more=f"""{BLOCKSTATS},
+actual AS (SELECT coalesce(body, segment_id) AS body, (bz << 42) | (by << 21) | bx AS block, segment_id, count FROM bstats LEFT JOIN mapping ON label = segment_id),
+stored AS (SELECT body, block, segment_id, CASE WHEN body = 9 AND block % 7 = 3 THEN count + 1 ELSE count END AS count FROM actual WHERE body % 5 <> 1 AND (body <> 12 OR block % 3 <> 0)),
+both_ AS (SELECT coalesce(s.body, a.body) AS body, s.count AS sc, a.count AS ac FROM stored s FULL JOIN actual a ON a.body = s.body AND a.block = s.block AND a.segment_id = s.segment_id)""") + """
+SELECT body, CASE WHEN count(sc) = 0 THEN 'missing' ELSE 'mismatch' END AS state FROM both_ GROUP BY 1 HAVING count(ac) > 0 AND (count(sc) = 0 OR bool_or(sc IS DISTINCT FROM ac))""")
+def _(s, d):
+    actual = bodies.index_rows(bodies.label_index(volume.block_statistics(fx.voxels(s, d), "seg", BLOCK), fx.mapping(s, d), BLOCK))
+    wrong = F.when((F.col("body") == 9) & (F.col("block") % 7 == 3), F.col("count") + 1).otherwise(F.col("count"))
+    return bodies.index_mismatches(actual.where("body % 5 <> 1 AND (body <> 12 OR block % 3 <> 0)").withColumn("count", wrong), actual)
+
+
 @query("index_batches", "SELECT o_custkey, n, CAST(floor(coalesce(sum(n) OVER (ORDER BY o_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 500) AS BIGINT) AS batch FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)")
 def _(s, d):
     return bodies.batches(fx.table(s, d, "orders"), "o_custkey", 500)
