@@ -199,14 +199,18 @@ def split_disconnected(df: DataFrame, value: str, shape: tuple[int, int, int], b
     """
     parts = connected_voxels(df, value, shape)
     sizes = parts.groupBy(value, "component").agg(F.count("*").alias("size"))
-    place = F.row_number().over(Window.partitionBy(value).orderBy(F.desc("size"), "component"))
-    ranked = sizes.withColumn("_place", place)
-    first = sizes.agg((F.max(value) + 1).alias("_top")) if base is None else df.sparkSession.range(1).select(F.lit(base).alias("_top"))
-    moved = ranked.where("_place > 1")
-    within = F.row_number().over(Window.partitionBy(value).orderBy("component")) - 1
+    largest = sizes.groupBy(value).agg(F.max(F.struct("size", (-F.col("component")).alias("_minus"))).alias("_l")).select(value, (-F.col("_l._minus")).alias("_kept"))
+    top = sizes.agg((F.max(value) + 1).alias("_top")) if base is None else df.sparkSession.range(1).select(F.lit(base).alias("_top"))
+    ranked = sizes.join(largest, value)
+    moved = ranked.where("component <> _kept").withColumn("_span", F.floor(F.col("component") / SPAN).cast("long"))
+    # numbers go by ranges of components, as a label can have very many parts
+    spans = moved.groupBy(value, "_span").agg(F.count("*").alias("_k"))
+    before = F.coalesce(F.sum("_k").over(Window.partitionBy(value).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = running(moved.groupBy(value).agg(F.count("*").alias("_k")), value, "_k", "_before").select(value, "_before")
-    moved = moved.withColumn("_n", within).join(starts, value).join(F.broadcast(first)).select(value, "component", (F.col("_top") + F.col("_before") + F.col("_n")).alias("part"), "size")
-    kept = ranked.where("_place = 1").select(value, "component", F.col(value).alias("part"), "size")
+    starts = spans.withColumn("_inner", before).join(starts, value).select(value, "_span", (F.col("_before") + F.col("_inner")).alias("_start"))
+    within = F.row_number().over(Window.partitionBy(value, "_span").orderBy("component")) - 1
+    moved = moved.withColumn("_n", within).join(starts, [value, "_span"]).join(F.broadcast(top)).select(value, "component", (F.col("_top") + F.col("_start") + F.col("_n")).alias("part"), "size")
+    kept = ranked.where("component = _kept").select(value, "component", F.col(value).alias("part"), "size")
     names = kept.union(moved)
     voxels = parts.join(names.select(value, "component", "part"), [value, "component"]).select(*AXES, value, "part")
     return voxels, names.select("part", F.col(value).alias("label"), "size")
