@@ -1310,6 +1310,103 @@ def _(s, d):
     return layout.archives(own, 300_000).select("name", F.octet_length("content").cast("long").alias("bytes"), F.regexp_count(F.decode("content", "ISO-8859-1"), F.lit("order-")).cast("long").alias("files"))
 
 
+@query("sorted_stats", fx.with_("voxels", more=BLOCKSTATS) + "SELECT segment_id, bz * 8 AS z, by * 8 AS y, bx * 8 AS x, count, row_number() OVER (ORDER BY segment_id, bz, by, bx, count) - 1 AS row FROM bstats")
+def _(s, d):
+    from voxelith.sources import tables
+
+    path = own_folder(s, "sorted")
+    tables.write_sorted(volume.block_statistics(fx.voxels(s, d), "seg", BLOCK), path, ["segment_id", "z", "y", "x", "count"])
+    return tables.numbered(s, path)
+
+
+@query("size_order", fx.with_("voxels", more=SEGMENTS) + "SELECT segment, voxel_count, row_number() OVER (ORDER BY voxel_count DESC, segment) - 1 AS row FROM segs")
+def _(s, d):
+    from voxelith.sources import tables
+
+    path = own_folder(s, "sizes")
+    stats = bodies.segment_stats(fx.voxels(s, d), "seg", BLOCK)
+    tables.write_sorted(stats.select("segment", "voxel_count", (-F.col("voxel_count")).alias("less")), path, ["less", "segment"])
+    return tables.numbered(s, path).drop("less")
+
+
+@query("service_volume", fx.with_("voxels", "mapping", more="every AS (SELECT z, y, x FROM side_, unnest(range(n)) a(z), unnest(range(n)) b(y), unnest(range(n)) c(x)), base AS (SELECT e.z, e.y, e.x, coalesce(body, seg, 0) AS seg FROM every e LEFT JOIN voxels v ON v.z = e.z AND v.y = e.y AND v.x = e.x LEFT JOIN mapping ON label = seg), " + mode_sql("base", "seg", 2.0)) + "SELECT z, y, x, label FROM moded WHERE r = 1 AND label <> 0")
+def _(s, d):
+    from voxelith.sources import chunked, service, tables
+
+    path, n = own_folder(s, "service"), fx.side(s, d)
+    chunked.write_n5(fx.voxels(s, d), f"{path}/v/s0", "seg", (n, n, n), block=16)
+    tables.write_csv(fx.mapping(s, d), f"{path}/mapping")
+    config = {"n5": {"path": f"{path}/v", "dataset": "s0"}, "apply-labelmap": {"path": f"{path}/mapping"}, "geometry": {"bounding-box": [[0, 0, 0], [n, n, n]], "available-scales": [0]}, "scale": 1}
+    return service.load(s, config).where("label <> 0")
+
+
+@query("stack_attributes", fx.with_("voxels") + "SELECT min(z) AS z0, 0 AS y0, 0 AS x0, max(z) + 1 AS z1, any_value(n) AS y1, any_value(n) AS x1 FROM voxels, side_ WHERE gt = 3")
+def _(s, d):
+    from voxelith.sources import slices
+
+    path = own_folder(s, "stack")
+    slices.write_files(fx.voxels(s, d).where("gt = 3"), f"{path}/{{:05d}}.pgm", "gt", fx.shape(s, d))
+    start, stop = slices.stack_attributes(s, f"{path}/{{:05d}}.pgm")
+    return s.createDataFrame([(*start, *stop)], "z0 long, y0 long, x0 long, z1 long, y1 long, x1 long")
+
+
+@query("slice_slabs", fx.with_("voxels") + "SELECT z // 5 AS slab, count(*) AS n, CAST(sum(seg) AS BIGINT) AS total FROM voxels WHERE seg <> 0 AND z >= 5 AND z < 20 GROUP BY 1")
+def _(s, d):
+    from voxelith.sources import slices
+
+    path = own_folder(s, "slabs")
+    slices.write_files(fx.voxels(s, d), f"{path}/{{:05d}}.png", "seg", fx.shape(s, d))
+    stack = slices.read_stack(s, f"{path}/{{:05d}}.png", "seg", 5, 20).where("seg <> 0")
+    return stack.groupBy(slices.slab("z", 5).alias("slab")).agg(F.count("*").alias("n"), F.sum("seg").alias("total"))
+
+
+@query("raw_blocks", fx.with_("voxels", more="""held AS (SELECT DISTINCT z // 8 AS bz, y // 8 AS by, x // 8 AS bx FROM voxels),
+first_ AS (SELECT z // 8 AS bz, y // 8 AS by, x // 8 AS bx, gt FROM voxels WHERE z % 8 = 0 AND y % 8 = 0 AND x % 8 = 0)""") + "SELECT bz, by, bx, CAST(4096 AS BIGINT) AS bytes, format('{:02X}', coalesce(gt, 0)) || '00000000000000' AS start FROM held LEFT JOIN first_ USING (bz, by, bx)")
+def _(s, d):
+    from voxelith.sources import blocks
+
+    packed = blocks.pack(fx.voxels(s, d).withColumn("scale", F.lit(0)), "gt", BLOCK)
+    return packed.select("bz", "by", "bx", F.octet_length("data").cast("long").alias("bytes"), F.hex(F.substring("data", 1, 8)).alias("start"))
+
+
+@query("graph_tables", fx.with_("voxels", more=f"{RAG}, sv_ AS (SELECT seg AS id, count(*) AS size FROM voxels WHERE seg <> 0 GROUP BY 1)") + "SELECT 'edge' AS kind, u, v, weight AS n FROM rag UNION ALL SELECT 'vertex', id, -1, size FROM sv_")
+def _(s, d):
+    from voxelith.sources import tables
+
+    path, v = own_folder(s, "graph"), fx.voxels(s, d)
+    tables.write_graph(graph.rag_vertices(v, "seg"), graph.rag_edges(v, "seg"), path)
+    edges, vertices = s.read.parquet(f"{path}/edges"), s.read.parquet(f"{path}/vertices")
+    return edges.select(F.lit("edge").alias("kind"), "u", "v", F.col("weight").alias("n")).union(vertices.select(F.lit("vertex"), "id", F.lit(-1).cast("long"), "size"))
+
+
+@query("stats_tables", fx.with_("voxels", more=BLOCKSTATS) + "SELECT segment_id, CAST(sum(count) AS BIGINT) AS n, count(*) AS blocks FROM bstats GROUP BY 1")
+def _(s, d):
+    from voxelith.sources import tables
+
+    path, st = own_folder(s, "stats"), volume.block_statistics(fx.voxels(s, d), "seg", BLOCK)
+    for part in ("z < 16", "z >= 16"):  # appended in turns
+        tables.append_stats(st.where(part), path, ["segment_id", "z", "y", "x"])
+    return s.read.parquet(path).groupBy("segment_id").agg(F.sum("count").alias("n"), F.count("*").alias("blocks"))
+
+
+@query("labelmap_file", fx.with_("edges", more=REACH) + "SELECT label, body FROM cc WHERE label <> body")
+def _(s, d):
+    from voxelith.sources import tables
+
+    path = own_folder(s, "labelmap")
+    fx.edges(s, d).write.option("compression", "gzip").csv(path, header=True)
+    return graph.mapping_from_edges(tables.read_edges(s, path), keep_identities=False)
+
+
+@query("empty_regions", fx.with_("dense", more="""zero AS MATERIALIZED (SELECT (z * n + y) * n + x AS id, z, y, x, (z // 4 * n + y // 4) * n + x // 4 AS cell FROM dense, side_ WHERE label = 0),
+near AS MATERIALIZED (SELECT a.id AS p, b.id AS q FROM zero a JOIN zero b ON b.cell = a.cell AND abs(a.z - b.z) + abs(a.y - b.y) + abs(a.x - b.x) = 1),
+reach AS (SELECT id AS p, id AS q FROM zero UNION SELECT r.p, w.q FROM reach r JOIN near w ON w.p = r.q),
+sizes AS (SELECT p AS id, count(*) AS k FROM reach GROUP BY 1)""") + "SELECT d.z, d.y, d.x, coalesce(k, 0) < 30 AS kept FROM dense d LEFT JOIN zero USING (z, y, x) LEFT JOIN sizes USING (id)")
+def _(s, d):
+    out = segmentation.run_step(fx.dense(s, d).withColumn("v", F.col("label")), "empty-regions", "v", "kept", 4, least=30)
+    return out.select("z", "y", "x", (F.col("kept") > 0).alias("kept"))
+
+
 @query("stream_windows", "SELECT CAST(epoch(time_bucket(INTERVAL '1 hour', ts)) AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def _(s, d):
     from voxelith.streaming import events
