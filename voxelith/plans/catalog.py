@@ -592,11 +592,11 @@ def _(s, d):
     return pairs.groupBy("bz", "by", "bx", "gt", "seg", "in_halo").agg(F.count("*").alias("n"))
 
 
-@query("blockwise_boxes", fx.with_("voxels", more="""box AS (SELECT min(z) AS z0, min(y) AS y0, min(x) AS x0, max(z) + 1 AS z1, max(y) + 1 AS y1, max(x) + 1 AS x1 FROM voxels WHERE gt = 5 AND x < 13)""") + """
+@query("blockwise_boxes", fx.with_("voxels", more="""box AS (SELECT min(z) AS z0, min(y) AS y0, min(x) AS x0, max(z) + 1 AS z1, max(y) + 1 AS y1, max(x) + 1 AS x1 FROM voxels WHERE gt = 1 AND x < 13 AND z > 3)""") + """
 SELECT bz, by, bx, greatest(z0, bz * 7) AS z0, greatest(y0, by * 8) AS y0, greatest(x0, bx * 9) AS x0, least(z1, bz * 7 + 7) AS z1, least(y1, by * 8 + 8) AS y1, least(x1, bx * 9 + 9) AS x1
 FROM box, unnest(range(z0 // 7, (z1 + 6) // 7)) a(bz), unnest(range(y0 // 8, (y1 + 7) // 8)) b(by), unnest(range(x0 // 9, (x1 + 8) // 9)) c(bx)""")
 def _(s, d):
-    own = fx.voxels(s, d).where("gt = 5 AND x < 13")
+    own = fx.voxels(s, d).where("gt = 1 AND x < 13 AND z > 3")
     ends = own.agg(*[F.min(a) for a in grid.AXES], *[F.max(a) + 1 for a in grid.AXES]).first()  # one row
     return volume.boxes(tuple(ends[:3]), tuple(ends[3:]), grid.Grid((7, 8, 9)), s)
 
