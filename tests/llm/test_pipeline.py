@@ -122,7 +122,7 @@ def mix(docs):
     for s in order:
         whole = int(target[s] // total[s]) if total[s] else 0
         rest, before = target[s] - whole * total[s], 0
-        for d in sorted((d for d in docs if d["source"] == s), key=lambda d: hashlib.md5(f"voxelith:{d['doc_id']}".encode()).hexdigest()):
+        for d in sorted((d for d in docs if d["source"] == s), key=lambda d: hashlib.md5(f"voxelith:{d['doc_id']}:{hashlib.md5(d['text'].encode()).hexdigest()}".encode()).hexdigest()):
             n = size[d["doc_id"]]
             out += [d] * (whole + (rest > 0 and 2 * before + n <= 2 * rest))
             before += n
