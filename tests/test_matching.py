@@ -76,7 +76,7 @@ def test_match_bodies_counts_all_overlaps_within_a_group(spark):
     over = [(1, 10, 9), (1, 11, 9), (1, 12, 9), (1, 13, 1), (2, 13, 5), (2, 10, 1), (3, 10, 20), (3, 11, 20), (3, 12, 20), (4, 10, 20), (4, 11, 20), (4, 12, 20), (5, 10, 20), (5, 11, 20), (5, 12, 20), (6, 99, 2), (7, 0, 50)]
     got = sorted(tuple(r) for r in matching.match_bodies(spark.createDataFrame(over, SCHEMA)).collect())
     assert sum(n for _, _, n in got) == 67 and [g for g, _, _ in got] == [1, 2, 3, 4, 5, 6] and got[0] == (1, 0, 0) and got[1] == (2, 13, 5)
-    assert matching.match_bodies(spark.createDataFrame(over, SCHEMA), threshold=6).where("gt IN (2, 6)").count() == 0
+    assert matching.match_bodies(spark.createDataFrame(over, SCHEMA), threshold=7).where("gt IN (2, 6)").count() == 0
     assert matching.match_bodies(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
