@@ -239,6 +239,15 @@ def test_segmentation_across_blocks(spark):
     assert len(np.unique(label[:, :, 6:])) == 1 and len(np.unique(label[:, :, :5])) == 1 and label[0, 0, 0] != label[0, 0, 15]
 
 
+def test_segmentation_of_blocks_below_zero(spark):
+    wall = np.zeros((4, 4, 24))
+    wall[:, :, 13] = 1
+    df = voxels(spark, (wall * 100).astype(int), "v").withColumns({"x": F.col("x") - 16, "y": F.col("y") - 2})
+    out = workflows.create_segmentation(df, "v", 8, [("seeded-watershed", {"threshold": 50.0})], "simple", 1)
+    found = out["voxels"].where("x <> -3").groupBy((F.col("x") > -3).alias("right")).agg(F.count_distinct("label").alias("n"), F.min("label").alias("label")).collect()
+    assert [r["n"] for r in found] == [1, 1] and len({r["label"] for r in found}) == 2
+
+
 def test_streams(spark, tmp_path):
     parts = [[(1, 0, 0, 0, 5)], [(1, 0, 0, 0, 2), (2, 0, 0, 8, 1)]]
     schema = "segment_id long, z long, y long, x long, count long"
