@@ -189,6 +189,13 @@ def test_data_source(spark):
     assert df.count() == 5 * 6 * 7 and (got[:, :, 2] == 0).all() and got[4, 5, 6] == 8 and got[0, 0, 0] == 1
 
 
+def test_volume_source_puts_small_blocks_together():
+    reader = volume_source.GridReader({"shape": "416,416,416", "block": "10"})
+    parts = reader.partitions()
+    assert len(parts) < 300 and parts[0].start == 0 and parts[-1].stop == 42**3
+    assert all(a.stop == b.start for a, b in zip(parts, parts[1:], strict=False))
+
+
 def test_tiles(spark, array):
     got = {(r.plane, r.slice, r.row, r.col): slices.decode(r.image) for r in tiles.cut(voxels(spark, array), "label", 4).collect()}
     assert len([k for k in got if k[0] == "xy"]) == 6 * 2 * 3
