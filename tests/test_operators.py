@@ -352,3 +352,8 @@ def test_label_pairs_and_padded_parts(spark):
     part = {r.x: (r.label, r.valid) for r in volume.padded_parts(gt.where("x = 3 OR x = 1"), cells, "label", 2, -1).collect() if (r.z, r.y) == (0, 0)}
     assert part == {0: (-1, False), 1: (1, True), 2: (-1, False), 3: (0, True)}
     assert volume.padded_parts(gt.where("x = 3"), cells, "label", 2).count() == 8
+
+
+def test_member_texts_hold_whole_bodies(spark):
+    mapping = spark.createDataFrame([(x, 1) for x in (1, 9, 10, 25, 107)] + [(30, 30)], "label long, body long")
+    assert rows(graph.member_texts(graph.groups(mapping, 10))) == [(1, 5, "1,9,10,25,107"), (30, 1, "30")]
