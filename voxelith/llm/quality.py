@@ -98,20 +98,27 @@ def counted(alphabet: Alphabet, lot: list[tuple[int, str, bool]]) -> tuple[np.nd
     for k in range(ORDER - 1):
         flat[begin[[b for _, _, b in lot]] + k] = START
     # as few bits as the lot's own symbols need, so that n-gram and place fit one word and one sort counts them
-    own, dense = np.unique(flat, return_inverse=True)
+    seen = np.zeros(1 << BITS, bool)
+    seen[flat] = True
+    own = np.flatnonzero(seen)
     places, of = np.unique([i for i, _, _ in lot], return_inverse=True)
     bits, place_bits = max(1, int(len(own) - 1).bit_length()), int(len(places) - 1).bit_length()
     if ORDER * bits + place_bits > 64:
         half = [counted(alphabet, part) for part in (lot[: len(lot) // 2], lot[len(lot) // 2 :])]
         codes, first = np.concatenate([h[0] for h in half]), np.concatenate([half[0][1][:-1], half[0][1][-1] + half[1][1]])
         return codes, first, np.concatenate([h[2] for h in half]), np.concatenate([h[3] for h in half])
-    dense = dense.astype(np.uint64)
+    dense = (np.cumsum(seen) - 1).astype(np.uint16)[flat]
     word = np.zeros(len(flat) - ORDER + 1, np.uint64)
     for k in range(ORDER):
-        word = word << np.uint64(bits) | dense[k : k + len(word)]
-    each = lengths - (ORDER - 1)  # n-grams of each piece: those that end in it
-    at = np.repeat(begin, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-    word = word[at] << np.uint64(place_bits) | np.repeat(of, each).astype(np.uint64)
+        word <<= np.uint64(bits)
+        word |= dense[k : k + len(word)]
+    del dense, flat
+    whole = np.ones(len(word), bool)  # n-grams that lie in one piece
+    for k in range(1, ORDER):
+        whole[begin[1:] - k] = False
+    word = word[whole]
+    word <<= np.uint64(place_bits)
+    word |= np.repeat(of.astype(np.uint32), lengths - (ORDER - 1))
     word.sort()
     new = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else np.zeros(0, np.int64)
     n, word = np.diff(np.r_[new, len(word)]), word[new]
