@@ -357,3 +357,24 @@ def test_label_pairs_and_padded_parts(spark):
 def test_member_texts_hold_whole_bodies(spark):
     mapping = spark.createDataFrame([(x, 1) for x in (1, 9, 10, 25, 107)] + [(30, 30)], "label long, body long")
     assert rows(graph.member_texts(graph.groups(mapping, 10))) == [(1, 5, "1,9,10,25,107"), (30, 1, "30")]
+
+
+def test_contracted_components(spark, monkeypatch):
+    monkeypatch.setattr(components, "RANGE", 8)
+    rng = random.Random(5)
+    edges = [(a, min(a + rng.randint(0, 3), 399)) for a in range(400) if rng.random() < 0.6] + [(rng.randrange(400), rng.randrange(400)) for _ in range(40)] + [(900, 901), (905, 905)]
+    least = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in range(400):
+        for a, b in edges:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    df = spark.createDataFrame(edges * 2, "u long, v long").repartition(5)
+    for small in (0, 100_000):
+        assert rows(components.contracted_components(df, Scratch(spark, "test"), small)) == sorted(least.items())
+
+
+def test_near_names_need_no_rounds(spark, monkeypatch):
+    monkeypatch.setattr(graph, "SMALL_GRAPH", 100)
+    monkeypatch.setattr(components, "MAX_ROUNDS", 0)
+    edges = spark.range(3_000).select((F.col("id") * 2).alias("u"), (F.col("id") * 2 + 1).alias("v"))
+    assert graph.mapping_from_edges(edges).where("body = label - label % 2").count() == 6_000
