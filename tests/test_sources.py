@@ -246,6 +246,14 @@ def test_segmentation_across_blocks(spark):
     assert len(np.unique(label[:, :, 6:])) == 1 and len(np.unique(label[:, :, :5])) == 1 and label[0, 0, 0] != label[0, 0, 15]
 
 
+@pytest.mark.parametrize("pixels", [1, 48, 1 << 17])
+def test_tiles_made_together(spark, array, monkeypatch, pixels):
+    monkeypatch.setattr(tiles, "LOT_PIXELS", pixels)
+    got = {(r.plane, r.slice, r.row, r.col): slices.decode(r.image) for r in tiles.cut(voxels(spark, array), "label", 4, ("xy", "yz")).collect()}
+    assert len(got) == 6 * 2 * 3 + 10 * 2 * 2
+    assert all((got["xy", z, 1, 0] == array[z, 4:8, :4]).all() for z in range(6)) and all((got["yz", x, 0, 1] == array[:4, 4:8, x]).all() for x in range(10))
+
+
 def test_segmentation_of_blocks_below_zero(spark):
     wall = np.zeros((4, 4, 24))
     wall[:, :, 13] = 1

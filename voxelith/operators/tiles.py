@@ -11,6 +11,8 @@ from voxelith.sources.slices import encode
 
 #: Of each plane: the axis that numbers its slices, that of its rows and that of its columns.
 PLANES = {"xy": ("z", "y", "x"), "xz": ("y", "z", "x"), "yz": ("x", "z", "y")}
+#: Of the tiles that are made together, at most, if a tile has not more itself.
+LOT_PIXELS = 1 << 17
 
 
 def pixels(df: DataFrame, value: str, tile: int, planes: tuple[str, ...] = ("xy", "xz", "yz")) -> DataFrame:
@@ -24,15 +26,22 @@ def pixels(df: DataFrame, value: str, tile: int, planes: tuple[str, ...] = ("xy"
 
 
 def cut(df: DataFrame, value: str, tile: int, planes: tuple[str, ...] = ("xy", "xz", "yz")) -> DataFrame:
-    """(plane, slice, row, col, image): complete tiles; pixels without a voxel are 0."""
+    """(plane, slice, row, col, image): complete tiles; pixels without a voxel are 0. Small tiles of near slices are made together."""
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
-        image = np.zeros((tile, tile), np.uint8)
-        image[t.column("r").to_numpy(), t.column("c").to_numpy()] = t.column("value").to_numpy()
-        plane, number, row, col = (k.as_py() for k in key)
-        return pa.table({"plane": [plane], "slice": [number], "row": [row], "col": [col], "image": pa.array([encode(image)], pa.binary())})
+        slices, of = np.unique(t.column("slice").to_numpy(), return_inverse=True)
+        images = np.zeros((len(slices), tile * tile), np.uint8)
+        images[of, t.column("at").to_numpy()] = t.column("value").to_numpy()
+        row, col = (pa.repeat(k, len(slices)) for k in key[1:])
+        return pa.table({"slice": pa.array(slices), "row": row, "col": col, "image": pa.array((encode(i.reshape(tile, tile)) for i in images), pa.binary())})
 
-    return pixels(df, value, tile, planes).groupBy("plane", "slice", "row", "col").applyInArrow(run, "plane string, slice long, row long, col long, image binary")
+    out = None
+    lot = F.floor(F.col("slice") / max(1, LOT_PIXELS // tile**2)).cast("long").alias("_lot")
+    for p in planes:  # one at a time, and of a pixel few bytes, as each is sorted and sent to Python
+        own = pixels(df, value, tile, (p,)).select(lot, F.col("slice").cast("long").alias("slice"), "row", "col", (F.col("r") * tile + F.col("c")).cast("int").alias("at"), F.col("value").cast("int").alias("value"))
+        part = own.groupBy("_lot", "row", "col").applyInArrow(run, "slice long, row long, col long, image binary").select(F.lit(p).alias("plane"), "slice", "row", "col", "image")
+        out = part if out is None else out.union(part)
+    return out
 
 
 def pyramid(df: DataFrame, value: str, tile: int, levels: int, planes: tuple[str, ...] = ("xy", "xz", "yz")) -> DataFrame:
