@@ -108,3 +108,15 @@ def test_workflow(spark):
     got = meshes.summary(out["triangles"]).first()
     assert got.label == 1 and got.open == 0 and abs(got.volume - size - 2) < 0.1 * size
     assert out["obj"].count() == out["triangles"].select("bz", "by", "bx").distinct().count() and out["normals"].count() == got.vertices
+
+
+def test_welded_by_arrays():
+    quads = sorted((a, s, z, y, x) for a in "zyx" for s in (0, 1) for z in (-1, 0) for y in (0, 3) for x in (2, 5))
+    at = np.array([q[2:] for q in quads])
+    v, t = meshes._welded(np.array(["zyx".index(q[0]) for q in quads]), np.array([q[1] for q in quads]), at)
+    for q, (one, two) in zip(quads, t.reshape(-1, 2, 3), strict=True):
+        around = meshes.corners(*q)
+        k = around.index(min(around))
+        a, b, c, d = around[k:] + around[:k]
+        assert [tuple(map(int, v[i])) for i in (*one, *two)] == [a, b, c, a, c, d]
+    assert len({tuple(p) for p in v.tolist()}) == len(v)
