@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxelith.operators import meshes
+from voxelith.operators import meshes, segmentation
 from voxelith.plans import workflows
 
 
@@ -120,3 +120,16 @@ def test_welded_by_arrays():
         a, b, c, d = around[k:] + around[:k]
         assert [tuple(map(int, v[i])) for i in (*one, *two)] == [a, b, c, a, c, d]
     assert len({tuple(p) for p in v.tolist()}) == len(v)
+
+
+def test_smoothed_by_blocks_of_corners(spark):
+    a = np.random.default_rng(3).integers(0, 3, (7, 6, 9))
+    df = spark.createDataFrame([(*(c - 3 for c in map(int, p)), int(a[p])) for p in np.ndindex(a.shape)], "z long, y long, x long, v long")
+    want = sorted(map(tuple, segmentation.smoothed(segmentation.faces(df, "v")).collect()))
+    for block in (1, 4, 32):
+        assert sorted(map(tuple, segmentation.smoothed_corners(df, "v", block).collect())) == want
+    # voxels are shuffled once, and faces are no rows
+    assert segmentation.smoothed_corners(df, "v")._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    quads = spark.createDataFrame([(1, "z", 1, 0, 0, 0)], "label long, axis string, side int, z long, y long, x long")
+    assert "Window" not in segmentation.smoothed(quads)._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r)[-3:] for r in segmentation.smoothed(quads).collect()} == {(1.0, 0.5, 0.5)}
