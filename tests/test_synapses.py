@@ -60,3 +60,14 @@ def test_without_points(spark):
     p, e = spark.createDataFrame([], POINTS), spark.createDataFrame([(1, 2)], PAIRS)
     g = synapses.merged(synapses.graph_of(p, e), F.lit(0))
     assert g.edges.count() == g.going_out.count() == g.coming_in.count() == 0
+
+
+def test_parts_do_not_repeat_the_joins(spark):
+    """Of points and pairs, and of what is left over, each join is made and written once; the parts are read from it."""
+    points, pairs = case(3)
+    first = synapses.graph_of(spark.createDataFrame(points, POINTS), spark.createDataFrame(pairs, PAIRS))
+    merged = synapses.merged(first.stored(Scratch(spark, "test")), F.lit(0))
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join")
+    assert [joins(f) for f in (first.edges, first.going_out)] == [0, 0]
+    assert [joins(f) for f in (merged.edges, merged.going_out, merged.coming_in)] == [0, 0, 1]
+    assert counts(merged.edges) == joined(points, pairs, 3)

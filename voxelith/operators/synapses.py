@@ -52,9 +52,11 @@ def graph_of(points: DataFrame, pairs: DataFrame) -> Graph:
     A start may have many ends, and an end many starts. Points without ground truth, 0 or null, take part in nothing, but
     those in a subvolume are known to be there. Repeated pairs count each; a pair with a null end is none.
     """
+    scratch = Scratch(points.sparkSession, "synapse-parts")
     one, pairs = F.lit(1).cast("long").alias("n"), pairs.select("pre", "post").where("pre IS NOT NULL AND post IS NOT NULL")
     side = lambda s: points.select("sv", F.col("point_id").alias(s), F.col("gt").alias(f"{s}_gt"), F.col("seg").alias(f"{s}_seg"), F.lit(True).alias(f"{s}_there"))
-    begun = pairs.join(side("pre").where("pre_gt <> 0"), "pre").join(side("post"), ["sv", "post"], "left")
+    # two of the parts come from it
+    begun = scratch.store(pairs.join(side("pre").where("pre_gt <> 0"), "pre").join(side("post"), ["sv", "post"], "left").select(*EDGE, "post", "post_there"))
     ended = pairs.join(side("post").where("post_gt <> 0"), "post").join(side("pre").select("sv", "pre"), ["sv", "pre"], "left_anti")
     return Graph(
         _summed(begun.where("post_gt <> 0").select(*EDGE, one), EDGE),
@@ -67,12 +69,14 @@ def merged(graph: Graph, to: Column) -> Graph:
     """The same of larger subvolumes: to is the new number, of sv. What goes out of one part and comes in at another is an edge now."""
     new = to.cast("long").alias("sv")
     edges, out, into = (f.select(new, *f.columns[1:]) for f in (graph.edges, graph.going_out, graph.coming_in))
-    out, into = _summed(out, OUT), _summed(into, IN)
-    met = out.join(into.withColumnRenamed("n", "_starts"), ["sv", "post"])
-    # a point has one label, so what came in there from inside is the sum over all starts
-    inside = met.groupBy("sv", "post").agg(F.sum("n").alias("_met"))
+    scratch = Scratch(edges.sparkSession, "synapse-merge")
+    into = scratch.store(_summed(into, IN))
+    # a point has one label, so a row has one partner at most; those without one stay left over
+    met = scratch.store(_summed(out, OUT).join(into.drop("n").withColumn("_there", F.lit(True)), ["sv", "post"], "left"))
+    inside = met.where("_there").groupBy("sv", "post").agg(F.sum("n").alias("_met"))
     return Graph(
-        _summed(edges.union(met.select(*EDGE, "n")), EDGE),
-        out.join(into.select("sv", "post"), ["sv", "post"], "left_anti").select(*OUT, "n"),
+        _summed(edges.union(met.where("_there").select(*EDGE, "n")), EDGE),
+        met.where("_there IS NULL").select(*OUT, "n"),
+        # what came in there from inside is the sum over all starts
         into.join(inside, ["sv", "post"], "left").withColumn("n", F.col("n") - F.coalesce("_met", F.lit(0))).where("n > 0").select(*IN, "n"),
     )
