@@ -85,3 +85,13 @@ def test_archives(spark, limit):
                 found[int(group), m.name] = tar.extractfile(m).read()
     assert found == {(g, n): c or b"" for g, n, c in files}
     assert len(out) == len({r.name for r in out}) and (len(out) == 3 if limit > 4_000 else len(out) > 15)
+
+
+def test_archives_have_partitions_for_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(layout, "BYTES_PER_PARTITION", 20_000, raising=False)
+    files = [(g, f"{g}-{i}", b"x" * 1_000) for g in (1, 2) for i in range(150)]
+    out = layout.archives(spark.createDataFrame(files, "group long, name string, content binary"), 6_000)
+    # 1,536 bytes a file, 460,800 in all
+    assert out._jdf.queryExecution().executedPlan().toString().count(", 24), REPARTITION_BY_NUM") == 2
+    assert out.rdd.getNumPartitions() == 24
+    assert layout.archives(spark.createDataFrame([], "group long, name string, content binary"), 6_000).count() == 0

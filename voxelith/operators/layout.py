@@ -20,6 +20,8 @@ from voxelith.sources.scratch import Scratch
 BITS = 21
 #: Wanted slabs of a store, whose numbers become a filter.
 SLABS = 10_000
+#: Bytes of files in one partition, about, where archives are made.
+BYTES_PER_PARTITION = 128 << 20
 
 
 def _spread(c: Column) -> Column:
@@ -102,16 +104,19 @@ def archives(files: DataFrame, limit: int, shards: int = 4096) -> DataFrame:
 
     A group's files go in the order of a hash of their names, and begin a new archive where the last one is full: one has
     less than limit plus its last file. Sums by ranges of the hash come first, so no group is gathered; a task streams
-    the files of its archives, one archive at a time.
+    the files of its archives, one archive at a time. There are partitions for all bytes, as a task sorts its files.
     """
     # of a file: a header, and whole records of 512 bytes
     sized = files.select("group", "name", "content", (512 + F.ceil(F.octet_length("content") / 512.0) * 512).cast("long").alias("_size"), F.md5("name").alias("_h"))
     sized = sized.withColumn("_range", F.pmod(F.conv(F.substring("_h", 1, 8), 16, 10).cast("long"), F.lit(shards)))
     key = ["group", "_range"]
     over = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sized.groupBy(*key).agg(F.sum("_size").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(over("group").orderBy("_range")), F.lit(0))).drop("_n")
+    sums = Scratch(files.sparkSession, "archives").store(sized.groupBy(*key).agg(F.sum("_size").alias("_n")))
+    wanted = -(-(sums.agg(F.sum("_n")).first()[0] or 0) // BYTES_PER_PARTITION)
+    parts = max(wanted, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    starts = sums.withColumn("_start", F.coalesce(F.sum("_n").over(over("group").orderBy("_range")), F.lit(0))).drop("_n")
     inner = F.coalesce(F.sum("_size").over(over(*key).orderBy("_h", "name")), F.lit(0))
-    placed = sized.withColumn("_inner", inner).join(starts, key).withColumn("_part", F.floor((F.col("_start") + F.col("_inner")) / limit).cast("long"))
+    placed = sized.repartition(parts, *key).withColumn("_inner", inner).join(starts, key).withColumn("_part", F.floor((F.col("_start") + F.col("_inner")) / limit).cast("long"))
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, raw, tar = None, io.BytesIO(), None
@@ -132,5 +137,5 @@ def archives(files: DataFrame, limit: int, shards: int = 4096) -> DataFrame:
                 tar.addfile(about, io.BytesIO(content))
         yield from closed()
 
-    ordered = placed.select(F.col("group").cast("string").alias("group"), "_part", "name", F.coalesce("content", F.lit(b"")).alias("content")).repartition("group", "_part").sortWithinPartitions("group", "_part", "name")
+    ordered = placed.select(F.col("group").cast("string").alias("group"), "_part", "name", F.coalesce("content", F.lit(b"")).alias("content")).repartition(parts, "group", "_part").sortWithinPartitions("group", "_part", "name")
     return ordered.mapInArrow(stream, "name string, content binary")
