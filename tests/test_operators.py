@@ -378,3 +378,33 @@ def test_near_names_need_no_rounds(spark, monkeypatch):
     monkeypatch.setattr(components, "MAX_ROUNDS", 0)
     edges = spark.range(3_000).select((F.col("id") * 2).alias("u"), (F.col("id") * 2 + 1).alias("v"))
     assert graph.mapping_from_edges(edges).where("body = label - label % 2").count() == 6_000
+
+
+@pytest.mark.parametrize("name, block, parameters", [("empty-regions", 4, {"least": 8}), ("membranes", 5, {}), ("empty-regions", 40, {"least": 8})])
+def test_steps_run_on_each_block_alone(spark, name, block, parameters):
+    rnd = np.random.default_rng(9)
+    at = [tuple(map(int, p - 6)) for p in np.argwhere(rnd.random((14, 9, 38)) < 0.7)]  # boxes of blocks differ
+    value = {p: int(rnd.integers(0, 2)) for p in at}
+    df = spark.createDataFrame([(*p, v) for p, v in value.items()], "z long, y long, x long, v long")
+    calls = {}
+    for p in at:
+        calls.setdefault(tuple(c // block for c in p), []).append(p)
+    want = {}
+    for b, own in calls.items():
+        low = np.min(own, 0)
+        array = np.zeros(np.max(own, 0) - low + 1)
+        for p in own:
+            array[tuple(p - low)] = value[p]
+        done = segmentation.STEPS[name](array, **parameters)
+        want |= {p: (*b, float(done[tuple(p - low)])) for p in own}
+    got = segmentation.run_step(df, name, "v", "out", block, **parameters)
+    assert {(r.z, r.y, r.x): (r.bz, r.by, r.bx, r.out) for r in got.collect()} == want
+
+
+def test_small_blocks_share_a_group(spark):
+    df = spark.range(4096).select(F.col("id") % 16, F.floor(F.col("id") / 16) % 16, F.floor(F.col("id") / 256), F.lit(0)).toDF("z", "y", "x", "v")
+    assert "gz" in segmentation.run_step(df, "empty-regions", "v", "out", 4)._jdf.queryExecution().optimizedPlan().toString()
+    stack = np.zeros((2, 3, 3, 3))
+    stack[1, 1] = 1
+    both = segmentation.empty_regions(stack, 10)
+    assert not both[0].any() and both[1].all()
