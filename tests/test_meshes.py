@@ -133,3 +133,20 @@ def test_smoothed_by_blocks_of_corners(spark):
     quads = spark.createDataFrame([(1, "z", 1, 0, 0, 0)], "label long, axis string, side int, z long, y long, x long")
     assert "Window" not in segmentation.smoothed(quads)._jdf.queryExecution().executedPlan().toString()
     assert {tuple(r)[-3:] for r in segmentation.smoothed(quads).collect()} == {(1.0, 0.5, 0.5)}
+
+
+@pytest.mark.parametrize(("block", "lot", "error"), [(3, 1, None), (3, 6, None), (8, 64, None), (4, 8, 0.6)])
+def test_summary_in_the_tasks_that_make_the_mesh(spark, monkeypatch, block, lot, error):
+    monkeypatch.setattr(meshes, "LOT", lot)
+    a = np.random.default_rng(4).integers(-1, 3, (9, 8, 11))
+    df = spark.createDataFrame([(*(c - 4 for c in map(int, p)), int(a[p])) for p in np.ndindex(a.shape)], "z long, y long, x long, v long")
+    mesh = meshes.triangles(df, "v", block, error)
+    got = meshes.mesh_summary(df, "v", block, error)
+    want = meshes.summary(mesh)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.columns == want.columns
+    if error is None:
+        assert {(r.label, r.triangles) for r in got.collect()} == {(r.label, 2 * r["count"]) for r in segmentation.faces(df, "v").groupBy("label").count().collect()}
+        assert {r.label: r.volume for r in got.collect()} == {k: (a == k).sum() for k in (-1, 1, 2)}
+    # voxels are shuffled once, and neither faces, corners nor edges inside a lot are rows
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Generate explode") == 3
