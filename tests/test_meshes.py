@@ -150,3 +150,17 @@ def test_summary_in_the_tasks_that_make_the_mesh(spark, monkeypatch, block, lot,
     # voxels are shuffled once, and neither faces, corners nor edges inside a lot are rows
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and plan.count("Generate explode") == 3
+
+
+def test_corners_by_blocks(spark):
+    a = np.random.default_rng(5).integers(-1, 3, (7, 6, 9))
+    df = spark.createDataFrame([(*(c - 3 for c in map(int, p)), int(a[p])) for p in np.ndindex(a.shape)], "z long, y long, x long, v long")
+    want = sorted(map(tuple, segmentation.face_corners(segmentation.faces(df, "v")).select("label", "vz", "vy", "vx").distinct().collect()))
+    for block in (1, 4, 32):
+        assert sorted(map(tuple, segmentation.corners(df, "v", block).collect())) == want
+    mapping = spark.createDataFrame([(2, 1)], "label long, body long")
+    made = workflows.create_meshes(df, "v", mapping, 4, least_body=1 + int((a == -1).sum()), smooth=False)
+    assert sorted(map(tuple, made["vertices"].collect())) == [w for w in want if w[0] in (1, 2)]
+    # voxels meet the kept segments where they are, not by their label, of which one may have most
+    plan = made["vertices"]._jdf.queryExecution().sparkPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
